@@ -1,62 +1,66 @@
 """Field access on parsed JSON (VARIANT) with the reference's falsy rules.
 
-A raw post is parsed once (``try_parse_json``) and every field is read with
-``try_variant_get``; nothing is re-parsed per column.
+A raw post is parsed once (``try_parse_json``). ``extract`` then pulls each
+field out once as a small VARIANT plus its type name, in its own projection;
+the rule functions below work on those two columns, which keeps the generated
+code of the final projection small (one variant lookup per field, not one
+per rule).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def vtype(v: Column, path: str) -> Column:
-    """Variant type name at a path ('BIGINT', 'STRING', 'OBJECT<...>', 'NULL'...)."""
-    return F.schema_of_variant(F.try_variant_get(v, path, "variant"))
+def extract(df: DataFrame, vcol: str, fields: dict[str, str]) -> DataFrame:
+    """Add ``_f_<name>`` (field as VARIANT) and ``_t_<name>`` (its type name)."""
+    df = df.withColumns({f"_f_{n}": F.try_variant_get(F.col(vcol), p, "variant")
+                         for n, p in fields.items()})
+    return df.withColumns({f"_t_{n}": F.schema_of_variant(F.col(f"_f_{n}"))
+                           for n in fields})
 
 
-def vget(v: Column, path: str, type_: str) -> Column:
-    return F.try_variant_get(v, path, type_)
+def fld(name: str) -> tuple[Column, Column]:
+    return F.col(f"_f_{name}"), F.col(f"_t_{name}")
 
 
-def truthy(v: Column, path: str) -> Column:
-    """Python truthiness of the value at path: missing, null, false, 0, '',
-    empty array/object are falsy."""
-    t = vtype(v, path)
-    s = vget(v, path, "string")
+def truthy(f: Column, t: Column) -> Column:
+    """Python truthiness: missing, null, false, 0, '', [] and {} are falsy."""
+    s = F.try_variant_get(f, "$", "string")
     return (F.when(t.isNull() | (t == "NULL"), F.lit(False))
             .when(t == "STRING", s != "")
             .when(t == "BOOLEAN", s == "true")
-            .when(t.startswith("ARRAY"), F.size(vget(v, path, "array<variant>")) > 0)
+            .when(t.startswith("ARRAY"),
+                  F.size(F.try_variant_get(f, "$", "array<variant>")) > 0)
             .when(t.startswith("OBJECT"),
-                  F.size(F.map_keys(vget(v, path, "map<string,variant>"))) > 0)
-            .otherwise(F.coalesce(vget(v, path, "double") != 0, F.lit(True))))
+                  F.size(F.map_keys(F.try_variant_get(f, "$", "map<string,variant>"))) > 0)
+            .otherwise(F.coalesce(F.try_variant_get(f, "$", "double") != 0, F.lit(True))))
 
 
-def text_or(v: Column, path: str, default: str | None = "") -> Column:
+def text_or(f: Column, t: Column, default: str = "") -> Column:
     """``str(x)`` when x is truthy, else the default (``x or ''``)."""
-    d = F.lit(default) if default is not None else F.lit(None).cast("string")
-    return F.when(truthy(v, path), vget(v, path, "string")).otherwise(d)
+    return F.when(truthy(f, t), F.try_variant_get(f, "$", "string")).otherwise(F.lit(default))
 
 
-def count_or_zero(v: Column, path: str) -> Column:
+def text_or_null(f: Column, t: Column) -> Column:
+    return F.when(truthy(f, t), F.try_variant_get(f, "$", "string"))
+
+
+def count_or_zero(f: Column, t: Column) -> Column:
     """``x or 0`` stored into an integer column (fractions round, as a DB cast)."""
-    n = F.round(vget(v, path, "decimal(38,6)")).cast("bigint")
-    return F.when(truthy(v, path), F.coalesce(n, F.lit(0).cast("bigint"))) \
+    n = F.round(F.try_variant_get(f, "$", "decimal(38,6)")).cast("bigint")
+    return F.when(truthy(f, t), F.coalesce(n, F.lit(0).cast("bigint"))) \
         .otherwise(F.lit(0).cast("bigint"))
 
 
-def string_array(v: Column, path: str) -> Column:
+def string_array(f: Column, t: Column) -> Column:
     """``x or []`` as ARRAY<STRING>; never NULL."""
-    return F.coalesce(vget(v, path, "array<string>"), F.array().cast("array<string>"))
+    empty = F.array().cast("array<string>")
+    return F.when(truthy(f, t), F.coalesce(F.try_variant_get(f, "$", "array<string>"), empty)) \
+        .otherwise(empty)
 
 
-def object_or_null(v: Column, path: str) -> Column:
+def object_or_null(f: Column, t: Column) -> Column:
     """Sub-document kept only when truthy (non-empty), else NULL."""
-    return F.when(truthy(v, path), vget(v, path, "variant"))
-
-
-def post_key(v: Column) -> Column:
-    """``str(id or shortCode or '')`` with '' -> NULL (row dropped later)."""
-    return (F.when(truthy(v, "$.id"), vget(v, "$.id", "string"))
-            .when(truthy(v, "$.shortCode"), vget(v, "$.shortCode", "string")))
+    return F.when(truthy(f, t), f)

@@ -34,3 +34,7 @@ def q_fact_post(spark, sf_dir):
 def q_profile_stats(spark, sf_dir):
     s = Star(spark, sf_dir)
     return V.profile_stats(s.posts(), s.profiles())
+
+
+# Query modules register themselves on import.
+from . import q_silver  # noqa: E402,F401

@@ -35,7 +35,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "16g")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-         .config("spark.speculation", "false"))
+         .config("spark.speculation", "false")
+         .config("spark.ui.showConsoleProgress", "false"))
     for k, v in {**ENGINE_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
