@@ -37,4 +37,4 @@ def q_profile_stats(spark, sf_dir):
 
 
 # Query modules register themselves on import.
-from . import q_silver  # noqa: E402,F401
+from . import q_silver, q_gold  # noqa: E402,F401
