@@ -21,15 +21,22 @@ from ..session import cut_lineage
 _ROW_BITS = 33  # monotonically_increasing_id = partition << 33 | row index
 
 
-def with_row_number(df: DataFrame, order_col: str, out_col: str, start: int = 0,
+def _ranged(df: DataFrame, order: list, num_partitions: int | None) -> DataFrame:
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return cut_lineage(df.repartitionByRange(n, *order).sortWithinPartitions(*order))
+
+
+def with_row_number(df: DataFrame, order_col, out_col: str, start: int = 0,
                     num_partitions: int | None = None) -> DataFrame:
     """Append out_col = start + dense 1-based position in order_col order.
 
-    order_col must be unique (a surrogate key over natural keys)."""
+    order_col (a name, Column, or list of them) must order rows totally
+    (unique), e.g. a natural key."""
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = cut_lineage(df.repartitionByRange(n, F.col(order_col))
-                         .sortWithinPartitions(order_col))
+    order = [F.col(c) if isinstance(c, str) else c
+             for c in (order_col if isinstance(order_col, (list, tuple)) else [order_col])]
+    ranged = _ranged(df, order, num_partitions)
     tagged = (ranged.withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
     counts = sorted((r["_pid"], r["_n"]) for r in
@@ -44,3 +51,26 @@ def with_row_number(df: DataFrame, order_col: str, out_col: str, start: int = 0,
     key = (F.col("_off") + F.col("_mid")
            - F.shiftleft(F.col("_pid").cast("long"), _ROW_BITS) + F.lit(1))
     return out.withColumn(out_col, key.cast("bigint")).drop("_pid", "_mid", "_off")
+
+
+def running_sum(df: DataFrame, order_cols: list, value_col: str, out_col: str,
+                num_partitions: int | None = None) -> DataFrame:
+    """Cumulative sum in a total order without a global window: per-range-
+    partition totals (one row each) give each partition's starting offset;
+    inside a partition a window over the partition id adds the running part
+    (the partition is one range slice, so its size is bounded)."""
+    from pyspark.sql import Window
+    spark = df.sparkSession
+    order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    ranged = _ranged(df, order, num_partitions).withColumn("_pid", F.spark_partition_id())
+    sums = sorted((r["_pid"], r["_s"]) for r in
+                  ranged.groupBy("_pid").agg(F.sum(value_col).alias("_s")).collect())
+    offsets, acc = [], 0
+    for pid, s in sums:
+        offsets.append((pid, float(acc)))
+        acc += s or 0
+    off = spark.createDataFrame(offsets, "_pid int, _off double")
+    w = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    out = ranged.join(F.broadcast(off), "_pid") \
+        .withColumn(out_col, F.col("_off") + F.sum(value_col).over(w))
+    return out.drop("_pid", "_off")
