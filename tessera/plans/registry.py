@@ -37,4 +37,4 @@ def q_profile_stats(spark, sf_dir):
 
 
 # Query modules register themselves on import.
-from . import q_silver, q_gold, q_plan, q_enrich  # noqa: E402,F401
+from . import q_silver, q_gold, q_plan, q_enrich, q_media, q_graph  # noqa: E402,F401
