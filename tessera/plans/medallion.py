@@ -110,18 +110,29 @@ class Medallion:
 
     def deduplicate_all(self, as_of: Column, media: DataFrame | None = None) -> DataFrame:
         """Silver run: new datasets -> upsert -> progress. Returns one row
-        (datasets_processed, posts_silvered)."""
+        (datasets_processed, posts_silvered). A dataset without any usable
+        post is still recorded (post_count 0) so it is not rescanned."""
+        # One row per unprocessed dataset, a bound the file listing implies.
+        pending = [r[0] for r in
+                   B.discover(self.spark, self.bronze, self.progress()).select("dataset_id")
+                   .collect()]
+        if not pending:
+            return self.spark.createDataFrame(
+                [(0, 0)], "datasets_processed bigint, posts_silvered bigint")
         lines = self.pending_lines()
-        counts = S.dataset_counts(lines).cache()
-        n = counts.agg(F.count(F.lit(1)).alias("d"), F.sum("post_count").alias("p")).first()
-        if n["d"]:
+        counts = (self.spark.createDataFrame([(d,) for d in pending], "source_dataset string")
+                  .join(S.dataset_counts(lines), "source_dataset", "left")
+                  .select("source_dataset",
+                          F.coalesce("post_count", F.lit(0)).cast("bigint").alias("post_count")))
+        counts = counts.cache()
+        total = counts.agg(F.sum("post_count")).first()[0] or 0
+        if total:
             posts, _bad = S.build(lines, media)
             self.silver.upsert(posts, as_of=as_of)
-            append_progress(self.spark, self.progress_path, counts, as_of)
+        append_progress(self.spark, self.progress_path, counts, as_of)
         counts.unpersist()
         return self.spark.createDataFrame(
-            [(int(n["d"] or 0), int(n["p"] or 0))],
-            "datasets_processed bigint, posts_silvered bigint")
+            [(len(pending), int(total))], "datasets_processed bigint, posts_silvered bigint")
 
     def silver_posts(self) -> DataFrame:
         return self.silver.read()
