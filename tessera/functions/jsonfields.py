@@ -26,15 +26,16 @@ def fld(name: str) -> tuple[Column, Column]:
 
 
 def truthy(f: Column, t: Column) -> Column:
-    """Python truthiness: missing, null, false, 0, '', [] and {} are falsy."""
+    """Python truthiness: missing, null, false, 0, '', [] and {} are falsy.
+    Containers are judged from the type name alone ('OBJECT<>' is {},
+    'ARRAY<VOID>' is [] or an all-null array)."""
     s = F.try_variant_get(f, "$", "string")
-    return (F.when(t.isNull() | (t == "NULL"), F.lit(False))
+    return (F.when(t.isNull() | t.isin("NULL", "VOID"), F.lit(False))
             .when(t == "STRING", s != "")
             .when(t == "BOOLEAN", s == "true")
-            .when(t.startswith("ARRAY"),
-                  F.size(F.try_variant_get(f, "$", "array<variant>")) > 0)
-            .when(t.startswith("OBJECT"),
-                  F.size(F.map_keys(F.try_variant_get(f, "$", "map<string,variant>"))) > 0)
+            .when(t == "ARRAY<VOID>", F.size(F.try_variant_get(f, "$", "array<variant>")) > 0)
+            .when(t.startswith("ARRAY"), F.lit(True))
+            .when(t.startswith("OBJECT"), t != "OBJECT<>")
             .otherwise(F.coalesce(F.try_variant_get(f, "$", "double") != 0, F.lit(True))))
 
 

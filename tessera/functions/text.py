@@ -22,7 +22,10 @@ PROFILE_URL_PREFIX = "https://www.instagram.com/"
 # ---------------------------------------------------------------------------
 
 # Python's \b \w \s are Unicode-aware; Java needs (?U) for the same classes.
-BAIT_REGEX = "(?iU)" + "|".join(BAIT_PATTERNS)
+# Every pattern starts with \b; testing it once before the alternation is the
+# same search and about twice as fast on long captions.
+assert all(p.startswith(r"\b") for p in BAIT_PATTERNS)
+BAIT_REGEX = "(?iU)\\b(?:" + "|".join(p[2:] for p in BAIT_PATTERNS) + ")"
 
 
 def py_strip(c: Column) -> Column:

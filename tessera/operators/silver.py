@@ -44,11 +44,22 @@ def parse(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     reason = (F.when(F.col("v").isNull(), "malformed")
               .when(~F.col("line").startswith("{"), "not_object")
               .when(F.col("post_id").isNull(), "no_key"))
-    good = p.filter(F.col("post_id").isNotNull())
-    bad = p.filter(F.col("post_id").isNull()).select("dataset_id", "line", reason.alias("reason"))
+    good = keep_where(p, F.col("post_id").isNotNull())
+    bad = keep_where(p, F.col("post_id").isNull()).select("dataset_id", "line",
+                                                          reason.alias("reason"))
     return good, bad
 
 
+def keep_where(df: DataFrame, cond: Column) -> DataFrame:
+    """Row filter expressed as a generator (explode of a 0/1-element array).
+
+    A Filter on a derived column is pushed below the projections that derive
+    it, which inlines the JSON parse into every reference of the predicate;
+    a Generate is not pushed through, so each line is parsed once."""
+    one = F.explode(F.when(cond, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>")))
+    return df.select("*", one.alias("_keep")).drop("_keep")
+
+
 def normalise(parsed: DataFrame) -> DataFrame:
     """One silver-shaped row per parsed line (falsy -> default rules)."""
     f = J.fld

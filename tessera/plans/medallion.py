@@ -74,6 +74,15 @@ def raw_posts(cat: Catalog) -> DataFrame:
                     line.alias("line"))
 
 
+def in_memory_lines(cat: Catalog) -> DataFrame:
+    """Raw post lines with the scan's position columns, without landing."""
+    r = raw_posts(cat)
+    return r.select("dataset_id", F.col("line"), F.lit("").alias("file_name"),
+                    F.lit(0).cast("bigint").alias("block_start"),
+                    F.col("event_id").alias("row_id"),
+                    downloaded_at(F.col("dataset_id")).alias("ds_order_ts"))
+
+
 def land_events(spark: SparkSession, cat: Catalog, datasets: list[str] | None = None,
                 root: str | None = None) -> str:
     root = root or shared_path(spark, "bronze")

@@ -16,7 +16,7 @@ from ..session import shared_path
 from . import views as V
 from .registry import query
 from .star import Star
-from .q_silver import _in_memory_lines
+from .medallion import in_memory_lines as _in_memory_lines
 
 AS_OF = "2025-03-01 00:00:00"
 

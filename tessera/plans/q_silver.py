@@ -12,7 +12,8 @@ from ..functions.text import profile_url
 from ..operators import silver as S
 from ..sources import bronze as B
 from ..session import shared_path
-from .medallion import Medallion, downloaded_at, land_events, raw_posts, silver_view
+from .medallion import (Medallion, downloaded_at, in_memory_lines as _in_memory_lines,
+                        land_events, raw_posts, silver_view)
 from .registry import query
 from .star import Star, captions
 
@@ -24,15 +25,6 @@ def _ts(s):
     return F.lit(s).cast("timestamp_ntz")
 
 
-def _in_memory_lines(cat):
-    """Raw post lines with the scan's position columns, without landing."""
-    r = raw_posts(cat)
-    return r.select("dataset_id", F.col("line"), F.lit("").alias("file_name"),
-                    F.lit(0).cast("bigint").alias("block_start"),
-                    F.col("event_id").alias("row_id"),
-                    downloaded_at(F.col("dataset_id")).alias("ds_order_ts"))
-
-
 @query("post_key_coalesce")
 def q_post_key_coalesce(spark, sf_dir):
     good, _ = S.parse(_in_memory_lines(Catalog(spark, sf_dir)))
