@@ -66,18 +66,23 @@ class TokenBucket:
         self.last = clock()
 
     def acquire(self) -> float:
-        waited = 0.0
-        while True:
-            now = self.clock()
-            r = self.rate * (1 + self.rng.uniform(-self.jitter, self.jitter))
-            self.tokens = min(self.cap, self.tokens + (now - self.last) * r)
-            self.last = now
-            if self.tokens >= 1.0:
-                self.tokens -= 1.0
-                return waited
-            wait = (1.0 - self.tokens) / self.rate * (1 + self.rng.uniform(0, self.jitter))
-            self.sleep(wait)
-            waited += wait
+        """Take one token; returns the seconds waited. A shortfall is waited
+        out in one step at the slowest jittered refill rate, so the call
+        always terminates (no float-precision spinning) and never exceeds
+        the budget; refill beyond the single token is forfeited."""
+        now = self.clock()
+        r = self.rate * (1 + self.rng.uniform(-self.jitter, self.jitter))
+        self.tokens = min(self.cap, self.tokens + (now - self.last) * r)
+        self.last = now
+        if self.tokens >= 1.0:
+            self.tokens -= 1.0
+            return 0.0
+        wait = (1.0 - self.tokens) / (self.rate * (1 - self.jitter)) \
+            * (1 + self.rng.uniform(0, self.jitter))
+        self.sleep(wait)
+        self.last = self.clock()
+        self.tokens = 0.0
+        return wait
 
 
 def call_with_retries(fn: Callable[[dict], str], post: dict, sleep) -> tuple[dict | None, int, float]:
