@@ -241,22 +241,42 @@ def dim_time(posts: DataFrame) -> DataFrame:
     return d.select(*calendar_columns(F.col("d")))
 
 
+# Materialised star tables per (application, scale-factor dir): silver,
+# gold and dimensions are stored tables in the medallion design, written once
+# into the shared checkpoint folder and read by every view.
+_STORED: dict[tuple[str, str], dict[str, str]] = {}
+
+
 class Star:
-    """The star tables of one scale-factor directory."""
+    """The star tables of one scale-factor directory, stored on first use."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, stored: bool = True):
         self.cat = Catalog(spark, sf_dir)
         self.spark = self.cat.spark
+        self.stored = stored
+        self._key = (self.spark.sparkContext.applicationId, sf_dir)
+
+    def _table(self, name: str, build) -> DataFrame:
+        if not self.stored:
+            return build()
+        from ..session import shared_path
+        paths = _STORED.setdefault(self._key, {})
+        if name not in paths:
+            path = shared_path(self.spark, "star", name)
+            build().write.mode("overwrite").parquet(path)
+            paths[name] = path
+        return self.spark.read.parquet(paths[name])
 
     def posts(self) -> DataFrame:
-        return silver_posts(self.cat)
+        return self._table("silver_posts", lambda: silver_posts(self.cat))
 
     def profiles(self) -> DataFrame:
         from ..operators.numbering import with_row_number
-        return with_row_number(dim_profile(self.cat), "owner_id", "profile_key")
+        return self._table("dim_profile", lambda: with_row_number(
+            dim_profile(self.cat), "owner_id", "profile_key"))
 
     def gold(self) -> DataFrame:
-        return gold_analyses(self.cat)
+        return self._table("gold_analyses", lambda: gold_analyses(self.cat))
 
     def dim_time(self) -> DataFrame:
-        return dim_time(self.posts())
+        return self._table("dim_time", lambda: dim_time(self.posts()))
