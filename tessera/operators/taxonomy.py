@@ -138,3 +138,42 @@ def dim_topic(gold_analysed: DataFrame) -> DataFrame:
 def canonical_map(terms: DataFrame) -> DataFrame:
     """J15 input: (term_type, raw_value) -> canonical_value, current rows."""
     return terms.filter(F.col("is_current")).select("term_type", "raw_value", "canonical_value")
+
+
+def embed_terms(terms: DataFrame, embedder, dim: int, partitions: int = 8) -> DataFrame:
+    """Vector per term through a pluggable batch function
+    ``embedder(list[str]) -> list[list[float]]`` (a hosted embedding model in
+    production), run with mapInPandas over hash-partitioned terms; output is
+    checkpointed so a recomputation never calls the model twice."""
+    import pandas as pd
+    from ..session import cut_lineage
+
+    def run(batches):
+        for pdf in batches:
+            vecs = embedder(pdf["raw_value"].tolist()) if len(pdf) else []
+            yield pd.DataFrame({"term_id": pdf["term_id"], "term_type": pdf["term_type"],
+                                "embedding": list(vecs)})
+
+    t = terms.select("term_id", "term_type", "raw_value").repartition(partitions, "term_id")
+    out = t.mapInPandas(run, "term_id long, term_type string, embedding array<double>")
+    return cut_lineage(out)
+
+
+def trigram_embedder(dim: int = 256):
+    """Deterministic stand-in embedder: hashed character trigrams of the
+    normalised term, L2-normalised (similar spellings -> high cosine)."""
+    import zlib
+
+    import numpy as np
+
+    def embed(texts):
+        out = []
+        for s in texts:
+            s = f"  {(s or '').strip().lower()} "
+            v = np.zeros(dim)
+            for i in range(len(s) - 2):
+                v[zlib.crc32(s[i:i + 3].encode("utf-8")) % dim] += 1.0
+            n = np.linalg.norm(v)
+            out.append((v / n if n else v).tolist())
+        return out
+    return embed

@@ -147,3 +147,19 @@ def q_fact_post_canonical(spark, sf_dir):
     return p.join(g, "post_id", "left").select(
         "post_id", "topic_key", "domain", "topic", "subtopic", "domain_canonical",
         "topic_canonical")
+
+
+@query("term_embedding_pairs")
+def q_term_embedding_pairs(spark, sf_dir):
+    """T3 + J16 + T5 on the text terms with the production thresholds:
+    embed every term (pluggable function), exact cosine join per term type."""
+    t = TX.exact_dedup(TX.raw_terms(V.analysed(Star(spark, sf_dir).gold())))
+    e = TX.embed_terms(t, TX.trigram_embedder(256), 256)
+    u = TX.unit_vectors(e, "term_id", "embedding", "term_type")
+    p = TX.classify(TX.similar_pairs(u, TX.REVIEW))
+    names = t.select("term_id", "raw_value")
+    return p.join(names.withColumnRenamed("term_id", "id_a")
+                  .withColumnRenamed("raw_value", "term_a"), "id_a") \
+        .join(names.withColumnRenamed("term_id", "id_b")
+              .withColumnRenamed("raw_value", "term_b"), "id_b") \
+        .select("block", "term_a", "term_b", F.round("cosine", 6).alias("cosine"), "status")

@@ -13,9 +13,14 @@ def test_entry_runs(spark):
     assert len(df.columns) == 26 and df.count() > 0
 
 
+# Queries whose core is a pluggable Python function (no SQL equivalent);
+# they are checked against brute force in the unit tests instead.
+ROWS_ONLY = {"term_embedding_pairs"}
+
+
 def test_registry_and_oracles_align():
     q, o = E.queries(), E.oracle_sql()
-    assert len(q) >= 70 and set(q) == set(o)
+    assert len(q) >= 70 and set(q) - ROWS_ONLY == set(o)
 
 
 @pytest.mark.parametrize("name", ["profile_stats", "topic_stats", "profile_resource_edges",

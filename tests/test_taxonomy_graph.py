@@ -83,3 +83,21 @@ def test_exact_quantiles(spark):
         vals = [v for gg, v in rows if gg == g]
         for p in (0.25, 0.5, 0.75):
             assert abs(got[(g, p)] - float(np.quantile(vals, p))) < 1e-9
+
+
+def test_trigram_embedding_pairs_brute_force(spark):
+    terms = ["Image Gen", " image gen ", "image generation", "react", "reactjs", "vue"]
+    t = spark.createDataFrame([(i + 1, "topic", s) for i, s in enumerate(terms)],
+                              "term_id long, term_type string, raw_value string")
+    emb = TX.trigram_embedder(128)
+    e = TX.embed_terms(t, emb, 128, partitions=2)
+    got = {(r.id_a, r.id_b): round(r.cosine, 9) for r in
+           TX.similar_pairs(TX.unit_vectors(e, "term_id", "embedding", "term_type"), 0.5).collect()}
+    vecs = emb(terms)
+    want = {}
+    for i in range(len(terms)):
+        for j in range(i + 1, len(terms)):
+            c = float(np.dot(vecs[i], vecs[j]))
+            if c >= 0.5:
+                want[(i + 1, j + 2 - 1)] = round(c, 9)
+    assert got == want and got[(1, 2)] == 1.0
