@@ -254,7 +254,8 @@ class Star:
         self.cat = Catalog(spark, sf_dir)
         self.spark = self.cat.spark
         self.stored = stored
-        self._key = (self.spark.sparkContext.applicationId, sf_dir)
+        from ..session import app_key
+        self._key = (app_key(self.spark), sf_dir)
 
     def _table(self, name: str, build) -> DataFrame:
         if not self.stored:

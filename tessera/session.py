@@ -62,19 +62,21 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; create one only when unset."""
-    sc = spark.sparkContext
-    d = sc.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        try:
-            d = spark.conf.get("spark.checkpoint.dir")
-        except Exception:
-            d = None
-    if not d:
-        d = sc.getCheckpointDir()
+    d = None
+    try:
+        d = spark.conf.get("spark.checkpoint.dir")
+    except Exception:
+        d = None
+    sc = None
+    try:
+        sc = spark.sparkContext
+        d = d or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    except Exception:  # no SparkContext (remote session): conf only
+        sc = None
     if not d:
         # Unset: tests and single machines only.
         d = tempfile.mkdtemp(prefix="tessera-ckpt-")
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     try:
         spark.conf.set("spark.checkpoint.dir", d)
@@ -83,6 +85,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def app_key(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return spark.conf.get("spark.app.id", str(id(spark)))
+
+
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path under the shared checkpoint folder for staged tables."""
     base = ensure_checkpoint_dir(spark)
