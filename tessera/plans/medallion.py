@@ -17,7 +17,7 @@ from ..catalog import Catalog
 from ..operators import silver as S
 from ..operators.upsert import BucketedTable, append_progress
 from ..sources import bronze as B
-from ..session import shared_path
+from ..session import ensure_parallelism, shared_path
 
 # ---- fixed values of the events -> raw post mapping (shared with the oracle)
 N_DATASETS = 3
@@ -76,7 +76,7 @@ def raw_posts(cat: Catalog) -> DataFrame:
 
 def in_memory_lines(cat: Catalog) -> DataFrame:
     """Raw post lines with the scan's position columns, without landing."""
-    r = raw_posts(cat)
+    r = ensure_parallelism(raw_posts(cat))
     return r.select("dataset_id", F.col("line"), F.lit("").alias("file_name"),
                     F.lit(0).cast("bigint").alias("block_start"),
                     F.col("event_id").alias("row_id"),

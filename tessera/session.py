@@ -102,3 +102,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (shared folder); survives executor loss."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Spread CPU-heavy per-row work (JSON parse, regex) over the cluster when
+    a scan yields fewer partitions than the default parallelism (small files,
+    one row group). Large inputs already have enough splits and pass through
+    without a shuffle."""
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:
+        return df
+    return df.repartition(want) if have < want else df
