@@ -78,15 +78,15 @@ def _undirected(edges: DataFrame) -> DataFrame:
         .filter(F.col("u") != F.col("v")).distinct()
 
 
-def connected_components(edges: DataFrame, nodes: DataFrame | None = None,
-                         max_rounds: int = 64) -> DataFrame:
+def connected_components(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     """Component label = smallest node id, by alternating large-star
     and small-star rounds (O(log^2 n) rounds; every round is two joins and
-    two min-aggregations, no per-component collect). Returns (node,
-    component); isolated nodes from ``nodes`` get their own id."""
+    two min-aggregations, no per-component collect), repeated until a round
+    changes nothing. Returns (node, component); isolated nodes from ``nodes``
+    get their own id."""
     nb = cut_lineage(_undirected(edges))
     prev = None
-    for _ in range(max_rounds):
+    while True:
         # large-star: larger neighbours of u attach to min(N(u) + u)
         m = nb.groupBy("u").agg(F.min("v").alias("mn"))
         m = m.select("u", F.least("u", "mn").alias("m"))
