@@ -70,6 +70,25 @@ class Memo(dict):
         return value
 
 
+def utf8(column: pa.Array) -> list[bytes]:
+    """A text column's values as UTF-8 bytes; null is the empty text."""
+    return [v or b"" for v in column.cast(pa.binary()).to_pylist()]
+
+
+def pieces(text: bytes, most: int = 1 << 20) -> Iterator[bytes]:
+    """The text, a very long one cut at spaces or line ends (so never in a
+    word) into parts of about ``most`` bytes: Python then holds the words of
+    one part at a time."""
+    at = 0
+    while len(text) - at > most:
+        ends = [e for e in (text.find(b" ", at + most), text.find(b"\n", at + most)) if e >= 0]
+        if not ends:
+            break
+        yield text[at:min(ends)]
+        at = min(ends)
+    yield text[at:] if at else text
+
+
 def columns_of(batches: Iterator[pa.RecordBatch], *names: str):
     """Python lists of the named columns, batch by batch."""
     for b in batches:

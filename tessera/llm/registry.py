@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import fingerprint, token_files, url_filter
+from . import decontaminate, fingerprint, jaccard_join, token_files, url_filter
 from .base import table
 
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op2_jaccard_join(spark, sf_dir):
+    return jaccard_join.components(table(spark, sf_dir, "documents"))
+
+
 def op4_token_files(spark, sf_dir):
     return token_files.token_table(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
@@ -23,7 +27,11 @@ def op8_fingerprint(spark, sf_dir):
     return fingerprint.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_token_files, op7_url_filter, op8_fingerprint)}
+def op10_decontaminate(spark, sf_dir):
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
+
+
+QUERIES = {f.__name__: f for f in (op2_jaccard_join, op4_token_files, op7_url_filter, op8_fingerprint, op10_decontaminate)}
 
 _URL = """
 WITH p AS (
