@@ -27,7 +27,9 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
@@ -51,7 +53,7 @@ class WordEncoder:
     words in turn; ids of words seen before are kept (two generations of at
     most ``most`` words)."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 700_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer, self.most = Tokenizer.from_file(path), most
@@ -59,30 +61,29 @@ class WordEncoder:
         self.older: dict[str, bytes] = {}
 
     def _learn(self, words: set[str]) -> None:
-        if len(self.young) + len(words) > self.most:
-            self.older, self.young = self.young, {}
-        young, older = self.young, self.older
-        new = []
-        for w in words:
-            if w in older:
-                young[w] = older[w]
-            elif w not in young:
-                new.append(w)
-        for k in range(0, len(new), 4096):
-            part = new[k:k + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                young[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+        new = [w for w in words if w not in self.young]
+        if len(self.young) + len(new) > self.most:
+            self.older, self.young, new = self.young, {}, list(words)
+        unknown = []
+        for w in new:
+            if w in self.older:
+                self.young[w] = self.older[w]
+            else:
+                unknown.append(w)
+        for k in range(0, len(unknown), 256):  # together as one text, cut again by the tokens' offsets
+            part = unknown[k:k + 256]
+            e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids = struct.pack(f"<{len(e.ids)}I", *e.ids)
+            ends = list(accumulate(len(w) + 1 for w in part))
+            at = 0
+            for w, cut in zip(part, (4 * n for n in np.searchsorted([o[0] for o in e.offsets], ends).tolist())):
+                self.young[w] = ids[at:cut]
+                at = cut
 
     def __call__(self, values: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in values]
-        out: list[bytes] = []
-        for words in split:
-            seen = set(words)
-            seen -= self.young.keys()
-            if seen:
-                self._learn(seen | (set(words) if len(self.young) + len(seen) > self.most else set()))
-            out.append(b"".join(map(self.young.__getitem__, words)))
-        return out
+        self._learn(set().union(*split))
+        return [b"".join(map(self.young.__getitem__, words)) for words in split]
 
 
 def encoder(path: str) -> WordEncoder:
