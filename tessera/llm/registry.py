@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import decontaminate, fingerprint, jaccard_join, token_files, url_filter
+from . import decontaminate, fingerprint, jaccard_join, quality, token_files, toxicity, url_filter
 from .base import table
 
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op1_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_jaccard_join(spark, sf_dir):
     return jaccard_join.components(table(spark, sf_dir, "documents"))
 
@@ -18,6 +22,10 @@ def op4_token_files(spark, sf_dir):
     return token_files.token_table(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op6_quality(spark, sf_dir):
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_url_filter(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     return url_filter.filter_urls(pages, url_filter.listed_by_host(pages))
@@ -31,7 +39,7 @@ def op10_decontaminate(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
 
-QUERIES = {f.__name__: f for f in (op2_jaccard_join, op4_token_files, op7_url_filter, op8_fingerprint, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_jaccard_join, op4_token_files, op6_quality, op7_url_filter, op8_fingerprint, op10_decontaminate)}
 
 _URL = """
 WITH p AS (
