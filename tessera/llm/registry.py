@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import decontaminate, fingerprint, jaccard_join, quality, token_files, toxicity, url_filter
+from . import decontaminate, fingerprint, jaccard_join, pii, quality, token_files, toxicity, url_filter
 from .base import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -22,6 +22,10 @@ def op4_token_files(spark, sf_dir):
     return token_files.token_table(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op5_pii(spark, sf_dir):
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark, sf_dir):
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -39,7 +43,7 @@ def op10_decontaminate(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_jaccard_join, op4_token_files, op6_quality, op7_url_filter, op8_fingerprint, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_jaccard_join, op4_token_files, op5_pii, op6_quality, op7_url_filter, op8_fingerprint, op10_decontaminate)}
 
 _URL = """
 WITH p AS (
