@@ -216,12 +216,13 @@ class Tagger:
             g |= {"w" + d: dw, "u" + d: du, "c" + d: dc}
         return loss / n, {k: v / n for k, v in g.items()}
 
-    def fit(self, windows: np.ndarray, tags: np.ndarray, passes: int = 6, size: int = 64, rate: float = 0.01, seed: int = 5) -> "Tagger":
+    def fit(self, windows: np.ndarray, tags: np.ndarray, steps: int = 420, size: int = 64, rate: float = 0.01, seed: int = 5) -> "Tagger":
+        """``steps`` gradient steps, however many windows there are."""
         r = np.random.default_rng(seed)
         mean, square, k = {n: 0.0 for n in self.p}, {n: 0.0 for n in self.p}, 0
-        for _ in range(passes):
+        while k < steps and len(windows):
             order = r.permutation(len(windows))
-            for at in range(0, len(order), size):
+            for at in range(0, min(len(order), size * (steps - k)), size):
                 part = order[at:at + size]
                 k += 1
                 for name, g in self.gradient(windows[part], tags[part])[1].items():

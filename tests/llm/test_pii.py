@@ -106,7 +106,7 @@ def test_windows_are_reconciled():
         if s:
             x.append(P.cut_windows(P.classes_of(t), s))
             y.append(P.cut_windows(P.tags_of(len(t), P.base_spans(t)), s))
-    m = P.Tagger().fit(np.concatenate(x), np.concatenate(y), passes=8)
+    m = P.Tagger().fit(np.concatenate(x), np.concatenate(y))
     text = docs[1]
     found = P.find_all([text], m)[0]
     tags = np.zeros(len(text), np.int64)
