@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import decontaminate, fingerprint, jaccard_join, pii, quality, token_files, toxicity, url_filter
+from . import decontaminate, fingerprint, jaccard_join, language_model, pii, quality, token_files, toxicity, url_filter
 from .base import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -39,11 +39,15 @@ def op8_fingerprint(spark, sf_dir):
     return fingerprint.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op9_language_model(spark, sf_dir):
+    return language_model.scores(table(spark, sf_dir, "documents"))
+
+
 def op10_decontaminate(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_jaccard_join, op4_token_files, op5_pii, op6_quality, op7_url_filter, op8_fingerprint, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_jaccard_join, op4_token_files, op5_pii, op6_quality, op7_url_filter, op8_fingerprint, op9_language_model, op10_decontaminate)}
 
 _URL = """
 WITH p AS (
