@@ -8,23 +8,27 @@ sets are one node. Two nodes link at a Jaccard similarity of 0.85 or more.
    keeps frequent passages out of prefixes.
 2. Two sets as similar as that share a token among the first
    ``n - ceil(0.85 n) + 1`` of each. Only tokens in two nodes' prefixes stay.
-3. Nodes are put in groups by the most frequent such token that they hold
-   (similar documents hold the same one), cut into parts of about ``GROUP``
-   nodes by hash. All links inside a group are found exactly. Groups over
-   ``GROUP`` are also cut a second way, which ties the parts of a large family
-   together. The groups with their tokens are the token-group matrix.
+3. Nodes are put in groups by their least token (similar sets share it, with
+   their similarity as probability); groups of over ``GROUP`` nodes are cut
+   into parts by hash. These are the rows of the token-group matrix. A query's tokens in the
+   union of a group's prefixes bound its overlap with every member; a node
+   that reaches the bound with no group links with nothing, and its set is
+   never fetched. Sets of the others are; all links inside a group are found
+   exactly. Groups of several parts are also cut a second way, which ties the
+   parts of a large family together.
 4. Nodes already connected need no further link between them. For the rest, a
-   node is a query on each other group that holds one of its prefix tokens
-   and a node of a larger component. Its overlap with the union of the
-   group's tokens bounds its overlap with every member: only groups that
-   reach 85 % of the query's size are opened, and their members compared
-   exactly.
+   node queries each group that its bound qualifies and that has a node of a
+   larger component. Its overlap with the union of the members' whole sets is
+   a second bound: only groups that reach 85 % of the query's size are opened,
+   and their members compared exactly.
 5. Components of all links, over the nodes; a document has its node's.
 
-Hot keys: copies are one node; a hot token's nodes meet its groups, not each
-other; queries on one group are dealt in parts of ``QUERIES``; joins are left
-to adaptive execution to split. Broadcast: the sketch (4 MB) and a Bloom
-filter of document ids (8 MB), both of fixed size.
+Hot keys: copies are one node; a hot token is salted, and its nodes meet its
+groups, not each other; queries on one group are dealt in parts of ``QUERIES``; joins are left
+to adaptive execution to split. Broadcast: the sketch (4 MB), a Bloom filter of
+document ids (8 MB) and the number of parts by bin of groups (4 MB), all of
+fixed size. Bloom or bin collisions only add nodes to groups, or cut more
+parts: results do not depend on them.
 
 Defined cases: null and empty texts have n_shingles 0 and link with nothing;
 component_id is the smallest non-null doc_id of the component, and the
@@ -39,17 +43,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest, xxh64_intdigest
 
 from ..operators.graph import connected_components
-from .base import Memo, in_small_batches, pieces, stage, texts, utf8
+from .base import Memo, batch, in_small_batches, pieces, stage, texts, utf8
 
 WORDS, PERCENT = 4, 85
-GROUP, QUERIES = 64, 256
+GROUP, QUERIES, HOT, SALTS = 64, 256, 10_000, 64
 SKETCH_BITS, SKETCH_BLOCKS = 20, 16
-BLOOM_BITS = 26
+BLOOM_BITS, BIN_BITS = 26, 20
 _HASHES = Memo(xxh64_intdigest)
 
 
@@ -75,31 +79,44 @@ def _binary(values: np.ndarray, width: int) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(values), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
 
 
+def _mixed(key: np.ndarray) -> np.ndarray:
+    key = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (key ^ (key >> np.uint64(31))) * np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+_KEYS = ("nh", "anchor", "bin", "cut0", "cut1")
+_PROFILE = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.binary()), ("nh", pa.int64()), ("anchor", pa.int64()),
+                      ("bin", pa.int32()), ("cut0", pa.int32()), ("cut1", pa.int32()), ("block", pa.int32()), ("counts", pa.binary())])
+
+
+def node_keys(node: bytes, s: np.ndarray) -> tuple[int, int, int, int, int]:
+    """(nh, anchor, bin, cut0, cut1) of a node."""
+    least = s[:1].view(np.int64)
+    return (int.from_bytes(node[:8], "little", signed=True), int(least[0]), int(_mixed(least)[0] >> np.uint64(64 - BIN_BITS)),
+            int.from_bytes(node[8:11], "little"), int.from_bytes(node[11:14], "little"))
+
+
 def profiles(docs: DataFrame) -> DataFrame:
-    """Rows of two kinds, staged: (doc_id, n, node, nh) of each document, and
-    (block, counts) of each task's part of the token sketch."""
+    """Rows of two kinds: of each document (doc_id, n, node) and, made from the
+    node, nh (a short hash), anchor (the set's least token), bin (a hash of
+    it) and cut0, cut1; of each task (block, counts), its part of the token
+    sketch."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
-        names = ["doc_id", "n", "node", "nh", "block", "counts"]
         for b in batches:
             sets = [shingle_set(t) for t in utf8(b.column("text"))]
             flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
             if len(flat):
                 counts += np.bincount((flat >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS).astype(np.uint32)
             node = [xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-            nh = [None if x is None else int.from_bytes(x[:8], "little", signed=True) for x in node]
-            none = pa.nulls(len(sets))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(node, pa.binary()),
-                 pa.array(nh, pa.int64()), none.cast(pa.int32()), none.cast(pa.binary())], names=names)
+            made = [node_keys(x, s) if len(s) else (None,) * 5 for x, s in zip(node, sets)]
+            yield batch(_PROFILE, {"doc_id": b.column("doc_id").to_pylist(), "n": [len(s) for s in sets], "node": node}
+                        | dict(zip(_KEYS, zip(*made) if made else [[]] * 5)) | {"block": [None] * len(sets), "counts": [None] * len(sets)})
         if counts.any():
-            cut = counts.reshape(SKETCH_BLOCKS, -1)
-            none = pa.nulls(SKETCH_BLOCKS)
-            yield pa.RecordBatch.from_arrays(
-                [none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.binary()), none.cast(pa.int64()),
-                 pa.array(range(SKETCH_BLOCKS), pa.int32()), pa.array([zlib.compress(c.tobytes(), 1) for c in cut], pa.binary())], names=names)
+            yield batch(_PROFILE, {c: [None] * SKETCH_BLOCKS for c in ("doc_id", "n", "node", *_KEYS)} | {
+                "block": range(SKETCH_BLOCKS), "counts": [zlib.compress(c.tobytes(), 1) for c in counts.reshape(SKETCH_BLOCKS, -1)]})
 
-    return docs.mapInArrow(read, "doc_id long, n long, node binary, nh long, block int, counts binary")
+    return docs.mapInArrow(read, "doc_id long, n long, node binary, nh long, anchor long, bin int, cut0 int, cut1 int, block int, counts binary")
 
 
 def _sketch(parts: DataFrame) -> np.ndarray:
@@ -120,30 +137,28 @@ def _sketch(parts: DataFrame) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
-    """(token, nh) of the tokens in each set's prefix."""
+    """(token, nh, hot) of the tokens in each set's prefix; ``hot`` if the
+    sketch counts the token, or its bucket, over HOT times."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for b in batches:
-            tokens, owners, seen = [], [], set()
+            tokens, owners, hot, seen = [], [], [], set()
             for s in map(shingle_set, utf8(b.column("text"))):
                 node = xxh3_128_digest(s.tobytes())
                 if len(s) and node not in seen:
                     seen.add(node)
                     first = len(s) - -(-PERCENT * len(s) // 100) + 1
-                    order = np.lexsort((s, counts[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]))[:first]
+                    often = counts[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+                    order = np.lexsort((s, often))[:first]
                     tokens.append(s[order])
+                    hot.append(often[order] > HOT)
                     owners.append(np.full(len(order), int.from_bytes(node[:8], "little", signed=True), np.int64))
             if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(owners))], names=["token", "nh"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(owners)), pa.array(np.concatenate(hot))], names=["token", "nh", "hot"])
 
-    return docs.mapInArrow(read, "token long, nh long")
-
-
-def _mixed(key: np.ndarray) -> np.ndarray:
-    key = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return (key ^ (key >> np.uint64(31))) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return docs.mapInArrow(read, "token long, nh long, hot boolean")
 
 
 def _bloom_bits(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -168,24 +183,33 @@ def _bloom(ids: DataFrame) -> np.ndarray:
     return out
 
 
-def node_sets(docs: DataFrame, cids: DataFrame) -> DataFrame:
-    """(node, tokens) of the documents whose id is one of ``cids``, and of a
-    few others that the filter lets through; null ids always pass."""
-    shared = docs.sparkSession.sparkContext.broadcast(_bloom(cids))
+def node_sets(docs: DataFrame, cids: DataFrame, parts: np.ndarray) -> DataFrame:
+    """(anchor, part, way, node, tokens) of the documents whose id is one of
+    ``cids``, and of a few others that the filter lets through; null ids
+    always pass. ``parts``: of each bin, how many parts its groups are cut in."""
+    shared = docs.sparkSession.sparkContext.broadcast((_bloom(cids), parts))
+    names = ["anchor", "part", "way", "node", "tokens"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filter_ = shared.value
+        filter_, parts = shared.value
         for b in batches:
             ids = b.column("doc_id")
             a, c = _bloom_bits(ids.fill_null(0).to_numpy(zero_copy_only=False))
             hit = lambda at: (filter_[at >> 6] >> (at & 63)) & 1
             keep = pa.array((hit(a) & hit(c)).astype(bool) | ids.is_null().to_numpy(zero_copy_only=False))
-            sets = [s for s in map(shingle_set, utf8(b.column("text").filter(keep))) if len(s)]
-            if sets:
-                data = [s.tobytes() for s in sets]
-                yield pa.RecordBatch.from_arrays([pa.array([xxh3_128_digest(d) for d in data], pa.binary()), pa.array(data, pa.binary())], names=["node", "tokens"])
+            rows = []
+            for s in (shingle_set(t) for t in utf8(b.column("text").filter(keep))):
+                if len(s):
+                    data = s.tobytes()
+                    node = xxh3_128_digest(data)
+                    _, anchor, bin_, cut0, cut1 = node_keys(node, s)
+                    rows.append((anchor, cut0 % int(parts[bin_]), 0, node, data))
+                    if parts[bin_] > 1:
+                        rows.append((anchor, cut1 % int(parts[bin_]), 1, node, data))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names=names)
 
-    return docs.mapInArrow(read, "node binary, tokens binary")
+    return docs.mapInArrow(read, "anchor long, part int, way int, node binary, tokens binary")
 
 
 class Group:
@@ -226,102 +250,125 @@ def _runs(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[tuple[t
         yield now, rows
 
 
-_GROUPED = "anchor long, part int, way int, u binary, v binary, nodes array<binary>, sets array<binary>"
-
-
 def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links (u, v) that connect each group's members, and the group itself."""
-    schema = pa.schema([("anchor", pa.int64()), ("part", pa.int32()), ("way", pa.int32()), ("u", pa.binary()), ("v", pa.binary()),
-                        ("nodes", pa.list_(pa.binary())), ("sets", pa.list_(pa.binary()))])
-    for (anchor, part, way), rows in _runs(batches, ["anchor", "part", "way"]):
-        held = {r["node"]: r["tokens"] for r in rows}
-        nodes, data = list(held), list(held.values())
-        sets = [np.frombuffer(d, np.uint64) for d in data]
-        out = []
-        if len(nodes) > 1:
+    """Links (u, v) that connect each group's members as all their links do."""
+    for _, rows in _runs(batches, ["anchor", "part", "way"]):
+        held = {r["node"]: np.frombuffer(r["tokens"], np.uint64) for r in rows}
+        if len(held) > 1:
+            nodes, sets = list(held), list(held.values())
             group, root = Group(nodes, sets), np.arange(len(nodes))
             for i, s in enumerate(sets):
                 near = np.unique(root[np.append(group.linked(s), i)])
                 root[np.isin(root, near)] = near[0]
-            out = [(nodes[r], nodes[i], None, None) for i, r in enumerate(root.tolist()) if r != i]
-        if way == 0:
-            out.append((None, None, nodes, data))
-        if out:
-            u, v, n, d = zip(*out)
-            k = len(out)
-            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(([anchor] * k, [part] * k, [way] * k, u, v, n, d), schema)], schema=schema)
+            moved = np.flatnonzero(root != np.arange(len(nodes))).tolist()
+            if moved:
+                yield pa.RecordBatch.from_arrays([pa.array([nodes[root[i]] for i in moved], pa.binary()), pa.array([nodes[i] for i in moved], pa.binary())], names=["u", "v"])
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links (u, v) of queries with members of the group they are dealt to."""
-    now, group = None, None
-    for b in batches:
-        u, v = [], []
-        for r in b.to_pylist():
-            key = (r["anchor"], r["part"], r["salt"])
-            if r["node"] is None:
-                now, group = key, Group(r["nodes"], [np.frombuffer(d, np.uint64) for d in r["sets"]])
-            elif now == key:
-                for m in group.linked(np.frombuffer(r["tokens"], np.uint64)).tolist():
-                    u.append(r["node"])
-                    v.append(group.nodes[m])
-        yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], names=["u", "v"])
+    """Links (u, v) of queries with the members of the group they are dealt to."""
+    for _, rows in _runs(batches, ["anchor", "part", "salt"]):
+        held = {r["node"]: np.frombuffer(r["tokens"], np.uint64) for r in rows if r["member"]}
+        if held:
+            group = Group(list(held), list(held.values()))
+            asked = {r["node"]: r["tokens"] for r in rows if not r["member"]}
+            found = [(q, group.nodes[m]) for q, d in asked.items() for m in group.linked(np.frombuffer(d, np.uint64)).tolist()]
+            if found:
+                u, v = zip(*found)
+                yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], names=["u", "v"])
 
 
 def _by_token(posted: DataFrame) -> DataFrame:
-    """Postings whose token is in two nodes or more, once each."""
-    spread = posted.groupBy("token").agg(F.min("nh").alias("least"), F.max("nh").alias("most")).filter("least < most")
-    return posted.join(spread.select("token"), "token").distinct()
+    """(token, nh), once each, of tokens in two nodes or more. A hot token is
+    kept unseen, under salts: at most HOT rows of a token meet in a task."""
+    salted = posted.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("nh"), F.lit(SALTS))).otherwise(0))
+    together = Window.partitionBy("token", "salt")
+    return (salted.withColumn("least", F.min("nh").over(together)).withColumn("most", F.max("nh").over(together))
+            .filter("hot or least < most").select("token", "salt", "nh").distinct().drop("salt"))
+
+
+def _needed(n: Column, m: Column) -> Column:
+    """Least number of tokens that linked sets of n and m tokens share in their
+    prefixes: their least overlap, less all of the set whose prefix ends first
+    that lies behind its prefix."""
+    return F.ceil(F.lit(PERCENT) * (n + m) / F.lit(100 + PERCENT)) - F.ceil(F.lit(PERCENT) * F.greatest(n, m) / F.lit(100)) + 1
+
+
+def bounded(held: DataFrame) -> DataFrame:
+    """Queries on the matrix that its bound lets through: (node, anchor, part,
+    own) where the node's prefix shares enough tokens with the union of the
+    prefixes of the group's other members, for a member of a size between the
+    group's least and largest. ``held``: (token, node, n, anchor, part)."""
+    at_groups = held.groupBy("token", "anchor", "part").agg(
+        F.count(F.lit(1)).alias("nodes"), F.min("n").alias("least"), F.max("n").alias("most"))
+    # tokens of the same groups ask the same: they are taken together, with their number
+    asks = at_groups.groupBy("token").agg(F.bit_xor(F.xxhash64("anchor", "part")).alias("ask"), F.count(F.lit(1)).alias("groups"))
+    asks = asks.filter("groups > 1").select("token", "ask")
+    groups = at_groups.join(asks, "token").groupBy("ask", "anchor", "part").agg(F.min("least").alias("least"), F.max("most").alias("most"))
+    asking = (held.join(asks, "token").groupBy("ask", "node", "n", F.col("anchor").alias("home"), F.col("part").alias("home_part"))
+              .agg(F.count(F.lit(1)).alias("tokens")))
+    away = (asking.join(groups, "ask").filter("anchor != home or part != home_part")
+            .select("node", "n", "anchor", "part", "tokens", "least", "most", F.lit(False).alias("own")))
+    home = (held.join(at_groups.filter("nodes > 1"), ["token", "anchor", "part"])
+            .select("node", "n", "anchor", "part", F.lit(1).alias("tokens"), "least", "most", F.lit(True).alias("own")))
+    each = away.unionByName(home).groupBy("node", "n", "anchor", "part", "own").agg(
+        F.sum("tokens").alias("tokens"), F.min("least").alias("least"), F.max("most").alias("most"))
+    n = F.col("n")
+    low = F.greatest("least", F.ceil(F.lit(PERCENT) * n / 100))
+    high = F.least("most", F.floor(F.lit(100) * n / PERCENT))
+    # what is needed grows up to a member of the query's own size and falls after it: it is least at an end
+    return (each.filter((low <= high) & (F.col("tokens") >= F.least(_needed(n, low), _needed(n, high))))
+            .select("node", "anchor", "part", "own"))
+
+
+def _parts(classes: DataFrame) -> np.ndarray:
+    """Of each bin of anchors, the number of parts that its largest group is
+    cut in, where that is over GROUP; the driver gets 2^BIN_BITS rows at most."""
+    large = (classes.groupBy("bin", "anchor").agg(F.count(F.lit(1)).alias("nodes")).filter(F.col("nodes") > GROUP)
+             .groupBy("bin").agg(F.ceil(F.max("nodes") / GROUP).cast("int").alias("parts")).toArrow())
+    out = np.ones(1 << BIN_BITS, np.int32)
+    out[large.column("bin").to_numpy()] = large.column("parts").to_numpy()
+    return out
 
 
-def links(docs: DataFrame, classes: DataFrame, sketch: np.ndarray) -> DataFrame | None:
-    """(src, dst) links of nodes that connect all that link; None without any candidates."""
+def links(docs: DataFrame, classes: DataFrame, sketch: np.ndarray) -> DataFrame:
+    """(src, dst) links of nodes that connect all that link."""
+    spark = docs.sparkSession
+    parts = _parts(classes)
+    cut = np.flatnonzero(parts > 1)
+    of_bin = spark.createDataFrame([(int(k), int(parts[k])) for k in cut], "bin int, parts int")
     posted = stage(_by_token(prefixes(docs, sketch)), "jaccard-postings")
-    posted = posted.join(classes.select("nh", "node", "n", "cid"), "nh").drop("nh")
-    seen = posted.groupBy("token").agg(F.count(F.lit(1)).alias("seen"))
-    homes = (posted.join(seen, "token").groupBy("node")
-             .agg(F.max(F.struct("seen", "token")).alias("home"), F.first("cid").alias("cid"), F.first("n").alias("n"))
-             .select("node", "cid", "n", F.col("home.token").alias("anchor"), F.ceil(F.col("home.seen") / GROUP).cast("int").alias("parts")))
+    # 2^BIN_BITS rows at most: bounded for a broadcast
+    homes = (classes.join(posted.select("nh").distinct(), "nh", "left_semi").join(F.broadcast(of_bin), "bin", "left")
+             .select("nh", "node", "n", "cid", "anchor", F.pmod("cut0", F.coalesce("parts", F.lit(1))).cast("int").alias("part")))
     homes = stage(homes, "jaccard-homes")
-    part = lambda way: F.pmod(F.xxhash64("node", F.lit(way)), F.col("parts")).cast("int")
-    ways = F.when(F.col("parts") > 1, F.array(*[F.struct(part(w).alias("part"), F.lit(w).alias("way")) for w in (0, 1)])) \
-        .otherwise(F.array(F.struct(part(0).alias("part"), F.lit(0).alias("way"))))
-    dealt = (node_sets(docs, homes.select("cid")).join(homes.select("node", "anchor", F.inline(ways)), "node")
-             .repartition("anchor", "part", "way").sortWithinPartitions("anchor", "part", "way"))
-    grouped = stage(dealt.mapInArrow(_within, _GROUPED), "jaccard-groups")
-    inside = grouped.filter("u is not null").select(F.col("u").alias("src"), F.col("v").alias("dst"))
-    matrix = grouped.filter("u is null").select("anchor", "part", "nodes", "sets")
-
-    comp = stage(connected_components(inside), "jaccard-inside").withColumnRenamed("component", "comp")
-    homes = homes.select("node", "n", "anchor", part(0).alias("part")).join(comp, "node", "left") \
-        .withColumn("comp", F.coalesce("comp", "node"))
-    size = homes.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
-    homes = stage(homes.join(size, "comp").select("node", "n", "anchor", "part", F.struct("size", "comp").alias("rank")), "jaccard-ranked")
-    held = posted.select("token", "node").join(homes, "node")
-    at_groups = held.groupBy("token", "anchor", "part").agg(
-        F.max("rank").alias("top"), F.min("rank").alias("low"), F.min("n").alias("least"), F.max("n").alias("most"))
-    # tokens of the same groups ask the same: they are taken together
-    tokens = at_groups.groupBy("token").agg(F.max("top").alias("top"), F.min("low").alias("low"),
-                                            F.bit_xor(F.xxhash64("anchor", "part")).alias("ask"), F.count(F.lit(1)).alias("groups")) \
-        .filter("low < top and groups > 1").select("token", "ask")
-    groups = at_groups.join(tokens, "token").groupBy("ask", "anchor", "part") \
-        .agg(F.max("top").alias("top"), F.min("least").alias("least"), F.max("most").alias("most"))
-    asking = held.join(tokens, "token").select("ask", "node", "n", "rank", F.col("anchor").alias("own"), F.col("part").alias("own_part")).distinct()
-    queries = (asking.join(groups, "ask")
-               .filter("rank < top and (anchor != own or part != own_part) and 100 * n >= 85 * least and 100 * most >= 85 * n")
-               .select("node", "anchor", "part").distinct())
+    held = posted.join(homes.drop("cid"), "nh").drop("nh")
+    asked = stage(bounded(held), "jaccard-bounded")
+    homes = stage(homes.join(asked.select("node").distinct(), "node"), "jaccard-candidates").select("node", "cid", "anchor", "part")
+
+    order = ["anchor", "part", "way"]
+    inside = node_sets(docs, homes.select("cid"), parts).repartition(*order).sortWithinPartitions(*order).mapInArrow(_within, "u binary, v binary")
+    comp = stage(connected_components(stage(inside.select(F.col("u").alias("src"), F.col("v").alias("dst")), "jaccard-inside")), "jaccard-tied")
+    comp = comp.select("node", F.col("component").alias("comp"))
+
+    ranked = homes.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    size = ranked.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
+    ranked = stage(ranked.join(size, "comp").select("node", "cid", "anchor", "part", F.struct("size", "comp").alias("rank")), "jaccard-ranked")
+    tops = ranked.groupBy("anchor", "part").agg(F.max("rank").alias("top"))
+    queries = (asked.filter("not own").join(ranked.select("node", "cid", "rank"), "node").join(tops, ["anchor", "part"])
+               .filter("rank < top").select("node", "cid", "anchor", "part"))
     queries = stage(queries, "jaccard-queries")
-    asked = queries.groupBy("anchor", "part").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("salts"))
-    opened = matrix.join(asked, ["anchor", "part"]).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    sets = matrix.select(F.explode(F.arrays_zip("nodes", "sets")).alias("x")).select(F.col("x.nodes").alias("node"), F.col("x.sets").alias("tokens"))
-    sent = (sets.join(queries.join(asked, ["anchor", "part"]), "node")
-            .select("anchor", "part", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt"), "node", "tokens"))
-    none = lambda kind: F.lit(None).cast(kind)
-    tasks = (opened.select("anchor", "part", "salt", none("binary").alias("node"), none("binary").alias("tokens"), "nodes", "sets")
-             .unionByName(sent.select("*", none("array<binary>").alias("nodes"), none("array<binary>").alias("sets"))))
-    order = ["anchor", "part", "salt", F.col("node").asc_nulls_first()]
-    outside = tasks.repartition("anchor", "part", "salt").sortWithinPartitions(*order).mapInArrow(_across, "u binary, v binary")
-    ties = comp.select(F.col("component" if "component" in comp.columns else "comp").alias("src"), F.col("node").alias("dst")).filter("src != dst")
+    dealt = queries.groupBy("anchor", "part").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("salts"))
+    members = (ranked.join(dealt, ["anchor", "part"])
+               .select("node", "cid", "anchor", "part", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(True).alias("member")))
+    asking = (queries.join(dealt, ["anchor", "part"])
+              .select("node", "cid", "anchor", "part", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt"), F.lit(False).alias("member")))
+    roles = stage(members.unionByName(asking), "jaccard-roles")
+    sets = node_sets(docs, roles.select("cid").distinct(), parts).filter("way = 0").select("node", "tokens")
+    order = ["anchor", "part", "salt"]
+    outside = (roles.drop("cid").join(sets, "node").repartition(*order).sortWithinPartitions(*order)
+               .mapInArrow(_across, "u binary, v binary"))
+    ties = comp.select(F.col("comp").alias("src"), F.col("node").alias("dst")).filter("src != dst")
     return ties.unionByName(stage(outside.select(F.col("u").alias("src"), F.col("v").alias("dst")), "jaccard-outside"))
 
 
@@ -330,14 +377,14 @@ def components(documents: DataFrame) -> DataFrame:
     in_small_batches(documents.sparkSession)
     docs = texts(documents)
     rows = stage(profiles(docs), "jaccard-profiles")
-    own = rows.filter("block is null").select("doc_id", "n", "node", "nh")
-    classes = stage(own.filter("node is not null").groupBy("node", "nh").agg(F.first("n").alias("n"), F.min("doc_id").alias("cid")), "jaccard-classes")
+    own = rows.filter("block is null").select("doc_id", "n", "node", *_KEYS)
+    classes = stage(own.filter("node is not null").groupBy("node", *_KEYS).agg(F.first("n").alias("n"), F.min("doc_id").alias("cid")), "jaccard-classes")
     sketch = _sketch(rows.filter("block is not null").select("block", "counts"))
     comp = connected_components(links(docs, classes, sketch)).withColumnRenamed("component", "label")
     named = classes.select("node", "cid").join(comp, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("cid").alias("component_id"))
     named = named.select("node", "label").join(least, "label").select("node", "component_id")
-    return (own.join(named, "node", "left")
+    return (own.select("doc_id", "n", "node").join(named, "node", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
 
