@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import decontaminate, fingerprint, jaccard_join, language_model, pii, quality, token_files, toxicity, url_filter
+from . import decontaminate, fingerprint, jaccard_join, language_model, pii, quality, sentence_pieces, token_files, toxicity, url_filter
 from .base import table
 
-WORD_BPE = "word_bpe_49k.json"
+WORD_BPE, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
 
 
 def op1_toxicity(spark, sf_dir):
@@ -18,6 +18,10 @@ def op2_jaccard_join(spark, sf_dir):
     return jaccard_join.components(table(spark, sf_dir, "documents"))
 
 
+def op3_sentence_pieces(spark, sf_dir):
+    return sentence_pieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+
+
 def op4_token_files(spark, sf_dir):
     return token_files.token_table(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
@@ -47,7 +51,7 @@ def op10_decontaminate(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_jaccard_join, op4_token_files, op5_pii, op6_quality, op7_url_filter, op8_fingerprint, op9_language_model, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_jaccard_join, op3_sentence_pieces, op4_token_files, op5_pii, op6_quality, op7_url_filter, op8_fingerprint, op9_language_model, op10_decontaminate)}
 
 _URL = """
 WITH p AS (
