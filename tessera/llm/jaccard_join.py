@@ -8,19 +8,18 @@ sets are one node. Two nodes link at a Jaccard similarity of 0.85 or more.
    keeps frequent passages out of prefixes.
 2. Two sets as similar as that share a token among the first
    ``n - ceil(0.85 n) + 1`` of each. Only tokens in two nodes' prefixes stay.
-3. Nodes are put in groups by their least token (similar sets share it, with
-   their similarity as probability); groups of over ``GROUP`` nodes are cut
-   into parts by hash. These are the rows of the token-group matrix. A query's tokens in the
-   union of a group's prefixes bound its overlap with every member; a node
-   that reaches the bound with no group links with nothing, and its set is
-   never fetched. Sets of the others are; all links inside a group are found
-   exactly. Groups of several parts are also cut a second way, which ties the
-   parts of a large family together.
-4. Nodes already connected need no further link between them. For the rest, a
-   node queries each group that its bound qualifies and that has a node of a
-   larger component. Its overlap with the union of the members' whole sets is
-   a second bound: only groups that reach 85 % of the query's size are opened,
-   and their members compared exactly.
+3. Nodes are first put in families by their least token (similar sets share
+   it, with their similarity as probability); families of over ``GROUP`` nodes
+   are cut into parts by hash, in two ways. A node shares enough prefix tokens
+   with its family, or links with nothing in it; sets of the first are
+   fetched, and all links inside a family's part found.
+4. The rows of the token-group matrix are groups by the most frequent prefix
+   token that a node holds (near copies hold the same), in parts of about
+   ``GROUP``. Nodes already connected need no further link between them: a node
+   queries only groups with a node of a larger component. The number of its
+   tokens in the union of a group's prefixes bounds its overlap with every
+   member, and again, once the sets are there, the union of their whole sets:
+   only groups that qualify are opened, and their members compared exactly.
 5. Components of all links, over the nodes; a document has its node's.
 
 Hot keys: copies are one node; a hot token is salted, and its nodes meet its
@@ -294,31 +293,48 @@ def _needed(n: Column, m: Column) -> Column:
     return F.ceil(F.lit(PERCENT) * (n + m) / F.lit(100 + PERCENT)) - F.ceil(F.lit(PERCENT) * F.greatest(n, m) / F.lit(100)) + 1
 
 
-def bounded(held: DataFrame) -> DataFrame:
-    """Queries on the matrix that its bound lets through: (node, anchor, part,
-    own) where the node's prefix shares enough tokens with the union of the
-    prefixes of the group's other members, for a member of a size between the
-    group's least and largest. ``held``: (token, node, n, anchor, part)."""
-    at_groups = held.groupBy("token", "anchor", "part").agg(
-        F.count(F.lit(1)).alias("nodes"), F.min("n").alias("least"), F.max("n").alias("most"))
-    # tokens of the same groups ask the same: they are taken together, with their number
-    asks = at_groups.groupBy("token").agg(F.bit_xor(F.xxhash64("anchor", "part")).alias("ask"), F.count(F.lit(1)).alias("groups"))
-    asks = asks.filter("groups > 1").select("token", "ask")
-    groups = at_groups.join(asks, "token").groupBy("ask", "anchor", "part").agg(F.min("least").alias("least"), F.max("most").alias("most"))
-    asking = (held.join(asks, "token").groupBy("ask", "node", "n", F.col("anchor").alias("home"), F.col("part").alias("home_part"))
-              .agg(F.count(F.lit(1)).alias("tokens")))
-    away = (asking.join(groups, "ask").filter("anchor != home or part != home_part")
-            .select("node", "n", "anchor", "part", "tokens", "least", "most", F.lit(False).alias("own")))
-    home = (held.join(at_groups.filter("nodes > 1"), ["token", "anchor", "part"])
-            .select("node", "n", "anchor", "part", F.lit(1).alias("tokens"), "least", "most", F.lit(True).alias("own")))
-    each = away.unionByName(home).groupBy("node", "n", "anchor", "part", "own").agg(
+def _qualified(counted: DataFrame) -> DataFrame:
+    """Rows (node, n, anchor, part, tokens, least, most) added up by node and
+    group, those kept whose tokens suffice for some member's size."""
+    each = counted.groupBy("node", "n", "anchor", "part").agg(
         F.sum("tokens").alias("tokens"), F.min("least").alias("least"), F.max("most").alias("most"))
     n = F.col("n")
     low = F.greatest("least", F.ceil(F.lit(PERCENT) * n / 100))
     high = F.least("most", F.floor(F.lit(100) * n / PERCENT))
     # what is needed grows up to a member of the query's own size and falls after it: it is least at an end
     return (each.filter((low <= high) & (F.col("tokens") >= F.least(_needed(n, low), _needed(n, high))))
-            .select("node", "anchor", "part", "own"))
+            .select("node", "anchor", "part"))
+
+
+def near_own(held: DataFrame) -> DataFrame:
+    """Nodes that their own group's bound lets through. ``held``: (token, node, n, anchor, part)."""
+    key = ["token", "anchor", "part"]
+    shared = held.groupBy(*key).agg(F.count(F.lit(1)).alias("nodes"), F.min("n").alias("least"), F.max("n").alias("most")).filter("nodes > 1")
+    return _qualified(held.join(shared, key).withColumn("tokens", F.lit(1))).select("node")
+
+
+def queries_of(held: DataFrame) -> DataFrame:
+    """Queries on the matrix that its bound lets through: (node, anchor, part)
+    of groups that hold a node of higher rank and enough of the query's
+    tokens. ``held``: (token, node, n, anchor, part, rank)."""
+    key = ["token", "anchor", "part"]
+    at_groups = held.groupBy(*key).agg(F.count(F.lit(1)).alias("nodes"), F.max("rank").alias("top"), F.min("rank").alias("low"),
+                                       F.min("n").alias("least"), F.max("n").alias("most"))
+    # tokens of the same groups ask the same: they are taken together, with their number
+    asks = at_groups.groupBy("token").agg(F.bit_xor(F.xxhash64("anchor", "part")).alias("ask"), F.count(F.lit(1)).alias("groups"),
+                                          F.max("top").alias("over"), F.min("low").alias("under"))
+    asks = asks.filter("groups > 1 and under < over").select("token", "ask", "over")
+    groups = (at_groups.join(asks.select("token", "ask"), "token").groupBy("ask", "anchor", "part")
+              .agg(F.max("top").alias("top"), F.min("least").alias("least"), F.max("most").alias("most")))
+    asking = (held.join(asks, "token").filter("rank < over")
+              .groupBy("ask", "node", "n", "rank", F.col("anchor").alias("home"), F.col("part").alias("home_part"))
+              .agg(F.count(F.lit(1)).alias("tokens")))
+    meets = ((asking["ask"] == groups["ask"]) & (F.col("rank") < F.col("top")) & ((F.col("anchor") != F.col("home")) | (F.col("part") != F.col("home_part")))
+             & (F.lit(100) * F.col("n") >= F.lit(PERCENT) * F.col("least")) & (F.lit(100) * F.col("most") >= F.lit(PERCENT) * F.col("n")))
+    away = asking.join(groups, meets).select("node", "n", "anchor", "part", "tokens", "least", "most")
+    home = (held.join(at_groups.filter("nodes > 1"), key).filter("rank < top")
+            .select("node", "n", "anchor", "part", F.lit(1).alias("tokens"), "least", "most"))
+    return _qualified(away.unionByName(home))
 
 
 def _parts(classes: DataFrame) -> np.ndarray:
@@ -339,24 +355,24 @@ def links(docs: DataFrame, classes: DataFrame, sketch: np.ndarray) -> DataFrame:
     of_bin = spark.createDataFrame([(int(k), int(parts[k])) for k in cut], "bin int, parts int")
     posted = stage(_by_token(prefixes(docs, sketch)), "jaccard-postings")
     # 2^BIN_BITS rows at most: bounded for a broadcast
-    homes = (classes.join(posted.select("nh").distinct(), "nh", "left_semi").join(F.broadcast(of_bin), "bin", "left")
-             .select("nh", "node", "n", "cid", "anchor", F.pmod("cut0", F.coalesce("parts", F.lit(1))).cast("int").alias("part")))
-    homes = stage(homes, "jaccard-homes")
-    held = posted.join(homes.drop("cid"), "nh").drop("nh")
-    asked = stage(bounded(held), "jaccard-bounded")
-    homes = stage(homes.join(asked.select("node").distinct(), "node"), "jaccard-candidates").select("node", "cid", "anchor", "part")
-
+    seeds = (classes.join(posted.select("nh").distinct(), "nh", "left_semi").join(F.broadcast(of_bin), "bin", "left")
+             .select("nh", "node", "n", "cid", "cut0", "anchor", F.pmod("cut0", F.coalesce("parts", F.lit(1))).cast("int").alias("part")))
+    seeds = stage(seeds, "jaccard-seeds")
+    near = near_own(posted.join(seeds.select("nh", "node", "n", "anchor", "part"), "nh").drop("nh"))
+    near = stage(seeds.select("node", "cid").join(near, "node", "left_semi"), "jaccard-near")
     order = ["anchor", "part", "way"]
-    inside = node_sets(docs, homes.select("cid"), parts).repartition(*order).sortWithinPartitions(*order).mapInArrow(_within, "u binary, v binary")
+    inside = node_sets(docs, near.select("cid"), parts).repartition(*order).sortWithinPartitions(*order).mapInArrow(_within, "u binary, v binary")
     comp = stage(connected_components(stage(inside.select(F.col("u").alias("src"), F.col("v").alias("dst")), "jaccard-inside")), "jaccard-tied")
     comp = comp.select("node", F.col("component").alias("comp"))
 
+    held = posted.join(seeds.select("nh", "node", "n", "cid", "cut0"), "nh").drop("nh")
+    seen = held.groupBy("token").agg(F.count(F.lit(1)).alias("seen"))
+    homes = (held.join(seen, "token").groupBy("node").agg(F.max(F.struct("seen", "token")).alias("home"), *[F.first(c).alias(c) for c in ("n", "cid", "cut0")])
+             .select("node", "n", "cid", F.col("home.token").alias("anchor"), F.pmod("cut0", F.ceil(F.col("home.seen") / GROUP)).cast("int").alias("part")))
     ranked = homes.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    size = ranked.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
-    ranked = stage(ranked.join(size, "comp").select("node", "cid", "anchor", "part", F.struct("size", "comp").alias("rank")), "jaccard-ranked")
-    tops = ranked.groupBy("anchor", "part").agg(F.max("rank").alias("top"))
-    queries = (asked.filter("not own").join(ranked.select("node", "cid", "rank"), "node").join(tops, ["anchor", "part"])
-               .filter("rank < top").select("node", "cid", "anchor", "part"))
+    size = comp.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
+    ranked = stage(ranked.join(size, "comp", "left").select("node", "n", "cid", "anchor", "part", F.struct(F.coalesce("size", F.lit(1)).alias("size"), "comp").alias("rank")), "jaccard-ranked")
+    queries = queries_of(held.select("token", "node").join(ranked.drop("cid"), "node")).join(ranked.select("node", "cid"), "node")
     queries = stage(queries, "jaccard-queries")
     dealt = queries.groupBy("anchor", "part").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("salts"))
     members = (ranked.join(dealt, ["anchor", "part"])
