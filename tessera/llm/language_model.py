@@ -26,6 +26,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import Memo, fold, in_small_batches, pieces, stage, texts, utf8
+from .base import fold, in_small_batches, pieces, stage, texts, utf8
 
 FOLDS, HELD = 7, 2
 CLASSES, MEMBERS = 32, 32
@@ -42,7 +43,6 @@ HOT, HOT_BYTES = 1 << 16, 64
 ROUNDS, EVERY = 2, 16
 END = b"\n"  # no word holds a line end
 BLOCKS = 16
-_HASH = Memo(zlib.crc32)
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -59,15 +59,21 @@ def _mix(x: np.ndarray, seed: int) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def history(h: np.ndarray) -> np.ndarray:
-    """(tokens, FEATURES) hashes of what stands before each token of a document."""
-    back = [np.concatenate((np.zeros(k, np.uint64), h))[:len(h)] for k in (1, 2, 3)]
-    return np.stack((_mix(back[0], 1), _mix(back[1], 2), _mix(back[2], 3), _mix(back[0] ^ _mix(back[1], 5), 4)), axis=1)
+def hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
+
+
+def history(h: np.ndarray, first: int = 0, every: int = 1) -> np.ndarray:
+    """(FEATURES, tokens) hashes of what stands before each token, or every
+    ``every``-th, of a document."""
+    one, two, three = (np.concatenate((np.zeros(k, np.uint64), h))[first:len(h):every] for k in (1, 2, 3))
+    return np.stack((_mix(one, 1), _mix(two, 2), _mix(three, 3), _mix(one ^ _mix(two, 5), 4)))
 
 
 def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+    z -= z.max(axis=1, keepdims=True)
+    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
+    return z
 
 
 class MaxEnt:
@@ -82,20 +88,24 @@ class MaxEnt:
 
     def _places(self, f: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rows = (f % np.uint64(CLASS_ROWS)).astype(np.int64)
-        inner = _mix(f ^ (cls.astype(np.uint64) << np.uint64(40))[:, None], 9) % np.uint64(MEMBER_ROWS)
+        inner = _mix(f ^ (cls.astype(np.uint64) << np.uint64(40)), 9) % np.uint64(MEMBER_ROWS)
         return rows, inner.astype(np.int64)
 
     def _layers(self, rows, inner, cls):
-        return (_log_softmax(self.bias + self.a[rows].sum(axis=1)),
-                _log_softmax(self.inner[cls] + self.b[inner].sum(axis=1)))
-
-    def log_p(self, f: np.ndarray, bucket: np.ndarray, size: int = 8192) -> np.ndarray:
+        p, q = self.bias + self.a[rows[0]], self.inner[cls]
+        for k in range(FEATURES):
+            if k:
+                p += self.a[rows[k]]
+            q += self.b[inner[k]]
+        return _log_softmax(p), _log_softmax(q)
+
+    def log_p(self, f: np.ndarray, bucket: np.ndarray, size: int = 2048) -> np.ndarray:
         """Natural log of P(bucket | history) for each token."""
         out = np.empty(len(bucket))
         for k in range(0, len(bucket), size):
             cls, member = bucket[k:k + size] // MEMBERS, bucket[k:k + size] % MEMBERS
             at = np.arange(len(cls))
-            rows, inner = self._places(f[k:k + size], cls)
+            rows, inner = self._places(f[:, k:k + size], cls)
             p, q = self._layers(rows, inner, cls)
             out[k:k + size] = p[at, cls] + q[at, member]
         return out
@@ -106,13 +116,13 @@ class MaxEnt:
         for k in range(0, len(bucket), size):
             cls, member = bucket[k:k + size] // MEMBERS, bucket[k:k + size] % MEMBERS
             at = np.arange(len(cls))
-            rows, inner = self._places(f[k:k + size], cls)
+            rows, inner = self._places(f[:, k:k + size], cls)
             p, q = self._layers(rows, inner, cls)
             for w, g, place, log, hit, width in ((self.a, past[0], rows, p, cls, CLASSES), (self.b, past[1], inner, q, member, MEMBERS)):
                 error = np.exp(log)
                 error[at, hit] -= 1
                 flat = (place[:, :, None] * width + np.arange(width)).reshape(-1)
-                step = np.bincount(flat, np.repeat(error, FEATURES, axis=0).reshape(-1), w.size).reshape(w.shape)
+                step = np.bincount(flat, np.tile(error, (FEATURES, 1)).reshape(-1), w.size).reshape(w.shape)
                 g += step * step
                 w -= (rate * step / np.sqrt(g)).astype(np.float32)
 
@@ -153,14 +163,14 @@ def _round(docs: DataFrame, model: MaxEnt, turn: int, every: int) -> MaxEnt:
             features, buckets = [], []
             for t in utf8(b.column("text")):
                 w = tokens(t)
-                h = np.fromiter(map(_HASH.__getitem__, w), np.uint64, len(w))
+                h = hashes(w)
                 # positions a document starts at differ, so that short documents count too
                 first = (turn * every // ROUNDS + int(h[0])) % every
-                features.append(history(h)[first::every])
+                features.append(history(h, first, every))
                 buckets.append((h[first::every] % np.uint64(CLASSES * MEMBERS)).astype(np.int64))
             if buckets:
                 bucket = np.concatenate(buckets)
-                own.train(np.concatenate(features), bucket, past)
+                own.train(np.concatenate(features, axis=1), bucket, past)
                 n += len(bucket)
         if n:
             moved = np.concatenate(((own.a - shared.value.a).ravel(), (own.b - shared.value.b).ravel()))
@@ -202,37 +212,30 @@ def scores(documents: DataFrame, rounds: int = ROUNDS, every: int = EVERY) -> Da
     for turn in range(rounds):
         model = _round(docs, model, turn, every)
     hot = {bytes(r.word): r.c for r in counts.filter(F.octet_length("word") <= HOT_BYTES).orderBy(F.desc("c"), "word").limit(HOT).collect()}
-    shared = spark.sparkContext.broadcast((model, np.log10(c + v + 1), {w: (k, float(np.log10(k + 1))) for w, k in hot.items()}))
+    shared = spark.sparkContext.broadcast((model, np.log10(c + v + 1), {w: k for k, w in enumerate(hot)}, np.log10(np.array([*hot.values(), 0]) + 1)))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, within, hot = shared.value
+        model, within, hot, log_c = shared.value
         names = ["rid", "doc_id", "held_out", "n_tokens", "n_known", "counted", "bucket_score", "words", "times"]
         rid = TaskContext.get().partitionId() << 33
         for b in batches:
-            sizes, known, counted, hashes, features, words, times = [], [], [], [], [], [], []
+            sizes, known, counted, hashed, features, words, times = [], [], [], [], [], [], []
             for t in utf8(b.column("text")):
                 w = tokens(t)
-                h = np.fromiter(map(_HASH.__getitem__, w), np.uint64, len(w))
+                h = hashes(w)
                 sizes.append(len(w))
-                hashes.append(h)
+                hashed.append(h)
                 features.append(history(h))
-                n_known, sum_known, rare, often = 0, 0.0, [], []
-                for x, k in Counter(w).items():
-                    found = hot.get(x)
-                    if found:
-                        n_known += k
-                        sum_known += k * found[1]
-                    else:
-                        rare.append(x)
-                        often.append(k)
-                known.append(n_known)
-                counted.append(sum_known)
-                words.append(rare)
-                times.append(often)
+                at = np.fromiter(map(hot.get, w, repeat(-1)), np.int64, len(w))
+                rare = Counter(map(w.__getitem__, np.flatnonzero(at < 0).tolist()))
+                known.append(len(w) - rare.total())
+                counted.append(float(log_c[at[at >= 0]].sum()))
+                words.append(list(rare))
+                times.append(list(rare.values()))
             if not sizes:
                 continue
-            bucket = (np.concatenate(hashes) % np.uint64(CLASSES * MEMBERS)).astype(np.int64)
-            each = model.log_p(np.concatenate(features), bucket) / np.log(10) - within[bucket]
+            bucket = (np.concatenate(hashed) % np.uint64(CLASSES * MEMBERS)).astype(np.int64)
+            each = model.log_p(np.concatenate(features, axis=1), bucket) / np.log(10) - within[bucket]
             first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(rid, rid + len(sizes)), pa.int64()), b.column("doc_id"), b.column("held_out"), pa.array(sizes, pa.int64()),

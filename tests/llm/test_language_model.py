@@ -56,7 +56,7 @@ def test_layers_are_a_distribution_and_learn():
     m.train(f, bucket, [np.ones(m.a.shape), np.ones(m.b.shape)])
     assert m.log_p(f, bucket).mean() > before + 0.5
     every = np.arange(L.CLASSES * L.MEMBERS)
-    assert abs(np.exp(m.log_p(np.repeat(f[10:11], len(every), axis=0), every)).sum() - 1) < 1e-4
+    assert abs(np.exp(m.log_p(np.repeat(f[:, 10:11], len(every), axis=1), every)).sum() - 1) < 1e-4
 
 
 def test_on_the_tables(spark):
