@@ -87,8 +87,9 @@ def normalise(parsed: DataFrame) -> DataFrame:
 
 def order_key() -> Column:
     """Write order of a line: dataset order, dataset id, then the position of
-    the line in its dataset (file, block, row)."""
-    return F.struct(F.col("ds_order_ts"), F.col("dataset_id"), F.col("file_name"),
+    the line in its dataset (file by its number, block, row)."""
+    number = F.coalesce(F.try_to_number(F.regexp_extract("file_name", r"^part-(\d+)", 1), F.lit("9" * 18)).cast("bigint"), F.lit(0))
+    return F.struct(F.col("ds_order_ts"), F.col("dataset_id"), number.alias("file_number"), F.col("file_name"),
                     F.col("block_start"), F.col("row_id"))
 
 
@@ -118,8 +119,22 @@ def build(lines: DataFrame, media: DataFrame | None = None) -> tuple[DataFrame,
     return attach_media(posts, media), bad
 
 
-def dataset_counts(lines: DataFrame) -> DataFrame:
-    """Keyed input rows per dataset (duplicates inside a dataset count)."""
+def per_dataset(lines: DataFrame) -> DataFrame:
+    """One parse for both results of a run: the last-written row per (post,
+    dataset), with ``_lines``, the keyed input lines behind it."""
     good, _ = parse(lines)
-    return good.groupBy(F.col("dataset_id").alias("source_dataset")) \
-        .agg(F.count(F.lit(1)).alias("post_count"))
+    rows = normalise(good)
+    payload = [c for c in rows.columns if c not in ("post_id", "source_dataset")]
+    return (rows.groupBy("post_id", "source_dataset")
+            .agg(F.max_by(F.struct(*payload), "_order").alias("_w"), F.count(F.lit(1)).alias("_lines"))
+            .select("post_id", "source_dataset", *[F.col(f"_w.{c}").alias(c) for c in payload], "_lines"))
+
+
+def counts_of(folded: DataFrame) -> DataFrame:
+    """Keyed input rows per dataset (duplicates inside a dataset count)."""
+    return folded.groupBy("source_dataset").agg(F.sum("_lines").alias("post_count"))
+
+
+def posts_of(folded: DataFrame, media: DataFrame | None = None) -> DataFrame:
+    """Deduplicated silver rows from ``per_dataset``."""
+    return attach_media(latest_per_key(folded.drop("_lines")), media)

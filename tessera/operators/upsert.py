@@ -1,20 +1,28 @@
 """Set-based upsert on plain Parquet (M1, M2, M5): no MERGE, no row writes.
 
-A table is hash-bucketed on its key (``bucket = pmod(xxhash64(key), B)``,
-a partition column). An upsert reads only the buckets its new rows touch,
-merges, stages the result in the shared checkpoint folder (so a failure
-mid-write never leaves a half-merged bucket as the only copy) and overwrites
-just those buckets with dynamic partition overwrite.
+A table is hash-bucketed on its key (``bucket = pmod(xxhash64(key), B)``). An
+upsert reads only the buckets that its new rows touch, merges, and writes them
+as a new version beside the old one:
+
+    <path>/v=<n>/bucket=<b>/...   files of version n
+    <path>/_index/                (version, bucket) rows, one file per upsert
+
+The upsert is published by its row file in the index, written last; readers
+take each bucket's latest published version. A run that fails earlier leaves
+the table as it was, and the next upsert overwrites what it left. One writer
+at a time.
 """
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import read_if_present
 
-BUCKET = "bucket"
+BUCKET, VERSION = "bucket", "v"
 
 
 def bucket_of(key: Column, buckets: int) -> Column:
@@ -30,49 +38,77 @@ def merge(new: DataFrame, old: DataFrame | None, key: str, *, as_of: Column,
         stamped = stamped.withColumn(c, as_of.cast("timestamp_ntz"))
     if old is None:
         return stamped
-    carry = old.select(key, *[F.col(c).alias(f"_old_{c}") for c in keep_first])
-    upd = stamped.join(carry, key, "left")
-    for c in keep_first:
-        upd = upd.withColumn(c, F.coalesce(F.col(f"_old_{c}"), F.col(c))).drop(f"_old_{c}")
+    upd = stamped
+    if keep_first:
+        carry = old.select(key, *[F.col(c).alias(f"_old_{c}") for c in keep_first])
+        upd = stamped.join(carry, key, "left")
+        for c in keep_first:
+            upd = upd.withColumn(c, F.coalesce(F.col(f"_old_{c}"), F.col(c))).drop(f"_old_{c}")
     keep = old.join(new.select(key), key, "left_anti")
     return upd.unionByName(keep.select(*upd.columns))
 
 
 class BucketedTable:
-    """A Parquet table in shared storage, partitioned by key hash bucket."""
+    """A Parquet table in shared storage, versioned by key hash bucket.
+    ``buckets`` is a property of the table: size it to the data, and keep it."""
 
     def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = 64):
         self.spark, self.path, self.key, self.buckets = spark, path, key, buckets
 
+    def _published(self) -> dict[int, int]:
+        """bucket -> latest published version; ``buckets`` entries at most."""
+        index = read_if_present(lambda: self.spark.read.schema("v int, bucket int")
+                                .parquet(os.path.join(self.path, "_index")))
+        if index is None:
+            return {}
+        return {r.bucket: r.v for r in index.groupBy(BUCKET).agg(F.max(VERSION).alias(VERSION)).collect()}
+
     def exists(self) -> bool:
-        try:
-            self.spark.read.parquet(self.path).schema  # noqa: B018
-            return True
-        except Exception:
-            return False
+        return bool(self._published())
+
+    def _rows(self, published: dict[int, int], buckets=None) -> DataFrame | None:
+        chosen = [b for b in sorted(published) if buckets is None or b in buckets]
+        if not chosen:
+            return None
+        paths = [os.path.join(self.path, f"v={published[b]}", f"bucket={b}") for b in chosen]
+        return self.spark.read.parquet(*paths)
+
+    def read(self) -> DataFrame | None:
+        """The published rows; None before the first upsert."""
+        return self._rows(self._published())
+
+    def write(self, new: DataFrame, *, as_of: Column,
+              keep_first: tuple[str, ...] = ("silvered_at",)) -> int:
+        """Merge and write the next version's files, unpublished; returns its number."""
+        published = self._published()
+        version = 1 + max(published.values(), default=0)
+        new = new.withColumn(BUCKET, bucket_of(F.col(self.key), self.buckets))
+        # At most `buckets` integers: the touched buckets.
+        touched = {r[0] for r in new.select(BUCKET).distinct().collect()}
+        old = self._rows(published, touched)
+        if old is not None:
+            old = old.withColumn(BUCKET, bucket_of(F.col(self.key), self.buckets))
+        merged = merge(new, old, self.key, as_of=as_of, keep_first=keep_first)
+        merged.write.mode("overwrite").option("partitionOverwriteMode", "static") \
+            .partitionBy(BUCKET).parquet(os.path.join(self.path, f"v={version}"))
+        self._pending = (version, touched)
+        return version
 
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path).drop(BUCKET)
+    def publish(self) -> None:
+        """Make the version that ``write`` wrote the current one."""
+        version, touched = self._pending
+        rows = self.spark.createDataFrame([(version, b) for b in sorted(touched)], "v int, bucket int")
+        rows.coalesce(1).write.mode("append").parquet(os.path.join(self.path, "_index"))
 
     def upsert(self, new: DataFrame, *, as_of: Column,
-               keep_first: tuple[str, ...] = ("silvered_at",)) -> DataFrame:
-        new = new.withColumn(BUCKET, bucket_of(F.col(self.key), self.buckets))
-        if not self.exists():
-            merged = merge(new, None, self.key, as_of=as_of, keep_first=keep_first)
-            merged.write.mode("overwrite").partitionBy(BUCKET).parquet(self.path)
-            return self.read()
-        # At most `buckets` integers: the touched partitions, for static pruning.
-        touched = [r[0] for r in new.select(BUCKET).distinct().collect()]
-        old = self.spark.read.parquet(self.path).filter(F.col(BUCKET).isin(touched))
-        merged = merge(new, old, self.key, as_of=as_of, keep_first=keep_first)
-        staged = cut_lineage(merged)
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BUCKET).parquet(self.path))
+               keep_first: tuple[str, ...] = ("silvered_at",)) -> DataFrame | None:
+        self.write(new, as_of=as_of, keep_first=keep_first)
+        self.publish()
         return self.read()
 
 
-def append_progress(spark: SparkSession, path: str, counts: DataFrame, as_of: Column) -> None:
-    """M2: record datasets as complete, only after their silver write."""
-    counts.select("source_dataset", F.col("post_count").cast("bigint"),
-                  as_of.cast("timestamp_ntz").alias("completed_at")) \
-        .write.mode("append").parquet(path)
+def record_progress(table: BucketedTable, counts: DataFrame, as_of: Column) -> None:
+    """M2: one row a dataset, recorded as complete only after its silver write."""
+    table.upsert(counts.select("source_dataset", F.col("post_count").cast("bigint").alias("post_count"),
+                               as_of.cast("timestamp_ntz").alias("completed_at")),
+                 as_of=as_of, keep_first=())

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from ..catalog import Catalog
 from ..operators import silver as S
-from ..operators.upsert import BucketedTable, append_progress
+from ..operators.upsert import BucketedTable, record_progress
 from ..sources import bronze as B
-from ..session import ensure_parallelism, shared_path
+from ..session import cut_lineage, shared_path
 
 # ---- fixed values of the events -> raw post mapping (shared with the oracle)
 N_DATASETS = 3
@@ -76,7 +76,7 @@ def raw_posts(cat: Catalog) -> DataFrame:
 
 def in_memory_lines(cat: Catalog) -> DataFrame:
     """Raw post lines with the scan's position columns, without landing."""
-    r = ensure_parallelism(raw_posts(cat))
+    r = raw_posts(cat)
     return r.select("dataset_id", F.col("line"), F.lit("").alias("file_name"),
                     F.lit(0).cast("bigint").alias("block_start"),
                     F.col("event_id").alias("row_id"),
@@ -103,45 +103,42 @@ class Medallion:
         self.bronze = os.path.join(self.root, "bronze")
         self.silver = BucketedTable(spark, os.path.join(self.root, "silver_posts"),
                                     "post_id", buckets)
-        self.progress_path = os.path.join(self.root, "silver_progress")
+        self.completed = BucketedTable(spark, os.path.join(self.root, "silver_progress"),
+                                       "source_dataset", buckets)
+        self.stream_files = BucketedTable(spark, os.path.join(self.root, "stream_files"),
+                                          "file_key", buckets)
 
     def progress(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.progress_path)
-        except Exception:
-            return None
+        return self.completed.read()
 
-    def pending_lines(self) -> DataFrame:
-        pending = B.discover(self.spark, self.bronze, self.progress())
-        # One row per unprocessed dataset: bounded by the file listing the
-        # driver already holds.
-        return B.scan(self.spark, self.bronze).join(F.broadcast(pending), "dataset_id")
+    def pending_files(self) -> DataFrame:
+        """(dataset_id, path, ds_order_ts) of the datasets not yet completed."""
+        files = B.listing(self.spark, self.bronze)
+        return files.select("dataset_id", "path").join(
+            B.discover(self.spark, self.bronze, self.progress()), "dataset_id")
 
     def deduplicate_all(self, as_of: Column, media: DataFrame | None = None) -> DataFrame:
         """Silver run: new datasets -> upsert -> progress. Returns one row
         (datasets_processed, posts_silvered). A dataset without any usable
         post is still recorded (post_count 0) so it is not rescanned."""
-        # One row per unprocessed dataset, a bound the file listing implies.
-        pending = [r[0] for r in
-                   B.discover(self.spark, self.bronze, self.progress()).select("dataset_id")
-                   .collect()]
-        if not pending:
+        pending = cut_lineage(self.pending_files())
+        # The pending files' paths, which the scan's own file index holds too.
+        paths = [r[0] for r in pending.select("path").collect()]
+        if not paths:
             return self.spark.createDataFrame(
                 [(0, 0)], "datasets_processed bigint, posts_silvered bigint")
-        lines = self.pending_lines()
-        counts = (self.spark.createDataFrame([(d,) for d in pending], "source_dataset string")
-                  .join(S.dataset_counts(lines), "source_dataset", "left")
-                  .select("source_dataset",
-                          F.coalesce("post_count", F.lit(0)).cast("bigint").alias("post_count")))
-        counts = counts.cache()
-        total = counts.agg(F.sum("post_count")).first()[0] or 0
+        datasets = pending.select("dataset_id", "ds_order_ts").distinct()
+        folded = cut_lineage(S.per_dataset(B.scan(self.spark, paths).join(datasets, "dataset_id")))
+        counts = cut_lineage(
+            datasets.select(F.col("dataset_id").alias("source_dataset"))
+            .join(S.counts_of(folded), "source_dataset", "left")
+            .select("source_dataset", F.coalesce("post_count", F.lit(0)).cast("bigint").alias("post_count")))
+        n, total = counts.agg(F.count(F.lit(1)), F.sum("post_count")).first()
         if total:
-            posts, _bad = S.build(lines, media)
-            self.silver.upsert(posts, as_of=as_of)
-        append_progress(self.spark, self.progress_path, counts, as_of)
-        counts.unpersist()
+            self.silver.upsert(S.posts_of(folded, media), as_of=as_of)
+        record_progress(self.completed, counts, as_of)
         return self.spark.createDataFrame(
-            [(len(pending), int(total))], "datasets_processed bigint, posts_silvered bigint")
+            [(int(n), int(total or 0))], "datasets_processed bigint, posts_silvered bigint")
 
     def silver_posts(self) -> DataFrame:
         return self.silver.read()

@@ -88,3 +88,13 @@ def q_stream_silver(spark, sf_dir):
     land_events(spark, Catalog(spark, sf_dir), root=m.bronze)
     silver_stream.run(m, _ts(RUN1_AT))
     return silver_view(m.silver_posts())
+
+
+@query("stream_progress_counts")
+def q_stream_progress_counts(spark, sf_dir):
+    """One file per micro-batch: still one progress row a dataset, complete
+    only with its last file."""
+    m = Medallion(spark, buckets=2)
+    land_events(spark, Catalog(spark, sf_dir), root=m.bronze)
+    silver_stream.run(m, _ts(RUN1_AT), files_per_batch=1)
+    return m.progress().select("source_dataset", "post_count", "completed_at")

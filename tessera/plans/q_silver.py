@@ -89,6 +89,36 @@ def _two_runs(spark, sf_dir):
     return m
 
 
+@query("silver_after_failed_runs")
+def q_silver_after_failed_runs(spark, sf_dir):
+    """A landing that stops before its manifest, and a silver run that stops
+    before its upsert is published, leave nothing behind: the runs after them
+    give the rows of a run without failures."""
+    cat = Catalog(spark, sf_dir)
+    m = Medallion(spark)
+    B.write_landing(raw_posts(cat), m.bronze, "event_id")
+    land_events(spark, cat, root=m.bronze)
+    half = raw_posts(cat).filter(F.col("event_id") % 2 == 0)
+    good, _ = S.parse(_in_memory_lines(cat).join(half.select(F.col("event_id").alias("row_id")), "row_id"))
+    m.silver.write(S.attach_media(S.latest_per_key(S.normalise(good)), None), as_of=_ts(RUN2_AT))
+    m.deduplicate_all(_ts(RUN1_AT))
+    return silver_view(m.silver_posts())
+
+
+NAMED = {"ds0": "007", "ds1": "7", "ds2": "1e3"}
+
+
+@query("numeric_dataset_ids")
+def q_numeric_dataset_ids(spark, sf_dir):
+    """Dataset ids that look like numbers stay the text they are."""
+    lines = raw_posts(Catalog(spark, sf_dir)).replace(NAMED, subset=["dataset_id"])
+    m = Medallion(spark)
+    B.land(lines, m.bronze, downloaded_at=_ts(RUN1_AT), order_by="event_id")
+    m.deduplicate_all(_ts(RUN1_AT))
+    return (m.progress().select("source_dataset", "post_count")
+            .join(B.read_manifest(spark, m.bronze).select(F.col("dataset_id").alias("source_dataset"), "item_count"), "source_dataset"))
+
+
 @query("silver_upsert_two_runs")
 def q_silver_upsert_two_runs(spark, sf_dir):
     m = _two_runs(spark, sf_dir)
@@ -124,10 +154,8 @@ def q_land_json_array(spark, sf_dir):
                  F.lit("]")).alias("value")))
     payload = shared_path(spark, "payload")
     pages.write.partitionBy("dataset_id").text(payload)
-    lines = (spark.read.option("basePath", payload).text(os.path.join(payload, "dataset_id=*"))
-             .select(F.col("dataset_id").cast("string"),
-                     F.explode(F.from_json("value", "array<variant>")).alias("v"))
-             .select("dataset_id", F.to_json("v").alias("line")))
+    pages = spark.read.text(os.path.join(payload, "dataset_id=*"))
+    lines = B.json_array_lines(pages.select(B.dataset_of_path(F.col("_metadata.file_path")).alias("dataset_id"), "value"))
     root = shared_path(spark, "bronze")
     first = B.land(lines, root, downloaded_at=downloaded_at(F.col("dataset_id")))
     second = B.land(lines, root, downloaded_at=downloaded_at(F.col("dataset_id")))

@@ -11,7 +11,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 # Session options the engine relies on for correct results (UTC wall clock,
@@ -74,8 +76,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # no SparkContext (remote session): conf only
         sc = None
     if not d:
-        # Unset: tests and single machines only.
-        d = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        d = tempfile.mkdtemp(prefix="tessera-ckpt-")  # one machine: tests, a laptop
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     try:
@@ -98,20 +102,18 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(base, "tessera", *parts, uuid.uuid4().hex)
 
 
+def read_if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """The DataFrame that ``read`` opens; None only where its path does not
+    exist. Any other failure is raised: it must not pass for an empty table."""
+    try:
+        return read()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (shared folder); survives executor loss."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def ensure_parallelism(df: DataFrame) -> DataFrame:
-    """Spread CPU-heavy per-row work (JSON parse, regex) over the cluster when
-    a scan yields fewer partitions than the default parallelism (small files,
-    one row group). Large inputs already have enough splits and pass through
-    without a shuffle."""
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:
-        return df
-    return df.repartition(want) if have < want else df

@@ -3,26 +3,32 @@ and scan datasets tolerantly (S1-S4, S6, S16 input).
 
 Layout under a bronze root (a folder in shared storage):
 
-    <root>/dataset_id=<id>/part-*.txt     one JSON object per line
-    <root>/_manifest/                     Parquet: dataset_id, run_id, actor,
-                                          item_count, downloaded_at
-
-A flat ``<root>/<id>.jsonl`` layout (one file per dataset) is read as well.
+    <root>/dataset_id=<id>/landing=<uuid>/part-*.txt   one JSON object per line
+    <root>/_manifest/     Parquet: dataset_id, landing, run_id, actor,
+                          item_count, downloaded_at
+
+The manifest is written last: a landing it does not name is the remains of a
+failed run and is never read. Folders without a landing (files put there by
+other tools) and a flat ``<root>/<id>.jsonl`` layout are read as they are.
+Dataset ids are taken from the path as text, so 007, 7 and 1e3 stay apart.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (LongType, StringType, StructField, StructType,
                                TimestampNTZType)
 
 from ..functions.text import py_strip
+from ..session import read_if_present
 
 MANIFEST_SCHEMA = StructType([
     StructField("dataset_id", StringType()),
+    StructField("landing", StringType()),
     StructField("run_id", StringType()),
     StructField("actor", StringType()),
     StructField("item_count", LongType()),
@@ -35,10 +41,33 @@ def manifest_path(root: str) -> str:
 
 
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:
-    try:
-        return spark.read.schema(MANIFEST_SCHEMA).parquet(manifest_path(root))
-    except Exception:  # no dataset landed yet
-        return spark.createDataFrame([], MANIFEST_SCHEMA)
+    found = read_if_present(lambda: spark.read.schema(MANIFEST_SCHEMA).parquet(manifest_path(root)))
+    return spark.createDataFrame([], MANIFEST_SCHEMA) if found is None else found
+
+
+def dataset_of_path(path: Column) -> Column:
+    """Dataset id of a file: the (escaped) folder name, else the flat file's."""
+    folder = F.regexp_extract(path, r"/dataset_id=([^/]+)/", 1)
+    flat = F.regexp_extract(path, r"([^/]+)\.jsonl$", 1)
+    raw = F.when(folder != "", folder).otherwise(flat)
+    return F.try_url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
+
+
+def landing_of_path(path: Column) -> Column:
+    return F.regexp_extract(path, r"/landing=([^/]+)/", 1)
+
+
+def write_landing(lines: DataFrame, root: str, order_by: str | None = None) -> str:
+    """Write the lines of datasets that the manifest does not know; returns the landing."""
+    spark = lines.sparkSession
+    new = lines.join(read_manifest(spark, root).select("dataset_id").distinct(), "dataset_id", "left_anti")
+    order = [F.col("dataset_id")] + ([F.col(order_by)] if order_by else [])
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    landing = uuid.uuid4().hex
+    (new.repartitionByRange(n, *order).sortWithinPartitions(*order)
+     .select("dataset_id", F.lit(landing).alias("landing"), F.col("line").alias("value"))
+     .write.mode("append").partitionBy("dataset_id", "landing").text(root))
+    return landing
 
 
 def land(lines: DataFrame, root: str, *, run_id: str = "", actor: str = "",
@@ -46,98 +75,89 @@ def land(lines: DataFrame, root: str, *, run_id: str = "", actor: str = "",
     """Idempotently land datasets (S4): ``lines`` has (dataset_id, line[,
     order_by]). Datasets already in the manifest are skipped; new ones are
     written one object per line, then recorded in the manifest with the count
-    of non-blank lines. Returns (dataset_id, item_count, skipped).
+    of non-blank lines written. Returns (dataset_id, item_count, skipped).
 
-    Datasets are written in parallel: rows are range-partitioned by
-    (dataset_id, order) so each task writes one contiguous slice and the file
-    names preserve line order."""
+    Rows are range-partitioned by (dataset_id, order), so each task writes one
+    contiguous slice and the file names preserve line order."""
     spark = lines.sparkSession
-    # Dataset ids already landed: one per dataset, a bound the driver's file
-    # listing already implies. Taken eagerly so the writes below cannot
-    # change what counts as "known".
-    known = [r[0] for r in read_manifest(spark, root).select("dataset_id").distinct().collect()]
-    new = lines.filter(~F.col("dataset_id").isin(known)) if known else lines
-    order = [F.col("dataset_id")] + ([F.col(order_by)] if order_by else [])
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (new.repartitionByRange(n, *order).sortWithinPartitions(*order)
-     .select("dataset_id", F.col("line").alias("value"))
-     .write.mode("append").partitionBy("dataset_id").text(root))
-    counts = (new.filter(py_strip(F.col("line")) != "").groupBy("dataset_id")
-              .agg(F.count(F.lit(1)).alias("item_count")))
-    ts = downloaded_at if downloaded_at is not None else F.localtimestamp()
-    landed = new.select("dataset_id").distinct().join(counts, "dataset_id", "left")
-    man = landed.select(
-        "dataset_id", F.lit(run_id).alias("run_id"), F.lit(actor).alias("actor"),
-        F.coalesce("item_count", F.lit(0)).cast("bigint").alias("item_count"),
-        ts.cast("timestamp_ntz").alias("downloaded_at"))
-    man.write.mode("append").parquet(manifest_path(root))
-    prior = read_manifest(spark, root).groupBy("dataset_id") \
-        .agg(F.max("item_count").alias("item_count"))
-    return (lines.select("dataset_id").distinct()
-            .join(prior, "dataset_id", "left")
-            .select("dataset_id", "item_count",
-                    F.col("dataset_id").isin(known).alias("skipped") if known
-                    else F.lit(False).alias("skipped")))
-
-
-def json_array_lines(spark: SparkSession, path: str, dataset_id: str) -> DataFrame:
-    """S3: a JSON array payload -> one compact JSON object per line."""
-    raw = spark.read.option("wholetext", True).text(path)
-    items = raw.select(F.explode(F.from_json("value", "array<variant>")).alias("v"))
-    return items.select(F.lit(dataset_id).alias("dataset_id"),
-                        F.to_json("v").alias("line"))
-
-
-def scan(spark: SparkSession, root: str, *, flat_glob: str = "*.jsonl") -> DataFrame:
-    """Every non-blank line of every dataset with its position.
-
-    Columns: dataset_id, line (stripped), file_name, file_mtime, block_start,
-    row_id. (block_start, row_id) are taken in the scan projection, before any
-    shuffle, so they give the line order inside each file (D5)."""
-    try:  # partitioned layout written by land()
-        raw = spark.read.option("basePath", root).text(os.path.join(root, "dataset_id=*"))
-        ds = F.col("dataset_id").cast("string")
-    except Exception:  # flat layout: one <dataset_id>.jsonl file per dataset
-        raw = spark.read.option("pathGlobFilter", flat_glob).text(root)
-        ds = F.regexp_replace(F.col("_metadata.file_name"), r"\.jsonl$", "")
-    return (raw.select(
-        ds.alias("dataset_id"),
-        py_strip(F.col("value")).alias("line"),
-        F.col("_metadata.file_name").alias("file_name"),
-        F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("file_mtime"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("row_id"))
-        .filter(F.col("line") != ""))
+    landing = write_landing(lines, root, order_by)
+    written = read_if_present(lambda: spark.read.text(os.path.join(root, "dataset_id=*", f"landing={landing}")))
+    if written is not None:
+        ts = downloaded_at if downloaded_at is not None else F.localtimestamp()
+        counts = written.select(dataset_of_path(F.col("_metadata.file_path")).alias("dataset_id"), "value") \
+            .groupBy("dataset_id").agg(F.count_if(py_strip(F.col("value")) != "").alias("item_count"))
+        counts.select("dataset_id", F.lit(landing).alias("landing"), F.lit(run_id).alias("run_id"),
+                      F.lit(actor).alias("actor"), F.col("item_count").cast("bigint").alias("item_count"),
+                      ts.cast("timestamp_ntz").alias("downloaded_at")) \
+            .coalesce(1).write.mode("append").parquet(manifest_path(root))
+    known = read_manifest(spark, root).select("dataset_id", "landing", "item_count")
+    return (lines.select("dataset_id").distinct().join(known, "dataset_id", "left")
+            .select("dataset_id", "item_count", (F.col("landing") != landing).alias("skipped")))
+
+
+def json_array_lines(payload: DataFrame) -> DataFrame:
+    """S3: (dataset_id, value) with a JSON array in ``value`` -> one compact JSON object per line."""
+    return payload.select("dataset_id", F.explode(F.from_json("value", "array<variant>")).alias("v")) \
+        .select("dataset_id", F.to_json("v").alias("line"))
 
 
 def listing(spark: SparkSession, root: str) -> DataFrame:
-    """File listing (dataset_id, path, file_mtime) without reading contents:
-    the binaryFile source skips the bytes when ``content`` is not selected."""
-    try:
-        files = (spark.read.format("binaryFile").option("basePath", root)
-                 .load(os.path.join(root, "dataset_id=*")).drop("content"))
-        ds = F.col("dataset_id").cast("string")
-    except Exception:
-        files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.jsonl")
-                 .load(root).drop("content"))
-        ds = F.regexp_extract(F.col("path"), r"([^/]+)\.jsonl$", 1)
-    return files.select(ds.alias("dataset_id"), "path",
-                        F.col("modificationTime").cast("timestamp_ntz").alias("file_mtime"))
+    """Published files (dataset_id, path, file_name, length, file_mtime) without reading
+    contents: the binaryFile source skips the bytes when ``content`` is not selected."""
+    def files(*where: str, glob: str = "*"):
+        return read_if_present(lambda: spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                               .option("pathGlobFilter", glob).load(os.path.join(*where)))
+    found = files(root, "dataset_id=*")
+    if found is None:
+        found = files(root, glob="*.jsonl")
+    if found is None:
+        return spark.createDataFrame([], "dataset_id string, path string, file_name string, length long, file_mtime timestamp_ntz")
+    found = found.select(dataset_of_path(F.col("path")).alias("dataset_id"), landing_of_path(F.col("path")).alias("landing"), "path",
+                         F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "length",
+                         F.col("modificationTime").cast("timestamp_ntz").alias("file_mtime"))
+    published = read_manifest(spark, root).select("dataset_id", "landing").distinct()
+    landed = found.filter("landing != ''").join(published, ["dataset_id", "landing"], "left_semi")
+    return landed.unionByName(found.filter("landing = ''")).drop("landing")
+
+
+def order_times(files: DataFrame, root: str) -> DataFrame:
+    """(dataset_id, ds_order_ts): the manifest's downloaded_at, else the oldest file's time."""
+    first = files.groupBy("dataset_id").agg(F.min("file_mtime").alias("mtime"))
+    landed = read_manifest(files.sparkSession, root).groupBy("dataset_id").agg(F.min("downloaded_at").alias("downloaded_at"))
+    return first.join(landed, "dataset_id", "left").select(
+        "dataset_id", F.coalesce("downloaded_at", "mtime").alias("ds_order_ts"))
 
 
 def discover(spark: SparkSession, root: str, progress: DataFrame | None) -> DataFrame:
     """Datasets present in bronze minus those already completed, with
-    their order timestamp (manifest downloaded_at, else file mtime)."""
-    files = listing(spark, root).groupBy("dataset_id").agg(F.min("file_mtime").alias("mtime"))
-    man = read_manifest(spark, root).select("dataset_id", "downloaded_at")
-    found = files.join(man, "dataset_id", "left").select(
-        "dataset_id", F.coalesce("downloaded_at", "mtime").alias("ds_order_ts"))
+    their order timestamp."""
+    found = order_times(listing(spark, root), root)
     if progress is not None:
         found = found.join(progress.select(F.col("source_dataset").alias("dataset_id")),
                            "dataset_id", "left_anti")
     return found
 
 
+def lines_of(raw: DataFrame) -> DataFrame:
+    """Non-blank lines with their position, from a text scan or micro-batch.
+
+    Columns: dataset_id, line (stripped), file_name, block_start, row_id.
+    (block_start, row_id) are taken in the scan projection, before any shuffle,
+    so they give the line order inside each file (D5)."""
+    return (raw.select(
+        dataset_of_path(F.col("_metadata.file_path")).alias("dataset_id"),
+        py_strip(F.col("value")).alias("line"),
+        F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("row_id"))
+        .filter(F.col("line") != ""))
+
+
+def scan(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The lines of the given files; nothing else is opened."""
+    return lines_of(spark.read.text(paths))
+
+
 def target_list(spark: SparkSession, path: str) -> DataFrame:
     """One username/URL per line, stripped, blanks dropped."""
     t = spark.read.text(path).select(py_strip(F.col("value")).alias("target"))

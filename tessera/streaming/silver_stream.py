@@ -2,9 +2,11 @@
 
 New bronze files are picked up by the file source; each micro-batch is
 parsed, deduplicated and upserted with ``foreachBatch`` (same operators as
-the batch job), then the datasets are recorded in progress. The stream's
-checkpoint lives in shared storage, so a restarted driver resumes where it
-stopped; a replayed micro-batch rewrites the same rows (idempotent upsert)."""
+the batch job). Each file's rows are counted once, under its name; a dataset
+is recorded as complete when all its published files have been counted. The
+stream's checkpoint lives in shared storage, so a restarted driver resumes
+where it stopped; a replayed micro-batch rewrites the same rows.
+"""
 
 from __future__ import annotations
 
@@ -14,44 +16,51 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import silver as S
-from ..operators.upsert import append_progress
+from ..operators.upsert import record_progress
+from ..session import cut_lineage
 from ..sources import bronze as B
 
 
-def _scan_batch(batch: DataFrame) -> DataFrame:
-    """Position columns taken straight from the micro-batch scan."""
-    from ..functions.text import py_strip
-    return batch.select(
-        F.regexp_extract(F.col("_metadata.file_path"), r"dataset_id=([^/]+)/", 1)
-        .alias("dataset_id"),
-        py_strip(F.col("value")).alias("line"),
-        F.col("_metadata.file_name").alias("file_name"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("row_id")).filter(F.col("line") != "")
+def _file_key(dataset: Column, name: Column) -> Column:
+    return F.concat(dataset, F.lit("/"), name)
 
 
 def run(med, as_of: Column, checkpoint: str | None = None, files_per_batch: int | None = None):
     """Process every bronze file available now, then stop. Returns the query."""
     spark = med.spark
-    reader = spark.readStream.format("text")
+    reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    stream = reader.load(os.path.join(med.bronze, "dataset_id=*"))
-    stream = stream.select("value", "_metadata")
+    stream = reader.load(os.path.join(med.bronze, "dataset_id=*")).select("value", "_metadata")
+
+    def complete_datasets(listing: DataFrame) -> DataFrame:
+        """Post counts of datasets whose files are all counted."""
+        files = listing.filter("length > 0").select(
+            F.col("dataset_id").alias("source_dataset"), _file_key(F.col("dataset_id"), F.col("file_name")).alias("file_key"))
+        seen = files.join(med.stream_files.read().select("file_key", "post_count"), "file_key", "left")
+        return (seen.groupBy("source_dataset").agg(F.sum("post_count").alias("post_count"), F.bool_and(F.col("post_count").isNotNull()).alias("all"))
+                .filter("all").drop("all"))
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        lines = _scan_batch(batch)
-        man = B.read_manifest(spark, med.bronze).select("dataset_id", "downloaded_at")
-        lines = lines.join(F.broadcast(man), "dataset_id", "left").withColumn(
-            "ds_order_ts", F.coalesce("downloaded_at", F.lit(None).cast("timestamp_ntz"))) \
-            .drop("downloaded_at")
-        lines = lines.cache()
-        counts = S.dataset_counts(lines)
-        if counts.take(1):
-            posts, _ = S.build(lines)
-            med.silver.upsert(posts, as_of=as_of)
-            append_progress(spark, med.progress_path, counts, as_of)
-        lines.unpersist()
+        files = batch.select(B.dataset_of_path(F.col("_metadata.file_path")).alias("source_dataset"),
+                             F.col("_metadata.file_name").alias("file_name")).distinct()
+        listing = B.listing(spark, med.bronze)
+        lines = B.lines_of(batch).join(B.order_times(listing, med.bronze), "dataset_id")
+        good, _ = S.parse(lines)
+        rows = cut_lineage(S.normalise(good))
+        if rows.take(1):
+            med.silver.upsert(S.attach_media(S.latest_per_key(rows), None), as_of=as_of)
+        counts = rows.groupBy("source_dataset", F.col("_order.file_name").alias("file_name")).agg(F.count(F.lit(1)).alias("post_count"))
+        counted = files.join(counts, ["source_dataset", "file_name"], "left").select(
+            _file_key(F.col("source_dataset"), F.col("file_name")).alias("file_key"),
+            F.coalesce("post_count", F.lit(0)).alias("post_count"))
+        med.stream_files.upsert(cut_lineage(counted), as_of=as_of, keep_first=())
+        done = complete_datasets(listing)
+        if med.progress() is not None:
+            done = done.join(med.progress().select("source_dataset"), "source_dataset", "left_anti")
+        done = cut_lineage(done)
+        if done.take(1):
+            record_progress(med.completed, done, as_of)
 
     q = (stream.writeStream.foreachBatch(upsert)
          .option("checkpointLocation", checkpoint or os.path.join(med.root, "_stream_ckpt"))
