@@ -31,10 +31,3 @@ class Catalog:
         if name in TABLES:
             return self.table(name)
         raise AttributeError(name)
-
-
-def register_views(spark: SparkSession, sf_dir: str) -> None:
-    """Expose every driver table as a temp view for SQL users."""
-    cat = Catalog(spark, sf_dir)
-    for t in TABLES:
-        cat.table(t).createOrReplaceTempView(t)

@@ -107,25 +107,22 @@ def profile_benchmark(posts: DataFrame, gold_analysed: DataFrame,
         F.round(F.col("avg_likes") / F.col("domain_avg_likes"), 6).alias("vs_domain"))
 
 
-def topic_overlap(edges: DataFrame, seed: DataFrame) -> DataFrame:
-    """Topics a seed profile (one owner_id row) shares with every other
-    profile: the seed's (domain, topic) set joined to the edges, linear in
-    edges (no pair enumeration). One row per (other profile, shared topic)."""
-    mine = edges.join(seed.select("owner_id"), "owner_id", "left_semi") \
-        .select("domain", "topic", F.col("owner_id").alias("owner_a"),
-                F.col("post_count").alias("posts_a"))
-    others = edges.join(seed.select("owner_id"), "owner_id", "left_anti") \
-        .select("domain", "topic", F.col("owner_id").alias("owner_b"),
-                F.col("post_count").alias("posts_b"))
-    return mine.join(others, ["domain", "topic"])
-
-
-def cooccurring_resources(res_edges: DataFrame, seed: DataFrame) -> DataFrame:
-    """For a seed resource (one row: resource_name), the other resources
-    used by the profiles that use the seed, with the number of such profiles."""
-    users = res_edges.join(seed.select("resource_name"), "resource_name", "left_semi") \
-        .select("owner_id").distinct()
-    other = res_edges.join(users, "owner_id", "left_semi") \
-        .join(seed.select("resource_name"), "resource_name", "left_anti")
-    return other.select("owner_id", "resource_name").distinct() \
-        .groupBy("resource_name").agg(F.count(F.lit(1)).alias("shared_profiles"))
+def topic_overlap(edges: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The topics that two profiles share, for every given pair (src, dst):
+    each pair meets the topics of its first profile, then that topic of its
+    second. Work is linear in pairs x topics of a profile."""
+    one = edges.select("domain", "topic", F.col("owner_id").alias("owner_a"), F.col("post_count").alias("posts_a"))
+    two = edges.select("domain", "topic", F.col("owner_id").alias("owner_b"), F.col("post_count").alias("posts_b"))
+    given = pairs.select(F.col("src").alias("owner_a"), F.col("dst").alias("owner_b"))
+    return given.join(one, "owner_a").join(two, ["owner_b", "domain", "topic"])
+
+
+def cooccurring_resources(named: DataFrame) -> DataFrame:
+    """For every two resources named in one post, the posts that name both
+    and their profiles. ``named``: (post_id, owner_id, names), the list of a
+    post's resource names; pairs are made inside that list only."""
+    n = named.select("post_id", "owner_id", F.array_sort(F.array_distinct(F.filter("names", lambda x: x != ""))).alias("n"))
+    pairs = F.flatten(F.transform("n", lambda x, i: F.transform(
+        F.slice("n", i + 2, F.size("n")), lambda y: F.struct(x.alias("resource_a"), y.alias("resource_b")))))
+    return (n.select("post_id", "owner_id", F.inline(pairs)).groupBy("resource_a", "resource_b")
+            .agg(F.count(F.lit(1)).alias("shared_posts"), F.count_distinct("owner_id").alias("shared_profiles")))

@@ -1,18 +1,15 @@
-"""Enrichment harness (E2-E5, E7, E8): apply a pluggable per-post function
-to the work queue with retries and a rate budget.
+"""Enrichment hook (E2-E5, E7, E8): apply a per-post function to the work queue.
 
 The model call is the reference's one user-code hook, so this is the one
 place where per-row Python runs: ``mapInPandas`` over a hash-partitioned
-queue. Each of the k partitions gets rate/k of the global request budget
-(token bucket, starts full). Speculation must stay off so a post is never
-sent twice; task retries re-run only unfinished partitions, and the caller
-writes results before merging them into gold (idempotent upsert)."""
+queue. ``partitions`` is the number of callers at a time; a caller that must
+keep to a request budget does so in its own function. Speculation must stay
+off so a post is never sent twice; results are checkpointed before they are
+merged into gold (idempotent upsert)."""
 
 from __future__ import annotations
 
 import json
-import random
-import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -23,16 +20,11 @@ from ..session import cut_lineage
 
 # ---- fixed values (must equal the reference behaviour) -------------------
 MAX_ATTEMPTS = 4
-RATE_LIMIT_BACKOFF_S = 60        # 60 * 2**(attempt-1)
-UNAVAILABLE_BACKOFF_S = 10       # 10 * attempt
-BAD_JSON_BACKOFF_S = 3
-RPM_LIMIT = 14
-RPM_JITTER = 0.10
 FAILURE_ERROR = "gemini_failed"
 # ---------------------------------------------------------------------------
 
-RESULT_SCHEMA = ("post_id string, status string, result_json string, error string, "
-                 "attempts int, slept_s double")
+COLUMNS = ["post_id", "status", "result_json", "error", "attempts"]
+RESULT_SCHEMA = "post_id string, status string, result_json string, error string, attempts int"
 
 
 class RateLimited(Exception):
@@ -43,112 +35,38 @@ class Unavailable(Exception):
     """The model was unavailable or timed out (HTTP 503 / timeout)."""
 
 
-def backoff(exc: Exception, attempt: int) -> float | None:
-    """Seconds to wait before the next attempt; None = stop retrying."""
-    if isinstance(exc, RateLimited):
-        return RATE_LIMIT_BACKOFF_S * 2 ** (attempt - 1)
-    if isinstance(exc, (Unavailable, TimeoutError)):
-        return UNAVAILABLE_BACKOFF_S * attempt
-    if isinstance(exc, json.JSONDecodeError):
-        return BAD_JSON_BACKOFF_S
-    return None
-
-
-class TokenBucket:
-    """Per-partition request budget: rate_per_min tokens/min, starts full."""
-
-    def __init__(self, rate_per_min: float, jitter: float, clock, sleep, seed: int):
-        self.rate = rate_per_min / 60.0
-        self.cap = max(rate_per_min, 1.0)
-        self.tokens = self.cap
-        self.jitter, self.clock, self.sleep = jitter, clock, sleep
-        self.rng = random.Random(seed)
-        self.last = clock()
-
-    def acquire(self) -> float:
-        """Take one token; returns the seconds waited. A shortfall is waited
-        out in one step at the slowest jittered refill rate, so the call
-        always terminates (no float-precision spinning) and never exceeds
-        the budget; refill beyond the single token is forfeited."""
-        now = self.clock()
-        r = self.rate * (1 + self.rng.uniform(-self.jitter, self.jitter))
-        self.tokens = min(self.cap, self.tokens + (now - self.last) * r)
-        self.last = now
-        if self.tokens >= 1.0:
-            self.tokens -= 1.0
-            return 0.0
-        wait = (1.0 - self.tokens) / (self.rate * (1 - self.jitter)) \
-            * (1 + self.rng.uniform(0, self.jitter))
-        self.sleep(wait)
-        self.last = self.clock()
-        self.tokens = 0.0
-        return wait
-
-
-def call_with_retries(fn: Callable[[dict], str], post: dict, sleep) -> tuple[dict | None, int, float]:
-    """(parsed result or None, attempts used, seconds slept in backoff)."""
-    slept = 0.0
-    for attempt in range(1, MAX_ATTEMPTS + 1):
+def attempt(fn: Callable[[dict], str], post: dict) -> tuple[dict | None, int]:
+    """(parsed result or None, attempts): quota, outage and bad JSON are tried
+    again, any other error is final."""
+    for n in range(1, MAX_ATTEMPTS + 1):
         try:
-            return json.loads(fn({**post, "_attempt": attempt})), attempt, slept
-        except Exception as exc:  # noqa: BLE001 - policy decides
-            wait = backoff(exc, attempt)
-            if wait is None or attempt == MAX_ATTEMPTS:
-                return None, attempt, slept
-            sleep(wait)
-            slept += wait
-    return None, MAX_ATTEMPTS, slept
-
-
-def enrich(queue: DataFrame, enricher: Callable[[dict], str], *, partitions: int = 8,
-           rate_per_min: float = RPM_LIMIT, simulate_time: bool = True,
-           materialize: bool = True,
-           columns: tuple[str, ...] = ("post_id", "url", "caption", "media")) -> DataFrame:
-    """Run ``enricher(post_dict) -> JSON text`` on every queued post.
+            return json.loads(fn({**post, "_attempt": n})), n
+        except (RateLimited, Unavailable, TimeoutError, json.JSONDecodeError):
+            continue
+        except Exception:  # noqa: BLE001 - the hook's own failure: this post fails, the run goes on
+            return None, n
+    return None, MAX_ATTEMPTS
 
-    With simulate_time, sleeps advance a virtual clock instead of blocking
-    (tests and dry runs); the waited time is reported in ``slept_s``."""
-    budget = rate_per_min / max(partitions, 1)
 
+def enrich(queue: DataFrame, enricher: Callable[[dict], str], *, partitions: int,
+           columns: tuple[str, ...] = ("post_id", "url", "caption", "media")) -> DataFrame:
+    """Run ``enricher(post_dict) -> JSON text`` on every queued post."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        clock_t = [0.0]
-        if simulate_time:
-            def sleep(s):
-                clock_t[0] += s
-
-            def clock():
-                return clock_t[0]
-        else:
-            sleep, clock = time.sleep, time.monotonic
-        bucket = None
         for pdf in batches:
-            if bucket is None:
-                seed = hash(tuple(pdf["post_id"].head(1))) & 0xFFFF
-                bucket = TokenBucket(budget, RPM_JITTER, clock, sleep, seed)
             out = []
             for post in pdf.to_dict("records"):
-                if "media" in post and post["media"] is not None:
+                if post.get("media") is not None:
                     post["media"] = list(post["media"])
-                waited = bucket.acquire()
-                result, attempts, slept = call_with_retries(enricher, post, sleep)
-                ok = result is not None
-                out.append({
-                    "post_id": post["post_id"],
-                    "status": "analysed" if ok else "failed",
-                    "result_json": json.dumps(result, ensure_ascii=False) if ok else None,
-                    "error": None if ok else FAILURE_ERROR,
-                    "attempts": attempts,
-                    "slept_s": waited + slept,
-                })
-            yield pd.DataFrame(out, columns=["post_id", "status", "result_json", "error",
-                                             "attempts", "slept_s"])
-
-    q = queue.select(*columns).repartition(partitions, "post_id")
-    out = q.mapInPandas(run, RESULT_SCHEMA)
-    # Results are materialised in shared storage before anyone merges them:
-    # a recomputation (lost executor, second consumer) must not call the
-    # model again.
-    return cut_lineage(out) if materialize else out
+                result, n = attempt(enricher, post)
+                done = result is not None
+                out.append((post["post_id"], "analysed" if done else "failed",
+                            json.dumps(result, ensure_ascii=False) if done else None,
+                            None if done else FAILURE_ERROR, n))
+            yield pd.DataFrame(out, columns=COLUMNS)
+
+    # Checkpointed: a recomputation (lost executor, second consumer) must not
+    # call the model again.
+    return cut_lineage(queue.select(*columns).repartition(partitions, "post_id").mapInPandas(run, RESULT_SCHEMA))
 
 
 def summary(results: DataFrame) -> DataFrame:

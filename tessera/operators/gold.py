@@ -4,18 +4,19 @@ document upgrade (P28) and the document sink/scan (S10, S11)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import os
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import credibility as C
 from ..functions.text import alnum_only
+from ..session import cut_lineage
+from .upsert import BucketedTable
 
 # ---- fixed values (must equal the reference behaviour) -------------------
 RESOURCE_TYPES = ["tool", "site", "repo", "library", "framework", "course", "book", "font",
                   "template", "asset", "newsletter", "community", "other"]
-ANALYSIS_FIELDS = ["is_educational", "is_actionable", "admirality", "domain", "subdomain",
-                   "topic", "subtopic", "content_type", "style", "format",
-                   "educational_json", "actionable_json", "transcript"]
 # ---------------------------------------------------------------------------
 
 
@@ -45,6 +46,35 @@ def apply_run(gold: DataFrame, results: DataFrame, as_of: Column,
     return upd.unionByName(keep.select(*upd.columns))
 
 
+def superseded(gold: DataFrame, results: DataFrame) -> DataFrame:
+    """The documents that a run's successes replace, as they were."""
+    done = results.filter(F.col("status") == "analysed").select("post_id")
+    return gold.filter(F.col("result").isNotNull()).join(done, "post_id", "left_semi")
+
+
+class GoldStore:
+    """Gold table and its history in shared storage. A run first appends the
+    documents it replaces to the history, then upserts; the run's number makes
+    a repeated append after a failure recognisable."""
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
+        self.spark = spark
+        self.gold = BucketedTable(spark, os.path.join(root, "gold"), "post_id", buckets)
+        self.archive = BucketedTable(spark, os.path.join(root, "gold_history"), "version_id", buckets)
+
+    def run(self, results: DataFrame, as_of: Column, seq: int) -> None:
+        old = self.gold.read()
+        gone = superseded(old, results).select(
+            F.concat_ws("/", "post_id", F.lit(str(seq))).alias("version_id"), F.lit(seq).alias("seq"), "*")
+        if gone.take(1):
+            self.archive.upsert(gone, as_of=as_of, keep_first=())
+        touched = old.join(results.select("post_id"), "post_id", "left_semi")
+        self.gold.upsert(cut_lineage(apply_run(touched, results, as_of)), as_of=as_of, keep_first=())
+
+    def history(self) -> DataFrame | None:
+        return self.archive.read()
+
+
 def archive_key(version: Column, analysed_at_text: Column) -> Column:
     """analysis_v{ver}_{first 15 alphanumerics of analysed_at}."""
     ts = F.substring(alnum_only(analysed_at_text), 1, 15)

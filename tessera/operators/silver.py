@@ -112,13 +112,6 @@ def attach_media(posts: DataFrame, media: DataFrame | None) -> DataFrame:
     return j.withColumn("media_files", files).withColumn("media_count", F.size(files))
 
 
-def build(lines: DataFrame, media: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Scanned lines (with ds_order_ts) -> (deduplicated silver rows, quarantine)."""
-    good, bad = parse(lines)
-    posts = latest_per_key(normalise(good))
-    return attach_media(posts, media), bad
-
-
 def per_dataset(lines: DataFrame) -> DataFrame:
     """One parse for both results of a run: the last-written row per (post,
     dataset), with ``_lines``, the keyed input lines behind it."""

@@ -57,25 +57,37 @@ def unit_vectors(vecs: DataFrame, id_col: str, vec_col: str, block_col: str) ->
                        F.transform(v, lambda x: x / norm).alias("u"))
 
 
-def similar_pairs(units: DataFrame, threshold: float) -> DataFrame:
-    """All pairs a < b in the same block with cos >= threshold, exact."""
-    theta = math.acos(max(min(threshold, 1.0), -1.0))
-    width = max(theta, 1e-6)
-    eps = 1e-9
-    a1 = F.acos(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), F.col("u")[0])))
-    a2 = F.acos(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), F.col("u")[1])))
-    p = units.select("id", "block", "u", a1.alias("a1"), a2.alias("a2"),
-                     F.floor(a1 / F.lit(width)).cast("int").alias("bk"))
-    probe = p.select(F.col("id").alias("id_b"), F.col("block"), F.col("u").alias("u_b"),
-                     F.col("a1").alias("a1_b"), F.col("a2").alias("a2_b"),
-                     F.explode(F.array(F.col("bk") - 1, F.col("bk"), F.col("bk") + 1)).alias("bk"))
-    cand = p.join(probe, ["block", "bk"]).filter(
-        (F.col("id") < F.col("id_b"))
-        & (F.abs(F.col("a1") - F.col("a1_b")) <= F.lit(theta + eps))
-        & (F.abs(F.col("a2") - F.col("a2_b")) <= F.lit(theta + eps)))
-    cos = _dot(F.col("u"), F.col("u_b"))
-    return cand.select(F.col("block"), F.col("id").alias("id_a"), F.col("id_b"),
-                       cos.alias("cosine")).filter(F.col("cosine") >= F.lit(threshold))
+def _angle(a: Column, b: Column) -> Column:
+    return F.acos(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), _dot(a, b))))
+
+
+def similar_pairs(units: DataFrame, threshold: float, tile: int = 512) -> DataFrame:
+    """All pairs a < b in the same block with cos >= threshold, exact.
+
+    Two pivots a block are chosen from the data: a vector, and the one at the
+    largest angle to it. Angles obey the triangle inequality, so a pair within
+    the threshold differs by its angle at most in its angles to either pivot;
+    others are dropped before the dot product. In many dimensions angles lie
+    close together and the pivots drop little, so the load is carried by tiles:
+    a block is cut by hash into tiles of about ``tile`` vectors, and each pair
+    of tiles is a join key of its own, which bounds the work of a key whatever
+    the block's size."""
+    theta = math.acos(max(min(threshold, 1.0), -1.0)) + 1e-9
+    first = units.groupBy("block").agg(F.min_by("u", F.xxhash64("id")).alias("p1"),
+                                       F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("tiles"))
+    near = units.join(first, "block").withColumn("a1", _angle(F.col("u"), F.col("p1")))
+    second = near.groupBy("block").agg(F.max_by("u", "a1").alias("p2"))
+    placed = near.join(second, "block").select(
+        "id", "block", "u", "a1", _angle(F.col("u"), F.col("p2")).alias("a2"), "tiles",
+        F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int").alias("t"))
+    left = placed.select("*", F.explode(F.sequence("t", F.col("tiles") - 1)).alias("t2"))
+    right = placed.select("block", F.explode(F.sequence(F.lit(0), "t")).alias("t"), F.col("t").alias("t2"),
+                          *[F.col(c).alias(f"{c}_b") for c in ("id", "u", "a1", "a2")])
+    close = ((F.abs(F.col("a1") - F.col("a1_b")) <= theta) & (F.abs(F.col("a2") - F.col("a2_b")) <= theta)
+             & ((F.col("t") < F.col("t2")) | (F.col("id") < F.col("id_b"))))
+    cand = left.join(right, ["block", "t", "t2"]).filter(close)
+    return cand.select("block", F.least("id", "id_b").alias("id_a"), F.greatest("id", "id_b").alias("id_b"),
+                       _dot(F.col("u"), F.col("u_b")).alias("cosine")).filter(F.col("cosine") >= F.lit(threshold))
 
 
 def classify(pairs: DataFrame, auto: float = AUTO_MERGE, review: float = REVIEW) -> DataFrame:
@@ -138,42 +150,3 @@ def dim_topic(gold_analysed: DataFrame) -> DataFrame:
 def canonical_map(terms: DataFrame) -> DataFrame:
     """J15 input: (term_type, raw_value) -> canonical_value, current rows."""
     return terms.filter(F.col("is_current")).select("term_type", "raw_value", "canonical_value")
-
-
-def embed_terms(terms: DataFrame, embedder, dim: int, partitions: int = 8) -> DataFrame:
-    """Vector per term through a pluggable batch function
-    ``embedder(list[str]) -> list[list[float]]`` (a hosted embedding model in
-    production), run with mapInPandas over hash-partitioned terms; output is
-    checkpointed so a recomputation never calls the model twice."""
-    import pandas as pd
-    from ..session import cut_lineage
-
-    def run(batches):
-        for pdf in batches:
-            vecs = embedder(pdf["raw_value"].tolist()) if len(pdf) else []
-            yield pd.DataFrame({"term_id": pdf["term_id"], "term_type": pdf["term_type"],
-                                "embedding": list(vecs)})
-
-    t = terms.select("term_id", "term_type", "raw_value").repartition(partitions, "term_id")
-    out = t.mapInPandas(run, "term_id long, term_type string, embedding array<double>")
-    return cut_lineage(out)
-
-
-def trigram_embedder(dim: int = 256):
-    """Deterministic stand-in embedder: hashed character trigrams of the
-    normalised term, L2-normalised (similar spellings -> high cosine)."""
-    import zlib
-
-    import numpy as np
-
-    def embed(texts):
-        out = []
-        for s in texts:
-            s = f"  {(s or '').strip().lower()} "
-            v = np.zeros(dim)
-            for i in range(len(s) - 2):
-                v[zlib.crc32(s[i:i + 3].encode("utf-8")) % dim] += 1.0
-            n = np.linalg.norm(v)
-            out.append((v / n if n else v).tolist())
-        return out
-    return embed

@@ -129,37 +129,20 @@ def q_dim_topic(spark, sf_dir):
 
 @query("fact_post_canonical")
 def q_fact_post_canonical(spark, sf_dir):
-    """Facts with topic_key and canonical domain/topic (raw value
-    kept when the registry has no entry)."""
+    """The fact with topic_key and the canonical value of all seven
+    term types (the raw value where the registry has no entry). Terms of a
+    post go through the registry in one join."""
     s = Star(spark, sf_dir)
     ga = V.analysed(s.gold())
-    dt = TX.dim_topic(ga)
     cm = TX.canonical_map(TX.exact_dedup(TX.raw_terms(ga)).withColumn("is_current", F.lit(True)))
-    cols = ["domain", "subdomain", "topic", "subtopic", "content_type", "style", "format"]
-    g = ga.select("post_id", *[F.coalesce(F.col(f"result.{c}"), F.lit("")).alias(c) for c in cols])
-    g = g.join(dt, cols, "left")
-    for t in ("domain", "topic"):
-        m = cm.filter(F.col("term_type") == t).select(
-            F.col("raw_value").alias(t), F.col("canonical_value").alias(f"{t}_canonical"))
-        g = g.join(m, t, "left").withColumn(
-            f"{t}_canonical", F.coalesce(F.col(f"{t}_canonical"), F.col(t)))
-    p = s.posts().select("post_id")
-    return p.join(g, "post_id", "left").select(
-        "post_id", "topic_key", "domain", "topic", "subtopic", "domain_canonical",
-        "topic_canonical")
-
-
-@query("term_embedding_pairs")
-def q_term_embedding_pairs(spark, sf_dir):
-    """T3 + J16 + T5 on the text terms with the production thresholds:
-    embed every term (pluggable function), exact cosine join per term type."""
-    t = TX.exact_dedup(TX.raw_terms(V.analysed(Star(spark, sf_dir).gold())))
-    e = TX.embed_terms(t, TX.trigram_embedder(256), 256)
-    u = TX.unit_vectors(e, "term_id", "embedding", "term_type")
-    p = TX.classify(TX.similar_pairs(u, TX.REVIEW))
-    names = t.select("term_id", "raw_value")
-    return p.join(names.withColumnRenamed("term_id", "id_a")
-                  .withColumnRenamed("raw_value", "term_a"), "id_a") \
-        .join(names.withColumnRenamed("term_id", "id_b")
-              .withColumnRenamed("raw_value", "term_b"), "id_b") \
-        .select("block", "term_a", "term_b", F.round("cosine", 6).alias("cosine"), "status")
+    raw = ga.select("post_id", *[F.col(f"result.{t}").alias(t) for t in TX.TERM_TYPES])
+    keyed = raw.select("post_id", *[F.coalesce(F.col(t), F.lit("")).alias(t) for t in TX.TERM_TYPES]) \
+        .join(TX.dim_topic(ga), TX.TERM_TYPES, "left").select("post_id", "topic_key")
+    terms = raw.select("post_id", F.explode(F.array(*[
+        F.struct(F.lit(t).alias("term_type"), F.col(t).alias("raw_value")) for t in TX.TERM_TYPES])).alias("x")).select("post_id", "x.*")
+    canonical = (terms.join(cm, ["term_type", "raw_value"], "left")
+                 .withColumn("value", F.coalesce("canonical_value", "raw_value"))
+                 .groupBy("post_id").agg(*[F.max(F.when(F.col("term_type") == t, F.col("value"))).alias(f"{t}_canonical")
+                                           for t in TX.TERM_TYPES]))
+    fact = V.fact_post(s.posts(), s.profiles(), s.dim_time(), s.gold())
+    return fact.join(keyed, "post_id", "left").join(canonical, "post_id", "left")

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import benchmark as BM
+from ..operators import dims as D
+from ..operators import graph as GR
 from ..operators import planning as PL
 from . import views as V
 from .registry import query
@@ -91,20 +93,24 @@ def q_profile_benchmark(spark, sf_dir):
     return BM.profile_benchmark(s.posts(), V.analysed(s.gold()), content_type="tutorial")
 
 
+@query("profile_benchmark_all")
+def q_profile_benchmark_all(spark, sf_dir):
+    s = Star(spark, sf_dir)
+    return BM.profile_benchmark(s.posts(), V.analysed(s.gold()))
+
+
 @query("topic_overlap")
 def q_topic_overlap(spark, sf_dir):
-    """Topics the profile with the most analysed posts shares with others."""
-    e = _edges(spark, sf_dir)
-    seed = e.groupBy("owner_id").agg(F.sum("post_count").alias("n")) \
-        .orderBy(F.desc("n"), "owner_id").limit(1).select("owner_id")
-    return BM.topic_overlap(e, seed)
+    """Topics that related profiles share."""
+    s = Star(spark, sf_dir)
+    latest = D.dim_profile_from_posts(s.posts(), F.lit("2025-05-01 00:00:00"))
+    return BM.topic_overlap(_edges(spark, sf_dir), GR.related_edges(latest, V.current_profiles(s.profiles())))
 
 
 @query("resource_cooccurrence")
 def q_resource_cooccurrence(spark, sf_dir):
-    """Resources used alongside the most widely used resource."""
+    """Resources named together, over the posts of current profiles."""
     s = Star(spark, sf_dir)
-    r = V.profile_resource_edges(s.posts(), s.profiles(), s.gold())
-    seed = r.groupBy("resource_name").agg(F.count_distinct("owner_id").alias("n")) \
-        .orderBy(F.desc("n"), "resource_name").limit(1)
-    return BM.cooccurring_resources(r, seed)
+    names = V.analysed(s.gold()).select("post_id", F.transform("result.actionable_json.resources", lambda r: r["name"]).alias("names"))
+    known = V.current_profiles(s.profiles()).select("owner_id")
+    return BM.cooccurring_resources(s.posts().select("post_id", "owner_id").join(known, "owner_id", "left_semi").join(names, "post_id"))

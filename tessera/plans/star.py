@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..catalog import Catalog
 from ..functions import text as T
 from ..functions import media as M
-from ..functions.calendar import calendar_columns
+from ..operators import dims
 
 # ---- fixed values of the proxy mapping (shared with the SQL oracle) -------
 CAPTION_SUFFIXES = [
@@ -226,21 +226,6 @@ def gold_analyses(cat: Catalog) -> DataFrame:
     )
 
 
-def gold_document(g: DataFrame, posts: DataFrame) -> Column:
-    """The persisted document {post_id,url,schema_version,analysed_at,analysis}."""
-    return F.struct(
-        F.col("post_id"), F.col("url"), F.col("schema_version"),
-        F.date_format("analysed_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("analysed_at"),
-        F.col("result").alias("analysis"))
-
-
-def dim_time(posts: DataFrame) -> DataFrame:
-    """Distinct post dates with calendar attributes."""
-    d = posts.filter(F.col("timestamp").isNotNull()) \
-        .select(F.to_date("timestamp").alias("d")).distinct()
-    return d.select(*calendar_columns(F.col("d")))
-
-
 # Materialised star tables per (application, scale-factor dir): silver,
 # gold and dimensions are stored tables in the medallion design, written once
 # into the shared checkpoint folder and read by every view.
@@ -280,4 +265,4 @@ class Star:
         return self._table("gold_analyses", lambda: gold_analyses(self.cat))
 
     def dim_time(self) -> DataFrame:
-        return self._table("dim_time", lambda: dim_time(self.posts()))
+        return self._table("dim_time", lambda: dims.dim_time(self.posts()))

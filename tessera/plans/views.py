@@ -70,9 +70,9 @@ def profile_stats(posts: DataFrame, profiles: DataFrame) -> DataFrame:
     """V2: per current profile post counts, time span, averages, bait count and
     the distinct hashtag lists (as JSON text, sorted)."""
     sp = posts.select("owner_id", "timestamp", "likes_count", "comments_count",
-                      "video_play_count", "video_view_count", "has_engagement_bait", "hashtags")
+                      "video_play_count", "video_view_count", "has_engagement_bait")
     dp = current_profiles(profiles).select("owner_id", "owner_username")
-    return sp.join(dp, "owner_id").groupBy("owner_id", "owner_username").agg(
+    per = sp.groupBy("owner_id").agg(
         F.count(F.lit(1)).alias("post_count"),
         F.min("timestamp").alias("first_post_at"),
         F.max("timestamp").alias("last_post_at"),
@@ -80,10 +80,18 @@ def profile_stats(posts: DataFrame, profiles: DataFrame) -> DataFrame:
         F.avg("comments_count").alias("avg_comments"),
         F.avg("video_play_count").alias("avg_plays"),
         F.avg("video_view_count").alias("avg_views"),
-        F.sum(F.when(F.col("has_engagement_bait"), 1).otherwise(0)).cast("bigint")
-        .alias("bait_post_count"),
-        F.array_sort(F.collect_set(F.to_json("hashtags"))).alias("all_hashtags"),
-    )
+        F.count_if("has_engagement_bait").alias("bait_post_count"))
+    lists = hashtag_lists(posts).groupBy("owner_id").agg(F.array_sort(F.collect_list("hashtag_list")).alias("all_hashtags"))
+    none = F.array().cast("array<string>")
+    return per.join(dp, "owner_id").join(lists, "owner_id", "left").select(
+        "owner_id", "owner_username", *[c for c in per.columns if c != "owner_id"],
+        F.coalesce("all_hashtags", none).alias("all_hashtags"))
+
+
+def hashtag_lists(posts: DataFrame) -> DataFrame:
+    """The distinct hashtag lists (JSON text) of each owner, one a row: the form
+    to use where an owner has more lists than fit a cell."""
+    return posts.select("owner_id", F.to_json("hashtags").alias("hashtag_list")).filter("hashtag_list is not null").distinct()
 
 
 def profile_hashtags(posts: DataFrame, profiles: DataFrame) -> DataFrame:
