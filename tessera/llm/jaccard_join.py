@@ -13,9 +13,10 @@ sets are one node. Two nodes link at a Jaccard similarity of 0.85 or more.
    are cut into parts by hash, in two ways. A node shares enough prefix tokens
    with its family, or links with nothing in it; sets of the first are
    fetched, and all links inside a family's part found.
-4. The rows of the token-group matrix are groups by the most frequent prefix
-   token that a node holds (near copies hold the same), in parts of about
-   ``GROUP``. Nodes already connected need no further link between them: a node
+4. The rows of the token-group matrix: nodes that share as many prefix tokens
+   with others as a link between equal sizes needs are grouped by the most
+   frequent of them (near copies hold the same), others stay with their family;
+   groups are cut into parts of about ``GROUP``. Nodes already connected need no further link between them: a node
    queries only groups with a node of a larger component. The number of its
    tokens in the union of a group's prefixes bounds its overlap with every
    member, and again, once the sets are there, the union of their whole sets:
@@ -48,11 +49,13 @@ from xxhash import xxh3_128_digest, xxh64_intdigest
 
 from ..operators.graph import connected_components
 from .base import Memo, batch, in_small_batches, pieces, stage, texts, utf8
+from .url_filter import bloom, maybe_in
 
 WORDS, PERCENT = 4, 85
-GROUP, QUERIES, HOT, SALTS = 64, 256, 10_000, 64
+GROUP, QUERIES, HOT, SALTS = 256, 256, 10_000, 64
 SKETCH_BITS, SKETCH_BLOCKS = 20, 16
 BLOOM_BITS, BIN_BITS = 26, 20
+KEEP_BLOCKS = 1 << 17
 _HASHES = Memo(xxh64_intdigest)
 
 
@@ -293,48 +296,50 @@ def _needed(n: Column, m: Column) -> Column:
     return F.ceil(F.lit(PERCENT) * (n + m) / F.lit(100 + PERCENT)) - F.ceil(F.lit(PERCENT) * F.greatest(n, m) / F.lit(100)) + 1
 
 
-def _qualified(counted: DataFrame) -> DataFrame:
-    """Rows (node, n, anchor, part, tokens, least, most) added up by node and
-    group, those kept whose tokens suffice for some member's size."""
-    each = counted.groupBy("node", "n", "anchor", "part").agg(
+def _qualified(counted: DataFrame, *group: str) -> DataFrame:
+    """Rows (node, n, *group, tokens, least, most) added up by node and group,
+    those kept whose tokens suffice for some member's size."""
+    each = counted.groupBy("node", "n", *group).agg(
         F.sum("tokens").alias("tokens"), F.min("least").alias("least"), F.max("most").alias("most"))
     n = F.col("n")
     low = F.greatest("least", F.ceil(F.lit(PERCENT) * n / 100))
     high = F.least("most", F.floor(F.lit(100) * n / PERCENT))
     # what is needed grows up to a member of the query's own size and falls after it: it is least at an end
     return (each.filter((low <= high) & (F.col("tokens") >= F.least(_needed(n, low), _needed(n, high))))
-            .select("node", "anchor", "part"))
+            .select("node", *group))
 
 
 def near_own(held: DataFrame) -> DataFrame:
     """Nodes that their own group's bound lets through. ``held``: (token, node, n, anchor, part)."""
     key = ["token", "anchor", "part"]
     shared = held.groupBy(*key).agg(F.count(F.lit(1)).alias("nodes"), F.min("n").alias("least"), F.max("n").alias("most")).filter("nodes > 1")
-    return _qualified(held.join(shared, key).withColumn("tokens", F.lit(1))).select("node")
+    return _qualified(held.join(shared, key).withColumn("tokens", F.lit(1)), "anchor", "part").select("node")
 
 
-def queries_of(held: DataFrame) -> DataFrame:
+def queries_of(held: DataFrame, ranked: DataFrame) -> DataFrame:
     """Queries on the matrix that its bound lets through: (node, anchor, part)
-    of groups that hold a node of higher rank and enough of the query's
-    tokens. ``held``: (token, node, n, anchor, part, rank)."""
-    key = ["token", "anchor", "part"]
+    of groups that hold a node of higher rank, where all parts of the group
+    together hold enough of the query's tokens. ``held``: (token, node, n,
+    anchor, rank); ``ranked``: (node, anchor, part, rank)."""
+    key = ["token", "anchor"]
     at_groups = held.groupBy(*key).agg(F.count(F.lit(1)).alias("nodes"), F.max("rank").alias("top"), F.min("rank").alias("low"),
                                        F.min("n").alias("least"), F.max("n").alias("most"))
     # tokens of the same groups ask the same: they are taken together, with their number
-    asks = at_groups.groupBy("token").agg(F.bit_xor(F.xxhash64("anchor", "part")).alias("ask"), F.count(F.lit(1)).alias("groups"),
+    asks = at_groups.groupBy("token").agg(F.bit_xor(F.xxhash64("anchor")).alias("ask"), F.count(F.lit(1)).alias("groups"),
                                           F.max("top").alias("over"), F.min("low").alias("under"))
     asks = asks.filter("groups > 1 and under < over").select("token", "ask", "over")
-    groups = (at_groups.join(asks.select("token", "ask"), "token").groupBy("ask", "anchor", "part")
+    groups = (at_groups.join(asks.select("token", "ask"), "token").groupBy("ask", "anchor")
               .agg(F.max("top").alias("top"), F.min("least").alias("least"), F.max("most").alias("most")))
     asking = (held.join(asks, "token").filter("rank < over")
-              .groupBy("ask", "node", "n", "rank", F.col("anchor").alias("home"), F.col("part").alias("home_part"))
-              .agg(F.count(F.lit(1)).alias("tokens")))
-    meets = ((asking["ask"] == groups["ask"]) & (F.col("rank") < F.col("top")) & ((F.col("anchor") != F.col("home")) | (F.col("part") != F.col("home_part")))
+              .groupBy("ask", "node", "n", "rank", F.col("anchor").alias("home")).agg(F.count(F.lit(1)).alias("tokens")))
+    meets = ((asking["ask"] == groups["ask"]) & (F.col("rank") < F.col("top")) & (F.col("anchor") != F.col("home"))
              & (F.lit(100) * F.col("n") >= F.lit(PERCENT) * F.col("least")) & (F.lit(100) * F.col("most") >= F.lit(PERCENT) * F.col("n")))
-    away = asking.join(groups, meets).select("node", "n", "anchor", "part", "tokens", "least", "most")
-    home = (held.join(at_groups.filter("nodes > 1"), key).filter("rank < top")
-            .select("node", "n", "anchor", "part", F.lit(1).alias("tokens"), "least", "most"))
-    return _qualified(away.unionByName(home))
+    away = asking.join(groups, meets).select("node", "n", "anchor", "tokens", "least", "most")
+    home = (held.join(at_groups.filter("nodes > 1 and low < top"), key).filter("rank < top")
+            .select("node", "n", "anchor", F.lit(1).alias("tokens"), "least", "most"))
+    tops = ranked.groupBy("anchor", "part").agg(F.max("rank").alias("top"))
+    return (_qualified(away.unionByName(home), "anchor").join(ranked.select("node", "rank"), "node")
+            .join(tops, "anchor").filter("rank < top").select("node", "anchor", "part"))
 
 
 def _parts(classes: DataFrame) -> np.ndarray:
@@ -365,14 +370,18 @@ def links(docs: DataFrame, classes: DataFrame, sketch: np.ndarray) -> DataFrame:
     comp = stage(connected_components(stage(inside.select(F.col("u").alias("src"), F.col("v").alias("dst")), "jaccard-inside")), "jaccard-tied")
     comp = comp.select("node", F.col("component").alias("comp"))
 
-    held = posted.join(seeds.select("nh", "node", "n", "cid", "cut0"), "nh").drop("nh")
+    held = posted.join(seeds.drop("anchor", "part"), "nh").drop("nh")
     seen = held.groupBy("token").agg(F.count(F.lit(1)).alias("seen"))
-    homes = (held.join(seen, "token").groupBy("node").agg(F.max(F.struct("seen", "token")).alias("home"), *[F.first(c).alias(c) for c in ("n", "cid", "cut0")])
-             .select("node", "n", "cid", F.col("home.token").alias("anchor"), F.pmod("cut0", F.ceil(F.col("home.seen") / GROUP)).cast("int").alias("part")))
+    shared = held.join(seen, "token").groupBy("node").agg(F.max(F.struct("seen", "token")).alias("most"), F.count(F.lit(1)).alias("tokens"))
+    homes = seeds.join(shared, "node").withColumn("close", F.col("tokens") >= _needed(F.col("n"), F.col("n")))
+    many = homes.filter("close").groupBy(F.col("most.token").alias("hub")).agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("hub_parts"))
+    homes = homes.withColumn("hub", F.when(F.col("close"), F.col("most.token"))).join(many, "hub", "left").select(
+        "node", "n", "cid", F.coalesce("hub", "anchor").alias("anchor"), F.coalesce(F.pmod("cut0", "hub_parts"), F.col("part")).cast("int").alias("part"))
     ranked = homes.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     size = comp.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
     ranked = stage(ranked.join(size, "comp", "left").select("node", "n", "cid", "anchor", "part", F.struct(F.coalesce("size", F.lit(1)).alias("size"), "comp").alias("rank")), "jaccard-ranked")
-    queries = queries_of(held.select("token", "node").join(ranked.drop("cid"), "node")).join(ranked.select("node", "cid"), "node")
+    queries = queries_of(held.select("token", "node").join(ranked.select("node", "n", "anchor", "rank"), "node"), ranked)
+    queries = queries.join(ranked.select("node", "cid"), "node")
     queries = stage(queries, "jaccard-queries")
     dealt = queries.groupBy("anchor", "part").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("salts"))
     members = (ranked.join(dealt, ["anchor", "part"])
@@ -407,8 +416,14 @@ def components(documents: DataFrame) -> DataFrame:
 
 def keep_one(documents: DataFrame) -> DataFrame:
     """The documents without those of a smaller doc_id's component, all columns
-    kept. Rows with a null doc_id cannot be told apart and stay."""
-    keep = components(documents).filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    named = documents.filter("doc_id is not null")
-    first = named.join(keep, named["doc_id"].cast("long") == keep["kept_id"], "left_semi").dropDuplicates(["doc_id"])
-    return first.unionByName(documents.filter("doc_id is null"))
+    kept; rows that repeat a doc_id leave one. Rows with a null doc_id cannot
+    be told apart and stay. Documents that a Bloom filter (fixed size) of the
+    ids in question does not know pass without a shuffle."""
+    found = stage(components(documents), "jaccard-components").filter("doc_id is not null")
+    judged = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.bool_and(F.col("doc_id") == F.col("component_id")).alias("first"))
+    asked = stage(judged.filter("rows > 1 or not first").select(F.col("doc_id").cast("string").alias("canonical"), "first"), "jaccard-asked")
+    probed = maybe_in(documents.withColumn("canonical", F.col("doc_id").cast("string")), "canonical", bloom(asked, KEEP_BLOCKS), KEEP_BLOCKS)
+    sure = probed.filter(~F.col("possible")).select(documents.columns)
+    rest = (probed.filter("possible").join(asked, "canonical", "left").filter(F.coalesce("first", F.lit(True)))
+            .dropDuplicates(["canonical"]).select(documents.columns))
+    return sure.unionByName(rest)

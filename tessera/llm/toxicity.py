@@ -44,7 +44,6 @@ FOLDS, HELD = 5, 0
 FIT_ROWS, TERMS, LEXICONS = 8000, 1500, 12
 _WORD = re.compile(rb"[A-Za-z\x80-\xff]+")
 _YOU = re.compile(rb"\b(you|your|du|dein|tu|vous|usted|eres)\b", re.I)
-_HASH = Memo(xxh64_intdigest)
 _MARKS = re.compile(rb"[!?]{2,}")
 
 
@@ -69,27 +68,30 @@ def signs(text: bytes) -> tuple[float, float, float]:
     return upper / max(1, upper + lower), marks / max(1, int(n[32]) + 1), float(bool(_YOU.search(text)))
 
 
-def shares(word_sets: list[set[bytes]]) -> list[float]:
+def shares(rows: list[bytes]) -> list[float]:
     """A row's weight among its near copies: one over the number of rows whose
     least word hash is the same, so that a family of copies counts as one."""
-    least = [min(map(_HASH.__getitem__, w), default=-1) for w in word_sets]
+    least = [min(map(xxh64_intdigest, r.split()), default=-1) for r in rows]
     many = Counter(least)
     return [1 / many[x] for x in least]
 
 
-def mine(word_sets: list[set[bytes]], y: np.ndarray, most: int = TERMS) -> list[tuple[bytes, float]]:
-    """Terms that toxic training rows have far more often than others, counted
-    by families: in ``least`` toxic ones and, smoothed, at 20 times the rate of
-    clean ones."""
-    weight, n, seen = shares(word_sets), [0.0, 0.0], (Counter(), Counter())
-    of = Memo(terms)
-    for words, label, x in zip(word_sets, y.tolist(), weight):
-        n[label] += x
-        count = seen[label]
-        for t in {t for w in words for t in of[w]}:
-            count[t] += x
-    least = max(2.5, 0.01 * n[1])
-    rate = {t: np.log(((c + 0.5) / (n[1] + 1)) / ((seen[0][t] + 0.5) / (n[0] + 1))) for t, c in seen[1].items() if c >= least}
+def mine(rows: list[bytes], y: np.ndarray, most: int = TERMS) -> list[tuple[bytes, float]]:
+    """Terms that toxic training rows (distinct words, space-joined) have far
+    more often than others, counted by families: in ``least`` toxic ones and,
+    smoothed, at 20 times the rate of clean ones. Clean rows are only asked
+    about the terms that toxic ones have often enough."""
+    weight, n, seen = shares(rows), [0.0, 0.0], (Counter(), Counter())
+    for label in (1, 0):
+        least = max(2.5, 0.01 * n[1])
+        asked = {t for t, c in seen[1].items() if c >= least}
+        of = Memo(lambda w: tuple(t for t in terms(w) if t in asked), 50_000)
+        for words, own, x in zip(rows, y.tolist(), weight):
+            if own == label:
+                n[label] += x
+                for t in {t for w in words.split() for t in (terms(w) if label else of[w])}:
+                    seen[label][t] += x
+    rate = {t: np.log(((seen[1][t] + 0.5) / (n[1] + 1)) / ((seen[0][t] + 0.5) / (n[0] + 1))) for t in asked}
     good = [(t, float(r)) for t, r in rate.items() if r > np.log(20) and seen[0][t] <= 0.1 * seen[1][t]]
     return sorted(good, key=lambda x: (-seen[1][x[0]] * x[1], x[0]))[:most]
 
@@ -103,7 +105,7 @@ class Voters:
         self.index = {t: k for k, (t, _) in enumerate(mined)}
         self.general = {w.encode() for w in GENERAL}
         # a word's mined terms, and whether the general lexicon has it
-        self.of = Memo(lambda w: (tuple(self.index[t] for t in terms(w) if t in self.index), w in self.general))
+        self.of = Memo(lambda w: (tuple(self.index[t] for t in terms(w) if t in self.index), w in self.general), 100_000)
 
     def __getstate__(self):
         return {"index": self.index, "general": self.general}
@@ -242,12 +244,12 @@ def fit(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> To
     rows = collect(sample(documents, labels, "toxic", FOLDS, HELD, fit_rows), _features,
                    "doc_id long, y int, words binary, signs array<double>")
     y = rows["y"].to_numpy(np.int64).clip(0, 1)
-    word_sets = [set(bytes(w).split()) for w in rows["words"]]
-    mined = mine(word_sets, y) if y.any() else []
+    words = [bytes(w) for w in rows["words"]]
+    mined = mine(words, y) if y.any() else []
     voters = Voters(mined)
     votes, hits = [], []
-    for words, sign in zip(word_sets, rows["signs"]):
-        v, h = voters(words, tuple(sign))
+    for row, sign in zip(words, rows["signs"]):
+        v, h = voters(set(row.split()), tuple(sign))
         votes.append(v)
         hits.append(h)
     if not len(y):  # nothing to learn from: one clean row, one that the general lexicon calls toxic

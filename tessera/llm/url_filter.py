@@ -69,6 +69,15 @@ def bloom(listed: DataFrame, blocks: int) -> DataFrame:
             .groupBy("block").agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(8)]))
 
 
+def maybe_in(df: DataFrame, key: str, filter_: DataFrame, blocks: int) -> DataFrame:
+    """``df`` with ``possible``: false only where column ``key`` is certainly
+    not in the filter (a null key never is)."""
+    block, bits = _place(F.col(key), blocks)
+    hit = reduce(lambda a, b: a & b, [F.col(f"w{i}").bitwiseAND(_bit(b)) != 0 for i, b in enumerate(bits)])
+    return (df.withColumn("block", block).join(F.broadcast(filter_), "block", "left")
+            .withColumn("possible", F.coalesce(hit, F.lit(False))).drop("block", *[f"w{i}" for i in range(8)]))
+
+
 def listed_by_host(pages: DataFrame, words=SPAM_WORDS) -> DataFrame:
     """The list of a crawl: canonical URLs, once each, of pages on hosts that
     carry one of ``words`` between dots or hyphens."""
@@ -87,12 +96,7 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules=RULES, blocks: int =
     p = pages.select("page_id", host.alias("host"), path.alias("path"))
     rule, action = rule_for(F.col("host"), F.col("path"), rules)
     p = p.withColumns({"rule": rule, "action": action, "canonical": canonical(F.col("host"), F.col("path"))})
-    block, bits = _place(F.col("canonical"), blocks)
-    probe = p.withColumns({"block": block})
-    hit = reduce(lambda a, b: a & b, [F.col(f"w{i}").bitwiseAND(_bit(b)) != 0 for i, b in enumerate(bits)])
-    probed = (probe.join(F.broadcast(bloom(listed, blocks)), "block", "left")
-              .withColumn("possible", F.col("rule").isNull() & F.coalesce(hit, F.lit(False)))
-              .select("page_id", "host", "path", "rule", "action", "canonical", "possible"))
+    probed = maybe_in(p, "canonical", bloom(listed, blocks), blocks).withColumn("possible", F.col("rule").isNull() & F.col("possible"))
     possible = probed.filter("possible")
     found = (possible.select("canonical").distinct().join(listed, "canonical")
              .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).withColumn("listed", F.lit(True)))
