@@ -422,8 +422,8 @@ def keep_one(documents: DataFrame) -> DataFrame:
     found = stage(components(documents), "jaccard-components").filter("doc_id is not null")
     judged = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.bool_and(F.col("doc_id") == F.col("component_id")).alias("first"))
     asked = stage(judged.filter("rows > 1 or not first").select(F.col("doc_id").cast("string").alias("canonical"), "first"), "jaccard-asked")
-    probed = maybe_in(documents.withColumn("canonical", F.col("doc_id").cast("string")), "canonical", bloom(asked, KEEP_BLOCKS), KEEP_BLOCKS)
-    sure = probed.filter(~F.col("possible")).select(documents.columns)
+    whole = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("string").alias("canonical"))
+    probed = maybe_in(whole, "canonical", bloom(asked, KEEP_BLOCKS), KEEP_BLOCKS)
     rest = (probed.filter("possible").join(asked, "canonical", "left").filter(F.coalesce("first", F.lit(True)))
-            .dropDuplicates(["canonical"]).select(documents.columns))
-    return sure.unionByName(rest)
+            .dropDuplicates(["canonical"]))
+    return probed.filter(~F.col("possible")).select("row.*").unionByName(rest.select("row.*"))

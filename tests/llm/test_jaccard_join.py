@@ -82,7 +82,7 @@ def test_on_the_tables(spark, sf_small):
 def test_keep_one(spark):
     t = "the quick brown fox jumps over the lazy dog"
     df = spark.createDataFrame([(2, t, "x"), (1, t.upper(), "y"), (1, t.upper(), "y"), (3, "other words are in here", "z"), (None, t, "n")],
-                               "doc_id long, text string, source string")
+                               "doc_id long, text string, source string").selectExpr("*", "1 as canonical", "true as possible", "2 as block", "3 as w0", "'r' as row")
     out = J.keep_one(df)
     assert out.columns == df.columns
     assert sorted((r.doc_id is None, r.doc_id, r.source) for r in out.collect()) == [(False, 1, "y"), (False, 3, "z"), (True, None, "n")]
