@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import credibility as C
 from ..functions.text import alnum_only
+from ..schemas import GOLD_DDL
 from ..session import cut_lineage
 from .upsert import BucketedTable
 
@@ -59,7 +60,7 @@ class GoldStore:
 
     def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
         self.spark = spark
-        self.gold = BucketedTable(spark, os.path.join(root, "gold"), "post_id", buckets)
+        self.gold = BucketedTable(spark, os.path.join(root, "gold"), "post_id", buckets, GOLD_DDL)
         self.archive = BucketedTable(spark, os.path.join(root, "gold_history"), "version_id", buckets)
 
     def run(self, results: DataFrame, as_of: Column, seq: int) -> None:

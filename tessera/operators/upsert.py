@@ -20,6 +20,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..schemas import checked
 from ..session import read_if_present
 
 BUCKET, VERSION = "bucket", "v"
@@ -52,8 +53,8 @@ class BucketedTable:
     """A Parquet table in shared storage, versioned by key hash bucket.
     ``buckets`` is a property of the table: size it to the data, and keep it."""
 
-    def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = 64):
-        self.spark, self.path, self.key, self.buckets = spark, path, key, buckets
+    def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = 64, ddl: str = ""):
+        self.spark, self.path, self.key, self.buckets, self.ddl = spark, path, key, buckets, ddl
 
     def _published(self) -> dict[int, int]:
         """bucket -> latest published version; ``buckets`` entries at most."""
@@ -89,7 +90,7 @@ class BucketedTable:
         if old is not None:
             old = old.withColumn(BUCKET, bucket_of(F.col(self.key), self.buckets))
         merged = merge(new, old, self.key, as_of=as_of, keep_first=keep_first)
-        merged.write.mode("overwrite").option("partitionOverwriteMode", "static") \
+        checked(merged, self.ddl).write.mode("overwrite").option("partitionOverwriteMode", "static") \
             .partitionBy(BUCKET).parquet(os.path.join(self.path, f"v={version}"))
         self._pending = (version, touched)
         return version

@@ -14,9 +14,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..catalog import Catalog
+from ..operators import dims as D
 from ..operators import silver as S
 from ..operators.upsert import BucketedTable, record_progress
 from ..sources import bronze as B
+from . import views as V
+from ..schemas import PROGRESS_DDL, SILVER_DDL
 from ..session import cut_lineage, shared_path
 
 # ---- fixed values of the events -> raw post mapping (shared with the oracle)
@@ -102,9 +105,9 @@ class Medallion:
         self.root = root or shared_path(spark, "medallion")
         self.bronze = os.path.join(self.root, "bronze")
         self.silver = BucketedTable(spark, os.path.join(self.root, "silver_posts"),
-                                    "post_id", buckets)
+                                    "post_id", buckets, SILVER_DDL)
         self.completed = BucketedTable(spark, os.path.join(self.root, "silver_progress"),
-                                       "source_dataset", buckets)
+                                       "source_dataset", buckets, PROGRESS_DDL)
         self.stream_files = BucketedTable(spark, os.path.join(self.root, "stream_files"),
                                           "file_key", buckets)
 
@@ -144,6 +147,18 @@ class Medallion:
         return self.silver.read()
 
 
+def backfill(med: Medallion, gold: DataFrame, as_of: Column) -> DataFrame:
+    """V8: the whole refresh after new datasets have landed: silver, the
+    profile dimension, dates, views; one row of counts."""
+    run = med.deduplicate_all(as_of)
+    posts = med.silver_posts()
+    profiles = D.dim_profile_from_posts(posts, as_of)
+    V.refresh_views(posts, profiles, D.dim_time(posts), gold)
+    return run.crossJoin(profiles.agg(  # one row each
+        F.count(F.lit(1)).alias("profiles"), F.count("follower_count").alias("profiles_with_followers"))) \
+        .select("posts_silvered", "profiles", "profiles_with_followers")
+
+
 def silver_view(silver: DataFrame) -> DataFrame:
     """Silver rows for output: VARIANT columns reduced to scalars."""
     return silver.select(

@@ -12,7 +12,7 @@ from ..functions.text import profile_url
 from ..operators import silver as S
 from ..sources import bronze as B
 from ..session import shared_path
-from .medallion import (Medallion, downloaded_at, in_memory_lines as _in_memory_lines,
+from .medallion import (Medallion, backfill, downloaded_at, in_memory_lines as _in_memory_lines,
                         land_events, raw_posts, silver_view)
 from .registry import query
 from .star import Star, captions
@@ -89,6 +89,14 @@ def _two_runs(spark, sf_dir):
     return m
 
 
+@query("backfill_summary")
+def q_backfill_summary(spark, sf_dir):
+    cat = Catalog(spark, sf_dir)
+    m = Medallion(spark)
+    land_events(spark, cat, root=m.bronze)
+    return backfill(m, Star(spark, sf_dir).gold(), _ts(RUN1_AT))
+
+
 @query("silver_after_failed_runs")
 def q_silver_after_failed_runs(spark, sf_dir):
     """A landing that stops before its manifest, and a silver run that stops

@@ -1,4 +1,8 @@
-"""Table schemas (DDL strings) of the engine's stored tables."""
+"""Table schemas (DDL strings) of the engine's stored tables; ``checked`` holds
+a table to its schema before it is written."""
+
+from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 RESOURCE_DDL = "struct<name:string,url:string,type:string,purpose:string>"
 
@@ -30,6 +34,16 @@ PROFILE_DDL = ("profile_key bigint, owner_id string, owner_username string, "
                "profile_category string, external_url string, related_profiles array<string>, "
                "effective_from timestamp_ntz, effective_to timestamp_ntz, is_current boolean")
 
-MANIFEST_DDL = ("dataset_id string, run_id string, actor string, item_count bigint, "
+MANIFEST_DDL = ("dataset_id string, landing string, run_id string, actor string, item_count bigint, "
                 "downloaded_at timestamp_ntz")
 PROGRESS_DDL = "source_dataset string, post_count bigint, completed_at timestamp_ntz"
+
+
+def checked(df: DataFrame, ddl: str) -> DataFrame:
+    """``df``, if it has the schema's columns in its types (more may follow); an error otherwise."""
+    have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    wrong = {f.name: (f.dataType.simpleString(), have.get(f.name)) for f in StructType.fromDDL(ddl).fields
+             if have.get(f.name) != f.dataType.simpleString()}
+    if wrong:
+        raise ValueError(f"columns (wanted, found): {wrong}")
+    return df

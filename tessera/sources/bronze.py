@@ -20,29 +20,18 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (LongType, StringType, StructField, StructType,
-                               TimestampNTZType)
 
 from ..functions.text import py_strip
+from ..schemas import MANIFEST_DDL, checked
 from ..session import read_if_present
 
-MANIFEST_SCHEMA = StructType([
-    StructField("dataset_id", StringType()),
-    StructField("landing", StringType()),
-    StructField("run_id", StringType()),
-    StructField("actor", StringType()),
-    StructField("item_count", LongType()),
-    StructField("downloaded_at", TimestampNTZType()),
-])
-
-
 def manifest_path(root: str) -> str:
     return os.path.join(root, "_manifest")
 
 
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:
-    found = read_if_present(lambda: spark.read.schema(MANIFEST_SCHEMA).parquet(manifest_path(root)))
-    return spark.createDataFrame([], MANIFEST_SCHEMA) if found is None else found
+    found = read_if_present(lambda: spark.read.schema(MANIFEST_DDL).parquet(manifest_path(root)))
+    return spark.createDataFrame([], MANIFEST_DDL) if found is None else found
 
 
 def dataset_of_path(path: Column) -> Column:
@@ -86,10 +75,10 @@ def land(lines: DataFrame, root: str, *, run_id: str = "", actor: str = "",
         ts = downloaded_at if downloaded_at is not None else F.localtimestamp()
         counts = written.select(dataset_of_path(F.col("_metadata.file_path")).alias("dataset_id"), "value") \
             .groupBy("dataset_id").agg(F.count_if(py_strip(F.col("value")) != "").alias("item_count"))
-        counts.select("dataset_id", F.lit(landing).alias("landing"), F.lit(run_id).alias("run_id"),
+        rows = counts.select("dataset_id", F.lit(landing).alias("landing"), F.lit(run_id).alias("run_id"),
                       F.lit(actor).alias("actor"), F.col("item_count").cast("bigint").alias("item_count"),
-                      ts.cast("timestamp_ntz").alias("downloaded_at")) \
-            .coalesce(1).write.mode("append").parquet(manifest_path(root))
+                      ts.cast("timestamp_ntz").alias("downloaded_at"))
+        checked(rows, MANIFEST_DDL).coalesce(1).write.mode("append").parquet(manifest_path(root))
     known = read_manifest(spark, root).select("dataset_id", "landing", "item_count")
     return (lines.select("dataset_id").distinct().join(known, "dataset_id", "left")
             .select("dataset_id", "item_count", (F.col("landing") != landing).alias("skipped")))

@@ -1,5 +1,5 @@
 """Column functions: bait detector, key coalescing, URLs, media rules,
-credibility codes, calendar (reference assertions + ledger cases)."""
+credibility codes, calendar ."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,11 +9,9 @@ from tessera.functions import media as M
 from tessera.functions import text as T
 from tessera.functions.calendar import calendar_columns, parse_ts
 
-BAIT_TRUE = ["comment GUIDE to get the link", "DM me for details", "link in bio",
-             "drop a comment below", "message me for the template", "COMMENT STEAL",
-             "comment GUIDE for link", "check the link", "dm", "comment été"]
-BAIT_FALSE = ["Here is a normal caption with useful info", "", "normal caption",
-              "Check this out", "commentary", "admin", None]
+BAIT_TRUE = ["Comment BREAD and I will send you the recipe", "dm me, I reply to all", "more on this: link in bio!",
+             "leave a comment with your town", "just message me about prices", "Comment YEAST", "you can check the link tonight", "send a DM"]
+BAIT_FALSE = ["We open at eight tomorrow", "", "the administrator called", "a long commentary on rye", "linked lists", None]
 
 
 def test_bait_detector(spark):
