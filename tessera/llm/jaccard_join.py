@@ -280,13 +280,16 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], names=["u", "v"])
 
 
-def _by_token(posted: DataFrame) -> DataFrame:
-    """(token, nh), once each, of tokens in two nodes or more. A hot token is
-    kept unseen, under salts: at most HOT rows of a token meet in a task."""
+def _by_node(posted: DataFrame) -> DataFrame:
+    """(nh, held): of each node the tokens that another node's prefix holds
+    too, with the number of postings of each. A hot token is kept unseen, under
+    salts (at most HOT postings of a token meet in a task), and counts as HOT."""
     salted = posted.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("nh"), F.lit(SALTS))).otherwise(0))
     together = Window.partitionBy("token", "salt")
-    return (salted.withColumn("least", F.min("nh").over(together)).withColumn("most", F.max("nh").over(together))
-            .filter("hot or least < most").select("token", "salt", "nh").distinct().drop("salt"))
+    shared = (salted.withColumn("least", F.min("nh").over(together)).withColumn("most", F.max("nh").over(together))
+              .withColumn("seen", F.when(F.col("hot"), HOT).otherwise(F.count(F.lit(1)).over(together)).cast("int"))
+              .filter("hot or least < most").select("token", "salt", "nh", "seen").distinct())
+    return shared.groupBy("nh").agg(F.collect_list(F.struct("token", "seen")).alias("held"))
 
 
 def _needed(n: Column, m: Column) -> Column:
@@ -310,10 +313,12 @@ def _qualified(counted: DataFrame, *group: str) -> DataFrame:
 
 
 def near_own(held: DataFrame) -> DataFrame:
-    """Nodes that their own group's bound lets through. ``held``: (token, node, n, anchor, part)."""
-    key = ["token", "anchor", "part"]
-    shared = held.groupBy(*key).agg(F.count(F.lit(1)).alias("nodes"), F.min("n").alias("least"), F.max("n").alias("most")).filter("nodes > 1")
-    return _qualified(held.join(shared, key).withColumn("tokens", F.lit(1)), "anchor", "part").select("node")
+    """Nodes (nh) that their own group's bound lets through. ``held``: (token,
+    node, n, anchor, part); a part of a group is bounded, so are the windows."""
+    together = Window.partitionBy("token", "anchor", "part")
+    shared = held.select("*", F.count(F.lit(1)).over(together).alias("nodes"), F.min("n").over(together).alias("least"),
+                         F.max("n").over(together).alias("most"), F.lit(1).alias("tokens")).filter("nodes > 1")
+    return _qualified(shared, "anchor", "part").select("node")
 
 
 def queries_of(held: DataFrame, ranked: DataFrame) -> DataFrame:
@@ -358,30 +363,35 @@ def links(docs: DataFrame, classes: DataFrame, sketch: np.ndarray) -> DataFrame:
     parts = _parts(classes)
     cut = np.flatnonzero(parts > 1)
     of_bin = spark.createDataFrame([(int(k), int(parts[k])) for k in cut], "bin int, parts int")
-    posted = stage(_by_token(prefixes(docs, sketch)), "jaccard-postings")
+    posted = stage(_by_node(prefixes(docs, sketch)), "jaccard-postings")
     # 2^BIN_BITS rows at most: bounded for a broadcast
-    seeds = (classes.join(posted.select("nh").distinct(), "nh", "left_semi").join(F.broadcast(of_bin), "bin", "left")
-             .select("nh", "node", "n", "cid", "cut0", "anchor", F.pmod("cut0", F.coalesce("parts", F.lit(1))).cast("int").alias("part")))
+    seeds = (classes.join(posted, "nh").join(F.broadcast(of_bin), "bin", "left")
+             .select("nh", "node", "n", "cid", "cut0", "held", "anchor", F.pmod("cut0", F.coalesce("parts", F.lit(1))).cast("int").alias("part")))
     seeds = stage(seeds, "jaccard-seeds")
-    near = near_own(posted.join(seeds.select("nh", "node", "n", "anchor", "part"), "nh").drop("nh"))
-    near = stage(seeds.select("node", "cid").join(near, "node", "left_semi"), "jaccard-near")
+    # below, a node goes by its short hash: nodes that share one would only be compared more often
+    near = near_own(seeds.select(F.col("nh").alias("node"), "n", "anchor", "part", F.explode("held.token").alias("token")))
+    near = stage(seeds.select("nh", "cid").join(near.withColumnRenamed("node", "nh"), "nh", "left_semi"), "jaccard-near")
     order = ["anchor", "part", "way"]
     inside = node_sets(docs, near.select("cid"), parts).repartition(*order).sortWithinPartitions(*order).mapInArrow(_within, "u binary, v binary")
     comp = stage(connected_components(stage(inside.select(F.col("u").alias("src"), F.col("v").alias("dst")), "jaccard-inside")), "jaccard-tied")
     comp = comp.select("node", F.col("component").alias("comp"))
 
-    held = posted.join(seeds.drop("anchor", "part"), "nh").drop("nh")
-    seen = held.groupBy("token").agg(F.count(F.lit(1)).alias("seen"))
-    shared = held.join(seen, "token").groupBy("node").agg(F.max(F.struct("seen", "token")).alias("most"), F.count(F.lit(1)).alias("tokens"))
-    homes = seeds.join(shared, "node").withColumn("close", F.col("tokens") >= _needed(F.col("n"), F.col("n")))
-    many = homes.filter("close").groupBy(F.col("most.token").alias("hub")).agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("hub_parts"))
-    homes = homes.withColumn("hub", F.when(F.col("close"), F.col("most.token"))).join(many, "hub", "left").select(
-        "node", "n", "cid", F.coalesce("hub", "anchor").alias("anchor"), F.coalesce(F.pmod("cut0", "hub_parts"), F.col("part")).cast("int").alias("part"))
+    hub = F.array_max(F.transform("held", lambda x: F.struct(x["seen"], x["token"])))["token"]
+    close = F.size("held") >= _needed(F.col("n"), F.col("n"))
+    homes = seeds.withColumn("hub", F.when(close, hub))
+    many = homes.filter("hub is not null").groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("hub_parts"))
+    # no key is null: nulls would all meet in one task
+    homes = homes.withColumn("key", F.coalesce("hub", "nh")).join(many.withColumnRenamed("hub", "key"), "key", "left").select(
+        "nh", "node", "n", "cid", F.col("held.token").alias("tokens"), F.coalesce("hub", "anchor").alias("anchor"),
+        F.when(F.col("hub").isNotNull(), F.pmod("cut0", "hub_parts")).otherwise(F.col("part")).cast("int").alias("part"))
     ranked = homes.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     size = comp.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
-    ranked = stage(ranked.join(size, "comp", "left").select("node", "n", "cid", "anchor", "part", F.struct(F.coalesce("size", F.lit(1)).alias("size"), "comp").alias("rank")), "jaccard-ranked")
-    queries = queries_of(held.select("token", "node").join(ranked.select("node", "n", "anchor", "rank"), "node"), ranked)
-    queries = queries.join(ranked.select("node", "cid"), "node")
+    ranked = stage(ranked.join(size, "comp", "left").select(
+        "nh", "node", "n", "cid", "tokens", "anchor", "part",
+        F.struct(F.coalesce("size", F.lit(1)).cast("int").alias("size"), F.xxhash64("comp").alias("comp")).alias("rank")), "jaccard-ranked")
+    held = ranked.select(F.col("nh").alias("node"), "n", "anchor", "rank", F.explode("tokens").alias("token"))
+    queries = queries_of(held, ranked.select(F.col("nh").alias("node"), "anchor", "part", "rank"))
+    queries = queries.withColumnRenamed("node", "nh").join(ranked.select("nh", "node", "cid"), "nh").drop("nh")
     queries = stage(queries, "jaccard-queries")
     dealt = queries.groupBy("anchor", "part").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("salts"))
     members = (ranked.join(dealt, ["anchor", "part"])
@@ -409,9 +419,9 @@ def components(documents: DataFrame) -> DataFrame:
     named = classes.select("node", "cid").join(comp, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("cid").alias("component_id"))
     named = named.select("node", "label").join(least, "label").select("node", "component_id")
-    return (own.select("doc_id", "n", "node").join(named, "node", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+    own = own.select("doc_id", F.col("n").alias("n_shingles"), "node")
+    return (own.filter("node is not null").join(named, "node").select("doc_id", "n_shingles", "component_id")
+            .unionByName(own.filter("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))))
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
