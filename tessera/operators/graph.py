@@ -49,27 +49,35 @@ def related_edges(profiles: DataFrame, current: DataFrame) -> DataFrame:
 
 
 def pagerank(edges: DataFrame, iterations: int = 10, damping: float = 0.85,
-             checkpoint_every: int = 3) -> DataFrame:
+             checkpoint_every: int = 3, hub_edges: int = 100_000) -> DataFrame:
     """PR(v) = (1-d)/N + d * sum over u->v of PR(u)/outdeg(u), from a
-    uniform start; rank of dangling nodes is not redistributed."""
+    uniform start; rank of dangling nodes is not redistributed (as specified).
+
+    Edges are dealt by source once and kept; a round moves ranks only. The
+    edges of a source with more than ``hub_edges`` are cut into parts by
+    target, and its rank goes to each part."""
     e = edges.select("src", "dst").distinct()
-    nodes = e.select(F.col("src").alias("node")).union(e.select(F.col("dst").alias("node"))) \
-        .distinct()
-    nodes = cut_lineage(nodes)
+    out = e.groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("deg"))
+    nodes = e.select(F.col("src").alias("node")).union(e.select(F.col("dst").alias("node"))).distinct()
+    nodes = cut_lineage(nodes.join(out, "node", "left").select(
+        "node", "deg", F.ceil(F.coalesce("deg", F.lit(1)) / hub_edges).cast("int").alias("parts")))
     n = nodes.count()
-    out = e.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
-    e = cut_lineage(e.join(out, "src"))
+    e = (e.join(nodes.select(F.col("node").alias("src"), "deg", "parts"), "src")
+         .select("src", F.pmod(F.xxhash64("dst"), F.col("parts")).cast("int").alias("part"), "dst", "deg"))
+    e = cut_lineage(e).repartition("src", "part").persist()
     ranks = nodes.withColumn("rank", F.lit(1.0 / n))
     for i in range(iterations):
-        contrib = e.join(ranks.withColumnRenamed("node", "src"), "src") \
-            .groupBy(F.col("dst").alias("node")) \
+        sent = ranks.filter("deg is not null").select(
+            F.col("node").alias("src"), "rank", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+        contrib = e.join(sent, ["src", "part"]).groupBy(F.col("dst").alias("node")) \
             .agg(F.sum(F.col("rank") / F.col("deg")).alias("c"))
         ranks = nodes.join(contrib, "node", "left").select(
-            "node", (F.lit((1 - damping) / n) + F.lit(damping) * F.coalesce("c", F.lit(0.0)))
-            .alias("rank"))
-        if (i + 1) % checkpoint_every == 0:
+            "node", "deg", "parts",
+            (F.lit((1 - damping) / n) + F.lit(damping) * F.coalesce("c", F.lit(0.0))).alias("rank"))
+        if (i + 1) % checkpoint_every == 0 or i + 1 == iterations:
             ranks = cut_lineage(ranks)
-    return ranks
+    e.unpersist()
+    return ranks.select("node", "rank")
 
 
 def _undirected(edges: DataFrame) -> DataFrame:
