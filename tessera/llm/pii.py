@@ -356,8 +356,8 @@ def masked(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 
 def redact(documents: DataFrame, fit_windows: int = FIT_WINDOWS) -> DataFrame:
-    """All documents and columns, personal data masked in ``text``, and
-    ``n_chars``, where there is one, the new length."""
+    """All documents and columns, personal data masked in ``text`` until no
+    base pattern matches, and ``n_chars``, where there is one, the new length."""
     shared = documents.sparkSession.sparkContext.broadcast(fit(documents, fit_windows))
 
     def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -366,6 +366,8 @@ def redact(documents: DataFrame, fit_windows: int = FIT_WINDOWS) -> DataFrame:
             some = [k for k, t in enumerate(raw) if t and _TRIGGER.search(t.encode())]
             for k, (base, added) in zip(some, find_all([raw[k] for k in some], shared.value)):
                 raw[k] = masked(raw[k], base + added)
+                while left := base_spans(raw[k]):  # what a masked neighbour had hidden; each turn masks digits or an @
+                    raw[k] = masked(raw[k], left)
             yield b.set_column(b.schema.get_field_index("text"), b.schema.field("text"), pa.array(raw, pa.string()).cast(b.schema.field("text").type))
 
     out = documents.mapInArrow(mask, documents.schema)

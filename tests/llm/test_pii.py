@@ -90,9 +90,11 @@ def test_query_shape_and_added_spans(spark):
 
 
 def test_redact(spark):
-    df = spark.createDataFrame([(1, "x a@b.com y +1 (306) 555-1428", 29), (2, None, 0), (3, "no data", 7)], "doc_id long, text string, n_chars long")
+    df = spark.createDataFrame([(1, "x a@b.com y +1 (306) 555-1428", 29), (2, None, 0), (3, "no data", 7),
+                                (4, "71.129.171.132 4539578763621486", 31)], "doc_id long, text string, n_chars long")
     rows = {r.doc_id: r for r in P.redact(df, fit_windows=50).collect()}
     assert rows[1].text == "x <EMAIL> y <PHONE>" and rows[1].n_chars == len(rows[1].text)
+    assert rows[4].text == "<IP> <CARD>"
     assert rows[2].text is None and rows[3].text == "no data"
     assert P.personal_data(df.limit(0)).collect() == []
 
