@@ -327,8 +327,8 @@ def queries_of(held: DataFrame, ranked: DataFrame) -> DataFrame:
     together hold enough of the query's tokens. ``held``: (token, node, n,
     anchor, rank); ``ranked``: (node, anchor, part, rank)."""
     key = ["token", "anchor"]
-    at_groups = held.groupBy(*key).agg(F.count(F.lit(1)).alias("nodes"), F.max("rank").alias("top"), F.min("rank").alias("low"),
-                                       F.min("n").alias("least"), F.max("n").alias("most"))
+    at_groups = stage(held.groupBy(*key).agg(F.count(F.lit(1)).alias("nodes"), F.max("rank").alias("top"), F.min("rank").alias("low"),
+                                             F.min("n").alias("least"), F.max("n").alias("most")), "jaccard-at-groups")
     # tokens of the same groups ask the same: they are taken together, with their number
     asks = at_groups.groupBy("token").agg(F.bit_xor(F.xxhash64("anchor")).alias("ask"), F.count(F.lit(1)).alias("groups"),
                                           F.max("top").alias("over"), F.min("low").alias("under"))
@@ -391,10 +391,12 @@ def links(docs: DataFrame, classes: DataFrame, sketch: np.ndarray) -> DataFrame:
         F.struct(F.coalesce("size", F.lit(1)).cast("int").alias("size"), F.xxhash64("comp").alias("comp")).alias("rank")), "jaccard-ranked")
     held = ranked.select(F.col("nh").alias("node"), "n", "anchor", "rank", F.explode("tokens").alias("token"))
     queries = queries_of(held, ranked.select(F.col("nh").alias("node"), "anchor", "part", "rank"))
-    queries = queries.withColumnRenamed("node", "nh").join(ranked.select("nh", "node", "cid"), "nh").drop("nh")
+    queries = queries.withColumnRenamed("node", "nh").join(ranked.select("nh", "node", "n", "cid"), "nh").drop("nh")
     queries = stage(queries, "jaccard-queries")
-    dealt = queries.groupBy("anchor", "part").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("salts"))
-    members = (ranked.join(dealt, ["anchor", "part"])
+    dealt = queries.groupBy("anchor", "part").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("salts"),
+                                                  F.min("n").alias("least"), F.max("n").alias("most"))
+    fits = (F.lit(100) * F.col("n") >= F.lit(PERCENT) * F.col("least")) & (F.lit(100) * F.col("most") >= F.lit(PERCENT) * F.col("n"))
+    members = (ranked.join(dealt, ["anchor", "part"]).filter(fits)  # others are too small or too large for any query
                .select("node", "cid", "anchor", "part", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(True).alias("member")))
     asking = (queries.join(dealt, ["anchor", "part"])
               .select("node", "cid", "anchor", "part", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt"), F.lit(False).alias("member")))
