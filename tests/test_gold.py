@@ -40,42 +40,37 @@ def test_queue_cases(spark):
     assert [r.post_id for r in pending_for_ids(posts, empty_gold, ids).collect()] == ["p2"]
 
 
-def test_backoff_policy():
-    assert [EN.backoff(EN.RateLimited(), a) for a in (1, 2, 3, 4)] == [60, 120, 240, 480]
-    assert [EN.backoff(EN.Unavailable(), a) for a in (1, 2, 3, 4)] == [10, 20, 30, 40]
-    assert EN.backoff(json.JSONDecodeError("x", "", 0), 1) == 3
-    assert EN.backoff(ValueError(), 1) is None
-
-
-def test_call_with_retries():
-    slept = []
-    calls = {"n": 0}
-
+def test_attempts():
     def flaky(post):
-        calls["n"] += 1
-        if calls["n"] < 3:
+        if post["_attempt"] < 3:
             raise EN.Unavailable()
-        return '{"domain": "x"}'
-
-    res, attempts, s = EN.call_with_retries(flaky, {"post_id": "p"}, slept.append)
-    assert res == {"domain": "x"} and attempts == 3 and slept == [10, 20] and s == 30
+        return json.dumps({"domain": "x"})
 
     def always(post):
         raise EN.RateLimited()
 
-    res, attempts, s = EN.call_with_retries(always, {"post_id": "p"}, lambda _: None)
-    assert res is None and attempts == 4 and s == 60 + 120 + 240
-
-
-def test_token_bucket_budget():
-    t = [0.0]
-    b = EN.TokenBucket(14, 0.0, lambda: t[0], lambda s: t.__setitem__(0, t[0] + s), 1)
-    waits = [b.acquire() for _ in range(16)]
-    assert waits[:14] == [0.0] * 14  # starts full
-    assert waits[14] > 0 and abs(t[0] - 2 * 60 / 14) < 1e-6
-    # long simulated runs must not stall on float precision
-    t[0] = 1e9
-    assert all(b.acquire() >= 0 for _ in range(1000))
+    def broken(post):
+        raise ValueError("no such field")
+
+    assert EN.attempt(flaky, {"post_id": "p"}) == ({"domain": "x"}, 3)
+    assert EN.attempt(always, {}) == (None, 4)
+    assert EN.attempt(lambda post: "{oops" if post["_attempt"] == 1 else "{}", {}) == ({}, 2)
+    assert EN.attempt(broken, {}) == (None, 1)
+
+
+def test_overwritten_documents_go_to_the_history(spark, tmp_path):
+    store = G.GoldStore(spark, str(tmp_path / "gold"), buckets=2)
+    first = _gold(spark, [("a", 3, "analysed", '{"domain": "one"}', None, 1), ("b", 3, "analysed", '{"domain": "two"}', None, 1),
+                          ("c", 3, "failed", None, "timeout", 1)])
+    store.gold.upsert(first, as_of=F.lit("2024-01-01"), keep_first=())
+    results = spark.createDataFrame([("a", "analysed", '{"domain": "new"}', None), ("b", "failed", None, "gemini_failed"),
+                                     ("c", "analysed", '{"domain": "late"}', None)], "post_id string, status string, result_json string, error string")
+    store.run(results, F.lit("2024-02-02"), 0)
+    assert [(r.post_id, r.result.domain) for r in store.history().collect()] == [("a", "one")]
+    now = {r.post_id: (r.status, r.result.domain, r.attempts) for r in store.gold.read().collect()}
+    assert now == {"a": ("analysed", "new", 2), "b": ("failed", "two", 2), "c": ("analysed", "late", 2)}
+    store.run(results.filter("post_id = 'a'"), F.lit("2024-03-03"), 1)
+    assert sorted((r.seq, r.result.domain) for r in store.history().collect()) == [(0, "one"), (1, "new")]
 
 
 def test_enrich_and_apply_run(spark):

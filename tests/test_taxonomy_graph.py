@@ -85,19 +85,25 @@ def test_exact_quantiles(spark):
             assert abs(got[(g, p)] - float(np.quantile(vals, p))) < 1e-9
 
 
-def test_trigram_embedding_pairs_brute_force(spark):
-    terms = ["Image Gen", " image gen ", "image generation", "react", "reactjs", "vue"]
-    t = spark.createDataFrame([(i + 1, "topic", s) for i, s in enumerate(terms)],
-                              "term_id long, term_type string, raw_value string")
-    emb = TX.trigram_embedder(128)
-    e = TX.embed_terms(t, emb, 128, partitions=2)
-    got = {(r.id_a, r.id_b): round(r.cosine, 9) for r in
-           TX.similar_pairs(TX.unit_vectors(e, "term_id", "embedding", "term_type"), 0.5).collect()}
-    vecs = emb(terms)
-    want = {}
-    for i in range(len(terms)):
-        for j in range(i + 1, len(terms)):
-            c = float(np.dot(vecs[i], vecs[j]))
-            if c >= 0.5:
-                want[(i + 1, j + 2 - 1)] = round(c, 9)
-    assert got == want and got[(1, 2)] == 1.0
+def test_similar_pairs_over_many_tiles(spark):
+    r = np.random.default_rng(4)
+    centres = r.normal(size=(6, 16))
+    v = centres[r.integers(0, 6, 90)] + r.normal(scale=0.25, size=(90, 16))
+    rows = [(i, [float(x) for x in v[i]], int(i % 2)) for i in range(90)]
+    u = TX.unit_vectors(spark.createDataFrame(rows, "id long, e array<double>, label int"), "id", "e", "label")
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    for threshold in (0.9, 0.5):
+        got = {(p.id_a, p.id_b) for p in TX.similar_pairs(u, threshold, tile=8).collect()}
+        assert got == {(i, j) for i in range(90) for j in range(i + 1, 90) if i % 2 == j % 2 and unit[i] @ unit[j] >= threshold}
+
+
+def test_long_path_is_one_component(spark):
+    e = spark.createDataFrame([(i, i + 1) for i in range(200)], "src long, dst long")
+    assert {r.component for r in GR.connected_components(e).collect()} == {0}
+
+
+def test_pagerank_is_the_same_with_hubs_cut(spark):
+    e = spark.createDataFrame([(0, i) for i in range(1, 30)] + [(i, 0) for i in range(1, 20)] + [(3, 4)], "src long, dst long")
+    plain = {r.node: r.rank for r in GR.pagerank(e, 5).collect()}
+    cut = {r.node: r.rank for r in GR.pagerank(e, 5, hub_edges=4).collect()}
+    assert plain.keys() == cut.keys() and all(abs(plain[k] - cut[k]) < 1e-12 for k in plain)
