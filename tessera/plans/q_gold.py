@@ -13,6 +13,7 @@ from ..operators import dims as D
 from ..operators import silver as S
 from ..operators.queue import pending_queue, pending_for_ids
 from ..session import shared_path
+from ..sources.details import read_details
 from . import views as V
 from .registry import query
 from .star import Star
@@ -184,12 +185,7 @@ def _details_records(spark, cat):
     path = shared_path(spark, "details")
     out.repartitionByRange(4, "c_custkey", "k").sortWithinPartitions("c_custkey", "k") \
         .select(F.col("line").alias("value")).write.text(path)
-    raw = spark.read.text(path).select(
-        F.parse_json("value").alias("v"),  # strict: a bad line fails the import
-        F.struct(F.col("_metadata.file_name"), F.col("_metadata.file_block_start"),
-                 F.monotonically_increasing_id()).alias("line_no"))
-    return raw.select(F.variant_get("v", "$", D.DETAILS_TYPE).alias("r"), "line_no") \
-        .select("r.*", "line_no")
+    return read_details(spark, path)
 
 
 @query("details_import_filter")

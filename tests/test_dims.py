@@ -68,3 +68,16 @@ def test_scd2_merge_invariants(spark):
     assert sorted(r.profile_key for r in cur) == [2, 3, 4]  # keys continue after MAX
     only_known = D.scd2_merge(dim, staged, at, restrict_to=dim)
     assert only_known.filter("owner_id = '9'").count() == 0
+
+
+def test_details_reader_fails_on_bad_lines_and_missing_files(spark, tmp_path):
+    import pytest
+    from tessera.sources.details import read_details
+    good, bad = tmp_path / "good.jsonl", tmp_path / "bad.jsonl"
+    good.write_text('{"id": 5, "username": "mill", "followersCount": 3}\n\n{"id": 5, "username": "mill", "followersCount": 4}\n')
+    bad.write_text('{"id": 5}\n{"id": \n')
+    staged, _ = D.details_import(read_details(spark, str(good)))
+    assert [(r.owner_id, r.follower_count) for r in staged.collect()] == [("5", 4)]
+    for path in (bad, tmp_path / "none.jsonl"):
+        with pytest.raises(Exception):
+            read_details(spark, str(path)).collect()

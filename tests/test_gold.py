@@ -3,7 +3,6 @@ assertions: none, ids, skip analysed, retry failed, max_posts, zero)."""
 
 import json
 
-import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import enrich as EN

@@ -5,7 +5,6 @@ import math
 import random
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from tessera.operators import graph as GR
 from tessera.operators import taxonomy as TX
