@@ -87,9 +87,3 @@ def pieces(text: bytes, most: int = 1 << 20) -> Iterator[bytes]:
         yield text[at:min(ends)]
         at = min(ends)
     yield text[at:] if at else text
-
-
-def columns_of(batches: Iterator[pa.RecordBatch], *names: str):
-    """Python lists of the named columns, batch by batch."""
-    for b in batches:
-        yield tuple(b.column(n).to_pylist() for n in names)

@@ -75,12 +75,6 @@ def shingle_set(text: bytes, n: int = WORDS) -> np.ndarray:
     return np.unique(key)
 
 
-def _binary(values: np.ndarray, width: int) -> pa.Array:
-    """Rows of a uint8 matrix as a binary column."""
-    offsets = np.arange(len(values) + 1, dtype=np.int32) * width
-    return pa.Array.from_buffers(pa.binary(), len(values), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
-
-
 def _mixed(key: np.ndarray) -> np.ndarray:
     key = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     return (key ^ (key >> np.uint64(31))) * np.uint64(0xC2B2AE3D27D4EB4F)
