@@ -87,3 +87,16 @@ def pieces(text: bytes, most: int = 1 << 20) -> Iterator[bytes]:
         yield text[at:min(ends)]
         at = min(ends)
     yield text[at:] if at else text
+
+
+_HELD: dict = {}
+
+
+def held(name, make: Callable):
+    """What an operator keeps in a Python worker between tasks (caches, a
+    vocabulary). A worker serves one operator after another: what the last one
+    kept goes first, so the sizes do not add up."""
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = make()
+    return _HELD[name]

@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest, xxh64_intdigest
 
 from ..operators.graph import connected_components
-from .base import Memo, batch, in_small_batches, pieces, stage, texts, utf8
+from .base import Memo, batch, held, in_small_batches, pieces, stage, texts, utf8
 from .url_filter import bloom, maybe_in
 
 WORDS, PERCENT = 4, 85
@@ -56,12 +56,12 @@ GROUP, QUERIES, HOT, SALTS = 256, 256, 10_000, 64
 SKETCH_BITS, SKETCH_BLOCKS = 20, 16
 BLOOM_BITS, BIN_BITS = 26, 20
 KEEP_BLOCKS = 1 << 17
-_HASHES = Memo(xxh64_intdigest)
 
 
 def shingle_set(text: bytes, n: int = WORDS) -> np.ndarray:
     """Sorted distinct hashes of a text's shingles."""
-    parts = [np.fromiter(map(_HASHES.__getitem__, w), np.uint64, len(w))
+    hashes = held("shingles", lambda: Memo(xxh64_intdigest))
+    parts = [np.fromiter(map(hashes.__getitem__, w), np.uint64, len(w))
              for w in (p.lower().split() for p in pieces(text))]  # bytes: A-Z, and the six ASCII white spaces
     h = parts[0] if len(parts) == 1 else np.concatenate(parts)
     if not len(h):

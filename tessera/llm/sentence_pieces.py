@@ -37,12 +37,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import Memo, in_small_batches, stage, texts
+from .base import Memo, held, in_small_batches, stage, texts
 
 CHUNK = 32768
 SPACE = "▁"
 NEVER = -np.inf
-_VOCABULARIES: dict[str, "Vocabulary"] = {}
 
 
 class Vocabulary:
@@ -192,9 +191,7 @@ class Vocabulary:
 
 def vocabulary(path: str) -> Vocabulary:
     """One vocabulary per file and Python worker."""
-    if path not in _VOCABULARIES:
-        _VOCABULARIES[path] = Vocabulary(path)
-    return _VOCABULARIES[path]
+    return held(("pieces", path), lambda: Vocabulary(path))
 
 
 def prepared(text: str) -> str:

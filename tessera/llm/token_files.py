@@ -37,14 +37,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .base import in_small_batches, shared_path, stage, texts
+from .base import held, in_small_batches, shared_path, stage, texts
 
 #: Fixed values of the zstandard frame and seekable formats.
 SKIPPABLE_SEEK, SKIPPABLE_INDEX, SEEKABLE_FOOTER = 0x184D2A5E, 0x184D2A51, 0x8F92EAB1
 #: An empty skippable frame (magic 0x184D2A50, length 0); all its bytes are ASCII.
 SEPARATOR = "P*M\x18\0\0\0\0"
 END_ID = 1
-_ENCODERS: dict[str, "WordEncoder"] = {}
 
 
 class WordEncoder:
@@ -88,9 +87,7 @@ class WordEncoder:
 
 def encoder(path: str) -> WordEncoder:
     """One encoder per tokenizer file and Python worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    return held(("ids", path), lambda: WordEncoder(path))
 
 
 def skippable(magic: int, payload: bytes) -> bytes:
