@@ -301,8 +301,10 @@ def _qualified(counted: DataFrame, *group: str) -> DataFrame:
     n = F.col("n")
     low = F.greatest("least", F.ceil(F.lit(PERCENT) * n / 100))
     high = F.least("most", F.floor(F.lit(100) * n / PERCENT))
-    # what is needed grows up to a member of the query's own size and falls after it: it is least at an end
-    return (each.filter((low <= high) & (F.col("tokens") >= F.least(_needed(n, low), _needed(n, high))))
+    # what is needed grows up to a member of the query's own size and then falls by PERCENT^2 / (100 (100 + PERCENT))
+    # a size, give or take the two ceilings, which move it by less than 2: it is least at the low end, or so near the high one
+    near = -(-200 * (100 + PERCENT) // PERCENT**2)
+    return (each.filter((low <= high) & (F.col("tokens") >= F.least(_needed(n, low), *(_needed(n, F.greatest(low, high - k)) for k in range(near)))))
             .select("node", *group))
 
 

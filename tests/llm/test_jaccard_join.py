@@ -86,3 +86,33 @@ def test_keep_one(spark):
     out = J.keep_one(df)
     assert out.columns == df.columns
     assert sorted((r.doc_id is None, r.doc_id, r.source) for r in out.collect()) == [(False, 1, "y"), (False, 3, "z"), (True, None, "n")]
+
+
+def test_group_bound_holds_for_sizes_between_the_ends(spark):
+    """x links with y (23 of 27) and shares one prefix token with the group of y, z and w."""
+    c, y = [f"c{i}" for i in range(1, 24)], ["y1", "y2", "y3"]
+    sets = {"x": c + ["u"], "y": y + c, "z": ["z1"] + y + c, "w": y + c[:22]}  # in the order of tokens
+    assert 100 * len(set(c)) >= 85 * len(set(sets["x"]) | set(sets["y"]))
+    prefix = {k: s[:len(s) - -(-85 * len(s) // 100) + 1] for k, s in sets.items()}
+    ids = {t: i for i, t in enumerate(sets["z"] + ["u"])}
+    rows = [(ids[t], k, len(sets[k])) for k in sets for t in prefix[k]]
+    held = spark.createDataFrame(rows, "token long, node string, n int")
+    own = held.selectExpr("token", "node", "n", "1L as anchor", "0 as part")
+    assert "x" in {r.node for r in J.near_own(own).collect()}
+    asked = held.selectExpr("token", "node", "n", "if(node = 'x', 1L, 2L) as anchor", "if(node = 'x', struct(1 as size, 0L as comp), struct(3 as size, 1L as comp)) as rank")
+    ranked = asked.selectExpr("node", "anchor", "0 as part", "rank").distinct()
+    assert ("x", 2) in {(r.node, r.anchor) for r in J.queries_of(asked, ranked).collect()}
+
+
+def test_group_bound_is_the_least_need(spark):
+    def needed(n, m):
+        return -(-85 * (n + m) // 185) - -(-85 * max(n, m) // 100) + 1
+    rows, want = [], set()
+    for n in range(1, 150):
+        low, high = -(-85 * n // 100), 100 * n // 85
+        for a, b in ((low, high), (n, high), (low, n), ((low + n) // 2, (n + high) // 2)):
+            least = min(needed(n, m) for m in range(a, b + 1))
+            rows += [(f"{n}-{a}-{b}-{t}", n, 1, t, a, b) for t in (least, least - 1)]
+            want.add(f"{n}-{a}-{b}-{least}")
+    counted = spark.createDataFrame(rows, "node string, n int, g int, tokens int, least int, most int").distinct()
+    assert {r.node for r in J._qualified(counted, "g").collect()} == want
