@@ -7,10 +7,11 @@ three back, the last two together; the second layer's are hashed with the
 class), and in a bucket add-one counts of its words. All layers start at the
 corpus counts, so the untrained model is the unigram one.
 
-Counts cover every training document. Training makes ``rounds`` passes; in a
-pass each task takes gradient steps over its own share of positions (every
-``every``-th of each training document, another residue each round), and the
-tasks' updates, weighted by their positions, are averaged block by block into
+Counts and training cover every position of every training document. Training
+makes ``rounds`` passes; in a pass each task takes gradient steps over its own
+documents (every ``rounds``-th position of each, from a hash of its doc_id on,
+another residue each round: all rounds together take each position once), and
+the tasks' updates, weighted by their positions, are averaged block by block into
 the next model. The model's size is fixed. Scoring is one pass in numpy
 batches; counts of the most frequent ``HOT`` words (each ``HOT_BYTES`` at most)
 are broadcast with the model, the others are joined by word.
@@ -40,7 +41,7 @@ FOLDS, HELD = 7, 2
 CLASSES, MEMBERS = 32, 32
 CLASS_ROWS, MEMBER_ROWS, FEATURES = 1 << 11, 1 << 12, 4
 HOT, HOT_BYTES = 1 << 16, 64
-ROUNDS, EVERY = 2, 16
+ROUNDS = 2
 END = b"\n"  # no word holds a line end
 BLOCKS = 16
 
@@ -150,7 +151,14 @@ def _training_counts(docs: DataFrame) -> DataFrame:
     return train.mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def _round(docs: DataFrame, model: MaxEnt, turn: int, every: int) -> MaxEnt:
+def share(text: bytes, doc_id: int | None, turn: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """(features, buckets) of the positions of a document that a round trains on."""
+    h = hashes(tokens(text))
+    first = (turn + zlib.crc32(str(doc_id).encode())) % rounds
+    return history(h, first, rounds), (h[first::rounds] % np.uint64(CLASSES * MEMBERS)).astype(np.int64)
+
+
+def _round(docs: DataFrame, model: MaxEnt, turn: int, rounds: int) -> MaxEnt:
     """One pass of distributed gradient updates."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     sizes = np.array([model.a.size, model.b.size])
@@ -160,15 +168,9 @@ def _round(docs: DataFrame, model: MaxEnt, turn: int, every: int) -> MaxEnt:
         own.__dict__ |= {k: v.copy() for k, v in shared.value.__dict__.items()}
         past, n = [np.ones(own.a.shape), np.ones(own.b.shape)], 0
         for b in batches:
-            features, buckets = [], []
-            for t in utf8(b.column("text")):
-                w = tokens(t)
-                h = hashes(w)
-                # positions a document starts at differ, so that short documents count too
-                first = (turn * every // ROUNDS + int(h[0])) % every
-                features.append(history(h, first, every))
-                buckets.append((h[first::every] % np.uint64(CLASSES * MEMBERS)).astype(np.int64))
-            if buckets:
+            parts = [share(t, i, turn, rounds) for t, i in zip(utf8(b.column("text")), b.column("doc_id").to_pylist())]
+            if parts:
+                features, buckets = zip(*parts)
                 bucket = np.concatenate(buckets)
                 own.train(np.concatenate(features, axis=1), bucket, past)
                 n += len(bucket)
@@ -187,7 +189,7 @@ def _round(docs: DataFrame, model: MaxEnt, turn: int, every: int) -> MaxEnt:
                 now[1] = now[1] + n * np.frombuffer(zlib.decompress(c), np.float16).astype(np.float64)
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([(s / n).tobytes() for n, s in total.values()], pa.binary())], names=["block", "moved"])
 
-    rows = (docs.filter("not held_out").select("text").mapInArrow(learn, "block int, n long, moved binary")
+    rows = (docs.filter("not held_out").select("doc_id", "text").mapInArrow(learn, "block int, n long, moved binary")
             .repartition(BLOCKS, "block").mapInArrow(average, "block int, moved binary").collect())
     if rows:
         moved = np.concatenate([np.frombuffer(r.moved) for r in sorted(rows, key=lambda r: r.block)]).astype(np.float32)
@@ -196,7 +198,7 @@ def _round(docs: DataFrame, model: MaxEnt, turn: int, every: int) -> MaxEnt:
     return model
 
 
-def scores(documents: DataFrame, rounds: int = ROUNDS, every: int = EVERY) -> DataFrame:
+def scores(documents: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)."""
     spark = documents.sparkSession
     in_small_batches(spark)
@@ -210,7 +212,7 @@ def scores(documents: DataFrame, rounds: int = ROUNDS, every: int = EVERY) -> Da
     n, distinct = int(c.sum()), int(v.sum())
     model = MaxEnt(c)
     for turn in range(rounds):
-        model = _round(docs, model, turn, every)
+        model = _round(docs, model, turn, rounds)
     hot = {bytes(r.word): r.c for r in counts.filter(F.octet_length("word") <= HOT_BYTES).orderBy(F.desc("c"), "word").limit(HOT).collect()}
     shared = spark.sparkContext.broadcast((model, np.log10(c + v + 1), {w: k for k, w in enumerate(hot)}, np.log10(np.array([*hot.values(), 0]) + 1)))
 

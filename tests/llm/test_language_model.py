@@ -67,3 +67,21 @@ def test_on_the_tables(spark):
     assert sorted(shape(rows)) == sorted(brute(docs))
     held = [r for r in rows if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+@pytest.mark.parametrize("rounds", [1, 2, 3])
+def test_rounds_train_on_every_position_once(rounds):
+    for i, text in enumerate([b"", b"one", b"same start here", b"same start " * 50]):
+        h = L.hashes(L.tokens(text))
+        parts = [L.share(text, i or None, t, rounds) for t in range(rounds)]
+        got = np.concatenate([np.vstack((f, b.astype(np.uint64))) for f, b in parts], axis=1)
+        want = np.vstack((L.history(h), h % np.uint64(L.CLASSES * L.MEMBERS)))
+        assert sorted(map(tuple, got.T.tolist())) == sorted(map(tuple, want.T.tolist()))
+
+
+def test_short_documents_train(spark):
+    # documents of three tokens whose first word's hash left all of them out when a sixteenth of the positions was taken
+    words = [w for w in (f"w{i}" for i in range(200)) if zlib.crc32(w.encode()) % 8 > 2][:10]
+    df = spark.createDataFrame([(i, f"{words[i % 10]} next{i % 10}") for i in range(2000)], "doc_id long, text string")
+    trained, start = ({r.doc_id: r.score for r in L.scores(df, rounds=k).filter("held_out").collect()} for k in (L.ROUNDS, 0))
+    assert sum(trained.values()) > sum(start.values()) + 1
