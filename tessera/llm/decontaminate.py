@@ -44,7 +44,7 @@ MATCHES = pa.schema([("doc_id", pa.int64()), ("text_key", pa.string()), ("n_word
                      ("ends", pa.list_(pa.int64())), ("items", pa.list_(pa.string())),
                      ("longest", pa.int64()), ("longest_at", pa.int64()), ("longest_item", pa.string())])
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()),
-                    ("items_sha256", pa.string()), ("contaminated", pa.bool_()),
+                    ("items_sha256", pa.string()), ("contaminated", pa.bool_()), ("text_key", pa.string()),
                     ("longest", pa.int64()), ("longest_at", pa.int64()), ("longest_item", pa.string())])
 _SQL = {pa.int64(): "long", pa.string(): "string", pa.bool_(): "boolean",
         pa.list_(pa.int64()): "array<long>", pa.list_(pa.string()): "array<string>"}
@@ -259,7 +259,9 @@ def _merged(passes: list[DataFrame]) -> DataFrame:
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """The documents that are not contaminated, with all their columns. Rows
-    are told apart by doc_id: where several share one, all go if one does."""
-    bad = contamination(documents, benchmark, **how).filter("contaminated").select("doc_id").distinct()
-    same = F.col("d.doc_id").cast("long").eqNullSafe(F.col("bad.doc_id"))
-    return documents.alias("d").join(bad.alias("bad"), same, "left_anti")
+    are told apart by doc_id and text: clean ones stay whatever id they share."""
+    bad = contamination(documents, benchmark, **how).filter("contaminated").select("doc_id", "text_key").distinct()
+    text_key = F.arrow_udf(lambda t: pa.array([xxh3_128_hexdigest(x) for x in utf8(t)], pa.string()), "string")
+    whole = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), text_key(F.col("text").cast("string")).alias("key"))
+    same = F.col("d.id").eqNullSafe(F.col("bad.doc_id")) & (F.col("d.key") == F.col("bad.text_key"))
+    return whole.alias("d").join(bad.alias("bad"), same, "left_anti").select("row.*")

@@ -80,3 +80,13 @@ def test_on_the_tables(spark, sf_small):
     items = [tuple(x) for x in spark.read.parquet(f"{sf_small}/benchmark.parquet").select("item_id", "text").collect()]
     assert sorted((tuple(r[c] for c in ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")) for r in rows), key=repr) == brute(docs, items)
     assert any(r.contaminated for r in rows)
+
+
+@pytest.mark.parametrize("block_chars", [8_000_000, 20])
+def test_clean_rows_stay_whatever_id_they_share(spark, block_chars):
+    item = " ".join(f"t{i}" for i in range(30))
+    docs = [(1, item, "a"), (1, "clean one", "b"), (1, item, "c"), (None, item, "d"), (None, "clean two", "e"), (None, None, "f"), (None, "clean two", "g"), (2, "clean", "h")]
+    d = spark.createDataFrame(docs, "doc_id long, text string, source string").selectExpr("*", "1 as row", "2 as id", "3 as key")
+    b = spark.createDataFrame([(7, item), (8, "other words")], "item_id long, text string")
+    out = D.decontaminate(d, b, block_chars=block_chars)
+    assert out.columns == d.columns and sorted(r.source for r in out.collect()) == ["b", "e", "f", "g", "h"]
