@@ -407,6 +407,12 @@ def links(docs: DataFrame, classes: DataFrame, sketch: np.ndarray) -> DataFrame:
 
 def components(documents: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id), a row a document."""
+    return _placed(documents).select("doc_id", "n_shingles", "component_id")
+
+
+def _placed(documents: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id, node, label), a row a document; node
+    and label, its component's name, are null without shingles."""
     in_small_batches(documents.sparkSession)
     docs = texts(documents)
     rows = stage(profiles(docs), "jaccard-profiles")
@@ -416,22 +422,31 @@ def components(documents: DataFrame) -> DataFrame:
     comp = connected_components(links(docs, classes, sketch)).withColumnRenamed("component", "label")
     named = classes.select("node", "cid").join(comp, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("cid").alias("component_id"))
-    named = named.select("node", "label").join(least, "label").select("node", "component_id")
+    named = named.select("node", "label").join(least, "label").select("node", "label", "component_id")
     own = own.select("doc_id", F.col("n").alias("n_shingles"), "node")
-    return (own.filter("node is not null").join(named, "node").select("doc_id", "n_shingles", "component_id")
-            .unionByName(own.filter("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))))
+    return (own.filter("node is not null").join(named, "node").select("doc_id", "n_shingles", "component_id", "node", "label")
+            .unionByName(own.filter("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "node", F.lit(None).cast("binary").alias("label"))))
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
-    """The documents without those of a smaller doc_id's component, all columns
-    kept; rows that repeat a doc_id leave one. Rows with a null doc_id cannot
-    be told apart and stay. Documents that a Bloom filter (fixed size) of the
-    ids in question does not know pass without a shuffle."""
-    found = stage(components(documents), "jaccard-components").filter("doc_id is not null")
-    judged = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.bool_and(F.col("doc_id") == F.col("component_id")).alias("first"))
-    asked = stage(judged.filter("rows > 1 or not first").select(F.col("doc_id").cast("string").alias("canonical"), "first"), "jaccard-asked")
+    """Of each component one row, of its smallest doc_id, all columns kept.
+    Where rows of one doc_id hold different shingles ("mixed"), each is judged
+    by (doc_id, node). Rows with a null doc_id cannot be told apart and stay.
+    Documents that a Bloom filter (fixed size) of the ids in question does not
+    know pass without a shuffle."""
+    found = stage(_placed(documents).select("doc_id", "component_id", F.coalesce("node", F.lit(b"")).alias("node"), "label"), "jaccard-components").filter("doc_id is not null")
+    judged = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.bool_and(F.col("doc_id") == F.col("component_id")).alias("first"),
+                                         (F.min("node") < F.max("node")).alias("mixed"))
+    asked = stage(judged.filter("rows > 1 or not first").select(F.col("doc_id").cast("string").alias("canonical"), "first", "mixed"), "jaccard-asked")
+    chosen = found.filter("doc_id = component_id").groupBy("label", "doc_id").agg(F.min("node").alias("node"))
+    chosen = (chosen.select(F.col("doc_id").cast("string").alias("canonical"), "node").join(asked.filter("mixed"), "canonical", "left_semi")
+              .withColumn("chosen", F.lit(True)))
     whole = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("string").alias("canonical"))
     probed = maybe_in(whole, "canonical", bloom(asked, KEEP_BLOCKS), KEEP_BLOCKS)
-    rest = (probed.filter("possible").join(asked, "canonical", "left").filter(F.coalesce("first", F.lit(True)))
-            .dropDuplicates(["canonical"]))
+    node_of = F.arrow_udf(lambda t: pa.array([xxh3_128_digest(s.tobytes()) if len(s) else b"" for s in map(shingle_set, utf8(t))], pa.binary()), "binary")
+    mixed = F.coalesce("mixed", F.lit(False))
+    rest = (probed.filter("possible").join(asked, "canonical", "left").filter(mixed | F.coalesce("first", F.lit(True)))
+            .withColumn("node", node_of(F.when(mixed, F.col("row.text").cast("string"))))
+            .join(chosen, ["canonical", "node"], "left").filter(~mixed | F.coalesce("chosen", F.lit(False)))
+            .dropDuplicates(["canonical", "node"]))
     return probed.filter(~F.col("possible")).select("row.*").unionByName(rest.select("row.*"))

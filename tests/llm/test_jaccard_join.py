@@ -116,3 +116,18 @@ def test_group_bound_is_the_least_need(spark):
             want.add(f"{n}-{a}-{b}-{least}")
     counted = spark.createDataFrame(rows, "node string, n int, g int, tokens int, least int, most int").distinct()
     assert {r.node for r in J._qualified(counted, "g").collect()} == want
+
+
+def test_keep_one_leaves_a_row_of_each_component(spark):
+    a, b, c, d = ("the quick brown fox jumps over the lazy dog", "some other words stand in here", "nothing like it was seen before", "a last one of its own kind")
+    docs = [(1, a, "a1"), (5, a, "a5"), (5, b, "b5"), (7, b, "b7"), (6, c, "c6"), (6, d, "d6"), (6, d, "d6"), (8, "", "e8"), (8, None, "e8"), (8, c, "c8"), (None, a, "n")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string").selectExpr("*", "1 as mixed", "2 as chosen", "3 as label")
+    out = J.keep_one(df)
+    assert out.columns == df.columns
+    assert sorted(r.source for r in out.collect()) == ["a1", "b5", "c6", "d6", "e8", "n"]
+
+
+def test_keep_one_of_two_linked_texts_of_an_id(spark):
+    words = [f"w{i}" for i in range(100)]
+    df = spark.createDataFrame([(3, " ".join(words)), (3, " ".join([*words, "more"])), (4, " ".join(words))], "doc_id long, text string")
+    assert [r.doc_id for r in J.keep_one(df).collect()] == [3]
