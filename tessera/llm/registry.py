@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import decontaminate, fingerprint, jaccard_join, language_model, pii, quality, sentence_pieces, token_files, toxicity, url_filter
+from . import decontaminate, fingerprint, jaccard_join, language_model, pii, quality, sentence_pieces, token_alignment, token_files, toxicity, url_filter, whitening
 from .base import table
 
-WORD_BPE, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
+WORD_BPE, BYTE_BPE, PIECES = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def op1_toxicity(spark, sf_dir):
@@ -51,7 +51,17 @@ def op10_decontaminate(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_jaccard_join, op3_sentence_pieces, op4_token_files, op5_pii, op6_quality, op7_url_filter, op8_fingerprint, op9_language_model, op10_decontaminate)}
+def op11_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_token_alignment(spark, sf_dir):
+    return token_alignment.alignment(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECES))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_toxicity, op2_jaccard_join, op3_sentence_pieces, op4_token_files, op5_pii, op6_quality, op7_url_filter,
+    op8_fingerprint, op9_language_model, op10_decontaminate, op11_whitening, op12_token_alignment)}
 
 _URL = """
 WITH p AS (
