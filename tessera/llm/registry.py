@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import decontaminate, fingerprint, jaccard_join, language_model, pii, quality, sentence_pieces, token_alignment, token_files, toxicity, url_filter, whitening
+from . import decontaminate, fingerprint, html_text, jaccard_join, language_model, pii, quality, sentence_pieces, token_alignment, token_files, toxicity, url_filter, whitening
 from .base import table
 
 WORD_BPE, BYTE_BPE, PIECES = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -59,9 +59,13 @@ def op12_token_alignment(spark, sf_dir):
     return token_alignment.alignment(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECES))
 
 
+def op13_html_text(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_jaccard_join, op3_sentence_pieces, op4_token_files, op5_pii, op6_quality, op7_url_filter,
-    op8_fingerprint, op9_language_model, op10_decontaminate, op11_whitening, op12_token_alignment)}
+    op8_fingerprint, op9_language_model, op10_decontaminate, op11_whitening, op12_token_alignment, op13_html_text)}
 
 _URL = """
 WITH p AS (
