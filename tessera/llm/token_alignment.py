@@ -35,6 +35,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import reduce
+from itertools import accumulate, takewhile
 
 import numpy as np
 import pyarrow as pa
@@ -76,15 +77,17 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = SentencePieceProcessor(model_file=pieces)
         place = byte_characters()
-        self.a_bytes: dict[int, bytes] = {i: bytes(map(place.__getitem__, t)) for t, i in self.a.get_vocab(False).items()}
+        if max(self.a.get_vocab(False).values()) >= IDS or self.b.GetPieceSize() > IDS:
+            raise ValueError("more token ids than a pair has room for")
+        self.a_bytes = [b""] * IDS
+        for t, i in self.a.get_vocab(False).items():
+            self.a_bytes[i] = bytes(map(place.__getitem__, t))
         plain = [self.b.IdToPiece(i) for i in range(self.b.GetPieceSize())]
         special = [self.b.IsControl(i) or self.b.IsUnknown(i) for i in range(len(plain))]
-        self.b_bytes = {i: b"" if special[i] else bytes([int(p[1:-1], 16)]) if self.b.IsByte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(plain)}
-        if max(self.a_bytes) >= IDS or len(plain) > IDS:
-            raise ValueError("more token ids than a pair has room for")
+        self.b_bytes = [b"" if special[i] else bytes([int(p[1:-1], 16)]) if self.b.IsByte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(plain)]
         crossing = any(SPACE in p.lstrip(SPACE) or "\n" in p for i, p in enumerate(plain) if not special[i])
         self.cut = None if crossing else BORDER
-        self.a_size, self.b_size = (np.array([len(d.get(i, b"")) for i in range(IDS)], np.int64) for d in (self.a_bytes, self.b_bytes))
+        self.a_size, self.b_size = (np.array(list(map(len, d)), np.int64) for d in (self.a_bytes, self.b_bytes))
         self.written = [sep + b"%d" % i for sep in (b";", b",", b"|", b",") for i in range(IDS)]
         self.most, self.longest = most, longest
         self.young: dict[str, tuple] = {}
@@ -96,7 +99,7 @@ class Aligner:
         a = self.a.encode(text, add_special_tokens=False).ids
         b = self.b.encode(text[1:], num_threads=1) if text[0] == " " else self.b.encode(text, num_threads=1)[1:]
         raw = text.encode()
-        if b"".join(self.a_bytes.get(i, b"") for i in a) != raw or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
+        if b"".join(map(self.a_bytes.__getitem__, a)) != raw or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
             return None
         return a, b
 
@@ -126,12 +129,11 @@ class Aligner:
     def learn(self, units: set[str]) -> None:
         """Make sure that each unit has its record: keys are units without
         their leading space; ``MANY`` if that holds more than a word."""
-        known = self.young.keys()
-        new = units - known
+        new = [u for u in units if u not in self.young]
         if not new:
             return
         if len(self.young) + len(new) > self.most:
-            self.older, self.young, new = self.young, {}, units
+            self.older, self.young, new = self.young, {}, list(units)
         unknown = []
         for u in new:
             record = self.older.get(u, LOSSY)
@@ -145,6 +147,12 @@ class Aligner:
             some = unknown[k:k + 512]
             self.young.update(zip(some, self.align([u if u[0] == "\n" else " " + u for u in some])))
 
+    def prepare(self, values: list[bytes]) -> None:
+        """Learn the units of many texts together."""
+        if self.cut is not None:
+            some = set().union(*(t.decode("utf-8", "ignore").replace("\n", " \n").split(" ") for t in values))
+            self.learn({u for u in some if len(u) <= self.longest})
+
     def part(self, text: str) -> tuple[bytes, bytes, int]:
         """Links, groups and numbers of a text's units, each put together."""
         if self.cut is None:
@@ -223,7 +231,12 @@ def _align_texts(distinct: DataFrame, byte_bpe: str, pieces: str) -> DataFrame:
         aligner = held(("align", byte_bpe, pieces), lambda: Aligner(byte_bpe, pieces))
         for b in batches:
             raw = utf8(b.column("text"))
-            got = list(map(aligner.aligned, raw))
+            got: list = []
+            while len(got) < len(raw):  # about two million bytes at a time
+                some = takewhile(lambda s: s[1] <= 1 << 21, zip(raw[len(got):], accumulate(map(len, raw[len(got):]))))
+                lot = [t for t, _ in some] or raw[len(got):len(got) + 1]
+                aligner.prepare([t for t in lot if len(t) <= PART])
+                got += map(aligner.aligned, lot)
             columns = list(zip(*(g[:5] for g in got))) or [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array([hashlib.sha256(r).digest() for r in raw], pa.binary()), b.column("rows"), *(pa.array(c, pa.int64()) for c in columns[:4]),
