@@ -1,12 +1,10 @@
 """Taxonomy registry.
 
-Similar terms are found with an exact cosine threshold join: vectors are
-unit-normalised; cos(a,b) >= t is an angular distance <= acos(t), and angles
-to a fixed pivot obey the triangle inequality, so bucketing by the angle to
-pivot 1 (bucket width acos(t)) and joining each bucket with its neighbours
-loses no qualifying pair; the angle to pivot 2 prunes further before the
-exact dot product. No pair outside the blocks is ever formed and no
-candidate cap is needed."""
+Similar terms are found by an exact cosine threshold join within a term type,
+through a ball index (``similarity.py``) or, as a parameter, by comparing all
+tiles. Decisions on merges are rows of an SCD2 registry; approved merges are
+followed to the end of their chains, and a split repairs only the cluster that
+it touches."""
 
 from __future__ import annotations
 
@@ -18,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.text import normalise_term
 from .graph import connected_components
 from .numbering import with_row_number
+from .similarity import ball_join
 
 # ---- fixed values (must equal the reference behaviour) -------------------
 TERM_TYPES = ["domain", "subdomain", "topic", "subtopic", "content_type", "style", "format"]
@@ -61,8 +60,16 @@ def _angle(a: Column, b: Column) -> Column:
     return F.acos(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), _dot(a, b))))
 
 
-def similar_pairs(units: DataFrame, threshold: float, tile: int = 512) -> DataFrame:
-    """All pairs a < b in the same block with cos >= threshold, exact.
+def similar_pairs(units: DataFrame, threshold: float, tile: int = 512, index: str = "balls") -> DataFrame:
+    """All pairs a < b in the same block with cos >= threshold, exact,
+    through the ball index or (``index="tiles"``) by comparing all tiles."""
+    if index not in ("balls", "tiles"):
+        raise ValueError(f"unknown index {index!r}")
+    return (ball_join if index == "balls" else tile_join)(units, threshold, tile)
+
+
+def tile_join(units: DataFrame, threshold: float, tile: int = 512) -> DataFrame:
+    """All pairs of a block, tile by tile.
 
     Two pivots a block are chosen from the data: a vector, and the one at the
     largest angle to it. Angles obey the triangle inequality, so a pair within
