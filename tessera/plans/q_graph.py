@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..operators import dims as D
 from ..operators import graph as GR
 from ..operators import taxonomy as TX
-from ..session import shared_path
+from ..operators import term_registry as TR
+from ..session import cut_lineage, shared_path
 from . import views as V
 from .registry import query
 from .star import Star
@@ -146,3 +147,88 @@ def q_fact_post_canonical(spark, sf_dir):
                                            for t in TX.TERM_TYPES]))
     fact = V.fact_post(s.posts(), s.profiles(), s.dim_time(), s.gold())
     return fact.join(keyed, "post_id", "left").join(canonical, "post_id", "left")
+
+
+SINCE = "2025-01-01 00:00:00"
+SPLIT_AUTO, SPLIT_APPROVE = 0.32, 0.31
+
+
+@query("taxonomy_split")
+def q_taxonomy_split(spark, sf_dir):
+    """Clusters as a stored registry; reviews (approve, reject, split
+    into parts) and cuts of merges applied to it. The decisions stand in for a
+    reviewer's: proposals are approved by score, lone terms with an id of 7 mod
+    25 are split in two, and clusters of three or more lose their weakest merge."""
+    s = Star(spark, sf_dir)
+    units = TX.unit_vectors(s.cat.embeddings, "vec_id", "embedding", "label")
+    pairs = cut_lineage(TX.classify(TX.similar_pairs(units, FIXTURE_REVIEW), SPLIT_AUTO, FIXTURE_REVIEW))
+    clusters = cut_lineage(TX.clusters(pairs, units))
+    edges = pairs.filter("status = 'auto_merged'").select("id_a", "id_b", "cosine")
+    terms = s.cat.embeddings.select(F.col("vec_id").alias("term_id"), F.concat(F.lit("label_"), F.col("label").cast("string")).alias("term_type"),
+                                    F.concat(F.lit("term_"), F.col("vec_id").cast("string")).alias("raw_value"))
+    store = TR.TermRegistry(spark, shared_path(spark, "terms"))
+    stored = store.save(TR.cluster_rows(terms, clusters, edges, F.lit(SINCE)), F.lit(SINCE))
+
+    proposals = TX.review_queue(pairs, clusters).groupBy(F.col("proposed_id").alias("term_id")).agg(
+        F.max_by(F.struct("canonical_id", "score"), F.struct("score", "canonical_id")).alias("b"))
+    reviewed = proposals.select("term_id", "b.canonical_id", "b.score", F.when(F.col("b.score") >= SPLIT_APPROVE, "approve").otherwise("reject").alias("decision"),
+                                F.lit(None).cast("array<string>").alias("parts"))
+    size = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    sized = clusters.join(size, "component")
+    lone = (sized.filter("n = 1 and node % 25 = 7").select(F.col("node").alias("term_id")).join(reviewed, "term_id", "left_anti")
+            .select("term_id", F.lit(None).cast("bigint").alias("canonical_id"), F.lit(None).cast("double").alias("score"), F.lit("split").alias("decision"),
+                    F.array(*[F.concat(F.lit("term_"), F.col("term_id").cast("string"), F.lit(x)) for x in ("_a", "_b")]).alias("parts")))
+    cuts = (edges.join(sized.filter("n >= 3").select(F.col("node").alias("id_a"), "component"), "id_a").groupBy("component")
+            .agg(F.min_by(F.struct("id_a", "id_b"), F.struct(F.round("cosine", 9), "id_a", "id_b")).alias("e")).select("e.id_a", "e.id_b"))
+    after = store.save(TR.apply_reviews(stored, reviewed.unionByName(lone), F.lit(AS_OF)), F.lit(AS_OF))
+    done, _ = TR.cut_merges(after, clusters, edges, cuts, F.lit(AS_OF))
+    return store.save(done, F.lit(AS_OF))
+
+
+def _merged_terms(s):
+    """The raw terms as a stored registry after reviews that merge each term of
+    a type into the one before it, in chains of four (stand-in decisions).
+    Returns (analysed rows, their seven raw terms, canonical values)."""
+    ga = V.analysed(s.gold())
+    terms = cut_lineage(TX.exact_dedup(TX.raw_terms(ga)))
+    store = TR.TermRegistry(s.spark, shared_path(s.spark, "terms"))
+    stored = store.save(TR.first_rows(terms, F.lit(SINCE)), F.lit(SINCE))
+    first = terms.groupBy("term_type").agg(F.min("term_id").alias("first"))
+    chained = terms.join(first, "term_type").filter((F.col("term_id") - F.col("first")) % 4 != 0)
+    decisions = chained.select("term_id", (F.col("term_id") - 1).alias("canonical_id"), F.lit(None).cast("double").alias("score"),
+                               F.lit("approve").alias("decision"), F.lit(None).cast("array<string>").alias("parts"))
+    registry = store.save(TR.apply_reviews(stored, decisions, F.lit(AS_OF)), F.lit(AS_OF))
+    raw = ga.select("post_id", *[F.col(f"result.{t}").alias(t) for t in TX.TERM_TYPES])
+    return ga, raw, TR.canonical_values(registry)
+
+
+def _canonical_posts(raw, values):
+    """(post_id, canonical value of each term type), the raw value where the registry has none."""
+    terms = raw.select("post_id", F.explode(F.array(*[
+        F.struct(F.lit(t).alias("term_type"), F.col(t).alias("raw_value")) for t in TX.TERM_TYPES])).alias("x")).select("post_id", "x.*")
+    return (terms.join(values, ["term_type", "raw_value"], "left").withColumn("value", F.coalesce("canonical_value", "raw_value"))
+            .groupBy("post_id").agg(*[F.max(F.when(F.col("term_type") == t, F.col("value"))).alias(t) for t in TX.TERM_TYPES]))
+
+
+def _topics(posts):
+    return posts.select("post_id", *[F.coalesce(F.col(t), F.lit("")).alias(t) for t in TX.TERM_TYPES])
+
+
+@query("dim_topic_refreshed")
+def q_dim_topic_refreshed(spark, sf_dir):
+    """The topic dimension after merges: old keys kept, new tuples numbered on."""
+    ga, raw, values = _merged_terms(Star(spark, sf_dir))
+    return TR.refresh_dim_topic(TX.dim_topic(ga), _topics(_canonical_posts(raw, values)))
+
+
+@query("fact_post_merged")
+def q_fact_post_merged(spark, sf_dir):
+    """The fact with canonical values that follow approved merges, and
+    the key of the refreshed topic dimension."""
+    s = Star(spark, sf_dir)
+    ga, raw, values = _merged_terms(s)
+    posts = cut_lineage(_canonical_posts(raw, values))
+    dim = TR.refresh_dim_topic(TX.dim_topic(ga), _topics(posts)).filter("is_current")
+    keyed = _topics(posts).join(dim, TX.TERM_TYPES, "left").select("post_id", "topic_key")
+    fact = V.fact_post(s.posts(), s.profiles(), s.dim_time(), s.gold())
+    return fact.join(keyed, "post_id", "left").join(posts.select("post_id", *[F.col(t).alias(f"{t}_canonical") for t in TX.TERM_TYPES]), "post_id", "left")
