@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -52,14 +54,17 @@ def batch(schema: pa.Schema, columns: dict[str, list]) -> pa.RecordBatch:
 
 class Memo(dict):
     """word -> value, made on first use. Of two generations of ``most`` words
-    the older is dropped when the younger is full: frequent words stay, and
-    memory is bounded whatever the vocabulary."""
+    the older is dropped when the younger is full: frequent words stay. Words
+    longer than ``longest`` are not kept, so memory is bounded in bytes
+    whatever the vocabulary."""
 
-    def __init__(self, make: Callable, most: int = 250_000):
+    def __init__(self, make: Callable, most: int = 250_000, longest: int | None = None):
         super().__init__()
-        self.make, self.most, self.older = make, most, {}
+        self.make, self.most, self.older, self.longest = make, most, {}, longest
 
     def __missing__(self, word):
+        if self.longest is not None and len(word) > self.longest:
+            return self.make(word)
         value = self.older.get(word)
         if value is None:
             value = self.make(word)
@@ -90,6 +95,7 @@ def pieces(text: bytes, most: int = 1 << 20) -> Iterator[bytes]:
 
 
 _HELD: dict = {}
+_LIBC = ctypes.CDLL(None)
 
 
 def held(name, make: Callable):
@@ -97,6 +103,16 @@ def held(name, make: Callable):
     vocabulary). A worker serves one operator after another: what the last one
     kept goes first, so the sizes do not add up."""
     if name not in _HELD:
-        _HELD.clear()
+        let_go()
         _HELD[name] = make()
     return _HELD[name]
+
+
+def let_go() -> None:
+    """Drop what other operators left in this worker, and give the memory back."""
+    if _HELD:
+        _HELD.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if hasattr(_LIBC, "malloc_trim"):
+            _LIBC.malloc_trim(0)

@@ -60,7 +60,7 @@ KEEP_BLOCKS = 1 << 17
 
 def shingle_set(text: bytes, n: int = WORDS) -> np.ndarray:
     """Sorted distinct hashes of a text's shingles."""
-    hashes = held("shingles", lambda: Memo(xxh64_intdigest))
+    hashes = held("shingles", lambda: Memo(xxh64_intdigest, 100_000, longest=64))
     parts = [np.fromiter(map(hashes.__getitem__, w), np.uint64, len(w))
              for w in (p.lower().split() for p in pieces(text))]  # bytes: A-Z, and the six ASCII white spaces
     h = parts[0] if len(parts) == 1 else np.concatenate(parts)

@@ -58,7 +58,7 @@ def inputs(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     words: Counter = Counter()
     for p in pieces(text):
         words.update(p.lower().split())
-    at = np.unique(np.fromiter(map(held("buckets", lambda: Memo(lambda w: xxh32_intdigest(w) % BUCKETS)).__getitem__, words), np.int64, len(words)))
+    at = np.unique(np.fromiter(map(held("buckets", lambda: Memo(lambda w: xxh32_intdigest(w) % BUCKETS, longest=64)).__getitem__, words), np.int64, len(words)))
     steps = np.minimum((np.sqrt(structure(text, words)) * STEPS).astype(np.int64), STEPS - 1)
     return (np.concatenate((at, BUCKETS + STEPS * np.arange(STATISTICS) + steps)),
             np.concatenate((np.full(len(at), 1 / max(1, len(at)) ** 0.5), np.ones(STATISTICS))))

@@ -47,7 +47,7 @@ NEVER = -np.inf
 class Vocabulary:
     """Pieces of a SentencePiece BPE model with byte fallback."""
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 180_000):
         import sentencepiece
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         size = range(model.GetPieceSize())
@@ -79,7 +79,7 @@ class Vocabulary:
         self.piece = {i: p for p, i in self.id.items()}
         self.right, self.left = ({p: self._spine(p, side) for p in self.split} for side in (1, 0))
         self.follows = Memo(self._follows, most)
-        self.known = Memo(self.encode_word, most)
+        self.known = Memo(self.encode_word, most, longest=64)
 
     def merged(self, text: str, last: list | None = None) -> list[str]:
         """Pieces of a short text by the model's merges: best score first,

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .base import Memo, fold, in_small_batches, pieces, texts, utf8
+from .base import Memo, fold, in_small_batches, let_go, pieces, texts, utf8
 from .labelled import collect, sample
 
 #: A general lexicon of insults.
@@ -105,7 +105,7 @@ class Voters:
         self.index = {t: k for k, (t, _) in enumerate(mined)}
         self.general = {w.encode() for w in GENERAL}
         # a word's mined terms, and whether the general lexicon has it
-        self.of = Memo(lambda w: (tuple(self.index[t] for t in terms(w) if t in self.index), w in self.general), 100_000)
+        self.of = Memo(lambda w: (tuple(self.index[t] for t in terms(w) if t in self.index), w in self.general), 100_000, longest=64)
 
     def __getstate__(self):
         return {"index": self.index, "general": self.general}
@@ -232,6 +232,7 @@ class ToxicityModel:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    let_go()
     for b in batches:
         t = utf8(b.column("text"))
         yield pa.RecordBatch.from_arrays(
@@ -268,6 +269,7 @@ def scored(documents: DataFrame, model: ToxicityModel) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([shared.value.score(t) for t in utf8(b.column("text"))], pa.float64())], names=["doc_id", "score"])
 
@@ -286,6 +288,7 @@ def filter_toxic(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_RO
     shared = documents.sparkSession.sparkContext.broadcast(fit(documents, labels, fit_rows))
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for b in batches:
             keep = [shared.value.score(t) < 0.5 for t in utf8(b.column("text").cast(pa.string()))]
             yield b.filter(pa.array(keep, pa.bool_()))
