@@ -113,6 +113,20 @@ def let_go() -> None:
     if _HELD:
         _HELD.clear()
         gc.collect()
-        pa.default_memory_pool().release_unused()
-        if hasattr(_LIBC, "malloc_trim"):
-            _LIBC.malloc_trim(0)
+        give_back()
+
+
+def give_back() -> None:
+    """Allocators keep freed memory; on a shared machine it is better returned."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
+def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; what the work on one left free goes back to the system
+    before the next, and at a task's end, so waiting workers stay small."""
+    for b in batches:
+        yield b
+        del b
+        give_back()

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_hexdigest
 
-from .base import batch, in_small_batches, pieces, texts, utf8
+from .base import batch, in_small_batches, pieces, texts, tidy, utf8
 
 WINDOW = 13
 #: Bytes to words: word bytes in lower case, all others a space.
@@ -205,7 +205,7 @@ def find_matches(documents: DataFrame, test: TestBlock) -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         test = shared.value
         number = test.vocabulary.get
-        for b in batches:
+        for b in tidy(batches):
             values = utf8(b.column("text"))
             ids = [np.concatenate([np.fromiter(map(number, w, repeat(0)), np.int32, len(w))
                                    for w in map(words, pieces(t))]) for t in values]
@@ -230,7 +230,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, block_chars: int =
         found = _merged(passes)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in tidy(batches):
             c = {n: b.column(n).to_pylist() for n in MATCHES.names}
             judged = [summary(*r) for r in zip(c["n_words"], c["starts"], c["ends"], c["items"])]
             hit, items, sha, bad = zip(*judged) if judged else ((), (), (), ())

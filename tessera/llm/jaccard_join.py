@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest, xxh64_intdigest
 
 from ..operators.graph import connected_components
-from .base import Memo, batch, held, in_small_batches, pieces, stage, texts, utf8
+from .base import Memo, batch, held, in_small_batches, pieces, stage, texts, tidy, utf8
 from .url_filter import bloom, maybe_in
 
 WORDS, PERCENT = 4, 85
@@ -99,7 +99,7 @@ def profiles(docs: DataFrame) -> DataFrame:
     sketch."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
-        for b in batches:
+        for b in tidy(batches):
             sets = [shingle_set(t) for t in utf8(b.column("text"))]
             flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
             if len(flat):
@@ -119,7 +119,7 @@ def _sketch(parts: DataFrame) -> np.ndarray:
     """The tasks' counts added up block by block; 2^SKETCH_BITS numbers in all."""
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
-        for b in batches:
+        for b in tidy(batches):
             for k, c in zip(b.column("block").to_pylist(), b.column("counts").to_pylist()):
                 c = np.frombuffer(zlib.decompress(c), np.uint32).astype(np.uint64)
                 total[k] = total[k] + c if k in total else c
@@ -139,7 +139,7 @@ def prefixes(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
-        for b in batches:
+        for b in tidy(batches):
             tokens, owners, hot, seen = [], [], [], set()
             for s in map(shingle_set, utf8(b.column("text"))):
                 node = xxh3_128_digest(s.tobytes())
@@ -166,7 +166,7 @@ def _bloom(ids: DataFrame) -> np.ndarray:
     """Bloom filter of column ``cid``: two bits each of 2^BLOOM_BITS. Tasks
     send words of 64 bits; the driver gets the filter, of fixed size."""
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in tidy(batches):
             at = np.unique(np.concatenate(_bloom_bits(b.column("cid").to_numpy(zero_copy_only=False))))
             bit = np.left_shift(np.uint64(1), (at & 63).astype(np.uint64))
             word, first = np.unique(at >> 6, return_index=True)
@@ -188,7 +188,7 @@ def node_sets(docs: DataFrame, cids: DataFrame, parts: np.ndarray) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filter_, parts = shared.value
-        for b in batches:
+        for b in tidy(batches):
             ids = b.column("doc_id")
             a, c = _bloom_bits(ids.fill_null(0).to_numpy(zero_copy_only=False))
             hit = lambda at: (filter_[at >> 6] >> (at & 63)) & 1
@@ -234,7 +234,7 @@ class Group:
 def _runs(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[tuple[tuple, list[dict]]]:
     """Rows of a sorted partition, key by key."""
     now, rows = None, []
-    for b in batches:
+    for b in tidy(batches):
         for r in b.to_pylist():
             k = tuple(r[c] for c in key)
             if k != now:

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import Memo, held, in_small_batches, stage, texts
+from .base import Memo, held, in_small_batches, stage, texts, tidy
 
 CHUNK = 32768
 SPACE = "▁"
@@ -309,7 +309,7 @@ def scan(matrices: list[np.ndarray]) -> list[tuple[int, int]]:
 def _chunks(batches: Iterator[pa.RecordBatch], longest: int, chunk: int) -> Iterator[pa.RecordBatch]:
     """A row a chunk: (text_key, chunk, before, body, after)."""
     names = ["text_key", "chunk", "before", "body", "after"]
-    for b in batches:
+    for b in tidy(batches):
         for key, text in zip(b.column("text_key").to_pylist(), b.column("text").to_pylist()):
             ready = prepared(text)
             for k, at in enumerate(range(0, len(ready), chunk)):
@@ -326,7 +326,7 @@ def _long_ids(long: DataFrame, model: str, chunk: int) -> DataFrame:
 
     def transfer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(model)
-        for b in batches:
+        for b in tidy(batches):
             rows = [Chunk(v, *t).matrix() for t in zip(*(b.column(n).to_pylist() for n in ("before", "body", "after")))]
             yield pa.RecordBatch.from_arrays([b.column("text_key"), b.column("chunk"), pa.array([m.shape[0] for m in rows], pa.int64()),
                                               pa.array([m.tobytes() for m in rows], pa.binary())], names=["text_key", "chunk", "rows", "matrix"])
@@ -338,7 +338,7 @@ def _long_ids(long: DataFrame, model: str, chunk: int) -> DataFrame:
 
     def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(model)
-        for b in batches:
+        for b in tidy(batches):
             ids = [Chunk(v, *t[:3]).encode(*t[3:]) for t in zip(*(b.column(n).to_pylist() for n in ("before", "body", "after", "enter", "leave")))]
             yield pa.RecordBatch.from_arrays([b.column("text_key"), b.column("chunk"), pa.array(ids, pa.binary())], names=["text_key", "chunk", "ids"])
 
@@ -362,7 +362,7 @@ def encode(documents: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(model)
-        for b in batches:
+        for b in tidy(batches):
             values = b.column("text").to_pylist()
             ids = [encode_whole(v, t) if p is None else b"".join(p) for t, p in zip(values, b.column("parts").to_pylist())]
             ends = np.cumsum([0, *(len(i) // 4 for i in ids)]).astype(np.int32)
@@ -380,7 +380,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(model)
-        for b in batches:
+        for b in tidy(batches):
             out = [v.decode(np.array(i or [], "<u4").tobytes()) for i in b.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.string())], names=["doc_id", "text"])
 

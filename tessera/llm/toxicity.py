@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .base import Memo, fold, in_small_batches, let_go, pieces, texts, utf8
+from .base import Memo, fold, in_small_batches, let_go, pieces, texts, tidy, utf8
 from .labelled import collect, sample
 
 #: A general lexicon of insults.
@@ -233,7 +233,7 @@ class ToxicityModel:
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     let_go()
-    for b in batches:
+    for b in tidy(batches):
         t = utf8(b.column("text"))
         yield pa.RecordBatch.from_arrays(
             [b.column("doc_id"), b.column("y"), pa.array([b" ".join(sorted(distinct_words(x))) for x in t], pa.binary()),
@@ -270,7 +270,7 @@ def scored(documents: DataFrame, model: ToxicityModel) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
-        for b in batches:
+        for b in tidy(batches):
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([shared.value.score(t) for t in utf8(b.column("text"))], pa.float64())], names=["doc_id", "score"])
 
     return texts(documents).mapInArrow(score, "doc_id long, score double")
@@ -289,7 +289,7 @@ def filter_toxic(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_RO
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
-        for b in batches:
+        for b in tidy(batches):
             keep = [shared.value.score(t) < 0.5 for t in utf8(b.column("text").cast(pa.string()))]
             yield b.filter(pa.array(keep, pa.bool_()))
 
