@@ -14,6 +14,7 @@ from ..session import shared_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 A_Z = str.maketrans(UPPER, LOWER)
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,10 +41,13 @@ def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
 
 
 def in_small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Arrow batches of at most ``rows`` rows (Spark also ends a batch at
-    spark.sql.execution.arrow.maxBytesPerBatch), so that a Python worker holds
-    a few MB of text at a time."""
+    """Arrow batches of at most ``rows`` rows and, as Spark ends a batch that
+    reaches it, about ``BATCH_BYTES``: a Python worker, and the executor that
+    fills its batches, holds a few MB of text at a time."""
     conf = spark.conf
+    most = int(conf.get("spark.sql.execution.arrow.maxBytesPerBatch"))
+    if most <= 0 or most > BATCH_BYTES:
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
@@ -124,9 +128,14 @@ def give_back() -> None:
 
 
 def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches; what the work on one left free goes back to the system
-    before the next, and at a task's end, so waiting workers stay small."""
+    """The batches; what the work on some 16 MB of them left free goes back to
+    the system, and at a task's end the rest, so waiting workers stay small."""
+    seen = 0
     for b in batches:
+        seen += b.nbytes
         yield b
         del b
-        give_back()
+        if seen > 1 << 24:
+            seen = 0
+            give_back()
+    give_back()
