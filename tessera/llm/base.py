@@ -45,8 +45,8 @@ def in_small_batches(spark: SparkSession, rows: int = 1000) -> None:
     reaches it, about ``BATCH_BYTES``: a Python worker, and the executor that
     fills its batches, holds a few MB of text at a time."""
     conf = spark.conf
-    most = int(conf.get("spark.sql.execution.arrow.maxBytesPerBatch"))
-    if most <= 0 or most > BATCH_BYTES:
+    most = conf.get("spark.sql.execution.arrow.maxBytesPerBatch").removesuffix("b")  # Spark gives bytes as 67108864b
+    if not most.isdigit() or not 0 < int(most) <= BATCH_BYTES:
         conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
