@@ -1,21 +1,23 @@
-"""Set-based upsert on plain Parquet (M1, M2, M5): no MERGE, no row writes.
+"""Set-based upsert on plain Parquet (M1, M2, M5): merge on read, no row writes.
 
-A table is hash-bucketed on its key (``bucket = pmod(xxhash64(key), B)``). An
-upsert reads only the buckets that its new rows touch, merges, and writes them
-as a new version beside the old one:
+A table is hash-bucketed (``bucket = pmod(xxhash64(bucket_by), B)``). The first
+rows of a bucket are its base; an upsert writes only its own rows, as a delta
+beside the base, and a read takes each key from the newest delta that has it:
 
-    <path>/v=<n>/bucket=<b>/...   files of version n
-    <path>/_index/                (version, bucket) rows, one file per upsert
+    <path>/v=<n>/bucket=<b>/...   files of version n: a base or a delta
+    <path>/_index/                one row a version: the base and the deltas of
+                                  every bucket from then on
 
-The upsert is published by its row file in the index, written last; readers
-take each bucket's latest published version. A run that fails earlier leaves
-the table as it was, and the next upsert overwrites what it left. One writer
-at a time.
+A version is published by its row in the index, written last. A run that fails
+earlier leaves the table as it was, and the next one overwrites what it left.
+``compact`` folds deltas into a new base; ``vacuum`` drops the files that no
+recent version needs, so a read may go on while both run. One writer at a time.
 """
 
 from __future__ import annotations
 
 import os
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,90 +25,176 @@ from pyspark.sql import functions as F
 from ..schemas import checked
 from ..session import read_if_present
 
-BUCKET, VERSION = "bucket", "v"
+BUCKET = "bucket"
+INDEX_DDL = "v int, live array<struct<bucket:int,base:int,rows:bigint,deltas:array<int>,delta_rows:bigint>>"
+
+
+class Live(NamedTuple):
+    """What a published bucket consists of: versions, and how many rows they hold."""
+    bucket: int
+    base: int
+    rows: int
+    deltas: tuple[int, ...]
+    delta_rows: int
 
 
 def bucket_of(key: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
-def merge(new: DataFrame, old: DataFrame | None, key: str, *, as_of: Column,
-          keep_first: tuple[str, ...] = ("silvered_at",)) -> DataFrame:
-    """New rows replace old rows with the same key; old-only rows stay.
-    Columns in keep_first (first-insert time) are carried from the old row."""
-    stamped = new
+def carried(new: DataFrame, old: DataFrame | None, key: str, *, as_of: Column,
+            keep_first: tuple[str, ...], order: str | None) -> DataFrame:
+    """The new rows as they are written: columns in keep_first (first-insert
+    time) come from the old row of the key, ``as_of`` where there is none. With
+    ``order``, a new row whose order is below its old row's is left out."""
     for c in keep_first:
-        stamped = stamped.withColumn(c, as_of.cast("timestamp_ntz"))
-    if old is None:
-        return stamped
-    upd = stamped
-    if keep_first:
-        carry = old.select(key, *[F.col(c).alias(f"_old_{c}") for c in keep_first])
-        upd = stamped.join(carry, key, "left")
-        for c in keep_first:
-            upd = upd.withColumn(c, F.coalesce(F.col(f"_old_{c}"), F.col(c))).drop(f"_old_{c}")
-    keep = old.join(new.select(key), key, "left_anti")
-    return upd.unionByName(keep.select(*upd.columns))
+        new = new.withColumn(c, as_of.cast("timestamp_ntz"))
+    needed = [*keep_first, *([order] if order else [])]
+    if old is None or not needed:
+        return new
+    known = old.select(F.col(key).alias("_old_key"), *[F.col(c).alias(f"_old_{c}") for c in needed])
+    both = new.join(known, new[key].eqNullSafe(known["_old_key"]), "left")
+    if order:
+        both = both.filter(F.col(f"_old_{order}").isNull() | (F.col(order) >= F.col(f"_old_{order}")))
+    first = {c: F.coalesce(F.col(f"_old_{c}"), F.col(c)) for c in keep_first}
+    return both.select(*[first.get(c, F.col(c)).alias(c) for c in new.columns])
 
 
 class BucketedTable:
-    """A Parquet table in shared storage, versioned by key hash bucket.
-    ``buckets`` is a property of the table: size it to the data, and keep it."""
+    """A Parquet table in shared storage, versioned by hash bucket. ``buckets``
+    and ``bucket_by`` (the key unless named) are properties of the table: size
+    the first to the data, and keep both. A bucket is folded when its deltas
+    are ``max_deltas`` or hold ``fold_at`` times its base's rows."""
 
-    def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = 64, ddl: str = ""):
+    def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = 64, ddl: str = "",
+                 bucket_by: str | None = None, max_deltas: int = 8, fold_at: float = 1.0, keep_versions: int = 16):
         self.spark, self.path, self.key, self.buckets, self.ddl = spark, path, key, buckets, ddl
+        self.bucket_by, self.max_deltas, self.fold_at, self.keep_versions = bucket_by or key, max_deltas, fold_at, keep_versions
+
+    def _index(self) -> DataFrame | None:
+        return read_if_present(lambda: self.spark.read.schema(INDEX_DDL).parquet(os.path.join(self.path, "_index")))
 
-    def _published(self) -> dict[int, int]:
-        """bucket -> latest published version; ``buckets`` entries at most."""
-        index = read_if_present(lambda: self.spark.read.schema("v int, bucket int")
-                                .parquet(os.path.join(self.path, "_index")))
-        if index is None:
-            return {}
-        return {r.bucket: r.v for r in index.groupBy(BUCKET).agg(F.max(VERSION).alias(VERSION)).collect()}
+    def _published(self) -> tuple[int, dict[int, Live]]:
+        """(latest version, bucket -> its parts): ``buckets`` entries at most."""
+        index = self._index()
+        row = index.agg(F.max("v").alias("v"), F.max_by("live", "v").alias("live")).first() if index is not None else None
+        if row is None or row.v is None:
+            return 0, {}
+        return row.v, {x.bucket: Live(x.bucket, x.base, x.rows, tuple(x.deltas), x.delta_rows) for x in row.live}
 
     def exists(self) -> bool:
-        return bool(self._published())
+        return bool(self._published()[1])
 
-    def _rows(self, published: dict[int, int], buckets=None) -> DataFrame | None:
-        chosen = [b for b in sorted(published) if buckets is None or b in buckets]
-        if not chosen:
+    def _folder(self, version: int, bucket: int) -> str:
+        return os.path.join(self.path, f"v={version}", f"{BUCKET}={bucket}")
+
+    def _rows(self, live: list[Live]) -> DataFrame | None:
+        """Rows of these buckets. Bases without deltas are read as they are; of
+        the others, the keys that a delta has are left out of the base."""
+        if not live:
             return None
-        paths = [os.path.join(self.path, f"v={published[b]}", f"bucket={b}") for b in chosen]
-        return self.spark.read.parquet(*paths)
+        plain = [self._folder(x.base, x.bucket) for x in live if not x.deltas]
+        layered = [x for x in live if x.deltas]
+        out = self.spark.read.parquet(*plain) if plain else None
+        if layered:
+            base = self.spark.read.parquet(*[self._folder(x.base, x.bucket) for x in layered])
+            deltas = self.spark.read.parquet(*[self._folder(v, x.bucket) for x in layered for v in x.deltas])
+            version = F.regexp_extract(F.col("_metadata.file_path"), rf"/v=(\d+)/{BUCKET}=\d+/[^/]+$", 1).cast("int")
+            payload = [c for c in base.columns if c != self.key]
+            newest = (deltas.select(*base.columns, version.alias("_v")).groupBy(self.key)
+                      .agg(F.max_by(F.struct(*payload), "_v").alias("_w"))
+                      .select(*[F.col(self.key) if c == self.key else F.col("_w")[c].alias(c) for c in base.columns]))
+            changed = deltas.select(F.col(self.key).alias("_changed"))
+            both = base.join(changed, base[self.key].eqNullSafe(changed["_changed"]), "left_anti").unionByName(newest)
+            out = both if out is None else out.unionByName(both)
+        return out
 
     def read(self) -> DataFrame | None:
         """The published rows; None before the first upsert."""
-        return self._rows(self._published())
-
-    def write(self, new: DataFrame, *, as_of: Column,
-              keep_first: tuple[str, ...] = ("silvered_at",)) -> int:
-        """Merge and write the next version's files, unpublished; returns its number."""
-        published = self._published()
-        version = 1 + max(published.values(), default=0)
-        new = new.withColumn(BUCKET, bucket_of(F.col(self.key), self.buckets))
-        # At most `buckets` integers: the touched buckets.
-        touched = {r[0] for r in new.select(BUCKET).distinct().collect()}
-        old = self._rows(published, touched)
-        if old is not None:
-            old = old.withColumn(BUCKET, bucket_of(F.col(self.key), self.buckets))
-        merged = merge(new, old, self.key, as_of=as_of, keep_first=keep_first)
-        checked(merged, self.ddl).write.mode("overwrite").option("partitionOverwriteMode", "static") \
-            .partitionBy(BUCKET).parquet(os.path.join(self.path, f"v={version}"))
-        self._pending = (version, touched)
-        return version
+        return self._rows(list(self._published()[1].values()))
+
+    def _touched(self, keys: DataFrame) -> set[int]:
+        return {r[0] for r in keys.select(bucket_of(F.col(self.bucket_by), self.buckets)).distinct().collect()}
+
+    def read_near(self, keys: DataFrame) -> DataFrame | None:
+        """Rows of the buckets that ``keys`` (with the column bucketed by) fall in."""
+        touched = self._touched(keys)
+        return self._rows([x for x in self._published()[1].values() if x.bucket in touched])
+
+    def _write(self, rows: DataFrame, version: int) -> dict[int, int]:
+        """Write a version's files; returns its rows by bucket, from the files' footers."""
+        path = os.path.join(self.path, f"v={version}")
+        dealt = checked(rows, self.ddl).withColumn(BUCKET, bucket_of(F.col(self.bucket_by), self.buckets))
+        dealt.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(path)
+        written = self.spark.read.schema(f"{BUCKET} int").parquet(path)
+        return {r[0]: r[1] for r in written.groupBy(BUCKET).count().collect()}
+
+    def _append_index(self, version: int, live: dict[int, Live]) -> None:
+        rows = self.spark.createDataFrame([(version, [tuple(x) for _, x in sorted(live.items())])], INDEX_DDL)
+        rows.coalesce(1).write.mode("append").parquet(os.path.join(self.path, "_index"))
+
+    def write(self, new: DataFrame, *, as_of: Column, keep_first: tuple[str, ...] = ("silvered_at",),
+              order: str | None = None) -> int:
+        """Write the rows (one a key) as the next version, unpublished; returns its
+        number. With ``order`` a row never replaces one of greater order."""
+        latest, live = self._published()
+        old = None
+        if live and (keep_first or order):
+            touched = self._touched(new)
+            old = self._rows([x for x in live.values() if x.bucket in touched])
+        rows = carried(new, old, self.key, as_of=as_of, keep_first=keep_first, order=order)
+        self._pending = (latest + 1, live, self._write(rows, latest + 1))
+        return latest + 1
 
     def publish(self) -> None:
         """Make the version that ``write`` wrote the current one."""
-        version, touched = self._pending
-        rows = self.spark.createDataFrame([(version, b) for b in sorted(touched)], "v int, bucket int")
-        rows.coalesce(1).write.mode("append").parquet(os.path.join(self.path, "_index"))
-
-    def upsert(self, new: DataFrame, *, as_of: Column,
-               keep_first: tuple[str, ...] = ("silvered_at",)) -> DataFrame | None:
-        self.write(new, as_of=as_of, keep_first=keep_first)
+        version, live, written = self._pending
+        for b, n in written.items():
+            x = live.get(b)
+            live[b] = Live(b, version, n, (), 0) if x is None else x._replace(deltas=(*x.deltas, version), delta_rows=x.delta_rows + n)
+        if written:
+            self._append_index(version, live)
+
+    def upsert(self, new: DataFrame, *, as_of: Column, keep_first: tuple[str, ...] = ("silvered_at",),
+               order: str | None = None) -> DataFrame | None:
+        self.write(new, as_of=as_of, keep_first=keep_first, order=order)
         self.publish()
+        live = self._pending[1].values()
+        due = {x.bucket for x in live if len(x.deltas) >= self.max_deltas or x.delta_rows > self.fold_at * x.rows}
+        if due:
+            self.compact(due)
+            self.vacuum()
         return self.read()
 
+    def compact(self, buckets: set[int] | None = None) -> None:
+        """Fold the deltas of these buckets (all unless named) into new bases."""
+        latest, live = self._published()
+        chosen = [x for x in live.values() if x.deltas and (buckets is None or x.bucket in buckets)]
+        if chosen:
+            written = self._write(self._rows(chosen), latest + 1)
+            self._append_index(latest + 1, live | {b: Live(b, latest + 1, n, (), 0) for b, n in written.items()})
+
+    def vacuum(self, keep: int | None = None) -> None:
+        """Drop the files that none of the last ``keep`` versions needs, then the
+        index rows of the versions before. A read that began ``keep`` or more
+        versions ago may fail; it never gets other rows."""
+        index = self._index()
+        rows = [] if index is None else index.select("v", "live", F.col("_metadata.file_path").alias("file")).collect()
+        rows.sort(key=lambda r: r.v)
+        gone, kept = rows[:-(keep or self.keep_versions)], rows[-(keep or self.keep_versions):]
+
+        def needed(some) -> set[tuple[int, int]]:
+            return {(v, x.bucket) for r in some for x in r.live for v in (x.base, *x.deltas)}
+
+        for v, b in sorted(needed(gone) - needed(kept)):
+            self._delete(self._folder(v, b))
+        for r in gone:
+            self._delete(r.file)
+
+    def _delete(self, path: str) -> None:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+
 
 def record_progress(table: BucketedTable, counts: DataFrame, as_of: Column) -> None:
     """M2: one row a dataset, recorded as complete only after its silver write."""

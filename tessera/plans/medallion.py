@@ -109,7 +109,7 @@ class Medallion:
         self.completed = BucketedTable(spark, os.path.join(self.root, "silver_progress"),
                                        "source_dataset", buckets, PROGRESS_DDL)
         self.stream_files = BucketedTable(spark, os.path.join(self.root, "stream_files"),
-                                          "file_key", buckets)
+                                          "file_key", buckets, bucket_by="source_dataset")
 
     def progress(self) -> DataFrame | None:
         return self.completed.read()
@@ -120,10 +120,12 @@ class Medallion:
         return files.select("dataset_id", "path").join(
             B.discover(self.spark, self.bronze, self.progress()), "dataset_id")
 
-    def deduplicate_all(self, as_of: Column, media: DataFrame | None = None) -> DataFrame:
+    def deduplicate_all(self, as_of: Column, media: DataFrame | None = None, strict: bool = False) -> DataFrame:
         """Silver run: new datasets -> upsert -> progress. Returns one row
         (datasets_processed, posts_silvered). A dataset without any usable
-        post is still recorded (post_count 0) so it is not rescanned."""
+        post is still recorded (post_count 0) so it is not rescanned. A later
+        run's rows replace those of an earlier one; in ``strict`` mode only
+        where their dataset is not the older."""
         pending = cut_lineage(self.pending_files())
         # The pending files' paths, which the scan's own file index holds too.
         paths = [r[0] for r in pending.select("path").collect()]
@@ -138,7 +140,7 @@ class Medallion:
             .select("source_dataset", F.coalesce("post_count", F.lit(0)).cast("bigint").alias("post_count")))
         n, total = counts.agg(F.count(F.lit(1)), F.sum("post_count")).first()
         if total:
-            self.silver.upsert(S.posts_of(folded, media), as_of=as_of)
+            self.silver.upsert(S.posts_of(folded, media), as_of=as_of, order="_order" if strict else None)
         record_progress(self.completed, counts, as_of)
         return self.spark.createDataFrame(
             [(int(n), int(total or 0))], "datasets_processed bigint, posts_silvered bigint")

@@ -98,3 +98,13 @@ def q_stream_progress_counts(spark, sf_dir):
     land_events(spark, Catalog(spark, sf_dir), root=m.bronze)
     silver_stream.run(m, _ts(RUN1_AT), files_per_batch=1)
     return m.progress().select("source_dataset", "post_count", "completed_at")
+
+
+@query("stream_silver_newest_first")
+def q_stream_silver_newest_first(spark, sf_dir):
+    """One file per micro-batch, the newest first: older lines come in later
+    batches and replace nothing newer."""
+    m = Medallion(spark, buckets=2)
+    land_events(spark, Catalog(spark, sf_dir), root=m.bronze)
+    silver_stream.run(m, _ts(RUN1_AT), files_per_batch=1, newest_first=True)
+    return silver_view(m.silver_posts())

@@ -90,14 +90,15 @@ def json_array_lines(payload: DataFrame) -> DataFrame:
         .select("dataset_id", F.to_json("v").alias("line"))
 
 
-def listing(spark: SparkSession, root: str) -> DataFrame:
-    """Published files (dataset_id, path, file_name, length, file_mtime) without reading
-    contents: the binaryFile source skips the bytes when ``content`` is not selected."""
+def listing(spark: SparkSession, root: str, folders: list[str] | None = None) -> DataFrame:
+    """Published files (dataset_id, path, file_name, length, file_mtime), of the given
+    dataset folders only where some are given, without reading contents: the binaryFile
+    source skips the bytes when ``content`` is not selected."""
     def files(*where: str, glob: str = "*"):
         return read_if_present(lambda: spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                               .option("pathGlobFilter", glob).load(os.path.join(*where)))
-    found = files(root, "dataset_id=*")
-    if found is None:
+                               .option("pathGlobFilter", glob).load(list(where)))
+    found = files(*(folders or [os.path.join(root, "dataset_id=*")]))
+    if found is None and not folders:
         found = files(root, glob="*.jsonl")
     if found is None:
         return spark.createDataFrame([], "dataset_id string, path string, file_name string, length long, file_mtime timestamp_ntz")

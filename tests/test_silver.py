@@ -112,6 +112,62 @@ def test_failed_read_never_passes_for_an_empty_table(spark, tmp_path):
     assert read_if_present(lambda: spark.read.parquet(str(tmp_path / "nowhere"))) is None
 
 
+def _folder_bytes(path):
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet"))
+
+
+def _wide(spark, first, last, step=1, tag="old"):
+    return spark.range(first, last, step).select(F.col("id").cast("string").alias("k"), F.lit(tag).alias("tag"), F.sha2(F.concat("id", F.lit(tag)), 256).alias("body"))
+
+
+def test_upsert_writes_what_changes(spark, tmp_path):
+    t = BucketedTable(spark, str(tmp_path / "t"), "k", buckets=2)
+    t.upsert(_wide(spark, 0, 40_000), as_of=at(1))
+    t.upsert(_wide(spark, 0, 40_000, 100, "new").coalesce(1), as_of=at(2))
+    assert _folder_bytes(tmp_path / "t" / "v=2") < 0.03 * _folder_bytes(tmp_path / "t" / "v=1")
+    t.upsert(_wide(spark, 39_900, 40_100, 100, "newer").coalesce(1), as_of=at(3))
+    got = {r.k: (r.tag, str(r.silvered_at)[:10]) for r in t.read().select("k", "tag", "silvered_at").collect()}
+    want = {str(i): ("new" if i % 100 == 0 else "old", "2024-05-01") for i in range(40_000)}
+    assert got == want | {"39900": ("newer", "2024-05-01"), "40000": ("newer", "2024-05-03")} and t.read().count() == 40_001
+
+
+def test_reads_go_on_while_a_table_is_compacted(spark, tmp_path):
+    t = BucketedTable(spark, str(tmp_path / "t"), "k", buckets=3, fold_at=9.0)
+    for i in range(4):
+        t.upsert(_wide(spark, 0, 50 * (i + 1), i + 1, f"t{i}"), as_of=at(i + 1))
+    before = t.read()
+    want = sorted(tuple(r) for r in t.read().collect())
+    t.compact()
+    assert all(not x.deltas for x in t._published()[1].values())
+    t.vacuum(keep=2)
+    assert sorted(tuple(r) for r in before.collect()) == want == sorted(tuple(r) for r in t.read().collect())
+    t.vacuum(keep=1)
+    assert sorted(tuple(r) for r in t.read().collect()) == want
+    assert {d for d, _, fs in os.walk(tmp_path / "t") if any(f.endswith(".parquet") for f in fs)} == \
+        {str(tmp_path / "t" / "_index")} | {str(tmp_path / "t" / "v=5" / f"bucket={b}") for b in range(3)}
+
+
+def test_deltas_are_folded_when_there_are_many(spark, tmp_path):
+    t = BucketedTable(spark, str(tmp_path / "t"), "k", buckets=1, max_deltas=3, fold_at=9.0, keep_versions=2)
+    df = lambda *v: spark.createDataFrame(list(v), "k string, n int")
+    t.upsert(df(*[(c, 0) for c in "abcdef"]), as_of=at(1))
+    for i in range(1, 6):
+        t.upsert(df(("a", i), (None, i)), as_of=at(2))
+    assert {r.k: r.n for r in t.read().collect()} == {"a": 5, None: 5, **{c: 0 for c in "bcdef"}}
+    assert t.read().count() == 7 and len(t._published()[1][0].deltas) < 3
+    t.upsert(df(("z", 1)).limit(0), as_of=at(3))
+    assert t.read().count() == 7
+
+
+def test_order_keeps_newer_rows(spark, tmp_path):
+    t = table(spark, tmp_path)
+    df = lambda *v: spark.createDataFrame(list(v), "k string, n int")
+    t.upsert(df(("a", 5), ("b", 5)), as_of=at(1), order="n")
+    t.upsert(df(("a", 3), ("b", 8), ("c", 1)), as_of=at(2), order="n")
+    t.upsert(df(("b", 6)), as_of=at(3), order="n")
+    assert {r.k: r.n for r in t.read().collect()} == {"a": 5, "b": 8, "c": 1}
+
+
 def test_failed_landing_is_not_read(spark):
     med = Medallion(spark)
     B.write_landing(lines(spark, "a", [boat(1), boat(2)]), med.bronze, "n")  # stopped before the manifest
@@ -120,6 +176,37 @@ def test_failed_landing_is_not_read(spark):
     assert tuple(med.deduplicate_all(at(1)).first()) == (1, 2)
 
 
+def _landed_in_turn(spark):
+    """Two datasets with the same posts, the newer landed last, in several files."""
+    med = Medallion(spark, buckets=2)
+    B.land(lines(spark, "old", [boat(i % 4 + 1, caption=f"old {i}") for i in range(8)]).repartition(3, "n"), med.bronze, downloaded_at=at(1), order_by="n").collect()
+    B.land(lines(spark, "new", [boat(i, caption=f"new {i}") for i in (1, 3, 9)]).repartition(2, "n"), med.bronze, downloaded_at=at(2), order_by="n").collect()
+    return med
+
+
+def test_older_lines_of_a_later_batch_do_not_replace_newer_ones(spark):
+    at_once, newest_first, in_order = _landed_in_turn(spark), _landed_in_turn(spark), _landed_in_turn(spark)
+    at_once.deduplicate_all(at(5))
+    silver_stream.run(newest_first, at(5), files_per_batch=1, newest_first=True)
+    silver_stream.run(in_order, at(5), files_per_batch=1)
+    want = {k: r.caption for k, r in rows(at_once).items()}
+    assert want["1"] == "new 1" and want["2"] == "old 5"
+    for med in (newest_first, in_order):
+        assert {k: r.caption for k, r in rows(med).items()} == want
+        assert sorted((r.source_dataset, r.post_count) for r in med.progress().collect()) == [("new", 3), ("old", 8)]
+
+
+def test_strict_runs_keep_rows_of_later_datasets(spark):
+    plain, strict = Medallion(spark, buckets=2), Medallion(spark, buckets=2)
+    for med, how in ((plain, False), (strict, True)):
+        land(spark, med, "late", [boat(1, caption="late")], 9)
+        med.deduplicate_all(at(10), strict=how)
+        land(spark, med, "early", [boat(1, caption="early"), boat(2)], 3)
+        med.deduplicate_all(at(11), strict=how)
+    assert rows(plain)["1"].caption == "early" and rows(strict)["1"].caption == "late"
+    assert set(rows(plain)) == set(rows(strict)) == {"1", "2"}
+
+
 def test_stream_completes_a_dataset_with_its_last_file(spark):
     med = Medallion(spark, buckets=2)
     land(spark, med, "007", [boat(i) for i in range(6)], 1)
