@@ -122,6 +122,31 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None) -> Da
     return comp
 
 
+def label_propagation(edges: DataFrame, max_rounds: int = 20) -> DataFrame:
+    """Communities by synchronous label propagation; returns (node, label).
+
+    Every node starts with its own id. In a round all nodes at once take the
+    label with most votes among their neighbours' labels and their own; of
+    labels with equal votes the smallest. Synchronous rounds can end in two
+    states that alternate, so the rounds stop when the labels equal those of the
+    round before or of the one before that (or after ``max_rounds``), and a node
+    gets the smaller of its last two labels. Votes are counted by (node, label)
+    before the shuffle, so a hub's neighbours do not meet in one task."""
+    und = cut_lineage(_undirected(edges))
+    nodes = und.select(F.col("u").alias("node")).distinct()
+    labels = cut_lineage(nodes.withColumn("before", F.col("node")).withColumn("label", F.col("node")))
+    for _ in range(max_rounds):
+        sent = und.join(labels.select(F.col("node").alias("v"), "label"), "v").select(F.col("u").alias("node"), "label")
+        votes = sent.unionByName(labels.select("node", "label")).groupBy("node", "label").agg(F.count(F.lit(1)).alias("n"))
+        best = votes.groupBy("node").agg(F.min_by("label", F.struct(-F.col("n"), "label")).alias("next"))
+        after = cut_lineage(labels.join(best, "node").select("node", F.col("label").alias("before"), F.col("next").alias("label"), F.col("before").alias("_old")))
+        still = after.agg(F.bool_and(F.col("label") == F.col("before")).alias("fixed"), F.bool_and(F.col("label") == F.col("_old")).alias("swings")).first()
+        labels = after.drop("_old")
+        if still.fixed is not False or still.swings:
+            break
+    return labels.select("node", F.least("label", "before").alias("label"))
+
+
 def jaccard_on_edges(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
     """Jaccard of token sets for given profile pairs (src, dst) only;
     work is linear in pairs x tokens per profile (no all-pairs join)."""

@@ -54,6 +54,11 @@ def q_communities(spark, sf_dir):
     return GR.connected_components(_related(Star(spark, sf_dir)))
 
 
+@query("label_communities")
+def q_label_communities(spark, sf_dir):
+    return GR.label_propagation(_related(Star(spark, sf_dir)), max_rounds=6)
+
+
 @query("profile_jaccard")
 def q_profile_jaccard(spark, sf_dir):
     s = Star(spark, sf_dir)

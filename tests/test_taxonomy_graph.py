@@ -106,3 +106,34 @@ def test_pagerank_is_the_same_with_hubs_cut(spark):
     plain = {r.node: r.rank for r in GR.pagerank(e, 5).collect()}
     cut = {r.node: r.rank for r in GR.pagerank(e, 5, hub_edges=4).collect()}
     assert plain.keys() == cut.keys() and all(abs(plain[k] - cut[k]) < 1e-12 for k in plain)
+
+
+def _labels_by_hand(edges, rounds):
+    near = {}
+    for a, b in edges:
+        if a != b:
+            near.setdefault(a, set()).add(b)
+            near.setdefault(b, set()).add(a)
+    now, before = {u: u for u in near}, {u: u for u in near}
+    for _ in range(rounds):
+        after = {}
+        for u in near:
+            votes = {}
+            for label in [now[u]] + [now[v] for v in near[u]]:
+                votes[label] = votes.get(label, 0) + 1
+            after[u] = min(votes, key=lambda x: (-votes[x], x))
+        before, now = now, after
+    return {u: min(now[u], before[u]) for u in near}
+
+
+def test_label_propagation(spark):
+    clique = lambda ids: [(a, b) for a in ids for b in ids if a < b]
+    two = clique(range(0, 5)) + clique(range(10, 15)) + [(4, 10), (3, 3)]
+    got = {r.node: r.label for r in GR.label_propagation(spark.createDataFrame(two, "src long, dst long")).collect()}
+    assert got == _labels_by_hand(two, 20) and {got[i] for i in range(5)} == {0} and {got[i] for i in range(10, 15)} == {10}
+    rnd = random.Random(11)
+    some = [(rnd.randrange(40), rnd.randrange(40)) for _ in range(70)] + [(100, i) for i in range(101, 130)]
+    for rounds in (1, 3, 12):
+        got = {r.node: r.label for r in GR.label_propagation(spark.createDataFrame(some, "src long, dst long"), rounds).collect()}
+        assert got == _labels_by_hand(some, rounds)
+    assert GR.label_propagation(spark.createDataFrame([], "src long, dst long")).count() == 0
