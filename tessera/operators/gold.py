@@ -21,17 +21,26 @@ RESOURCE_TYPES = ["tool", "site", "repo", "library", "framework", "course", "boo
 # ---------------------------------------------------------------------------
 
 
+def with_documents(gold: DataFrame) -> DataFrame:
+    """Gold with the original result document beside the typed result, as a
+    VARIANT that keeps fields outside the contract. Rows stored without one get
+    the document of their typed result; rows without a result have none."""
+    return gold.withColumn("document", F.try_parse_json(F.to_json("result")))
+
+
 def apply_run(gold: DataFrame, results: DataFrame, as_of: Column,
               schema_version: int = 3) -> DataFrame:
     """Merge one enrichment run into gold (set-based upsert by post_id).
 
     success (M3): status 'analysed', new result, error NULL, attempts =
     previous + 1 (1 when new); failure (M4): status 'failed', error
-    'gemini_failed', attempts = previous + 1, previous result kept."""
+    'gemini_failed', attempts = previous + 1, previous result kept. Where gold
+    has documents (``with_documents``) a success stores the text it came as."""
     rtype = gold.schema["result"].dataType
+    documents = ["document"] if "document" in gold.columns else []
     results = results.withColumn("result", F.from_json("result_json", rtype))
     old = gold.select("post_id", F.col("attempts").alias("_a"), F.col("result").alias("_r"),
-                      F.col("schema_version").alias("_v"))
+                      F.col("schema_version").alias("_v"), *[F.col(c).alias("_d") for c in documents])
     j = results.join(old, "post_id", "left")
     ok = F.col("status") == "analysed"
     upd = j.select(
@@ -42,7 +51,8 @@ def apply_run(gold: DataFrame, results: DataFrame, as_of: Column,
         F.when(ok, F.col("result")).otherwise(F.col("_r")).alias("result"),
         F.when(ok, F.lit(None).cast("string")).otherwise(F.col("error")).alias("error"),
         (F.coalesce(F.col("_a"), F.lit(0)) + 1).cast("int").alias("attempts"),
-        as_of.cast("timestamp_ntz").alias("analysed_at"))
+        as_of.cast("timestamp_ntz").alias("analysed_at"),
+        *[F.when(ok, F.try_parse_json("result_json")).otherwise(F.col("_d")).alias(c) for c in documents])
     keep = gold.join(results.select("post_id"), "post_id", "left_anti")
     return upd.unionByName(keep.select(*upd.columns))
 

@@ -143,6 +143,10 @@ class BucketedTable:
             touched = self._touched(new)
             old = self._rows([x for x in live.values() if x.bucket in touched])
         rows = carried(new, old, self.key, as_of=as_of, keep_first=keep_first, order=order)
+        if live:
+            have = set(self._rows([next(iter(live.values()))]).columns)
+            if have != set(rows.columns):
+                raise ValueError(f"columns that only the table or only the new rows have: {sorted(have ^ set(rows.columns))}")
         self._pending = (latest + 1, live, self._write(rows, latest + 1))
         return latest + 1
 

@@ -106,6 +106,24 @@ def q_analysis_history_versions(spark, sf_dir):
     return G.archive_names(h).select("post_id", "seq", "archive_name")
 
 
+@query("fact_post_documents")
+def q_fact_post_documents(spark, sf_dir):
+    """Analyses sent again with fields outside the contract, which the
+    stored documents keep and the fact returns. The results are the stored ones
+    with a ``reading`` object added."""
+    s = Star(spark, sf_dir)
+    store = G.GoldStore(spark, shared_path(spark, "gold"))
+    store.gold.upsert(G.with_documents(s.gold()), as_of=F.lit(RUN_AT), keep_first=())
+    reading = F.struct(F.char_length("result.transcript").alias("chars"), F.col("result.topic").alias("language"))
+    results = V.analysed(s.gold()).select("post_id", F.lit("analysed").alias("status"),
+                                          F.to_json(F.struct("result.*", reading.alias("reading"))).alias("result_json"), F.lit(None).cast("string").alias("error"))
+    store.run(results, F.lit(RUN_AT), 0)
+    fact = V.fact_post(s.posts(), s.profiles(), s.dim_time(), store.gold.read())
+    return fact.select("post_id", "domain", F.get_json_object("result_json", "$.analysis.domain").alias("document_domain"),
+                       F.get_json_object("result_json", "$.analysis.reading.chars").cast("bigint").alias("reading_chars"),
+                       F.get_json_object("result_json", "$.analysis.reading.language").alias("reading_language"))
+
+
 @query("archive_key")
 def q_archive_key(spark, sf_dir):
     g = V.analysed(Star(spark, sf_dir).gold())

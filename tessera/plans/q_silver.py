@@ -80,6 +80,17 @@ def q_silver_from_ndjson(spark, sf_dir):
     return silver_view(m.silver_posts())
 
 
+@query("silver_raw_fields")
+def q_silver_raw_fields(spark, sf_dir):
+    """Stored silver rows keep the object they came from; fields by path, as they were sent."""
+    m = Medallion(spark)
+    land_events(spark, Catalog(spark, sf_dir), root=m.bronze)
+    m.deduplicate_all(_ts(RUN1_AT))
+    return m.silver_posts().select(
+        "post_id", F.try_variant_get("raw", "$.url", "string").alias("raw_url"), F.try_variant_get("raw", "$.timestamp", "string").alias("raw_timestamp"),
+        F.try_variant_get("raw", "$.ownerId", "bigint").alias("raw_owner_id"), F.try_variant_get("raw", "$.hashtags[0]", "string").alias("first_hashtag"))
+
+
 def _two_runs(spark, sf_dir):
     cat = Catalog(spark, sf_dir)
     m = Medallion(spark)

@@ -31,22 +31,28 @@ def _obj_json(c):
 
 def fact_post(posts: DataFrame, profiles: DataFrame, dim_time: DataFrame,
               gold: DataFrame) -> DataFrame:
-    """V1: every silver row once, with keys, ratios and analysis attributes."""
+    """V1: every silver row once, with keys, ratios and analysis attributes.
+    result_json holds the original document where gold has it (fields outside
+    the contract included), else the typed result."""
     sp = posts.select("post_id", "owner_id", "timestamp", "shortcode", "url", "likes_count",
                       "comments_count", "video_play_count", "video_view_count",
                       "has_engagement_bait")
     dp = current_profiles(profiles).select("owner_id", "profile_key")
     dt = F.broadcast(dim_time.select(F.col("date").alias("_date"), "time_key"))
+    documents = ["document"] if "document" in gold.columns else []
     ga = analysed(gold).select(F.col("post_id").alias("_gid"), "schema_version", "result",
-                               "analysed_at")
+                               "analysed_at", *documents)
     j = (sp.join(dp, "owner_id", "left")
          .join(dt, F.to_date(sp.timestamp) == F.col("_date"), "left")
          .join(ga, F.col("post_id") == F.col("_gid"), "left"))
     a = F.col("result")
-    doc = F.when(a.isNotNull(), F.struct(
-        F.col("post_id"), F.col("url"), F.col("schema_version"),
-        F.date_format("analysed_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("analysed_at"),
-        a.alias("analysis")))
+
+    def document(analysis):
+        return F.to_json(F.when(analysis.isNotNull(), F.struct(
+            F.col("post_id"), F.col("url"), F.col("schema_version"),
+            F.date_format("analysed_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("analysed_at"),
+            analysis.alias("analysis"))))
+
     return j.select(
         "post_id", "profile_key", "time_key", "shortcode", "url",
         "likes_count", "comments_count", "video_play_count", "video_view_count",
@@ -62,7 +68,7 @@ def fact_post(posts: DataFrame, profiles: DataFrame, dim_time: DataFrame,
         F.when(a.isNotNull(), _obj_json(a["educational_json"])).alias("educational_json"),
         F.when(a.isNotNull(), _obj_json(a["actionable_json"])).alias("actionable_json"),
         a["transcript"].alias("transcript"),
-        F.to_json(doc).alias("result_json"),
+        F.coalesce(*[document(F.col(c)) for c in [*documents, "result"]]).alias("result_json"),
     )
 
 

@@ -3,6 +3,7 @@ assertions: none, ids, skip analysed, retry failed, max_posts, zero)."""
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import enrich as EN
@@ -72,6 +73,22 @@ def test_overwritten_documents_go_to_the_history(spark, tmp_path):
     assert sorted((r.seq, r.result.domain) for r in store.history().collect()) == [(0, "one"), (1, "new")]
 
 
+def test_documents_keep_fields_outside_the_contract(spark, tmp_path):
+    store = G.GoldStore(spark, str(tmp_path / "gold"), buckets=2)
+    first = _gold(spark, [("a", 3, "analysed", '{"domain": "one"}', None, 1), ("b", 3, "analysed", '{"domain": "two"}', None, 1)])
+    store.gold.upsert(G.with_documents(first), as_of=F.lit("2024-01-01"), keep_first=())
+    results = spark.createDataFrame([("a", "analysed", '{"domain": "new", "mood": {"calm": [1, 2]}}', None), ("b", "failed", None, "timeout")],
+                                    "post_id string, status string, result_json string, error string")
+    store.run(results, F.lit("2024-02-02"), 0)
+    got = {r.post_id: (r.domain, r.calm, r.told) for r in store.gold.read().select(
+        "post_id", "result.domain", F.try_variant_get("document", "$.mood.calm[1]", "int").alias("calm"),
+        F.try_variant_get("document", "$.domain", "string").alias("told")).collect()}
+    assert got == {"a": ("new", 2, "new"), "b": ("two", None, "two")}
+    assert [r.told for r in store.history().select(F.try_variant_get("document", "$.domain", "string").alias("told")).collect()] == ["one"]
+    with pytest.raises(ValueError):
+        store.gold.upsert(first, as_of=F.lit("2024-03-03"), keep_first=())
+
+
 def test_enrich_and_apply_run(spark):
     q = spark.createDataFrame([("p1", "u", "cap", ["a.jpg"]), ("p2", "u", "", [])],
                               "post_id string, url string, caption string, media array<string>")
