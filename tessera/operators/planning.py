@@ -91,11 +91,32 @@ def sub_batches(needing: DataFrame, size: int) -> DataFrame:
     return n.withColumn("sub_batch", F.floor((F.col("rn") - 1) / F.lit(size)).cast("int"))
 
 
-def ledger_totals(ledger: DataFrame) -> DataFrame:
-    """Per tier runs, profiles, items, cost and time."""
-    return ledger.groupBy("tier").agg(
+def batch_datasets(planned: DataFrame, posts: DataFrame) -> DataFrame:
+    """(dataset_id, post_id, line): the posts of each batch's profiles as raw
+    objects of one dataset, named <tier>-<batch number>."""
+    raw = F.to_json(F.struct(F.col("post_id").alias("id"), F.col("shortcode").alias("shortCode"), F.col("owner_id").alias("ownerId"),
+                             F.col("owner_username").alias("ownerUsername"), F.col("likes_count").alias("likesCount")))
+    dataset = F.concat_ws("-", "tier", F.col("batch_no").cast("string"))
+    return posts.join(planned.select("owner_username", "tier", "batch_no"), "owner_username").select(dataset.alias("dataset_id"), "post_id", raw.alias("line"))
+
+
+def ledger(manifest: DataFrame, progress: DataFrame, posts: DataFrame) -> DataFrame:
+    """One row a completed run (landed dataset): its tier, the profiles it
+    brought, items landed and ingested, and the cost of the landed items."""
+    brought = posts.groupBy("source_dataset").agg(F.count_distinct("owner_username").alias("profiles"))
+    return (manifest.select(F.col("dataset_id").alias("source_dataset"), F.col("item_count").alias("items_landed"))
+            .join(progress.select("source_dataset", F.col("post_count").alias("items_ingested")), "source_dataset")
+            .join(brought, "source_dataset", "left")
+            .select(F.col("source_dataset").alias("run_id"), F.regexp_extract("source_dataset", r"^(.*)-\d+$", 1).alias("tier"),
+                    F.coalesce("profiles", F.lit(0)).alias("profiles"), "items_landed", "items_ingested",
+                    scrape_cost(F.col("items_landed"), F.lit(1)).alias("cost_usd")))
+
+
+def ledger_totals(runs: DataFrame) -> DataFrame:
+    """Per tier runs, profiles, items and cost."""
+    return runs.groupBy("tier").agg(
         F.count(F.lit(1)).alias("runs"),
         F.sum("profiles").alias("profiles"),
+        F.sum("items_landed").alias("items_landed"),
         F.sum("items_ingested").alias("items_ingested"),
-        F.round(F.sum("estimated_cost_usd"), 6).alias("estimated_cost_usd"),
-        F.round(F.sum("elapsed_secs"), 6).alias("elapsed_secs"))
+        F.round(F.sum("cost_usd"), 6).alias("cost_usd"))

@@ -9,10 +9,14 @@ from ..operators import benchmark as BM
 from ..operators import dims as D
 from ..operators import graph as GR
 from ..operators import planning as PL
+from ..sources import bronze as B
 from . import views as V
+from .medallion import Medallion
 from .registry import query
 from .star import Star
 
+LANDED_AT, SILVERED_AT = "2025-06-01 00:00:00", "2025-06-01 01:00:00"
+
 
 def _needing(spark, sf_dir):
     s = Star(spark, sf_dir)
@@ -46,16 +50,16 @@ def q_sub_batches(spark, sf_dir):
 
 @query("batch_ledger")
 def q_batch_ledger(spark, sf_dir):
-    planned = PL.plan_batches(_needing(spark, sf_dir))
-    runs = planned.groupBy("tier", "batch_no", "results_limit").agg(
-        F.count(F.lit(1)).alias("profiles"), F.sum("post_count").alias("items_ingested"))
-    ledger = runs.select(
-        F.concat_ws("-", F.lit("run"), F.col("tier"), F.col("batch_no").cast("string"))
-        .alias("run_id"),
-        "tier", "profiles", "results_limit", "items_ingested",
-        (F.col("profiles") * F.col("results_limit") * F.lit(0.0023)).alias("estimated_cost_usd"),
-        (F.col("profiles") * F.lit(1.5) + F.lit(30.0)).alias("elapsed_secs"))
-    return PL.ledger_totals(ledger)
+    """The planned batches' posts are landed, one dataset a batch, and
+    silvered; the ledger comes from the manifest, progress and silver rows
+    that these runs wrote."""
+    s = Star(spark, sf_dir)
+    posts = s.posts()
+    planned = PL.plan_batches(V.profiles_needing_meta(posts, s.profiles()))
+    m = Medallion(spark)
+    B.land(PL.batch_datasets(planned, posts), m.bronze, downloaded_at=F.lit(LANDED_AT), order_by="post_id")
+    m.deduplicate_all(F.lit(SILVERED_AT))
+    return PL.ledger_totals(PL.ledger(B.read_manifest(spark, m.bronze), m.progress(), m.silver_posts()))
 
 
 @query("post_vs_profile_avg")

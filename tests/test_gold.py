@@ -1,7 +1,7 @@
-"""Work queue, enrichment retry policy and gold upserts (test_gold
-assertions: none, ids, skip analysed, retry failed, max_posts, zero)."""
+"""The enrichment queue against a plain version, attempts, gold runs, history names, documents."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,13 +12,6 @@ from tessera.operators.queue import pending_for_ids, pending_queue
 from tessera.schemas import ANALYSIS_DDL
 
 
-def _posts(spark, ids):
-    return spark.createDataFrame(
-        [(p, f"https://ig.com/{p}", f"2025-01-0{i + 1} 00:00:00") for i, p in enumerate(ids)],
-        "post_id string, url string, t string") \
-        .withColumn("silvered_at", F.col("t").cast("timestamp_ntz")).drop("t")
-
-
 def _gold(spark, rows):
     return spark.createDataFrame(rows, "post_id string, schema_version int, status string, "
                                        "j string, error string, attempts int") \
@@ -26,18 +19,22 @@ def _gold(spark, rows):
         .withColumn("analysed_at", F.lit(None).cast("timestamp_ntz"))
 
 
-def test_queue_cases(spark):
-    empty_gold = _gold(spark, [])
-    assert pending_queue(_posts(spark, []), empty_gold).count() == 0
-    posts = _posts(spark, ["p1", "p2", "p3"])
-    assert [r.post_id for r in pending_queue(posts, empty_gold, 2).collect()] == ["p3", "p2"]
-    assert pending_queue(posts, empty_gold, 0).count() == 0
-    done = _gold(spark, [("p1", 2, "analysed", "{}", None, 1)])
-    assert pending_queue(_posts(spark, ["p1"]), done).count() == 0
-    failed = _gold(spark, [("p1", 2, "failed", None, "timeout", 1)])
-    assert pending_queue(_posts(spark, ["p1"]), failed).count() == 1
-    ids = spark.createDataFrame([("p2",), ("p9",)], "post_id string")
-    assert [r.post_id for r in pending_for_ids(posts, empty_gold, ids).collect()] == ["p2"]
+def test_queue_agrees_with_a_plain_version(spark):
+    """Random posts and gold states: what is queued, newest first, and cut to a length."""
+    rnd = random.Random(17)
+    posts = [(f"x{i:02d}", f"https://boats.example/{i}", 60 * rnd.randrange(1000) + i) for i in range(40)]
+    states = [(p, 3, *rnd.choice([("analysed", "{}", None), ("failed", None, "no answer")]), rnd.randrange(1, 5)) for p, _, _ in posts if rnd.random() < 0.6]
+    df = spark.createDataFrame(posts, "post_id string, url string, s long").withColumn("silvered_at", F.timestamp_seconds("s").cast("timestamp_ntz")).drop("s")
+    gold = _gold(spark, states)
+    analysed = {r[0] for r in states if r[2] == "analysed"}
+    waiting = [p for p, _, _ in sorted(posts, key=lambda r: -r[2]) if p not in analysed]
+    assert 0 < len(analysed) and len(waiting) < len(posts)
+    for n in (None, 0, 1, 7, 100):
+        assert [r.post_id for r in pending_queue(df, gold, n).collect()] == waiting[:n]
+    asked = [p for p, _, _ in posts[::3]] + ["unknown"]
+    got = pending_for_ids(df, gold, spark.createDataFrame([(p,) for p in asked], "post_id string"))
+    assert sorted(r.post_id for r in got.collect()) == sorted(set(asked) & set(waiting))
+    assert pending_queue(df.limit(0), gold).count() == 0
 
 
 def test_attempts():
