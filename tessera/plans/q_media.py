@@ -13,12 +13,12 @@ from ..functions import media as M
 from ..session import shared_path
 from ..sources import media as SM
 from ..streaming import silver_stream
-from .medallion import Medallion, land_events, silver_view
+from .medallion import N_DATASETS, Medallion, land_events, silver_view
 from .registry import query
 from .q_silver import RUN1_AT, _ts
 
 
-def _media_files(cat):
+def _media_files(cat, prefix="ds-", datasets=2):
     """One media file per conversation turn (extension by role, some upper
     case), plus per conversation video.mp4 (2 turns), image.jpg (3 turns) or
     an unsupported notes.txt."""
@@ -34,10 +34,10 @@ def _media_files(cat):
                      .alias("file_name"), "content")
     files = turns.unionByName(extra)
     return files.withColumn("source_dataset",
-                            F.concat(F.lit("ds-"), F.pmod("conv_id", F.lit(2)).cast("string")))
+                            F.concat(F.lit(prefix), F.pmod("conv_id", F.lit(datasets)).cast("string")))
 
 
-def _land_media(spark, cat):
+def _land_media(spark, cat, *dataset):
     """Write the media fixture files (executors write their own rows)."""
     root = shared_path(spark, "media")
 
@@ -50,7 +50,7 @@ def _land_media(spark, cat):
                     fh.write((r.content or "").encode("utf-8"))
             yield pd.DataFrame({"n": [len(pdf)]})
 
-    _media_files(cat).mapInPandas(write, "n long").agg(F.sum("n")).collect()
+    _media_files(cat, *dataset).mapInPandas(write, "n long").agg(F.sum("n")).collect()
     return root
 
 
@@ -82,6 +82,30 @@ def q_media_selection(spark, sf_dir):
                 M.media_type_label(F.col("media")).alias("media_type"))
 
 
+def _media_of_posts(spark, cat):
+    """The manifest of media landed in the events' own dataset folders (post id = conversation id)."""
+    return SM.manifest(SM.listing(spark, _land_media(spark, cat, "ds", N_DATASETS)))
+
+
+@query("silver_with_media")
+def q_silver_with_media(spark, sf_dir):
+    """The silver run with a media manifest: a post gets the files of its own dataset."""
+    cat = Catalog(spark, sf_dir)
+    m = Medallion(spark)
+    land_events(spark, cat, root=m.bronze)
+    m.deduplicate_all(_ts(RUN1_AT), media=_media_of_posts(spark, cat))
+    return silver_view(m.silver_posts())
+
+
+@query("stream_silver_with_media")
+def q_stream_silver_with_media(spark, sf_dir):
+    cat = Catalog(spark, sf_dir)
+    m = Medallion(spark)
+    land_events(spark, cat, root=m.bronze)
+    silver_stream.run(m, _ts(RUN1_AT), media=_media_of_posts(spark, cat))
+    return silver_view(m.silver_posts())
+
+
 @query("stream_silver")
 def q_stream_silver(spark, sf_dir):
     m = Medallion(spark)
