@@ -4,6 +4,8 @@ document upgrade (P28) and the document sink/scan (S10, S11)."""
 
 from __future__ import annotations
 
+import functools
+import operator
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -18,6 +20,7 @@ from .upsert import BucketedTable
 # ---- fixed values (must equal the reference behaviour) -------------------
 RESOURCE_TYPES = ["tool", "site", "repo", "library", "framework", "course", "book", "font",
                   "template", "asset", "newsletter", "community", "other"]
+STRINGS = ["admirality", "domain", "subdomain", "topic", "subtopic", "content_type", "style", "format", "transcript"]
 # ---------------------------------------------------------------------------
 
 
@@ -125,15 +128,14 @@ def violations(gold_analysed: DataFrame) -> DataFrame:
     act_filled = (F.coalesce(act["summary"], F.lit("")) != "") | \
         (F.coalesce(F.size(act["resources"]), F.lit(0)) > 0)
     bad_types = F.filter(F.coalesce(act["resources"], F.array()),
-                         lambda r: ~r["type"].isin(RESOURCE_TYPES))
+                         lambda r: ~F.coalesce(r["type"].isin(RESOURCE_TYPES), F.lit(False)))
     rules = [
         ("admirality_format", ~C.is_valid(a["admirality"])),
-        ("educational_without_flag", ~a["is_educational"] & edu_filled),
-        ("actionable_without_flag", ~a["is_actionable"] & act_filled),
+        ("educational_without_flag", ~F.coalesce(a["is_educational"], F.lit(False)) & edu_filled),
+        ("actionable_without_flag", ~F.coalesce(a["is_actionable"], F.lit(False)) & act_filled),
+        ("missing_flag", a["is_educational"].isNull() | a["is_actionable"].isNull()),
         ("resource_type_unknown", F.size(bad_types) > 0),
-        ("missing_string", F.greatest(*[a[f].isNull() for f in
-                                        ("admirality", "domain", "topic", "content_type",
-                                         "style", "format", "transcript")])),
+        ("missing_string", functools.reduce(operator.or_, [a[f].isNull() for f in STRINGS])),
     ]
     arr = F.array(*[F.when(cond, F.lit(name)) for name, cond in rules])
     return gold_analysed.select("post_id", F.explode(F.filter(arr, lambda x: x.isNotNull()))

@@ -120,3 +120,15 @@ def test_archive_names(spark):
                    ("p", 1, "analysis_v3_20250602T000000.json"),
                    ("p", 2, "analysis_v3_20250602T000000_1.json"),
                    ("q", 0, "analysis_vx_20250602T000000.json")]
+
+
+def test_contract_checks(spark):
+    whole = {"is_educational": False, "is_actionable": True, "admirality": "B2", "transcript": "", "actionable_json": {"resources": [{"name": "n", "type": "tool"}]},
+             **{f: "v" for f in ("domain", "subdomain", "topic", "subtopic", "content_type", "style", "format")}}
+    broken = {"whole": {}, "no_subtopic": {"subtopic": None}, "no_subdomain": {"subdomain": None}, "no_flag": {"is_actionable": None},
+              "no_type": {"actionable_json": {"resources": [{"name": "n"}]}}, "code": {"admirality": "Z9"},
+              "unflagged": {"educational_json": {"summary": "s"}}}
+    gold = _gold(spark, [(k, 3, "analysed", json.dumps(whole | v), None, 1) for k, v in broken.items()])
+    assert {(r.post_id, r.rule) for r in G.violations(gold).collect()} == {
+        ("no_subtopic", "missing_string"), ("no_subdomain", "missing_string"), ("no_flag", "missing_flag"), ("no_flag", "actionable_without_flag"),
+        ("no_type", "resource_type_unknown"), ("code", "admirality_format"), ("unflagged", "educational_without_flag")}
