@@ -29,6 +29,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,12 +43,13 @@ from .base import Memo, held, in_small_batches, stage, texts, tidy
 CHUNK = 32768
 SPACE = "▁"
 NEVER = -np.inf
+PAIRS = 1 << 20  # slots of the table of judged pairs, 8 bytes each
 
 
 class Vocabulary:
     """Pieces of a SentencePiece BPE model with byte fallback."""
 
-    def __init__(self, path: str, most: int = 180_000):
+    def __init__(self, path: str, most: int = 140_000):
         import sentencepiece
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         size = range(model.GetPieceSize())
@@ -65,6 +67,7 @@ class Vocabulary:
         crossing = any(SPACE in p.lstrip(SPACE) for p in self.id)
         lines = any("\n" in p and len(p) > 1 for p in self.id)
         self.words = None if crossing or lines else re.compile(f"{SPACE}+[^{SPACE}\n]*|\n+|[^{SPACE}\n]+")
+        self.raw_words = re.compile(rb" +[^ \n]*|\n+|[^ \n]+")  # the same in UTF-8, spaces as they are
         self.split: dict[str, tuple[str, str] | None] = {}  # of pieces that encode to themselves: the last merge
         for p in self.id:
             last: list = [None]
@@ -78,8 +81,8 @@ class Vocabulary:
             node[""] = self.id[p]
         self.piece = {i: p for p, i in self.id.items()}
         self.right, self.left = ({p: self._spine(p, side) for p in self.split} for side in (1, 0))
-        self.follows = Memo(self._follows, most)
-        self.known = Memo(self.encode_word, most, longest=64)
+        self.pairs = array("q", bytes(8 * PAIRS))  # of two pieces the judgement of _follows, in a table of fixed size
+        self.known = Memo(self._encode_raw, most, longest=64)
 
     def merged(self, text: str, last: list | None = None) -> list[str]:
         """Pieces of a short text by the model's merges: best score first,
@@ -114,6 +117,12 @@ class Vocabulary:
                 return out
             piece, used = parts[side], made
 
+    def _judge(self, pair: int, slot: int) -> int:
+        """``_follows`` of a pair of ids, kept in its slot over what was there."""
+        yes = int(self._follows(pair))
+        self.pairs[slot] = pair + 1 << 1 | yes
+        return yes
+
     def _follows(self, pair: int) -> bool:
         """Whether the two pieces (ids, the first shifted by 20 bits), side by side, encode to themselves: no merge
         across their border comes before the symbols there are used up inside
@@ -154,7 +163,7 @@ class Vocabulary:
             return None
         came, what = [-1] * (size + 1), [-1] * (size + 1)
         came[0], what[0] = 0, last
-        tree, follows = self.tree, self.follows
+        tree, pairs, judge = self.tree, self.pairs, self._judge
         for s in range(size):
             if came[s] < 0:
                 continue
@@ -164,8 +173,15 @@ class Vocabulary:
                 if node is None:
                     break
                 i = node.get("")
-                if i is not None and came[e] < 0 and (last < 0 or follows[last << 20 | i]):
-                    came[e], what[e] = s, i
+                if i is None or came[e] >= 0:
+                    continue
+                if last >= 0:
+                    pair = last << 20 | i
+                    slot = (last * 40503 ^ i) & PAIRS - 1
+                    kept = pairs[slot]
+                    if not (kept & 1 if kept >> 1 == pair + 1 else judge(pair, slot)):
+                        continue
+                came[e], what[e] = s, i
             if came[s + 1] < 0 and text[first + s] not in self.id:
                 came[s + 1] = s
         if came[size] < 0:
@@ -180,6 +196,14 @@ class Vocabulary:
     def encode_word(self, word: str) -> bytes:
         return self.ids_of(word, self.trace(word, 0, -1, len(word)))
 
+    def _encode_raw(self, word: bytes) -> bytes:
+        return self.encode_word(word.decode().replace(" ", SPACE))
+
+    def encode_words(self, text: str) -> bytes:
+        """Ids of a text that starts and ends with whole words. Words are kept
+        as UTF-8, which takes half of what text with U+2581 in it does."""
+        return b"".join(map(self.known.__getitem__, self.raw_words.findall(text.replace(SPACE, " ").encode())))
+
     def cuts(self, text: str, first: int, end: int) -> list[int]:
         """Word starts in text[first:end], and ``end`` if a word ends there; needs a character before."""
         return [m.start() for m in self.words.finditer(text, first, end)] if self.words else []
@@ -201,12 +225,9 @@ def prepared(text: str) -> str:
 
 def encode_whole(v: Vocabulary, text: str) -> bytes:
     """Ids of a text of one chunk, whose boundary states are its ends."""
-    ready = prepared(text)
-    if not ready:
+    if not text:
         return b""
-    if v.words is None:
-        return v.encode_word(ready)
-    return b"".join(map(v.known.__getitem__, v.words.findall(ready)))
+    return v.encode_word(prepared(text)) if v.words is None else v.encode_words(" " + text)
 
 
 # Boundary states are (start, end) of the piece over the character before the
@@ -270,7 +291,7 @@ class Chunk:
                     if found is not None:
                         out[i, j] = -len(found)
             return out
-        middle = -sum(len(self.v.known[w]) // 4 for w in self.v.words.findall(self.text, *inner))
+        middle = -(len(self.v.encode_words(self.text[slice(*inner)])) // 4)
         tails = [self._ending(inner[1], -1, s) for s in leaves]
         for i, e in enumerate(enters):
             head = self.v.trace(self.text, *self._entered(e), inner[0])
@@ -285,7 +306,7 @@ class Chunk:
         if inner is None:
             return self.v.ids_of(self.text, self._path(e, s))
         head = self.v.trace(self.text, *self._entered(e), inner[0])
-        middle = b"".join(map(self.v.known.__getitem__, self.v.words.findall(self.text, *inner)))
+        middle = self.v.encode_words(self.text[slice(*inner)])
         return self.v.ids_of(self.text, head) + middle + self.v.ids_of(self.text, self._ending(inner[1], -1, s))
 
 
