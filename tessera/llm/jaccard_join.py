@@ -431,17 +431,19 @@ def _placed(documents: DataFrame) -> DataFrame:
 def keep_one(documents: DataFrame) -> DataFrame:
     """Of each component one row, of its smallest doc_id, all columns kept.
     Where rows of one doc_id hold different shingles ("mixed"), each is judged
-    by (doc_id, node). Rows with a null doc_id cannot be told apart and stay.
-    Documents that a Bloom filter (fixed size) of the ids in question does not
+    by (doc_id, node). A row with a null doc_id goes if its component has an
+    id; of a component without any, one row of the least node stays, and rows
+    without shingles stay all. Documents that a Bloom filter (fixed size) of the ids in question does not
     know pass without a shuffle."""
-    found = stage(_placed(documents).select("doc_id", "component_id", F.coalesce("node", F.lit(b"")).alias("node"), "label"), "jaccard-components").filter("doc_id is not null")
+    placed = stage(_placed(documents).select("doc_id", "component_id", F.coalesce("node", F.lit(b"")).alias("node"), "label"), "jaccard-components")
+    found = placed.filter("doc_id is not null")
     judged = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.bool_and(F.col("doc_id") == F.col("component_id")).alias("first"),
                                          (F.min("node") < F.max("node")).alias("mixed"))
     asked = stage(judged.filter("rows > 1 or not first").select(F.col("doc_id").cast("string").alias("canonical"), "first", "mixed"), "jaccard-asked")
     chosen = found.filter("doc_id = component_id").groupBy("label", "doc_id").agg(F.min("node").alias("node"))
     chosen = (chosen.select(F.col("doc_id").cast("string").alias("canonical"), "node").join(asked.filter("mixed"), "canonical", "left_semi")
               .withColumn("chosen", F.lit(True)))
-    whole = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("string").alias("canonical"))
+    whole = documents.filter(F.col("doc_id").isNotNull()).select(F.struct("*").alias("row"), F.col("doc_id").cast("string").alias("canonical"))
     probed = maybe_in(whole, "canonical", bloom(asked, KEEP_BLOCKS), KEEP_BLOCKS)
     node_of = F.arrow_udf(lambda t: pa.array([xxh3_128_digest(s.tobytes()) if len(s) else b"" for s in map(shingle_set, utf8(t))], pa.binary()), "binary")
     mixed = F.coalesce("mixed", F.lit(False))
@@ -449,4 +451,10 @@ def keep_one(documents: DataFrame) -> DataFrame:
             .withColumn("node", node_of(F.when(mixed, F.col("row.text").cast("string"))))
             .join(chosen, ["canonical", "node"], "left").filter(~mixed | F.coalesce("chosen", F.lit(False)))
             .dropDuplicates(["canonical", "node"]))
-    return probed.filter(~F.col("possible")).select("row.*").unionByName(rest.select("row.*"))
+    nameless = (placed.filter("doc_id is null and label is not null").groupBy("label")
+                .agg(F.min("component_id").alias("id"), F.min("node").alias("node")).filter("id is null").select("node"))
+    without = (documents.filter(F.col("doc_id").isNull()).select(F.struct("*").alias("row"))
+               .withColumn("node", node_of(F.col("row.text").cast("string"))))
+    alone = without.join(nameless, "node", "left_semi").dropDuplicates(["node"])
+    return (probed.filter(~F.col("possible")).select("row.*").unionByName(rest.select("row.*"))
+            .unionByName(without.filter(F.col("node") == F.lit(b"")).select("row.*")).unionByName(alone.select("row.*")))

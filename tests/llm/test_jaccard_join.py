@@ -85,7 +85,7 @@ def test_keep_one(spark):
                                "doc_id long, text string, source string").selectExpr("*", "1 as canonical", "true as possible", "2 as block", "3 as w0", "'r' as row")
     out = J.keep_one(df)
     assert out.columns == df.columns
-    assert sorted((r.doc_id is None, r.doc_id, r.source) for r in out.collect()) == [(False, 1, "y"), (False, 3, "z"), (True, None, "n")]
+    assert sorted((r.doc_id is None, r.doc_id, r.source) for r in out.collect()) == [(False, 1, "y"), (False, 3, "z")]
 
 
 def test_group_bound_holds_for_sizes_between_the_ends(spark):
@@ -124,10 +124,23 @@ def test_keep_one_leaves_a_row_of_each_component(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string, source string").selectExpr("*", "1 as mixed", "2 as chosen", "3 as label")
     out = J.keep_one(df)
     assert out.columns == df.columns
-    assert sorted(r.source for r in out.collect()) == ["a1", "b5", "c6", "d6", "e8", "n"]
+    assert sorted(r.source for r in out.collect()) == ["a1", "b5", "c6", "d6", "e8"]
 
 
 def test_keep_one_of_two_linked_texts_of_an_id(spark):
     words = [f"w{i}" for i in range(100)]
     df = spark.createDataFrame([(3, " ".join(words)), (3, " ".join([*words, "more"])), (4, " ".join(words))], "doc_id long, text string")
     assert [r.doc_id for r in J.keep_one(df).collect()] == [3]
+
+
+def test_keep_one_of_rows_without_id(spark):
+    near = " ".join(f"w{i}" for i in range(60))
+    alone = " ".join(f"v{i}" for i in range(60))
+    rows = [(1, near, "a"), (None, near, "b"), (None, near + " end", "c"), (None, alone, "d"), (None, alone, "e"), (None, alone + " end", "f"),
+            (None, "other words of one row", "g"), (None, None, "h"), (None, "", "i"), (None, " ", "j"), (2, "", "k")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = J.keep_one(df)
+    assert out.columns == df.columns
+    kept = sorted(r.source for r in out.collect())
+    assert len(kept) == 7 and len({"d", "e", "f"} & set(kept)) == 1
+    assert set(kept) - {"d", "e", "f"} == {"a", "g", "h", "i", "j", "k"}
