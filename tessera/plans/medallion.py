@@ -133,7 +133,8 @@ class Medallion:
             return self.spark.createDataFrame(
                 [(0, 0)], "datasets_processed bigint, posts_silvered bigint")
         datasets = pending.select("dataset_id", "ds_order_ts").distinct()
-        folded = cut_lineage(S.per_dataset(B.scan(self.spark, paths).join(datasets, "dataset_id")))
+        # Broadcast, as there are no more datasets than paths: a shuffle by dataset would move every line to a few tasks.
+        folded = cut_lineage(S.per_dataset(B.scan(self.spark, paths).join(F.broadcast(datasets), "dataset_id")))
         counts = cut_lineage(
             datasets.select(F.col("dataset_id").alias("source_dataset"))
             .join(S.counts_of(folded), "source_dataset", "left")

@@ -49,11 +49,13 @@ def landing_of_path(path: Column) -> Column:
 def write_landing(lines: DataFrame, root: str, order_by: str | None = None) -> str:
     """Write the lines of datasets that the manifest does not know; returns the landing."""
     spark = lines.sparkSession
-    new = lines.join(read_manifest(spark, root).select("dataset_id").distinct(), "dataset_id", "left_anti")
+    # Broadcast: the known ids among this run's datasets, each a folder; a shuffle by dataset would move every line to a few tasks.
+    known = read_manifest(spark, root).select("dataset_id").distinct().join(lines.select("dataset_id").distinct(), "dataset_id", "left_semi")
+    new = lines.join(F.broadcast(known), "dataset_id", "left_anti")
     order = [F.col("dataset_id")] + ([F.col(order_by)] if order_by else [])
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     landing = uuid.uuid4().hex
-    (new.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # No partition count: AQE joins neighbouring ranges, so the files follow the bytes.
+    (new.repartitionByRange(*order).sortWithinPartitions(*order)
      .select("dataset_id", F.lit(landing).alias("landing"), F.col("line").alias("value"))
      .write.mode("append").partitionBy("dataset_id", "landing").text(root))
     return landing

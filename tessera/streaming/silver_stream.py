@@ -58,7 +58,8 @@ def run(med, as_of: Column, checkpoint: str | None = None, files_per_batch: int
         if not folders:
             return
         listing = cut_lineage(B.listing(spark, med.bronze, folders))
-        lines = B.lines_of(batch).join(B.order_times(listing, med.bronze), "dataset_id")
+        # Broadcast: one row a dataset of this batch; a shuffle by dataset would bring its lines to one task.
+        lines = B.lines_of(batch).join(F.broadcast(B.order_times(listing, med.bronze)), "dataset_id")
         good, _ = S.parse(lines)
         rows = cut_lineage(S.normalise(good))
         if rows.take(1):
