@@ -70,6 +70,12 @@ def captions(cat: Catalog) -> DataFrame:
     return d.select("doc_id", F.concat(F.col("text"), suffix).alias("caption_full"))
 
 
+def stored_captions(cat: Catalog) -> DataFrame:
+    """What silver keeps of a caption, taken before any shuffle: the cut text and the flag of the whole."""
+    return captions(cat).select("doc_id", T.truncate_chars(F.col("caption_full")).alias("caption"),
+                                T.engagement_bait(F.col("caption_full")).alias("bait"))
+
+
 def media_names(cat: Catalog) -> DataFrame:
     """Media listing per post: one file per conversation turn, the extension
     chosen by role (user=image, assistant=video, other=unsupported)."""
@@ -91,13 +97,13 @@ def silver_posts(cat: Catalog) -> DataFrame:
                           "o_orderdate", "o_orderpriority")
     c = cat.customer.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
     li = lineitem_rollup(cat)
-    cap = captions(cat)
+    cap = stored_captions(cat)
     med = media_manifest(cat)
-    j = (o.join(li, o.o_orderkey == li.l_orderkey, "left")
-         .join(cap, o.o_orderkey == cap.doc_id, "left")
-         .join(c, o.o_custkey == c.c_custkey, "left")
-         .join(med, o.o_orderkey == med.conv_id, "left"))
-    caption_full = F.coalesce(F.col("caption_full"), F.lit(""))
+    # The customer first, while rows are narrow; then all joins by order key, in one shuffle.
+    j = (o.join(c, o.o_custkey == c.c_custkey, "left")
+         .join(li, o.o_orderkey == li.l_orderkey, "left")
+         .join(med, o.o_orderkey == med.conv_id, "left")
+         .join(cap, o.o_orderkey == cap.doc_id, "left"))
     meta = F.when(F.col("o_orderstatus") == "F", F.to_variant_object(F.struct(
         F.when(F.col("c_acctbal") >= 0, F.floor("c_acctbal").cast("bigint"))
         .alias("followersCount"),
@@ -116,7 +122,7 @@ def silver_posts(cat: Catalog) -> DataFrame:
         F.col("o_orderkey").cast("string").alias("post_id"),
         F.concat(F.lit("sc"), F.col("o_orderkey").cast("string")).alias("shortcode"),
         F.concat(F.lit(POST_URL_PREFIX), F.col("o_orderkey").cast("string")).alias("url"),
-        T.truncate_chars(caption_full).alias("caption"),
+        F.coalesce(F.col("caption"), F.lit("")).alias("caption"),
         F.col("o_custkey").cast("string").alias("owner_id"),
         F.coalesce(F.col("c_name"), F.lit("")).alias("owner_username"),
         F.floor("o_totalprice").cast("bigint").alias("likes_count"),
@@ -126,7 +132,7 @@ def silver_posts(cat: Catalog) -> DataFrame:
         F.col("o_orderdate").cast("timestamp_ntz").alias("timestamp"),
         F.coalesce(F.col("tags"), F.array().cast("array<string>")).alias("hashtags"),
         meta.alias("meta_data"),
-        T.engagement_bait(caption_full).alias("has_engagement_bait"),
+        F.coalesce(F.col("bait"), T.engagement_bait(F.lit(""))).alias("has_engagement_bait"),
         media_files.alias("media_files"),
         F.size(media_files).alias("media_count"),
         F.concat(F.lit("ds-"), F.substring("o_orderpriority", 1, 1)).alias("source_dataset"),
@@ -152,10 +158,12 @@ def dim_profile(cat: Catalog) -> DataFrame:
     )
 
 
-def resources(cat: Catalog) -> DataFrame:
-    """Per order the resource list {name, url, type, purpose} in line order
-    (ties on the line number ordered by the resource values)."""
+def resources(cat: Catalog, wanted: DataFrame) -> DataFrame:
+    """Per order that ``wanted`` (r_orderkey) names the resource list {name, url,
+    type, purpose} in line order (ties on the line number ordered by the resource
+    values). Lines of other orders go before the part join."""
     li = cat.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
+    li = li.join(wanted, li.l_orderkey == wanted.r_orderkey, "left_semi")
     p = cat.part.select("p_partkey", "p_name", "p_brand", "p_type")
     j = li.join(p, li.l_partkey == p.p_partkey)
     items = F.struct(F.col("l_linenumber").alias("ln"),
@@ -176,7 +184,7 @@ def gold_analyses(cat: Catalog) -> DataFrame:
     """documents LEFT JOIN labels: labelled -> analysed, else failed."""
     d = cat.documents.select("doc_id", "text", "lang", "source", "n_chars")
     lab = cat.labels.select(F.col("doc_id").alias("l_doc_id"), "quality", "toxic")
-    res = resources(cat)
+    res = resources(cat, d.select(F.col("doc_id").alias("r_orderkey")))
     j = (d.join(lab, d.doc_id == lab.l_doc_id, "left")
          .join(res, d.doc_id == res.r_orderkey, "left"))
     analysed = F.col("l_doc_id").isNotNull()

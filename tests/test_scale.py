@@ -52,3 +52,20 @@ def test_landing_does_not_shuffle_lines_by_dataset(spark, tmp_path, monkeypatch)
     plan = kept[0]._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and plan.index("LeftAnti") < plan.index("BroadcastExchange")
     assert {tuple(r) for r in B.read_manifest(spark, root).select("dataset_id", "item_count").collect()} == {("d0", 15), ("d1", 15), ("d2", 20)}
+
+
+def test_captions_are_cut_and_flagged_before_the_joins(spark):
+    class Cat:
+        documents = spark.createDataFrame([(0, "x" * 6000 + " DM me"), (1, None), (9, "plain"), (None, "t")], "doc_id long, text string")
+    rows = {r.doc_id: r for r in star.stored_captions(Cat).collect()}
+    assert (len(rows[0].caption), rows[0].bait) == (5000, True)
+    assert (rows[1].caption, rows[1].bait, rows[9].bait) == (None, False, False)
+
+
+def test_resources_of_wanted_orders_only(spark):
+    class Cat:
+        lineitem = spark.createDataFrame([(1, 2, 5), (1, 1, 6), (2, 1, 5), (None, 1, 5)], "l_orderkey long, l_linenumber int, l_partkey long")
+        part = spark.createDataFrame([(5, "p5", "b", "t"), (6, "p6", "b", "t")], "p_partkey long, p_name string, p_brand string, p_type string")
+    wanted = spark.createDataFrame([(1,), (1,), (None,), (7,)], "r_orderkey long")
+    got = {r.r_orderkey: [x.name for x in r.resources] for r in star.resources(Cat, wanted).collect()}
+    assert got == {1: ["p6", "p5"]}
