@@ -80,7 +80,8 @@ def q_taxonomy_terms_exact(spark, sf_dir):
 
 def _pairs(s):
     u = TX.unit_vectors(s.cat.embeddings, "vec_id", "embedding", "label")
-    return TX.classify(TX.similar_pairs(u, FIXTURE_REVIEW), FIXTURE_AUTO, FIXTURE_REVIEW), u
+    # Cut: clusters and the review read the pairs several times each.
+    return cut_lineage(TX.classify(TX.similar_pairs(u, FIXTURE_REVIEW), FIXTURE_AUTO, FIXTURE_REVIEW)), u
 
 
 @query("term_similarity_pairs")
@@ -109,9 +110,9 @@ def q_taxonomy_apply(spark, sf_dir):
     # One decision per proposed term (its best-scoring proposal).
     best = rq.groupBy(F.col("proposed_id").alias("term_id")).agg(
         F.max_by(F.struct("canonical_id", "score"), F.struct("score", "canonical_id")).alias("b"))
-    decisions = best.select("term_id", F.col("b.canonical_id").alias("canonical_id"),
-                            F.when(F.col("b.score") >= 0.35, "approve").otherwise("reject")
-                            .alias("decision"))
+    decisions = cut_lineage(best.select("term_id", F.col("b.canonical_id").alias("canonical_id"),
+                                        F.when(F.col("b.score") >= 0.35, "approve").otherwise("reject")
+                                        .alias("decision")))
     e = s.cat.embeddings.select("vec_id", "label")
     terms = e.select(F.col("vec_id").alias("term_id"),
                      F.concat(F.lit("label_"), F.col("label").cast("string")).alias("term_type"),

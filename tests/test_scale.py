@@ -69,3 +69,22 @@ def test_resources_of_wanted_orders_only(spark):
     wanted = spark.createDataFrame([(1,), (1,), (None,), (7,)], "r_orderkey long")
     got = {r.r_orderkey: [x.name for x in r.resources] for r in star.resources(Cat, wanted).collect()}
     assert got == {1: ["p6", "p5"]}
+
+
+def test_similar_pairs_are_found_once(spark, monkeypatch):
+    class S:
+        class cat:
+            embeddings = spark.createDataFrame([(i, 0, [1.0, float(i % 3)]) for i in range(9)], "vec_id long, label int, embedding array<float>")
+    runs = spark.sparkContext.accumulator(0)
+    real = TX.similar_pairs
+
+    def counted(units, threshold):
+        def tick(batches):
+            runs.add(1)
+            yield from batches
+        found = real(units, threshold).coalesce(1)
+        return found.mapInArrow(tick, found.schema)
+    monkeypatch.setattr(TX, "similar_pairs", counted)
+    p, u = q_graph._pairs(S)
+    TX.review_queue(p, TX.clusters(p, u)).collect()
+    assert runs.value == 1
