@@ -44,6 +44,7 @@ HOT, HOT_BYTES = 1 << 16, 64
 ROUNDS = 2
 END = b"\n"  # no word holds a line end
 BLOCKS = 16
+DEEP = 64
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -67,14 +68,50 @@ def hashes(words: list[bytes]) -> np.ndarray:
 def history(h: np.ndarray, first: int = 0, every: int = 1) -> np.ndarray:
     """(FEATURES, tokens) hashes of what stands before each token, or every
     ``every``-th, of a document."""
-    one, two, three = (np.concatenate((np.zeros(k, np.uint64), h))[first:len(h):every] for k in (1, 2, 3))
+    return histories(h, [len(h)], np.arange(first, len(h), every))
+
+
+def histories(h: np.ndarray, sizes: list[int], at: np.ndarray | slice = slice(None)) -> np.ndarray:
+    """The features of the tokens ``at`` of documents of ``sizes`` tokens each,
+    whose hashes stand one after another in ``h``."""
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    back = []
+    for k in (1, 2, 3):
+        x = np.concatenate((np.zeros(min(k, len(h)), np.uint64), h[:-k]))
+        for j in range(k):  # the first k tokens of each document have nothing k back
+            x[(starts + j)[starts + j < ends]] = 0
+        back.append(x[at])
+    one, two, three = back
     return np.stack((_mix(one, 1), _mix(two, 2), _mix(three, 3), _mix(one ^ _mix(two, 5), 4)))
 
 
-def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-    return z
+def _exps(z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(z, exp(z), their sums by row) for logits, which only lose each row's
+    largest first where exponentials could run over or under."""
+    if not (z.max(initial=0) < 60 and z.min(initial=0) > -60):
+        z = z - z.max(axis=1, keepdims=True)
+    e = np.exp(z)
+    return z, e, np.einsum("ij->i", e)
+
+
+def _by_row(place: np.ndarray, error: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, sums): the errors of the tokens added up by the row each feature
+    has its place in; the first of every row, the second of those that have
+    one and so on, and what few rows hold beyond ``DEEP`` in one go."""
+    flat = place.ravel().astype(np.uint16)  # there are fewer rows than 2^16
+    order = np.argsort(flat, kind="stable")  # a radix sort
+    counts = np.bincount(flat)
+    rows = np.argsort(-counts, kind="stable")[:np.count_nonzero(counts)]
+    begin = (np.cumsum(counts) - counts)[rows]
+    counts, order = counts[rows], order % len(error)
+    having = len(rows) - np.cumsum(np.bincount(counts, minlength=DEEP + 1))  # rows of more than k
+    sums = error.take(order[begin], axis=0)
+    for k in range(1, min(DEEP, counts[0])):
+        sums[:having[k]] += error.take(order[begin[:having[k]] + k], axis=0)
+    for r in range(having[DEEP]):
+        sums[r] += error.take(order[begin[r] + DEEP:begin[r] + counts[r]], axis=0).sum(axis=0)
+    return rows, sums
 
 
 class MaxEnt:
@@ -88,17 +125,17 @@ class MaxEnt:
         self.b = np.zeros((MEMBER_ROWS, MEMBERS), np.float32)
 
     def _places(self, f: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        rows = (f % np.uint64(CLASS_ROWS)).astype(np.int64)
-        inner = _mix(f ^ (cls.astype(np.uint64) << np.uint64(40)), 9) % np.uint64(MEMBER_ROWS)
-        return rows, inner.astype(np.int64)
+        rows = (f & np.uint64(CLASS_ROWS - 1)).view(np.int64)  # the sizes are powers of two
+        inner = _mix(f ^ (cls.astype(np.uint64) << np.uint64(40)), 9) & np.uint64(MEMBER_ROWS - 1)
+        return rows, inner.view(np.int64)
 
     def _layers(self, rows, inner, cls):
-        p, q = self.bias + self.a[rows[0]], self.inner[cls]
+        p, q = self.bias + self.a.take(rows[0], axis=0), self.inner.take(cls, axis=0)
         for k in range(FEATURES):
             if k:
-                p += self.a[rows[k]]
-            q += self.b[inner[k]]
-        return _log_softmax(p), _log_softmax(q)
+                p += self.a.take(rows[k], axis=0)
+            q += self.b.take(inner[k], axis=0)
+        return _exps(p), _exps(q)
 
     def log_p(self, f: np.ndarray, bucket: np.ndarray, size: int = 2048) -> np.ndarray:
         """Natural log of P(bucket | history) for each token."""
@@ -106,26 +143,28 @@ class MaxEnt:
         for k in range(0, len(bucket), size):
             cls, member = bucket[k:k + size] // MEMBERS, bucket[k:k + size] % MEMBERS
             at = np.arange(len(cls))
-            rows, inner = self._places(f[:, k:k + size], cls)
-            p, q = self._layers(rows, inner, cls)
-            out[k:k + size] = p[at, cls] + q[at, member]
+            (p, _, p_sum), (q, _, q_sum) = self._layers(*self._places(f[:, k:k + size], cls), cls)
+            out[k:k + size] = p[at, cls] - np.log(p_sum) + q[at, member] - np.log(q_sum)
         return out
 
     def train(self, f: np.ndarray, bucket: np.ndarray, past: list[np.ndarray], rate: float = 0.1, size: int = 2048) -> None:
         """Gradient steps over the tokens; ``past`` scales each weight's step
-        by its own gradients so far."""
+        by its own gradients so far. Only rows that hold a feature of the step move."""
         for k in range(0, len(bucket), size):
             cls, member = bucket[k:k + size] // MEMBERS, bucket[k:k + size] % MEMBERS
             at = np.arange(len(cls))
             rows, inner = self._places(f[:, k:k + size], cls)
             p, q = self._layers(rows, inner, cls)
-            for w, g, place, log, hit, width in ((self.a, past[0], rows, p, cls, CLASSES), (self.b, past[1], inner, q, member, MEMBERS)):
-                error = np.exp(log)
+            for w, g, place, (_, error, total), hit in ((self.a, past[0], rows, p, cls), (self.b, past[1], inner, q, member)):
+                error /= total[:, None]
                 error[at, hit] -= 1
-                flat = (place[:, :, None] * width + np.arange(width)).reshape(-1)
-                step = np.bincount(flat, np.tile(error, (FEATURES, 1)).reshape(-1), w.size).reshape(w.shape)
-                g += step * step
-                w -= (rate * step / np.sqrt(g)).astype(np.float32)
+                moved, step = _by_row(place, error)
+                squares = g.take(moved, axis=0)
+                squares += step * step
+                g[moved] = squares
+                step *= rate
+                step /= np.sqrt(squares, out=squares)
+                w[moved] -= step
 
 
 def _training_counts(docs: DataFrame) -> DataFrame:
@@ -153,9 +192,17 @@ def _training_counts(docs: DataFrame) -> DataFrame:
 
 def share(text: bytes, doc_id: int | None, turn: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
     """(features, buckets) of the positions of a document that a round trains on."""
-    h = hashes(tokens(text))
-    first = (turn + zlib.crc32(str(doc_id).encode())) % rounds
-    return history(h, first, rounds), (h[first::rounds] % np.uint64(CLASSES * MEMBERS)).astype(np.int64)
+    return shares([text], [doc_id], turn, rounds)
+
+
+def shares(texts: list[bytes], doc_ids: list[int | None], turn: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same of several documents, one after another."""
+    parts = [hashes(tokens(t)) for t in texts]
+    h, sizes = np.concatenate(parts), [len(p) for p in parts]
+    first = [(turn + zlib.crc32(str(i).encode())) % rounds for i in doc_ids]
+    starts = np.cumsum(sizes) - sizes
+    at = np.flatnonzero((np.arange(len(h)) - np.repeat(starts + first, sizes)) % rounds == 0)
+    return histories(h, sizes, at), (h[at] % np.uint64(CLASSES * MEMBERS)).astype(np.int64)
 
 
 def _round(docs: DataFrame, model: MaxEnt, turn: int, rounds: int) -> MaxEnt:
@@ -166,13 +213,11 @@ def _round(docs: DataFrame, model: MaxEnt, turn: int, rounds: int) -> MaxEnt:
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = MaxEnt(np.zeros(CLASSES * MEMBERS))
         own.__dict__ |= {k: v.copy() for k, v in shared.value.__dict__.items()}
-        past, n = [np.ones(own.a.shape), np.ones(own.b.shape)], 0
+        past, n = [np.ones(own.a.shape, np.float32), np.ones(own.b.shape, np.float32)], 0
         for b in batches:
-            parts = [share(t, i, turn, rounds) for t, i in zip(utf8(b.column("text")), b.column("doc_id").to_pylist())]
-            if parts:
-                features, buckets = zip(*parts)
-                bucket = np.concatenate(buckets)
-                own.train(np.concatenate(features, axis=1), bucket, past)
+            if b.num_rows:
+                features, bucket = shares(utf8(b.column("text")), b.column("doc_id").to_pylist(), turn, rounds)
+                own.train(features, bucket, past)
                 n += len(bucket)
         if n:
             moved = np.concatenate(((own.a - shared.value.a).ravel(), (own.b - shared.value.b).ravel()))
@@ -221,13 +266,12 @@ def scores(documents: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         names = ["rid", "doc_id", "held_out", "n_tokens", "n_known", "counted", "bucket_score", "words", "times"]
         rid = TaskContext.get().partitionId() << 33
         for b in batches:
-            sizes, known, counted, hashed, features, words, times = [], [], [], [], [], [], []
+            sizes, known, counted, hashed, words, times = [], [], [], [], [], []
             for t in utf8(b.column("text")):
                 w = tokens(t)
                 h = hashes(w)
                 sizes.append(len(w))
                 hashed.append(h)
-                features.append(history(h))
                 at = np.fromiter(map(hot.get, w, repeat(-1)), np.int64, len(w))
                 rare = Counter(map(w.__getitem__, np.flatnonzero(at < 0).tolist()))
                 known.append(len(w) - rare.total())
@@ -236,8 +280,9 @@ def scores(documents: DataFrame, rounds: int = ROUNDS) -> DataFrame:
                 times.append(list(rare.values()))
             if not sizes:
                 continue
-            bucket = (np.concatenate(hashed) % np.uint64(CLASSES * MEMBERS)).astype(np.int64)
-            each = model.log_p(np.concatenate(features, axis=1), bucket) / np.log(10) - within[bucket]
+            h = np.concatenate(hashed)
+            bucket = (h % np.uint64(CLASSES * MEMBERS)).astype(np.int64)
+            each = model.log_p(histories(h, sizes), bucket) / np.log(10) - within[bucket]
             first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(rid, rid + len(sizes)), pa.int64()), b.column("doc_id"), b.column("held_out"), pa.array(sizes, pa.int64()),

@@ -85,3 +85,39 @@ def test_short_documents_train(spark):
     df = spark.createDataFrame([(i, f"{words[i % 10]} next{i % 10}") for i in range(2000)], "doc_id long, text string")
     trained, start = ({r.doc_id: r.score for r in L.scores(df, rounds=k).filter("held_out").collect()} for k in (L.ROUNDS, 0))
     assert sum(trained.values()) > sum(start.values()) + 1
+
+
+def test_features_of_a_batch_are_those_of_its_documents():
+    texts = [b"", b"one", b"two words", b"three words here", b"some more words than three", b" \n"]
+    ids = [4, None, 5, 5, 6, 7]
+    for turn in range(2):
+        features, buckets = L.shares(texts, ids, turn, 2)
+        parts = [L.share(t, i, turn, 2) for t, i in zip(texts, ids)]
+        assert (features == np.concatenate([f for f, _ in parts], axis=1)).all()
+        assert (buckets == np.concatenate([b for _, b in parts])).all()
+    h = [L.hashes(L.tokens(t)) for t in texts]
+    plain = []
+    for doc in h:
+        padded = np.concatenate((np.zeros(3, np.uint64), doc))
+        one, two, three = (padded[3 - k:len(padded) - k] for k in (1, 2, 3))
+        plain.append(np.stack((L._mix(one, 1), L._mix(two, 2), L._mix(three, 3), L._mix(one ^ L._mix(two, 5), 4))))
+    assert (L.histories(np.concatenate(h), [len(x) for x in h]) == np.concatenate(plain, axis=1)).all()
+
+
+def test_errors_are_summed_by_row():
+    r = np.random.default_rng(2)
+    for rows in (1, 3, 900, 4096):  # fewer rows hold more than DEEP each
+        place, error = r.integers(0, rows, (L.FEATURES, 700)), r.normal(size=(700, 32)).astype(np.float32)
+        want = np.zeros((4096, 32))
+        np.add.at(want, place.ravel(), np.tile(error, (L.FEATURES, 1)).astype(float))
+        got = np.zeros((4096, 32))
+        moved, sums = L._by_row(place, error)
+        got[moved] = sums
+        assert len(set(moved.tolist())) == len(moved) and np.allclose(got, want, atol=1e-3)
+
+
+def test_large_logits():
+    z = np.array([[1000.0, 0.0], [-1000.0, -1001.0], [0.5, 0.25]], np.float32)
+    kept, _, total = L._exps(z.copy())
+    want = z.astype(float) - np.logaddexp(z[:, 0].astype(float), z[:, 1])[:, None]
+    assert np.allclose(kept - np.log(total)[:, None], want, atol=1e-5)
