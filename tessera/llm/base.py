@@ -73,11 +73,15 @@ class Memo(dict):
         if value is None:
             value = self.make(word)
         if len(self) >= self.most:
-            self.older = dict(self)
-            self.clear()
+            self.age()
         self[word] = value
         return value
 
+    def age(self) -> None:
+        """The younger generation becomes the older."""
+        self.older = dict(self)
+        self.clear()
+
 
 def utf8(column: pa.Array) -> list[bytes]:
     """A text column's values as UTF-8 bytes; null is the empty text."""

@@ -14,7 +14,8 @@ Matrices are combined in max-plus algebra from both ends, which gives the
 state of the best path at every boundary, and each chunk is traced back on
 its own between its two states. A text of one chunk has fixed ends and needs
 no scan. Inside a chunk no piece crosses the start of a word, so words are
-solved one by one and kept (two generations of bounded size).
+solved on their own, the new ones of a group of texts together in numpy, and
+kept (two generations of bounded size).
 
 Decoding joins the pieces, bytes for characters that are no piece.
 
@@ -31,6 +32,7 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -44,12 +46,14 @@ CHUNK = 32768
 SPACE = "▁"
 NEVER = -np.inf
 PAIRS = 1 << 20  # slots of the table of judged pairs, 8 bytes each
+GROUP = 1 << 16  # characters of the texts whose words are solved together
+FEW = 50  # so many new words are solved one by one
 
 
 class Vocabulary:
     """Pieces of a SentencePiece BPE model with byte fallback."""
 
-    def __init__(self, path: str, most: int = 140_000):
+    def __init__(self, path: str, most: int = 60_000):
         import sentencepiece
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         size = range(model.GetPieceSize())
@@ -58,11 +62,12 @@ class Vocabulary:
         self.score = {p: model.GetScore(i) for p, i in self.id.items()}
         self.longest = max(map(len, self.id))
         self.byte_id = {int(model.IdToPiece(i)[3:5], 16): i for i in size if model.IsByte(i)}
-        self.bytes = [b""] * len(size)
+        out = [b""] * len(size)
         for i in plain:
-            self.bytes[i] = model.IdToPiece(i).replace(SPACE, " ").encode()
+            out[i] = model.IdToPiece(i).replace(SPACE, " ").encode()
         for b, i in self.byte_id.items():
-            self.bytes[i] = bytes([b])
+            out[i] = bytes([b])
+        self.bytes = pa.array(out, pa.binary())
         # where no piece crosses: before a space after anything else, around a line end
         crossing = any(SPACE in p.lstrip(SPACE) for p in self.id)
         lines = any("\n" in p and len(p) > 1 for p in self.id)
@@ -80,10 +85,118 @@ class Vocabulary:
                 node = node.setdefault(c, {})
             node[""] = self.id[p]
         self.piece = {i: p for p, i in self.id.items()}
-        self.right, self.left = ({p: self._spine(p, side) for p in self.split} for side in (1, 0))
+        self.right, self.left = (Memo(partial(self._spine, side=side), 8192) for side in (1, 0))
+        self._flatten()
         self.pairs = array("q", bytes(8 * PAIRS))  # of two pieces the judgement of _follows, in a table of fixed size
         self.known = Memo(self._encode_raw, most, longest=64)
 
+    def _flatten(self) -> None:
+        """The tree in arrays, for many words at a time: ``kind`` numbers the
+        characters that are pieces from 1; ``edges`` are parent * kinds +
+        kind, sorted, and the k-th leads to node k + 1 (the root is 0), where
+        piece ``ends[k + 1]`` ends, or none (-1)."""
+        single = sorted(c for c in self.id if len(c) == 1)
+        self.kind = np.zeros(0x110000, np.uint16 if len(single) < 1 << 16 else np.int32)
+        self.kind[[ord(c) for c in single]] = np.arange(1, len(single) + 1)
+        self.kinds = len(single) + 1
+        edges, ends, level = [], [-1], [self.tree]
+        while level:  # by depth: nodes are numbered in the order of their edges
+            below = []
+            first = len(ends) - len(level)
+            for k, node in enumerate(level, first):
+                for kind, c in sorted((int(self.kind[ord(c)]), c) for c in node if c):
+                    if kind:  # with other characters in pieces, ``complete`` is false
+                        edges.append(k * self.kinds + kind)
+                        ends.append(node[c].get("", -1))
+                        below.append(node[c])
+            level = below
+        self.edges, self.ends = np.array(edges, np.int64), np.array(ends, np.int64)
+        self.complete = all(c in self.id for p in self.id for c in p)
+        self.byte_ids = np.array([self.byte_id.get(b, -1) for b in range(256)])
+
+    def _allowed(self, last: np.ndarray, i: np.ndarray) -> np.ndarray:
+        """Whether each piece ``i`` may follow the piece ``last`` (-1: a start, or a character that is no piece)."""
+        pairs = np.frombuffer(self.pairs, np.int64)
+        pair = last << 20 | i
+        slot = (last * 40503 ^ i) & PAIRS - 1
+        kept = pairs.take(slot)
+        free = (last < 0) | (i < 0)
+        yes = (kept & 1).astype(bool) | free
+        new = np.flatnonzero((kept >> 1 != pair + 1) & ~free)
+        if len(new):
+            each, first, back = np.unique(pair[new], return_index=True, return_inverse=True)
+            judged = np.fromiter(map(self._judge, each.tolist(), slot[new[first]].tolist()), bool, len(each))
+            yes[new] = judged[back]
+        return yes
+
+    def solve(self, words: list[bytes]) -> list[bytes]:
+        """``encode_word`` of many words: their lattices side by side, a step
+        at a time over the places equally far from the start of each word."""
+        texts = [w.decode().replace(" ", SPACE) for w in words]
+        points = np.frombuffer("\0".join([*texts, ""]).encode("utf-32-le"), np.uint32)
+        size = np.fromiter(map(len, texts), np.int64, len(texts))
+        stops = np.cumsum(size + 1) - 1
+        starts = stops - size
+        kind = self.kind.take(points).astype(np.int64)
+        kind[stops] = 0  # no edge
+        odd = kind == 0  # characters that are no piece: a step on their own
+        odd[stops] = False
+        odd = np.flatnonzero(odd)
+        place = np.flatnonzero(kind)
+        node, edges = np.zeros(len(place), np.int64), self.edges
+        froms, tos, which = [odd], [odd + 1], [np.full(len(odd), -1)]
+        at = place
+        while len(at):  # all pieces at all places, character by character
+            edge = node * self.kinds + kind[at]
+            k = np.searchsorted(edges, edge)
+            there = np.flatnonzero(edges.take(k, mode="clip") == edge)
+            place, at, node = place[there], at[there] + 1, k[there] + 1
+            i = self.ends[node]
+            piece = np.flatnonzero(i >= 0)
+            froms.append(place[piece])
+            tos.append(at[piece])
+            which.append(i[piece])
+        came, what = np.full(len(points), -1), np.full(len(points), -1)
+        came[starts] = starts
+        first, to, which = map(np.concatenate, (froms, tos, which))
+        far = first - np.repeat(starts, size + 1)[first]
+        order = np.argsort(far.astype(np.uint16) if size.max(initial=0) < 1 << 16 else far, kind="stable")
+        first, to, which = first[order], to[order], which[order]
+        step = np.cumsum(np.bincount(far, minlength=1)).tolist()
+        for a, z in zip([0, *step], step):
+            reached = a + np.flatnonzero((came[first[a:z]] >= 0) & (came[to[a:z]] < 0))
+            reached = reached[self._allowed(what[first[reached]], which[reached])]
+            came[to[reached]], what[to[reached]] = first[reached], which[reached]
+        on = np.zeros(len(points), bool)  # where a piece of the path ends
+        at = stops[size > 0]
+        while len(at):
+            on[at] = True
+            at = came[at]
+            at = at[came[at] != at]
+        ids, places = what[on], np.flatnonzero(on)
+        plain = ids < 0
+        width = np.ones(len(points), np.int64)
+        if plain.any():
+            c = points[places[plain] - 1]
+            width[places[plain]] = 1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000)
+            ids = np.repeat(ids, width[places])
+            ids[ids < 0] = self.byte_ids[np.frombuffer(c.tobytes().decode("utf-32-le").encode(), np.uint8)]
+        count = np.concatenate(([0], np.cumsum(on * width) * 4))
+        data = ids.astype("<u4").tobytes()
+        return [data[a:z] for a, z in zip(count[starts].tolist(), count[stops + 1].tolist())]
+
+    def learn(self, words: set[bytes]) -> None:
+        """Keep the words, the new ones solved together if they are many."""
+        known, longest = self.known, self.known.longest
+        if len(known) >= known.most:
+            known.age()
+        older = known.older
+        absent = [w for w in words if w not in known]
+        known.update((w, older[w]) for w in absent if w in older)
+        new = [w for w in absent if w not in older and len(w) <= longest]
+        if len(new) > FEW and self.complete:
+            known.update(zip(new, self.solve(new)))
+
     def merged(self, text: str, last: list | None = None) -> list[str]:
         """Pieces of a short text by the model's merges: best score first,
         leftmost of equals. ``last`` gets the last merge's two parts."""
@@ -202,15 +315,29 @@ class Vocabulary:
     def encode_words(self, text: str) -> bytes:
         """Ids of a text that starts and ends with whole words. Words are kept
         as UTF-8, which takes half of what text with U+2581 in it does."""
-        return b"".join(map(self.known.__getitem__, self.raw_words.findall(text.replace(SPACE, " ").encode())))
+        return next(self.encode_texts([text]))
+
+    def encode_texts(self, texts: list[str]) -> Iterator[bytes]:
+        """``encode_words`` of each text; the new words of ``GROUP`` characters are solved together."""
+        group, held = [], 0
+        for n, text in enumerate(texts, 1):
+            group.append(self.raw_words.findall(text.replace(SPACE, " ").encode()))
+            held += len(text)
+            if held >= GROUP or n == len(texts):
+                self.learn(set().union(*group))
+                for words in group:
+                    yield b"".join(map(self.known.__getitem__, words))
+                group, held = [], 0
 
     def cuts(self, text: str, first: int, end: int) -> list[int]:
         """Word starts in text[first:end], and ``end`` if a word ends there; needs a character before."""
         return [m.start() for m in self.words.finditer(text, first, end)] if self.words else []
 
     def decode(self, ids: bytes) -> str:
-        data = b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-        return data.removeprefix(b" ").decode("utf-8", "replace")
+        if not ids:
+            return ""
+        data = self.bytes.take(pa.array(np.frombuffer(ids, "<u4"))).buffers()[2]  # the values, one after another
+        return (data.to_pybytes() if data else b"").removeprefix(b" ").decode("utf-8", "replace")
 
 
 def vocabulary(path: str) -> Vocabulary:
@@ -230,6 +357,13 @@ def encode_whole(v: Vocabulary, text: str) -> bytes:
     return v.encode_word(prepared(text)) if v.words is None else v.encode_words(" " + text)
 
 
+def encode_all(v: Vocabulary, values: list[str]) -> Iterator[bytes]:
+    """``encode_whole`` of each text."""
+    if v.words is None:
+        return (encode_whole(v, t) for t in values)
+    return v.encode_texts([" " + t if t else t for t in values])
+
+
 # Boundary states are (start, end) of the piece over the character before the
 # boundary, in places relative to it; a chunk sees ``longest`` characters more on both sides.
 
@@ -384,8 +518,9 @@ def encode(documents: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(model)
         for b in tidy(batches):
-            values = b.column("text").to_pylist()
-            ids = [encode_whole(v, t) if p is None else b"".join(p) for t, p in zip(values, b.column("parts").to_pylist())]
+            values, parts = b.column("text").to_pylist(), b.column("parts").to_pylist()
+            whole = encode_all(v, [t for t, p in zip(values, parts) if p is None])
+            ids = [next(whole) if p is None else b"".join(p) for p in parts]
             ends = np.cumsum([0, *(len(i) // 4 for i in ids)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4")))
             yield pa.RecordBatch.from_arrays(

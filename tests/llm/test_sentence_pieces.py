@@ -72,3 +72,27 @@ def test_documents(spark, tools):
     texts = sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in S.decode(got, PATH).collect())
     assert texts == sorted((i is None, i or 0, t or "") for i, t in docs)
     assert S.encode(df.limit(0), PATH).collect() == []
+
+
+def test_words_solved_together(tools):
+    v, library = tools
+    words = sorted({w for t in [*ODD, *fuzz(1500, 60, 7), "naïve 日😀x­\x00y ½½ " * 3] if t for w in v.raw_words.findall((" " + t).encode())})
+    assert len(words) > 1000 and any(c not in v.id for w in words for c in w.decode().replace(" ", S.SPACE))
+    assert v.solve(words) == [v._encode_raw(w) for w in words]
+    assert v.solve([]) == [] and v.solve([words[5]]) == [v._encode_raw(words[5])]
+
+
+def test_texts_encoded_together(tools, monkeypatch):
+    _, library = tools
+    v = S.Vocabulary(PATH, most=40)  # far fewer than the words
+    monkeypatch.setattr(S, "GROUP", 500)
+    texts = [*ODD, *fuzz(300, 80, 11), "x" * 100 + " y", ""]
+    got = list(S.encode_all(v, texts))
+    assert [np.frombuffer(i, "<u4").tolist() for i in got] == [library.encode(t) for t in texts]
+    assert len(v.known) + len(v.known.older) < 2 * (40 + 500)
+    calls = []
+    monkeypatch.setattr(v, "encode_word", lambda w: calls.append(w) or S.Vocabulary.encode_word(v, w))
+    v.known.age()
+    v.known.age()
+    list(S.encode_all(v, ["some new words " + " ".join(f"w{i}x" for i in range(200))]))
+    assert not calls  # many new words are not traced one by one
