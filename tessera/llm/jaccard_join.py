@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest, xxh64_intdigest
 
 from ..operators.graph import connected_components
-from .base import Memo, batch, held, in_small_batches, pieces, stage, texts, tidy, utf8
+from .base import batch, in_small_batches, let_go, pieces, stage, texts, tidy, utf8
 from .url_filter import bloom, maybe_in
 
 WORDS, PERCENT = 4, 85
@@ -60,8 +60,7 @@ KEEP_BLOCKS = 1 << 17
 
 def shingle_set(text: bytes, n: int = WORDS) -> np.ndarray:
     """Sorted distinct hashes of a text's shingles."""
-    hashes = held("shingles", lambda: Memo(xxh64_intdigest, 100_000, longest=64))
-    parts = [np.fromiter(map(hashes.__getitem__, w), np.uint64, len(w))
+    parts = [np.fromiter(map(xxh64_intdigest, w), np.uint64, len(w))
              for w in (p.lower().split() for p in pieces(text))]  # bytes: A-Z, and the six ASCII white spaces
     h = parts[0] if len(parts) == 1 else np.concatenate(parts)
     if not len(h):
@@ -72,7 +71,10 @@ def shingle_set(text: bytes, n: int = WORDS) -> np.ndarray:
     for k in range(n):
         key = (key ^ h[k:len(h) - n + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
         key ^= key >> np.uint64(29)
-    return np.unique(key)
+    key.sort()
+    new = np.ones(len(key), bool)
+    np.not_equal(key[1:], key[:-1], out=new[1:])
+    return key[new]
 
 
 def _mixed(key: np.ndarray) -> np.ndarray:
@@ -98,6 +100,7 @@ def profiles(docs: DataFrame) -> DataFrame:
     it) and cut0, cut1; of each task (block, counts), its part of the token
     sketch."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         for b in tidy(batches):
             sets = [shingle_set(t) for t in utf8(b.column("text"))]
@@ -138,6 +141,7 @@ def prefixes(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         counts = shared.value
         for b in tidy(batches):
             tokens, owners, hot, seen = [], [], [], set()
@@ -187,6 +191,7 @@ def node_sets(docs: DataFrame, cids: DataFrame, parts: np.ndarray) -> DataFrame:
     names = ["anchor", "part", "way", "node", "tokens"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         filter_, parts = shared.value
         for b in tidy(batches):
             ids = b.column("doc_id")

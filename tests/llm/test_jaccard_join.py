@@ -144,3 +144,22 @@ def test_keep_one_of_rows_without_id(spark):
     kept = sorted(r.source for r in out.collect())
     assert len(kept) == 7 and len({"d", "e", "f"} & set(kept)) == 1
     assert set(kept) - {"d", "e", "f"} == {"a", "g", "h", "i", "j", "k"}
+
+
+def test_sets_are_made_without_a_cache():
+    from xxhash import xxh64_intdigest
+
+    from tessera.llm import base
+
+    base.let_go()
+    words = [b"W%d" % (k % 23) for k in range(200)]
+    got = J.shingle_set(b" ".join(words) + b"\n")
+    assert base._HELD == {}  # no word is kept in the worker
+    want = set()
+    for k in range(len(words) - 3):
+        key = 0
+        for w in words[k:k + 4]:
+            key = (key ^ xxh64_intdigest(w.lower())) * 0x9E3779B97F4A7C15 % 2**64
+            key ^= key >> 29
+        want.add(key)
+    assert got.tolist() == sorted(want)
