@@ -6,7 +6,7 @@ executor recomputes at most a few rounds."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -80,10 +80,20 @@ def pagerank(edges: DataFrame, iterations: int = 10, damping: float = 0.85,
     return ranks.select("node", "rank")
 
 
+def _both_ways(*pairs: tuple) -> Column:
+    """Each pair as an edge both ways, one a row (u, v): a generator reads its
+    rows once, where a union would evaluate all that is behind them for each side."""
+    return F.inline(F.array(*[F.struct(F.col(x).alias("u"), F.col(y).alias("v")) for a, b in pairs for x, y in ((a, b), (b, a))]))
+
+
 def _undirected(edges: DataFrame) -> DataFrame:
-    e = edges.select(F.col("src").alias("u"), F.col("dst").alias("v"))
-    return e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v"))) \
-        .filter(F.col("u") != F.col("v")).distinct()
+    return edges.select(_both_ways(("src", "dst"))).filter(F.col("u") != F.col("v")).distinct()
+
+
+def _signature(edges: DataFrame):
+    return edges.agg(F.count(F.lit(1)).alias("n"),
+                     F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1_000_000_007))).alias("h"),
+                     F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
 
 
 def connected_components(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
@@ -93,25 +103,18 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None) -> Da
     changes nothing. Returns (node, component); isolated nodes from ``nodes``
     get their own id."""
     nb = cut_lineage(_undirected(edges))
-    prev = None
-    while True:
+    prev = _signature(nb)
+    while prev.n:
         # large-star: larger neighbours of u attach to min(N(u) + u)
         m = nb.groupBy("u").agg(F.min("v").alias("mn"))
-        m = m.select("u", F.least("u", "mn").alias("m"))
-        ls = nb.join(m, "u").filter(F.col("v") > F.col("u")) \
-            .select(F.col("v").alias("u"), F.col("m").alias("v"))
-        nb = _undirected(ls.select(F.col("u").alias("src"), F.col("v").alias("dst")))
+        ls = nb.filter(F.col("v") > F.col("u")).join(m, "u").select("v", F.least("u", "mn").alias("m"))
+        nb = ls.select(_both_ways(("v", "m"))).filter(F.col("u") != F.col("v")).distinct()
         # small-star: u and its smaller neighbours attach to their minimum
         small = nb.filter(F.col("v") < F.col("u"))
-        m2 = small.groupBy("u").agg(F.min("v").alias("m"))
-        ss = small.join(m2, "u").select(F.col("v").alias("a"), F.col("m").alias("b")) \
-            .union(m2.select(F.col("u").alias("a"), F.col("m").alias("b"))) \
-            .filter(F.col("a") != F.col("b"))
-        nb = cut_lineage(_undirected(ss.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
-        sig = nb.agg(F.count(F.lit(1)).alias("n"),
-                     F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1_000_000_007))).alias("h"),
-                     F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
-        if prev is not None and sig == prev:
+        ss = small.join(small.groupBy("u").agg(F.min("v").alias("m")), "u")
+        nb = cut_lineage(ss.select(_both_ways(("v", "m"), ("u", "m"))).filter(F.col("u") != F.col("v")).distinct())
+        sig = _signature(nb)
+        if sig == prev:
             break
         prev = sig
     comp = nb.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m")) \

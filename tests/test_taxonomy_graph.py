@@ -137,3 +137,20 @@ def test_label_propagation(spark):
         got = {r.node: r.label for r in GR.label_propagation(spark.createDataFrame(some, "src long, dst long"), rounds).collect()}
         assert got == _labels_by_hand(some, rounds)
     assert GR.label_propagation(spark.createDataFrame([], "src long, dst long")).count() == 0
+
+
+def test_a_round_of_components_reads_the_edges_a_few_times(spark, monkeypatch):
+    """A union or a self-join of what a union made doubles the plan at each step."""
+    plans, cut = [], GR.cut_lineage
+    monkeypatch.setattr(GR, "cut_lineage", lambda df: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), cut(df))[1])
+    e = spark.createDataFrame([(i, i + 1) for i in range(40) if i != 20] + [(3, 3), (None, 4)], "src long, dst long")
+    got = {r.node: r.component for r in GR.connected_components(e).collect()}
+    assert got == {i: 0 if i <= 20 else 21 for i in range(41)}
+    assert len(plans) > 2 and max(p.count("LogicalRDD") for p in plans) <= 4
+
+
+def test_components_without_edges(spark):
+    e = spark.createDataFrame([(5, 5), (None, 1)], "src long, dst long")
+    nodes = spark.createDataFrame([(5,), (6,)], "node long")
+    assert {tuple(r) for r in GR.connected_components(e, nodes).collect()} == {(5, 5), (6, 6)}
+    assert GR.connected_components(e).count() == 0
