@@ -21,6 +21,8 @@ sets are one node. Two nodes link at a Jaccard similarity of 0.85 or more.
    tokens in the union of a group's prefixes bounds its overlap with every
    member, and again, once the sets are there, the union of their whole sets:
    only groups that qualify are opened, and their members compared exactly.
+   Before whole sets are fetched, a fourth of each (``heads``, 32 bits a token)
+   bounds every overlap: queries and members that link with nothing go there.
 5. Components of all links, over the nodes; a document has its node's.
 
 Hot keys: copies are one node; a hot token is salted, and its nodes meet its
@@ -43,7 +45,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest, xxh64_intdigest
 
@@ -56,6 +58,7 @@ GROUP, QUERIES, HOT, SALTS = 256, 256, 10_000, 64
 SKETCH_BITS, SKETCH_BLOCKS = 20, 16
 BLOOM_BITS, BIN_BITS = 26, 20
 KEEP_BLOCKS = 1 << 17
+HEAD_BITS = 2
 
 
 def shingle_set(text: bytes, n: int = WORDS) -> np.ndarray:
@@ -183,10 +186,17 @@ def _bloom(ids: DataFrame) -> np.ndarray:
     return out
 
 
-def node_sets(docs: DataFrame, cids: DataFrame, parts: np.ndarray) -> DataFrame:
+def head(s: np.ndarray) -> np.ndarray:
+    """The set's tokens in the first 2^-HEAD_BITS of all hashes, cut to 32 bits and
+    in order: sets have at least as many of them in common as of the whole tokens."""
+    return (s[:np.searchsorted(s, np.uint64(1 << (64 - HEAD_BITS)))] >> np.uint64(32 - HEAD_BITS)).astype(np.uint32)
+
+
+def node_sets(docs: DataFrame, cids: DataFrame, parts: np.ndarray, heads: bool = False) -> DataFrame:
     """(anchor, part, way, node, tokens) of the documents whose id is one of
     ``cids``, and of a few others that the filter lets through; null ids
-    always pass. ``parts``: of each bin, how many parts its groups are cut in."""
+    always pass. ``parts``: of each bin, how many parts its groups are cut in.
+    ``heads``: tokens are those of ``head``."""
     shared = docs.sparkSession.sparkContext.broadcast((_bloom(cids), parts))
     names = ["anchor", "part", "way", "node", "tokens"]
 
@@ -203,6 +213,7 @@ def node_sets(docs: DataFrame, cids: DataFrame, parts: np.ndarray) -> DataFrame:
                 if len(s):
                     data = s.tobytes()
                     node = xxh3_128_digest(data)
+                    data = head(s).tobytes() if heads else data
                     _, anchor, bin_, cut0, cut1 = node_keys(node, s)
                     rows.append((anchor, cut0 % int(parts[bin_]), 0, node, data))
                     if parts[bin_] > 1:
@@ -226,15 +237,32 @@ class Group:
 
     def linked(self, query: np.ndarray) -> np.ndarray:
         """Members that link with the query, of a group whose bound qualifies."""
-        at = np.searchsorted(self.union, query)
-        at = at[self.union[np.minimum(at, len(self.union) - 1)] == query]
+        at = self._found(query)
         if 100 * len(at) < PERCENT * len(query):  # even the union overlaps too little
             return np.zeros(0, np.int64)
-        begin, size = self.first[at], self.first[at + 1] - self.first[at]
-        spread = np.repeat(begin - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
-        both = np.bincount(self.member[spread], minlength=len(self.nodes))
+        both = self._shared(at)
         return np.flatnonzero(100 * both >= PERCENT * (self.sizes + len(query) - both))
 
+    def possible(self, query: np.ndarray, n: int, whole: np.ndarray) -> np.ndarray:
+        """Members that may link with a query of n tokens, of a group of heads;
+        ``whole``: the sizes of its members' whole sets. What a head lacks of the
+        other the whole set lacks too."""
+        both = self._shared(self._found(query))
+        most = np.minimum(n - (len(query) - both), whole - (self.sizes - both))
+        return np.flatnonzero((100 + PERCENT) * most >= PERCENT * (whole + n))
+
+    def _found(self, query: np.ndarray) -> np.ndarray:
+        if not len(self.union):
+            return np.zeros(0, np.int64)
+        at = np.searchsorted(self.union, query)
+        return at[self.union[np.minimum(at, len(self.union) - 1)] == query]
+
+    def _shared(self, at: np.ndarray) -> np.ndarray:
+        """Of each member, how many of the union's tokens ``at`` these places it has."""
+        begin, size = self.first[at], self.first[at + 1] - self.first[at]
+        spread = np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
+        return np.bincount(self.member[spread], minlength=len(self.nodes))
+
 
 def _runs(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[tuple[tuple, list[dict]]]:
     """Rows of a sorted partition, key by key."""
@@ -266,6 +294,28 @@ def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array([nodes[root[i]] for i in moved], pa.binary()), pa.array([nodes[i] for i in moved], pa.binary())], names=["u", "v"])
 
 
+_ROLES = pa.schema([("node", pa.binary()), ("cid", pa.int64()), ("anchor", pa.int64()), ("part", pa.int32()), ("salt", pa.int32()), ("member", pa.bool_())])
+
+
+def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The roles of queries and members that, by their heads, may link with one of the other."""
+    for key, rows in _runs(batches, ["anchor", "part", "salt"]):
+        held = {r["node"]: r for r in rows if r["member"]}
+        asked = {r["node"]: r for r in rows if not r["member"]}
+        if held and asked:
+            group = Group(list(held), [np.frombuffer(r["tokens"], np.uint32) for r in held.values()])
+            whole = np.array([r["n"] for r in held.values()], np.int64)
+            near, members = [], np.zeros(len(held), bool)
+            for q in asked.values():
+                found = group.possible(np.frombuffer(q["tokens"], np.uint32), q["n"], whole)
+                if len(found):
+                    near.append(q)
+                    members[found] = True
+            near += [r for r, m in zip(held.values(), members.tolist()) if m]
+            if near:
+                yield batch(_ROLES, {c: [r[c] for r in near] for c in ("node", "cid", "member")} | {c: [x] * len(near) for c, x in zip(("anchor", "part", "salt"), key)})
+
+
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links (u, v) of queries with the members of the group they are dealt to."""
     for _, rows in _runs(batches, ["anchor", "part", "salt"]):
@@ -316,10 +366,11 @@ def _qualified(counted: DataFrame, *group: str) -> DataFrame:
 def near_own(held: DataFrame) -> DataFrame:
     """Nodes (nh) that their own group's bound lets through. ``held``: (token,
     node, n, anchor, part); a part of a group is bounded, so are the windows."""
-    together = Window.partitionBy("token", "anchor", "part")
-    shared = held.select("*", F.count(F.lit(1)).over(together).alias("nodes"), F.min("n").over(together).alias("least"),
-                         F.max("n").over(together).alias("most"), F.lit(1).alias("tokens")).filter("nodes > 1")
-    return _qualified(shared, "anchor", "part").select("node")
+    together = Window.partitionBy("at")  # one hash of token and part: parts that share one would only let more nodes through
+    at = held.select("node", "n", F.xxhash64("token", "anchor", "part").alias("at"))
+    shared = at.select("node", "n", F.count(F.lit(1)).over(together).alias("nodes"), F.min("n").over(together).alias("least"),
+                       F.max("n").over(together).alias("most"), F.lit(1).alias("tokens")).filter("nodes > 1")
+    return _qualified(shared)
 
 
 def queries_of(held: DataFrame, ranked: DataFrame) -> DataFrame:
@@ -358,15 +409,29 @@ def _parts(classes: DataFrame) -> np.ndarray:
     return out
 
 
+def _of_bins(spark: SparkSession, parts: np.ndarray) -> DataFrame:
+    """(bin, parts) of the bins whose groups are cut; 2^BIN_BITS rows at most: bounded for a broadcast."""
+    cut = np.flatnonzero(parts > 1)
+    return F.broadcast(spark.createDataFrame([(int(k), int(parts[k])) for k in cut], "bin int, parts int"))
+
+
+def ranks(comp: DataFrame) -> DataFrame:
+    """(node, comp, rank) of (node, comp): larger components (by powers of two)
+    rank higher, those of like size by a hash of 59 bits; all in one long."""
+    size = comp.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
+    return comp.join(size, "comp").select("node", "comp", _rank(F.col("size"), F.col("comp")).alias("rank"))
+
+
+def _rank(size: Column, comp: Column) -> Column:
+    return F.shiftleft(F.least(F.floor(F.log2(size)), F.lit(15)).cast("long"), 59).bitwiseOR(F.shiftrightunsigned(F.xxhash64(comp), 5))
+
+
 def links(docs: DataFrame, classes: DataFrame, sketch: np.ndarray) -> DataFrame:
     """(src, dst) links of nodes that connect all that link."""
     spark = docs.sparkSession
     parts = _parts(classes)
-    cut = np.flatnonzero(parts > 1)
-    of_bin = spark.createDataFrame([(int(k), int(parts[k])) for k in cut], "bin int, parts int")
-    posted = stage(_by_node(prefixes(docs, sketch)), "jaccard-postings")
-    # 2^BIN_BITS rows at most: bounded for a broadcast
-    seeds = (classes.join(posted, "nh").join(F.broadcast(of_bin), "bin", "left")
+    # postings come dealt by nh, as their join needs them: not staged before
+    seeds = (classes.join(_by_node(prefixes(docs, sketch)), "nh").join(_of_bins(spark, parts), "bin", "left")
              .select("nh", "node", "n", "cid", "cut0", "held", "anchor", F.pmod("cut0", F.coalesce("parts", F.lit(1))).cast("int").alias("part")))
     seeds = stage(seeds, "jaccard-seeds")
     # below, a node goes by its short hash: nodes that share one would only be compared more often
@@ -379,17 +444,14 @@ def links(docs: DataFrame, classes: DataFrame, sketch: np.ndarray) -> DataFrame:
 
     hub = F.array_max(F.transform("held", lambda x: F.struct(x["seen"], x["token"])))["token"]
     close = F.size("held") >= _needed(F.col("n"), F.col("n"))
-    homes = seeds.withColumn("hub", F.when(close, hub))
-    many = homes.filter("hub is not null").groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("hub_parts"))
-    # no key is null: nulls would all meet in one task
-    homes = homes.withColumn("key", F.coalesce("hub", "nh")).join(many.withColumnRenamed("hub", "key"), "key", "left").select(
+    bin_ = F.pmod(F.xxhash64("hub"), F.lit(1 << BIN_BITS)).cast("int")
+    homes = seeds.withColumn("hub", F.when(close, hub)).withColumn("bin", F.when(F.col("hub").isNotNull(), bin_))
+    many = _parts(homes.filter("hub is not null").select("bin", F.col("hub").alias("anchor")))
+    homes = homes.join(_of_bins(spark, many), "bin", "left").select(
         "nh", "node", "n", "cid", F.col("held.token").alias("tokens"), F.coalesce("hub", "anchor").alias("anchor"),
-        F.when(F.col("hub").isNotNull(), F.pmod("cut0", "hub_parts")).otherwise(F.col("part")).cast("int").alias("part"))
-    ranked = homes.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    size = comp.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
-    ranked = stage(ranked.join(size, "comp", "left").select(
-        "nh", "node", "n", "cid", "tokens", "anchor", "part",
-        F.struct(F.coalesce("size", F.lit(1)).cast("int").alias("size"), F.xxhash64("comp").alias("comp")).alias("rank")), "jaccard-ranked")
+        F.when(F.col("hub").isNotNull(), F.pmod("cut0", F.coalesce("parts", F.lit(1)))).otherwise(F.col("part")).cast("int").alias("part"))
+    ranked = stage(homes.join(ranks(comp).drop("comp"), "node", "left").select(
+        "nh", "node", "n", "cid", "tokens", "anchor", "part", F.coalesce("rank", _rank(F.lit(1), F.col("node"))).alias("rank")), "jaccard-ranked")
     held = ranked.select(F.col("nh").alias("node"), "n", "anchor", "rank", F.explode("tokens").alias("token"))
     queries = queries_of(held, ranked.select(F.col("nh").alias("node"), "anchor", "part", "rank"))
     queries = queries.withColumnRenamed("node", "nh").join(ranked.select("nh", "node", "n", "cid"), "nh").drop("nh")
@@ -398,12 +460,15 @@ def links(docs: DataFrame, classes: DataFrame, sketch: np.ndarray) -> DataFrame:
                                                   F.min("n").alias("least"), F.max("n").alias("most"))
     fits = (F.lit(100) * F.col("n") >= F.lit(PERCENT) * F.col("least")) & (F.lit(100) * F.col("most") >= F.lit(PERCENT) * F.col("n"))
     members = (ranked.join(dealt, ["anchor", "part"]).filter(fits)  # others are too small or too large for any query
-               .select("node", "cid", "anchor", "part", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(True).alias("member")))
+               .select("node", "cid", ranked["n"], "anchor", "part", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(True).alias("member")))
     asking = (queries.join(dealt, ["anchor", "part"])
-              .select("node", "cid", "anchor", "part", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt"), F.lit(False).alias("member")))
+              .select("node", "cid", queries["n"], "anchor", "part", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt"), F.lit(False).alias("member")))
     roles = stage(members.unionByName(asking), "jaccard-roles")
-    sets = node_sets(docs, roles.select("cid").distinct(), parts).filter("way = 0").select("node", "tokens")
     order = ["anchor", "part", "salt"]
+    heads = node_sets(docs, roles.select("cid").distinct(), parts, heads=True).filter("way = 0").select("node", "tokens")
+    roles = stage(roles.join(heads, "node").repartition(*order).sortWithinPartitions(*order)
+                  .mapInArrow(_may_link, "node binary, cid long, anchor long, part int, salt int, member boolean"), "jaccard-possible")
+    sets = node_sets(docs, roles.select("cid").distinct(), parts).filter("way = 0").select("node", "tokens")
     outside = (roles.drop("cid").join(sets, "node").repartition(*order).sortWithinPartitions(*order)
                .mapInArrow(_across, "u binary, v binary"))
     ties = comp.select(F.col("comp").alias("src"), F.col("node").alias("dst")).filter("src != dst")

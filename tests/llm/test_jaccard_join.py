@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from tessera.llm import jaccard_join as J
@@ -163,3 +164,43 @@ def test_sets_are_made_without_a_cache():
             key ^= key >> 29
         want.add(key)
     assert got.tolist() == sorted(want)
+
+
+def test_heads_lose_no_link_and_drop_what_cannot_be_one():
+    r = np.random.default_rng(5)
+    pool = r.integers(0, 1 << 64, 3000, np.uint64)
+    sets = [np.unique(pool[:k]) for k in (1, 2, 3, 40)]
+    for lo in range(0, 2400, 300):
+        base = pool[lo:lo + 300]
+        sets += [np.unique(np.concatenate((base[:300 - k], r.integers(0, 1 << 64, k, np.uint64)))) for k in (0, 5, 20, 30, 60, 150)]
+    nodes = [b"%d" % i for i in range(len(sets))]
+    whole, heads = J.Group(nodes, sets), J.Group(nodes, [J.head(s) for s in sets])
+    sizes = np.array([len(s) for s in sets])
+    links = dropped = 0
+    for s in sets:
+        linked, possible = set(whole.linked(s).tolist()), set(heads.possible(J.head(s), len(s), sizes).tolist())
+        assert linked <= possible
+        links += len(linked)
+        dropped += len(sets) - len(possible)
+    assert links > len(sets) and dropped > len(sets) ** 2 / 2
+    none = J.Group([b"a", b"b"], [np.zeros(0, np.uint32)] * 2)
+    assert none.possible(np.zeros(0, np.uint32), 3, np.array([3, 30])).tolist() == [0]
+
+
+def test_whole_sets_are_fetched_for_roles_that_may_link(spark, monkeypatch):
+    """Documents with a passage in common that do not link: their heads say so."""
+    r, staged = random.Random(2), {}
+    keep = J.stage
+
+    def stage(df, tag):
+        staged[tag] = keep(df, tag)
+        return staged[tag]
+
+    monkeypatch.setattr(J, "stage", stage)
+    passage = " ".join(f"p{i}" for i in range(150))
+    docs = family(r, range(20), 200, 2) + [(i, passage + " " + " ".join(f"u{r.randrange(10**6)}" for _ in range(40))) for i in range(30, 60)]
+    assert got(spark, docs) == brute(docs)
+    fetched = {x.cid for x in staged["jaccard-possible"].collect()}
+    asked = {x.cid for x in staged["jaccard-roles"].collect()}
+    assert fetched <= asked and "jaccard-postings" not in staged
+    assert {r["tokens"] for r in staged["jaccard-ranked"].selectExpr("typeof(rank) as tokens").collect()} <= {"bigint"}
