@@ -21,7 +21,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import decontaminate, jaccard_join, pii, sentence_pieces, toxicity
-from tessera.llm.base import stage, table
+from tessera.llm.base import give_back, stage, table
 
 PIECES = "piece_bpe_32k.model"
 
@@ -61,6 +61,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, function in STAGES:
         docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
+        give_back()  # what the driver's Python freed of a stage (a trained model's steps) is not held through the next
     return docs
 
 
