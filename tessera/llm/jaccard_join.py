@@ -410,9 +410,10 @@ def _parts(classes: DataFrame) -> np.ndarray:
 
 
 def _of_bins(spark: SparkSession, parts: np.ndarray) -> DataFrame:
-    """(bin, parts) of the bins whose groups are cut; 2^BIN_BITS rows at most: bounded for a broadcast."""
+    """(bin, parts) of the bins whose groups are cut; 2^BIN_BITS rows at most: bounded for a broadcast.
+    Made of Arrow: a list would start Python workers of another kind on every executor, which stay."""
     cut = np.flatnonzero(parts > 1)
-    return F.broadcast(spark.createDataFrame([(int(k), int(parts[k])) for k in cut], "bin int, parts int"))
+    return F.broadcast(spark.createDataFrame(pa.table({"bin": pa.array(cut, pa.int32()), "parts": pa.array(parts[cut], pa.int32())})))
 
 
 def ranks(comp: DataFrame) -> DataFrame:
@@ -515,7 +516,7 @@ def keep_one(documents: DataFrame) -> DataFrame:
               .withColumn("chosen", F.lit(True)))
     whole = documents.filter(F.col("doc_id").isNotNull()).select(F.struct("*").alias("row"), F.col("doc_id").cast("string").alias("canonical"))
     probed = maybe_in(whole, "canonical", bloom(asked, KEEP_BLOCKS), KEEP_BLOCKS)
-    node_of = F.arrow_udf(lambda t: pa.array([xxh3_128_digest(s.tobytes()) if len(s) else b"" for s in map(shingle_set, utf8(t))], pa.binary()), "binary")
+    node_of = F.arrow_udf(lambda t: pa.array([xxh3_128_digest(s.tobytes()) if len(s) else b"" for s in map(shingle_set, utf8(t))], pa.binary()), "binary").asNondeterministic()  # else conditions on it are pushed below and it is evaluated again for them, in a second worker
     mixed = F.coalesce("mixed", F.lit(False))
     rest = (probed.filter("possible").join(asked, "canonical", "left").filter(mixed | F.coalesce("first", F.lit(True)))
             .withColumn("node", node_of(F.when(mixed, F.col("row.text").cast("string"))))

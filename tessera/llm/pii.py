@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import batch, in_small_batches, texts, tidy, utf8
+from .base import batch, in_small_batches, let_go, texts, tidy, utf8
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, STRIDE, NEAR = 64, 32, 24
@@ -301,6 +301,7 @@ def fit(documents: DataFrame, fit_windows: int = FIT_WINDOWS) -> Tagger:
     in_small_batches(documents.sparkSession)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for b in tidy(batches):
             x, y = [], []
             for raw in utf8(b.column("text")):
@@ -331,6 +332,7 @@ def personal_data(documents: DataFrame, fit_windows: int = FIT_WINDOWS) -> DataF
     nothing = hashlib.sha256(b"").hexdigest()
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for b in tidy(batches):
             raw = utf8(b.column("text"))
             some = [k for k, t in enumerate(raw) if _TRIGGER.search(t)]
@@ -361,6 +363,7 @@ def redact(documents: DataFrame, fit_windows: int = FIT_WINDOWS) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(fit(documents, fit_windows))
 
     def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for b in tidy(batches):
             raw = b.column("text").cast(pa.string()).to_pylist()
             some = [k for k, t in enumerate(raw) if t and _TRIGGER.search(t.encode())]

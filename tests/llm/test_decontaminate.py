@@ -90,3 +90,21 @@ def test_clean_rows_stay_whatever_id_they_share(spark, block_chars):
     b = spark.createDataFrame([(7, item), (8, "other words")], "item_id long, text string")
     out = D.decontaminate(d, b, block_chars=block_chars)
     assert out.columns == d.columns and sorted(r.source for r in out.collect()) == ["b", "e", "f", "g", "h"]
+
+
+@pytest.mark.parametrize("of", [D.contamination, D.decontaminate])
+def test_one_block_is_searched_judged_and_filtered_by_one_worker_without_a_shuffle(spark, of):
+    d = spark.createDataFrame([(1, "a b", 3)], "doc_id long, text string, n int").repartition(2).cache()
+    b = spark.createDataFrame([(7, "a b")], "item_id long, text string")
+    plan = of(d, b)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Join" not in plan and "ArrowEvalPython" not in plan, plan
+
+
+@pytest.mark.parametrize("block_chars", [8_000_000, 20])
+def test_rows_are_kept_whole_over_many_batches(spark, block_chars):
+    item = " ".join(f"t{i}" for i in range(15))
+    rows = [(k if k % 7 else None, f"{k} {item}" if k % 3 == 0 else f"clean {k}" if k % 5 else None, k) for k in range(2500)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, n int").coalesce(1)
+    b = spark.createDataFrame([(7, item), (8, "other words")], "item_id long, text string")
+    want = sorted((r for r in rows if r[2] % 3), key=repr)
+    assert sorted(map(tuple, D.decontaminate(d, b, block_chars=block_chars).collect()), key=repr) == want

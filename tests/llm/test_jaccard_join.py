@@ -204,3 +204,25 @@ def test_whole_sets_are_fetched_for_roles_that_may_link(spark, monkeypatch):
     asked = {x.cid for x in staged["jaccard-roles"].collect()}
     assert fetched <= asked and "jaccard-postings" not in staged
     assert {r["tokens"] for r in staged["jaccard-ranked"].selectExpr("typeof(rank) as tokens").collect()} <= {"bigint"}
+
+
+def test_parts_of_bins_need_no_python_workers(spark):
+    parts = np.ones(1 << J.BIN_BITS, np.int32)
+    assert J._of_bins(spark, parts).collect() == []
+    parts[[3, 9]] = 2, 5
+    of_bins = J._of_bins(spark, parts)
+    assert sorted(map(tuple, of_bins.collect())) == [(3, 2), (9, 5)] and of_bins.dtypes == [("bin", "int"), ("parts", "int")]
+    plan = of_bins._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" not in plan and "LocalRelation" in plan, plan
+
+
+def test_keep_one_makes_a_node_in_one_worker_a_task(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, text), (2, text + " end"), (None, text), (None, "alone in its class here"), (None, None)]
+    out = J.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    depth = lambda line: len(re.match(r"[\s:+|-]*", line)[0])
+    chained = [(a, b) for k, a in enumerate(plan) if "ArrowEvalPython" in a
+               for b in (next((x for x in plan[k + 1:] if not re.search(r"\b(Project|Filter)\b", x)), ""),) if "ArrowEvalPython" in b and depth(b) > depth(a)]
+    assert any("ArrowEvalPython" in x for x in plan) and not chained, "\n".join(plan)
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted([(1, text), (None, "alone in its class here"), (None, None)], key=repr)
