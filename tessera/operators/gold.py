@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from ..functions import credibility as C
 from ..functions.text import alnum_only
 from ..schemas import GOLD_DDL
-from ..session import cut_lineage
 from .upsert import BucketedTable
 
 # ---- fixed values (must equal the reference behaviour) -------------------
@@ -39,6 +38,13 @@ def apply_run(gold: DataFrame, results: DataFrame, as_of: Column,
     previous + 1 (1 when new); failure (M4): status 'failed', error
     'gemini_failed', attempts = previous + 1, previous result kept. Where gold
     has documents (``with_documents``) a success stores the text it came as."""
+    upd = updates(gold, results, as_of, schema_version)
+    keep = gold.join(results.select("post_id"), "post_id", "left_anti")
+    return upd.unionByName(keep.select(*upd.columns))
+
+
+def updates(gold: DataFrame, results: DataFrame, as_of: Column, schema_version: int = 3) -> DataFrame:
+    """The rows of ``apply_run`` that the run's results make."""
     rtype = gold.schema["result"].dataType
     documents = ["document"] if "document" in gold.columns else []
     results = results.withColumn("result", F.from_json("result_json", rtype))
@@ -46,7 +52,7 @@ def apply_run(gold: DataFrame, results: DataFrame, as_of: Column,
                       F.col("schema_version").alias("_v"), *[F.col(c).alias("_d") for c in documents])
     j = results.join(old, "post_id", "left")
     ok = F.col("status") == "analysed"
-    upd = j.select(
+    return j.select(
         "post_id",
         F.when(ok, F.lit(schema_version)).otherwise(F.coalesce("_v", F.lit(schema_version)))
         .alias("schema_version"),
@@ -56,8 +62,6 @@ def apply_run(gold: DataFrame, results: DataFrame, as_of: Column,
         (F.coalesce(F.col("_a"), F.lit(0)) + 1).cast("int").alias("attempts"),
         as_of.cast("timestamp_ntz").alias("analysed_at"),
         *[F.when(ok, F.try_parse_json("result_json")).otherwise(F.col("_d")).alias(c) for c in documents])
-    keep = gold.join(results.select("post_id"), "post_id", "left_anti")
-    return upd.unionByName(keep.select(*upd.columns))
 
 
 def superseded(gold: DataFrame, results: DataFrame) -> DataFrame:
@@ -74,16 +78,17 @@ class GoldStore:
     def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
         self.spark = spark
         self.gold = BucketedTable(spark, os.path.join(root, "gold"), "post_id", buckets, GOLD_DDL)
-        self.archive = BucketedTable(spark, os.path.join(root, "gold_history"), "version_id", buckets)
+        self.archive = BucketedTable(spark, os.path.join(root, "gold_history"), "version_id", buckets, appends=True)
 
     def run(self, results: DataFrame, as_of: Column, seq: int) -> None:
         old = self.gold.read()
         gone = superseded(old, results).select(
             F.concat_ws("/", "post_id", F.lit(str(seq))).alias("version_id"), F.lit(seq).alias("seq"), "*")
-        if gone.take(1):
-            self.archive.upsert(gone, as_of=as_of, keep_first=())
-        touched = old.join(results.select("post_id"), "post_id", "left_semi")
-        self.gold.upsert(cut_lineage(apply_run(touched, results, as_of)), as_of=as_of, keep_first=())
+        self.archive.upsert(gone, as_of=as_of, keep_first=())
+        failed = results.filter(F.coalesce(F.col("status") != "analysed", F.lit(True)))
+        if failed.isEmpty():  # only a failure keeps what was stored: no document goes through the join
+            old = old.withColumns({c: F.lit(None).cast(old.schema[c].dataType) for c in ("result", "document") if c in old.columns})
+        self.gold.upsert(updates(old, results, as_of), as_of=as_of, keep_first=())
 
     def history(self) -> DataFrame | None:
         return self.archive.read()

@@ -12,6 +12,10 @@ A version is published by its row in the index, written last. A run that fails
 earlier leaves the table as it was, and the next one overwrites what it left.
 ``compact`` folds deltas into a new base; ``vacuum`` drops the files that no
 recent version needs, so a read may go on while both run. One writer at a time.
+
+Where a version has each of its keys once, and all keys that a bucket had, it
+is the bucket's new base. In a table that ``appends``, one that has none of
+them is a further part of the base. Neither needs a merge, and no fold.
 """
 
 from __future__ import annotations
@@ -23,10 +27,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import checked
-from ..session import read_if_present
+from ..session import read_if_present, shuffles_dropped
 
 BUCKET = "bucket"
-INDEX_DDL = "v int, live array<struct<bucket:int,base:int,rows:bigint,deltas:array<int>,delta_rows:bigint>>"
+INDEX_DDL = "v int, live array<struct<bucket:int,base:int,rows:bigint,deltas:array<int>,delta_rows:bigint,more:array<int>>>"
 
 
 class Live(NamedTuple):
@@ -36,6 +40,11 @@ class Live(NamedTuple):
     rows: int
     deltas: tuple[int, ...]
     delta_rows: int
+    more: tuple[int, ...] = ()
+
+    @property
+    def bases(self) -> tuple[int, ...]:
+        return (self.base, *self.more)
 
 
 def bucket_of(key: Column, buckets: int) -> Column:
@@ -64,12 +73,14 @@ class BucketedTable:
     """A Parquet table in shared storage, versioned by hash bucket. ``buckets``
     and ``bucket_by`` (the key unless named) are properties of the table: size
     the first to the data, and keep both. A bucket is folded when its deltas
-    are ``max_deltas`` or hold ``fold_at`` times its base's rows."""
+    are ``max_deltas`` or hold ``fold_at`` times its base's rows. ``appends``:
+    most upserts bring new keys only."""
 
     def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = 64, ddl: str = "",
-                 bucket_by: str | None = None, max_deltas: int = 8, fold_at: float = 1.0, keep_versions: int = 16):
+                 bucket_by: str | None = None, max_deltas: int = 8, fold_at: float = 1.0, keep_versions: int = 16, appends: bool = False):
         self.spark, self.path, self.key, self.buckets, self.ddl = spark, path, key, buckets, ddl
         self.bucket_by, self.max_deltas, self.fold_at, self.keep_versions = bucket_by or key, max_deltas, fold_at, keep_versions
+        self.appends = appends
 
     def _index(self) -> DataFrame | None:
         return read_if_present(lambda: self.spark.read.schema(INDEX_DDL).parquet(os.path.join(self.path, "_index")))
@@ -80,7 +91,7 @@ class BucketedTable:
         row = index.agg(F.max("v").alias("v"), F.max_by("live", "v").alias("live")).first() if index is not None else None
         if row is None or row.v is None:
             return 0, {}
-        return row.v, {x.bucket: Live(x.bucket, x.base, x.rows, tuple(x.deltas), x.delta_rows) for x in row.live}
+        return row.v, {x.bucket: Live(x.bucket, x.base, x.rows, tuple(x.deltas), x.delta_rows, tuple(x.more or ())) for x in row.live}
 
     def exists(self) -> bool:
         return bool(self._published()[1])
@@ -93,17 +104,17 @@ class BucketedTable:
         the others, the keys that a delta has are left out of the base."""
         if not live:
             return None
-        plain = [self._folder(x.base, x.bucket) for x in live if not x.deltas]
+        plain = [self._folder(v, x.bucket) for x in live if not x.deltas for v in x.bases]
         layered = [x for x in live if x.deltas]
         out = self.spark.read.parquet(*plain) if plain else None
         if layered:
-            base = self.spark.read.parquet(*[self._folder(x.base, x.bucket) for x in layered])
+            base = self.spark.read.parquet(*[self._folder(v, x.bucket) for x in layered for v in x.bases])
             deltas = self.spark.read.parquet(*[self._folder(v, x.bucket) for x in layered for v in x.deltas])
             version = F.regexp_extract(F.col("_metadata.file_path"), rf"/v=(\d+)/{BUCKET}=\d+/[^/]+$", 1).cast("int")
             payload = [c for c in base.columns if c != self.key]
+            # A column each, so that what a reader does not ask for is not moved.
             newest = (deltas.select(*base.columns, version.alias("_v")).groupBy(self.key)
-                      .agg(F.max_by(F.struct(*payload), "_v").alias("_w"))
-                      .select(*[F.col(self.key) if c == self.key else F.col("_w")[c].alias(c) for c in base.columns]))
+                      .agg(*[F.max_by(c, "_v").alias(c) for c in payload]).select(*base.columns))
             changed = deltas.select(F.col(self.key).alias("_changed"))
             both = base.join(changed, base[self.key].eqNullSafe(changed["_changed"]), "left_anti").unionByName(newest)
             out = both if out is None else out.unionByName(both)
@@ -125,7 +136,9 @@ class BucketedTable:
         """Write a version's files; returns its rows by bucket, from the files' footers."""
         path = os.path.join(self.path, f"v={version}")
         dealt = checked(rows, self.ddl).withColumn(BUCKET, bucket_of(F.col(self.bucket_by), self.buckets))
-        dealt.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(path)
+        with shuffles_dropped(self.spark):
+            (dealt.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
+             .partitionBy(BUCKET).parquet(path))
         written = self.spark.read.schema(f"{BUCKET} int").parquet(path)
         return {r[0]: r[1] for r in written.groupBy(BUCKET).count().collect()}
 
@@ -153,12 +166,35 @@ class BucketedTable:
     def publish(self) -> None:
         """Make the version that ``write`` wrote the current one."""
         version, live, written = self._pending
+        whole, apart = self._compared(version, live, written)
         for b, n in written.items():
             x = live.get(b)
-            live[b] = Live(b, version, n, (), 0) if x is None else x._replace(deltas=(*x.deltas, version), delta_rows=x.delta_rows + n)
+            if x is None or b in whole:
+                live[b] = Live(b, version, n, (), 0)
+            elif b in apart:
+                live[b] = x._replace(rows=x.rows + n, more=(*x.more, version))
+            else:
+                live[b] = x._replace(deltas=(*x.deltas, version), delta_rows=x.delta_rows + n)
         if written:
             self._append_index(version, live)
 
+    def _compared(self, version: int, live: dict[int, Live], written: dict[int, int]) -> tuple[set[int], set[int]]:
+        """Of the buckets in which the version has each of its keys once: those of
+        whose keys it has all, and those of which it has none. Only the key is
+        read, and only where the counts of rows leave one of the two open."""
+        may = [live[b] for b, n in written.items() if b in live and (self.appends or n >= live[b].rows)]
+        if not may:
+            return set(), set()
+        bucket = bucket_of(F.col(self.bucket_by), self.buckets).alias("b")
+        new = self.spark.read.parquet(*[self._folder(version, x.bucket) for x in may])
+        keys = (new.select(bucket, F.col(self.key).alias("k"), F.lit(1).alias("now"), F.lit(0).alias("was"))
+                .unionByName(self._rows(may).select(bucket, F.col(self.key).alias("k"), F.lit(0).alias("now"), F.lit(1).alias("was")))
+                .groupBy("b", "k").agg(F.sum("now").alias("now"), F.max("was").alias("was")))
+        found = keys.groupBy("b").agg(F.max("now").alias("most"), F.count_if(F.col("now") == 0).alias("left"),
+                                      F.count_if((F.col("now") > 0) & (F.col("was") > 0)).alias("hit")).collect()
+        once = [r for r in found if r.most == 1]
+        return {r.b for r in once if not r.left}, {r.b for r in once if self.appends and not r.hit}
+
     def upsert(self, new: DataFrame, *, as_of: Column, keep_first: tuple[str, ...] = ("silvered_at",),
                order: str | None = None) -> DataFrame | None:
         self.write(new, as_of=as_of, keep_first=keep_first, order=order)
@@ -188,7 +224,7 @@ class BucketedTable:
         gone, kept = rows[:-(keep or self.keep_versions)], rows[-(keep or self.keep_versions):]
 
         def needed(some) -> set[tuple[int, int]]:
-            return {(v, x.bucket) for r in some for x in r.live for v in (x.base, *x.deltas)}
+            return {(v, x.bucket) for r in some for x in r.live for v in (x.base, *(x.more or ()), *x.deltas)}
 
         for v, b in sorted(needed(gone) - needed(kept)):
             self._delete(self._folder(v, b))

@@ -253,11 +253,13 @@ class Star:
     def _table(self, name: str, build) -> DataFrame:
         if not self.stored:
             return build()
-        from ..session import shared_path
+        from ..session import shared_path, shuffles_dropped
         paths = _STORED.setdefault(self._key, {})
         if name not in paths:
             path = shared_path(self.spark, "star", name)
-            build().write.mode("overwrite").parquet(path)
+            table = build()
+            with shuffles_dropped(self.spark):
+                table.write.mode("overwrite").option("compression", "zstd").parquet(path)
             paths[name] = path
         return self.spark.read.parquet(paths[name])
 

@@ -3,14 +3,19 @@ dataset, texts cut and orders dropped before their joins, pairs found once."""
 
 import glob
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.operators import gold as G
 from tessera.operators import taxonomy as TX
+from tessera.operators.upsert import BucketedTable
 from tessera.plans import registry  # noqa: F401
 from tessera.plans import q_graph, star
 from tessera.plans.medallion import Medallion
+from tessera.schemas import ANALYSIS_DDL
+from tessera.session import staged
 from tessera.sources import bronze as B
 from tessera.streaming import silver_stream
 
@@ -88,3 +93,62 @@ def test_similar_pairs_are_found_once(spark, monkeypatch):
     p, u = q_graph._pairs(S)
     TX.review_queue(p, TX.clusters(p, u)).collect()
     assert runs.value == 1
+
+
+def _rows(spark, n, tag):
+    return spark.range(n).select(F.col("id").cast("string").alias("k"), F.lit(tag).alias("tag"))
+
+
+def test_a_version_with_all_keys_is_the_new_base(spark, tmp_path):
+    t = BucketedTable(spark, str(tmp_path / "t"), "k", buckets=2)
+    for tag in "abc":
+        t.upsert(_rows(spark, 60, tag), as_of=at(), keep_first=())
+    live = t._published()[1].values()
+    assert {(x.base, x.deltas, x.more) for x in live} == {(3, (), ())}
+    assert {r.tag for r in t.read().collect()} == {"c"} and t.read().count() == 60
+    t.upsert(_rows(spark, 59, "d").unionByName(_rows(spark, 1, "e")), as_of=at(), keep_first=())  # a key twice, another not at all
+    assert sorted(r.k for r in t.read().collect()) == sorted(str(i) for i in range(60))
+    assert next(r.tag for r in t.read().collect() if r.k == "59") == "c"
+
+
+def test_new_keys_of_an_appended_table_are_not_merged(spark, tmp_path):
+    t = BucketedTable(spark, str(tmp_path / "t"), "k", buckets=2, keep_versions=1, appends=True)
+    for i in range(3):
+        t.upsert(_rows(spark, 40, str(i)).withColumn("k", F.concat("k", F.lit(f"/{i}"))), as_of=at(), keep_first=())
+    assert {(x.base, x.more, x.deltas) for x in t._published()[1].values()} == {(1, (2, 3), ())}
+    t.upsert(_rows(spark, 40, "again").withColumn("k", F.concat("k", F.lit("/2"))), as_of=at(), keep_first=())  # the run came twice
+    want = sorted([(f"{k}/{i}", str(i)) for k in range(40) for i in (0, 1)] + [(f"{k}/2", "again") for k in range(40)])
+    for _ in range(2):
+        assert sorted((r.k, r.tag) for r in t.read().collect()) == want
+        t.vacuum()
+        t.compact()
+
+
+def test_a_run_writes_its_documents_once(spark, tmp_path, monkeypatch):
+    """Every document goes to the history and to the table once a run, and none stays in shuffles or checkpoints."""
+    store = G.GoldStore(spark, str(tmp_path / "gold"), buckets=2)
+    first = spark.range(20).select(F.col("id").cast("string").alias("post_id"), F.lit(3).alias("schema_version"), F.lit("analysed").alias("status"),
+                                   F.from_json(F.concat(F.lit('{"domain": "'), F.col("id").cast("string"), F.lit('"}')), ANALYSIS_DDL).alias("result"),
+                                   F.lit(None).cast("string").alias("error"), F.lit(1).alias("attempts"), at().alias("analysed_at"))
+    store.gold.upsert(first, as_of=at(), keep_first=())
+    written, write = [], BucketedTable._write
+    monkeypatch.setattr(BucketedTable, "_write", lambda self, rows, v: written.append(sum((n := write(self, rows, v)).values())) or n)
+    monkeypatch.setattr(type(first), "checkpoint", lambda self, eager=True: pytest.fail("documents are checkpointed"))
+    results = first.select("post_id", "status", F.to_json("result").alias("result_json"), "error")
+    for seq in range(3):
+        store.run(results, at(), seq)
+    assert written == [20] * 6
+    assert sorted((r.post_id, r.seq, r.result.domain) for r in store.history().collect()) == sorted((str(i), s, str(i)) for i in range(20) for s in range(3))
+    assert {(r.attempts, r.result.domain == r.post_id) for r in store.gold.read().collect()} == {(4, True)}
+
+
+def test_staged_rows_leave_no_shuffle_files(spark):
+    local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = local.getAllFiles().size()
+    out = staged(spark.range(4000).groupBy((F.col("id") % 100).alias("g")).count())
+    for _ in range(50):  # files go right after the write ends
+        if local.getAllFiles().size() <= before:
+            break
+        time.sleep(0.1)
+    assert local.getAllFiles().size() <= before
+    assert out.count() == 100 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
