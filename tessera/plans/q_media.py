@@ -5,12 +5,12 @@ from __future__ import annotations
 
 import os
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ..catalog import Catalog
 from ..functions import media as M
-from ..session import shared_path
+from ..session import cut_lineage, local_path, shared_path
 from ..sources import media as SM
 from ..streaming import silver_stream
 from .medallion import N_DATASETS, Medallion, land_events, silver_view
@@ -40,17 +40,23 @@ def _media_files(cat, prefix="ds-", datasets=2):
 def _land_media(spark, cat, *dataset):
     """Write the media fixture files (executors write their own rows)."""
     root = shared_path(spark, "media")
+    top = local_path(spark, root)
+    if top is None:
+        raise RuntimeError("media files are written with plain file I/O: spark.checkpoint.dir must be a mounted folder")
 
     def write(batches):
-        for pdf in batches:
-            for r in pdf.itertuples(index=False):
-                d = os.path.join(root, r.source_dataset, str(r.conv_id))
-                os.makedirs(d, exist_ok=True)
-                with open(os.path.join(d, r.file_name), "wb") as fh:
-                    fh.write((r.content or "").encode("utf-8"))
-            yield pd.DataFrame({"n": [len(pdf)]})
-
-    _media_files(cat, *dataset).mapInPandas(write, "n long").agg(F.sum("n")).collect()
+        made = None
+        for batch in batches:
+            for r in batch.to_pylist():
+                d = os.path.join(top, r["source_dataset"], str(r["conv_id"]))
+                if d != made:
+                    os.makedirs(d, exist_ok=True)
+                    made = d
+                with open(os.path.join(d, r["file_name"]), "wb") as fh:
+                    fh.write((r["content"] or "").encode("utf-8"))
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    _media_files(cat, *dataset).mapInArrow(write, "n long").agg(F.sum("n")).collect()
     return root
 
 
@@ -83,8 +89,9 @@ def q_media_selection(spark, sf_dir):
 
 
 def _media_of_posts(spark, cat):
-    """The manifest of media landed in the events' own dataset folders (post id = conversation id)."""
-    return SM.manifest(SM.listing(spark, _land_media(spark, cat, "ds", N_DATASETS)))
+    """The manifest of media landed in the events' own dataset folders (post id =
+    conversation id), listed once: the silver runs may read it several times."""
+    return cut_lineage(SM.manifest(SM.listing(spark, _land_media(spark, cat, "ds", N_DATASETS))))
 
 
 @query("silver_with_media")

@@ -103,6 +103,14 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(base, "tessera", *parts, uuid.uuid4().hex)
 
 
+def local_path(spark: SparkSession, path: str) -> str | None:
+    """The plain path of a folder on a file system that driver and executors
+    mount; None where ``path`` lies in another kind of store."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return fs.makeQualified(p).toUri().getPath() if fs.getUri().getScheme() == "file" else None
+
+
 def read_if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
     """The DataFrame that ``read`` opens; None only where its path does not
     exist. Any other failure is raised: it must not pass for an empty table."""

@@ -6,17 +6,19 @@ import os
 import time
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tessera.operators import gold as G
 from tessera.operators import taxonomy as TX
 from tessera.operators.upsert import BucketedTable
 from tessera.plans import registry  # noqa: F401
-from tessera.plans import q_graph, star
+from tessera.plans import q_graph, q_media, star
 from tessera.plans.medallion import Medallion
 from tessera.schemas import ANALYSIS_DDL
 from tessera.session import staged
 from tessera.sources import bronze as B
+from tessera.sources import media as SM
 from tessera.streaming import silver_stream
 
 
@@ -152,3 +154,36 @@ def test_staged_rows_leave_no_shuffle_files(spark):
         time.sleep(0.1)
     assert local.getAllFiles().size() <= before
     assert out.count() == 100 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def _put(root, *names, body=b"x"):
+    for n in names:
+        os.makedirs(os.path.dirname(os.path.join(root, n)), exist_ok=True)
+        with open(os.path.join(root, n), "wb") as f:
+            f.write(body * len(n))
+
+
+def test_media_are_listed_by_executors_as_by_the_file_index(spark, tmp_path):
+    root = str(tmp_path / "m")
+    _put(root, "ds-0/1/a.jpg", "ds-0/1/b b%20+.MP4", "ds-0/2/é.png", "ds-1/2/deep/er/c.gif", "ds-1/notes.txt", "top.txt",
+         "ds-1/3/_hidden.jpg", "ds-1/3/.dot.jpg", "ds-1/_temporary/4/d.jpg", "ds-1/k=1/_p=2.jpg", "ds-1/5/e.jpg._COPYING_")
+    _put(root, "ds-1/3/empty.jpg", body=b"")
+    os.makedirs(os.path.join(root, "ds-1", "6"))
+    rel = F.split(F.regexp_extract("path", r"([^/]+)/([^/]+)/([^/]+)$", 0), "/")
+    indexed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    want = sorted(tuple(r) for r in indexed.select(rel[0], rel[1], rel[2], "length").collect())
+    for at_ in (root, f"file://{root}"):
+        got = SM.listing(spark, at_)
+        assert sorted(tuple(r) for r in got.collect()) == want and len(want) == 7
+        assert "binaryFile" not in got._jdf.queryExecution().toString()
+    with pytest.raises(AnalysisException):
+        SM.listing(spark, str(tmp_path / "nowhere")).collect()
+
+
+def test_media_of_a_uri_are_written_below_its_path(spark, monkeypatch, tmp_path):
+    class Cat:
+        conversations = spark.createDataFrame([(7, 0, "user", "hi"), (7, 1, "assistant", None), (8, 0, "tool", "x")], "conv_id long, turn long, role string, text string")
+    monkeypatch.setattr(q_media, "shared_path", lambda *_: f"file://{tmp_path}/media")
+    got = q_media._media_of_posts(spark, Cat)
+    assert {(r.source_dataset, r.post_id, *r.media_files) for r in got.collect()} == {("ds1", "7", "media_00.jpg", "video.mp4")}
+    assert sorted(os.listdir(tmp_path / "media" / "ds1" / "7")) == ["media_00.jpg", "media_01.mp4", "video.mp4"]
