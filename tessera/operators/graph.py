@@ -6,11 +6,17 @@ executor recomputes at most a few rounds."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
+AT_ONCE = 1 << 20  # edges that a task contracts at once
+
 
 def typed_edges(topic_edges: DataFrame, resource_edges: DataFrame,
                 profile_edges: DataFrame | None = None) -> DataFrame:
@@ -90,6 +96,55 @@ def _undirected(edges: DataFrame) -> DataFrame:
     return edges.select(_both_ways(("src", "dst"))).filter(F.col("u") != F.col("v")).distinct()
 
 
+def _roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """The least node of each node's component, of nodes 0 to n - 1 with edges a-b."""
+    root = np.arange(n)
+    while True:
+        low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+        apart = low != high
+        if not apart.any():
+            return root
+        a, b = a[apart], b[apart]
+        np.minimum.at(root, high[apart], low[apart])
+        while ((up := root[root]) != root).any():
+            root = up
+
+
+def _stars(src: pa.Array, dst: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Edges of the same components: each node but one to that one."""
+    nodes = pa.concat_arrays([src, dst]).dictionary_encode()
+    code = nodes.indices.to_numpy()
+    root = _roots(code[:len(src)], code[len(src):], len(nodes.dictionary))
+    far = np.flatnonzero(root != np.arange(len(root)))
+    return nodes.dictionary.take(pa.array(far)), nodes.dictionary.take(pa.array(root[far]))
+
+
+def contracted(edges: DataFrame, at_once: int = AT_ONCE) -> DataFrame:
+    """Edges (src, dst) with the same connected components, before any shuffle:
+    a task replaces its edges, ``at_once`` at a time, by one for each node in
+    them but one a component. Many edges between few nodes become few."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[tuple] = []
+
+        def made() -> tuple[pa.Array, pa.Array]:
+            return _stars(*(pa.concat_arrays([p[k] for p in parts]) for k in (0, 1)))
+
+        for batch in batches:
+            parts.append((batch.column("src"), batch.column("dst")))
+            if sum(len(p[0]) for p in parts) >= at_once:
+                stars = made()
+                parts = [stars]
+                if len(stars[0]) > at_once // 2:
+                    yield pa.RecordBatch.from_arrays([*stars], names=["src", "dst"])
+                    parts = []
+        if parts:
+            yield pa.RecordBatch.from_arrays([*made()], names=["src", "dst"])
+
+    e = edges.select("src", "dst").filter("src != dst")
+    kinds = [e.schema[c].dataType.simpleString() for c in ("src", "dst")]
+    return e.mapInArrow(run, f"src {kinds[0]}, dst {kinds[1]}") if kinds[0] == kinds[1] else e
+
+
 def _signature(edges: DataFrame):
     return edges.agg(F.count(F.lit(1)).alias("n"),
                      F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1_000_000_007))).alias("h"),

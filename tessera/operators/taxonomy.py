@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import normalise_term
-from .graph import connected_components
+from .graph import connected_components, contracted
 from .numbering import with_row_number
 from .similarity import ball_join
 
@@ -109,7 +109,7 @@ def clusters(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     canonical term is its smallest id."""
     e = pairs.filter(F.col("status") == "auto_merged") \
         .select(F.col("id_a").alias("src"), F.col("id_b").alias("dst"))
-    return connected_components(e, nodes.select(F.col("id").alias("node")))
+    return connected_components(contracted(e), nodes.select(F.col("id").alias("node")))
 
 
 def review_queue(pairs: DataFrame, cl: DataFrame) -> DataFrame:

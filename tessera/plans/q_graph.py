@@ -9,7 +9,7 @@ from ..operators import dims as D
 from ..operators import graph as GR
 from ..operators import taxonomy as TX
 from ..operators import term_registry as TR
-from ..session import cut_lineage, shared_path
+from ..session import cut_lineage, shared_path, staged
 from . import views as V
 from .registry import query
 from .star import Star
@@ -80,13 +80,14 @@ def q_taxonomy_terms_exact(spark, sf_dir):
 
 def _pairs(s):
     u = TX.unit_vectors(s.cat.embeddings, "vec_id", "embedding", "label")
-    # Cut: clusters and the review read the pairs several times each.
-    return cut_lineage(TX.classify(TX.similar_pairs(u, FIXTURE_REVIEW), FIXTURE_AUTO, FIXTURE_REVIEW)), u
+    # Staged: clusters and the review read the pairs several times each.
+    return TX.classify(staged(TX.similar_pairs(u, FIXTURE_REVIEW), "pairs"), FIXTURE_AUTO, FIXTURE_REVIEW), u
 
 
 @query("term_similarity_pairs")
 def q_term_similarity_pairs(spark, sf_dir):
-    p, _ = _pairs(Star(spark, sf_dir))
+    u = TX.unit_vectors(Star(spark, sf_dir).cat.embeddings, "vec_id", "embedding", "label")
+    p = TX.classify(TX.similar_pairs(u, FIXTURE_REVIEW), FIXTURE_AUTO, FIXTURE_REVIEW)
     return p.select("block", "id_a", "id_b", F.round("cosine", 6).alias("cosine"), "status")
 
 
@@ -110,9 +111,9 @@ def q_taxonomy_apply(spark, sf_dir):
     # One decision per proposed term (its best-scoring proposal).
     best = rq.groupBy(F.col("proposed_id").alias("term_id")).agg(
         F.max_by(F.struct("canonical_id", "score"), F.struct("score", "canonical_id")).alias("b"))
-    decisions = cut_lineage(best.select("term_id", F.col("b.canonical_id").alias("canonical_id"),
-                                        F.when(F.col("b.score") >= 0.35, "approve").otherwise("reject")
-                                        .alias("decision")))
+    decisions = staged(best.select("term_id", F.col("b.canonical_id").alias("canonical_id"),
+                                   F.when(F.col("b.score") >= 0.35, "approve").otherwise("reject")
+                                   .alias("decision")), "decisions")
     e = s.cat.embeddings.select("vec_id", "label")
     terms = e.select(F.col("vec_id").alias("term_id"),
                      F.concat(F.lit("label_"), F.col("label").cast("string")).alias("term_type"),
@@ -167,7 +168,7 @@ def q_taxonomy_split(spark, sf_dir):
     25 are split in two, and clusters of three or more lose their weakest merge."""
     s = Star(spark, sf_dir)
     units = TX.unit_vectors(s.cat.embeddings, "vec_id", "embedding", "label")
-    pairs = cut_lineage(TX.classify(TX.similar_pairs(units, FIXTURE_REVIEW), SPLIT_AUTO, FIXTURE_REVIEW))
+    pairs = TX.classify(staged(TX.similar_pairs(units, FIXTURE_REVIEW), "pairs"), SPLIT_AUTO, FIXTURE_REVIEW)
     clusters = cut_lineage(TX.clusters(pairs, units))
     edges = pairs.filter("status = 'auto_merged'").select("id_a", "id_b", "cosine")
     terms = s.cat.embeddings.select(F.col("vec_id").alias("term_id"), F.concat(F.lit("label_"), F.col("label").cast("string")).alias("term_type"),
@@ -175,8 +176,8 @@ def q_taxonomy_split(spark, sf_dir):
     store = TR.TermRegistry(spark, shared_path(spark, "terms"))
     stored = store.save(TR.cluster_rows(terms, clusters, edges, F.lit(SINCE)), F.lit(SINCE))
 
-    proposals = TX.review_queue(pairs, clusters).groupBy(F.col("proposed_id").alias("term_id")).agg(
-        F.max_by(F.struct("canonical_id", "score"), F.struct("score", "canonical_id")).alias("b"))
+    proposals = staged(TX.review_queue(pairs, clusters).groupBy(F.col("proposed_id").alias("term_id")).agg(
+        F.max_by(F.struct("canonical_id", "score"), F.struct("score", "canonical_id")).alias("b")), "proposals")
     reviewed = proposals.select("term_id", "b.canonical_id", "b.score", F.when(F.col("b.score") >= SPLIT_APPROVE, "approve").otherwise("reject").alias("decision"),
                                 F.lit(None).cast("array<string>").alias("parts"))
     size = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
@@ -184,8 +185,10 @@ def q_taxonomy_split(spark, sf_dir):
     lone = (sized.filter("n = 1 and node % 25 = 7").select(F.col("node").alias("term_id")).join(reviewed, "term_id", "left_anti")
             .select("term_id", F.lit(None).cast("bigint").alias("canonical_id"), F.lit(None).cast("double").alias("score"), F.lit("split").alias("decision"),
                     F.array(*[F.concat(F.lit("term_"), F.col("term_id").cast("string"), F.lit(x)) for x in ("_a", "_b")]).alias("parts")))
-    cuts = (edges.join(sized.filter("n >= 3").select(F.col("node").alias("id_a"), "component"), "id_a").groupBy("component")
-            .agg(F.min_by(F.struct("id_a", "id_b"), F.struct(F.round("cosine", 9), "id_a", "id_b")).alias("e")).select("e.id_a", "e.id_b"))
+    # The weakest of each term first: a task's many edges are few before they are shuffled.
+    weakest = edges.groupBy("id_a").agg(F.min(F.struct(F.round("cosine", 9).alias("cosine"), "id_a", "id_b")).alias("e"))
+    cuts = (weakest.join(sized.filter("n >= 3").select(F.col("node").alias("id_a"), "component"), "id_a").groupBy("component")
+            .agg(F.min("e").alias("e")).select("e.id_a", "e.id_b"))
     after = store.save(TR.apply_reviews(stored, reviewed.unionByName(lone), F.lit(AS_OF)), F.lit(AS_OF))
     done, _ = TR.cut_merges(after, clusters, edges, cuts, F.lit(AS_OF))
     return store.save(done, F.lit(AS_OF))

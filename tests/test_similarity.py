@@ -63,3 +63,47 @@ def test_empty_and_single(spark):
 def test_farthest_first():
     rows = np.array([[1.0, 0.0], [1.0, 0.0], [0.0, 1.0], [-1.0, 0.0]])
     assert similarity.farthest_first(rows, 9).tolist() == [[1.0, 0.0], [-1.0, 0.0], [0.0, 1.0]]
+
+
+@pytest.mark.parametrize("group, calls", [(16, 20), (40, 7), (1, 1)])
+def test_keys_of_any_size_meet_all(spark, group, calls):
+    """Groups of balls, and rows and columns of a group, cut small: nothing is lost or met twice."""
+    r = np.random.default_rng(11)
+    vectors = np.concatenate((r.normal(size=(90, 10)), np.repeat(r.normal(size=(1, 10)), 45, 0)))  # copies outgrow a group
+    blocks = [("a", "a", "b")[i % 3] for i in range(len(vectors))]
+    u = _units(spark, vectors, blocks)
+    got = [(p.id_a, p.id_b) for p in similarity.ball_join(u, 0.3, tile=10, group=group, calls=calls).collect()]
+    assert len(got) == len(set(got)) and set(got) == _want(vectors, blocks, 0.3)
+
+
+def test_large_blocks_without_centres_are_cut(spark):
+    r = np.random.default_rng(12)
+    vectors, blocks = r.normal(size=(80, 5)), ["a"] * 50 + ["b"] * 30
+    u = _units(spark, vectors, blocks)
+    got = [(p.id_a, p.id_b) for p in similarity.ball_join(u, 0.5, tile=10, most=1, group=12, calls=9).collect()]
+    assert len(got) == len(set(got)) and set(got) == _want(vectors, blocks, 0.5)
+
+
+def test_a_vector_goes_to_groups_not_to_balls(spark):
+    """Vectors that lie evenly visit every ball; what is dealt out follows the groups all the same."""
+    vectors = np.random.default_rng(13).normal(size=(400, 64))
+    u = _units(spark, vectors, ["a"] * 400)
+    placed, index = similarity._placed(u, 0.3, 10, similarity.MOST_CENTRES)
+    assert placed.agg(F.sum(F.size("visits"))).first()[0] > 5000  # a row each before
+    dealt = similarity._dealt(placed, similarity._groups(placed, index, 150, 300))
+    assert dealt.count() <= 400 * 5 and dealt.filter("side = 0").select("id").distinct().count() == 400
+
+
+def test_keys_that_repeat_and_rows_without_numbers(spark):
+    rows = [(1, [1.0, 0.0], 0), (1, [1.0, 0.0], 0), (2, [1.0, 0.1], 0), (2, [1.0, 0.1], 0), (3, None, 0), (4, [None, 1.0], 0), (None, [1.0, 0.0], 0),
+            (5, [1.0, 0.0], None), (6, [1.0, 0.0], None), (7, [float("nan"), 1.0], 0), (8, [3.0], 1), (9, [2.0], 1)]
+    u = spark.createDataFrame(rows, "id long, u array<double>, block int")
+    got = sorted((p.block, p.id_a, p.id_b) for p in similarity.ball_join(u, 0.9).collect())
+    assert got == [(0, 1, 2)] * 4 + [(1, 8, 9)]
+    with pytest.raises(Exception, match="different lengths"):
+        similarity.ball_join(spark.createDataFrame([(1, [1.0, 0.0], 0), (2, [1.0], 0)], "id long, u array<double>, block int"), 0.9).collect()
+
+
+def test_text_ids(spark):
+    u = spark.createDataFrame([("b", [1.0, 0.0], "x"), ("a", [1.0, 0.0], "x"), ("é", [0.0, 1.0], "x"), ("z", [0.0, 1.0], "x")], "id string, u array<double>, block string")
+    assert sorted((p.id_a, p.id_b) for p in TX.similar_pairs(u, 0.9).collect()) == [("a", "b"), ("z", "é")]

@@ -154,3 +154,18 @@ def test_components_without_edges(spark):
     nodes = spark.createDataFrame([(5,), (6,)], "node long")
     assert {tuple(r) for r in GR.connected_components(e, nodes).collect()} == {(5, 5), (6, 6)}
     assert GR.connected_components(e).count() == 0
+
+
+def test_contracted_edges_are_few_and_join_the_same(spark):
+    rnd = random.Random(21)
+    some = [(a, b) for a, b in ((rnd.randrange(60), rnd.randrange(60)) for _ in range(4000)) if a % 3 == b % 3] + [(100, 101), (101, 102), (200, 200), (None, 5), (7, None)]
+    e = spark.createDataFrame(some, "src long, dst long").coalesce(1)
+    for at_once in (1 << 20, 50, 1):
+        few = GR.contracted(e, at_once)
+        if at_once > 1:
+            assert few.count() <= 61  # over a thousand before
+        assert sorted(map(tuple, GR.connected_components(few).collect())) == sorted(map(tuple, GR.connected_components(e).collect()))
+    words = spark.createDataFrame([("a", "b"), ("é", "b"), ("x", "y")], "src string, dst string")
+    assert {tuple(r) for r in GR.connected_components(GR.contracted(words)).collect()} == {("a", "a"), ("b", "a"), ("é", "a"), ("x", "x"), ("y", "x")}
+    path = spark.createDataFrame([(i, (i * 37) % 501) for i in range(501)], "src long, dst long")
+    assert sorted(map(tuple, GR.connected_components(GR.contracted(path)).collect())) == sorted(map(tuple, GR.connected_components(path).collect()))
