@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import gold as G
 from tessera.operators import taxonomy as TX
+from tessera.operators import term_registry as TR
 from tessera.operators.upsert import BucketedTable
 from tessera.plans import registry  # noqa: F401
 from tessera.plans import q_graph, q_media, star
@@ -187,3 +188,22 @@ def test_media_of_a_uri_are_written_below_its_path(spark, monkeypatch, tmp_path)
     got = q_media._media_of_posts(spark, Cat)
     assert {(r.source_dataset, r.post_id, *r.media_files) for r in got.collect()} == {("ds1", "7", "media_00.jpg", "video.mp4")}
     assert sorted(os.listdir(tmp_path / "media" / "ds1" / "7")) == ["media_00.jpg", "media_01.mp4", "video.mp4"]
+
+
+def test_pairs_are_staged_not_checkpointed(spark, monkeypatch):
+    class S:
+        class cat:
+            embeddings = spark.createDataFrame([(i, 0, [1.0, float(i % 3)]) for i in range(9)], "vec_id long, label int, embedding array<float>")
+    monkeypatch.setattr(type(S.cat.embeddings), "checkpoint", lambda self, eager=True: pytest.fail("pairs are checkpointed"))
+    p, _ = q_graph._pairs(S)
+    assert p.count() == 36 and {r.status for r in p.collect()} <= {"auto_merged", "pending_review", "distinct"}
+
+
+def test_edges_meet_few_heads_before_a_shuffle(spark):
+    terms = spark.range(30).select(F.col("id").alias("term_id"), F.lit("t").alias("term_type"), F.col("id").cast("string").alias("raw_value"))
+    clusters = spark.range(30).select(F.col("id").alias("node"), F.lit(0).cast("long").alias("component"))
+    edges = spark.range(30).crossJoin(spark.range(30).toDF("b")).filter("id < b").select(F.col("id").alias("id_a"), F.col("b").alias("id_b"), F.lit(0.5).alias("cosine"))
+    rows = TR.cluster_rows(terms, clusters, staged(edges), F.lit("2024-05-01"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [component" in plan and "LeftSemi" in plan
+    assert sorted((r.term_id, r.similarity_score, r.merged_into_id) for r in rows.collect()) == [(0, None, None)] + [(i, 0.5, 0) for i in range(1, 30)]
