@@ -53,7 +53,8 @@ def unit_vectors(vecs: DataFrame, id_col: str, vec_col: str, block_col: str) ->
     v = F.transform(F.col(vec_col), lambda x: x.cast("double"))
     norm = F.sqrt(_dot(v, v))
     return vecs.select(F.col(id_col).alias("id"), F.col(block_col).alias("block"),
-                       F.transform(v, lambda x: x / norm).alias("u"))
+                       # The norm through an array of one, or each number would have it worked out anew.
+                       F.transform(F.array(norm), lambda n: F.transform(v, lambda x: x / n))[0].alias("u"))
 
 
 def _angle(a: Column, b: Column) -> Column:
